@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from factloom.llm.common import documents, new_path, written
 
 END = 0
-#: Characters encoded in one call, which bounds the memory of the encodings.
-CALL_CHARACTERS = 400_000
+#: Characters encoded in one call, and units whose ids a process keeps: bounds of its memory.
+CALL_CHARACTERS, KEPT_UNITS = 2_000_000, 300_000
 _tokenizers: dict[str, object] = {}
 
 
@@ -40,31 +40,92 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class Encoder:
+    """Ids of whole texts. A blank between two non-blanks always starts a new piece of the tokenizer's own cutting, so texts are cut
+    there and each distinct unit is encoded once for many texts. Texts with other blanks next to a blank are encoded as they are."""
+
+    def __init__(self, path: str):
+        self.tokenizer = tokenizer(path)
+        self._clear()
+
+    def _clear(self) -> None:
+        self.first: dict[str, int] = {}
+        self.later: dict[str, int] = {}
+        self.starts, self.lengths, self.pool = [0], [1], [np.array([END], np.int32)]
+        self.size = 1
+
+    def _learn(self, units: set[str], known: dict[str, int], before: str) -> None:
+        good = [u for u in units if u and not u[0].isspace() and not u[-1].isspace()]
+        known.update(dict.fromkeys(units, -1))
+        for u, e in zip(good, self.tokenizer.encode_batch_fast([before + u for u in good], add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.int32)
+            known[u] = len(self.starts)
+            self.starts.append(self.size)
+            self.lengths.append(len(ids))
+            self.pool.append(ids)
+            self.size += len(ids)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, with END after each text, and the number of each text's ids."""
+        if len(self.first) + len(self.later) > KEPT_UNITS:
+            self._clear()
+        cut = [t.split(" ") for t in texts]
+        for known, units, before in ((self.first, {c[0] for c in cut}, ""), (self.later, set().union(*[c[1:] for c in cut]) if cut else set(), " ")):
+            if missing := units.difference(known):
+                self._learn(missing, known, before)
+        if len(self.pool) > 1:
+            self.pool = [np.concatenate(self.pool)]
+        pool, starts, lengths = self.pool[0], np.array(self.starts), np.array(self.lengths)
+        codes, number = [], []
+        for c in cut:
+            codes.append(self.first[c[0]])
+            codes += map(self.later.__getitem__, c[1:])
+            codes.append(0)
+            number.append(len(c) + 1)
+        codes, number = np.array(codes, np.int64), np.array(number, np.int64)
+        doc = np.repeat(np.arange(len(texts)), number)
+        odd = np.unique(doc[codes < 0])
+        keep = ~np.isin(doc, odd)
+        n = lengths[codes[keep]]
+        sizes = np.bincount(doc[keep], n, len(texts)).astype(np.int64)
+        flat = pool[np.repeat(starts[codes[keep]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        if not len(odd):
+            return flat, sizes
+        parts, whole = np.split(flat, np.cumsum(sizes)[:-1]), self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)
+        for i, e in zip(odd.tolist(), whole, strict=True):
+            parts[i] = np.array([*e.ids, END], np.int32)
+        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python process, however many tasks it runs."""
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def encode(docs: DataFrame, path: str | None) -> DataFrame:
     """doc_id and ids (with the end id) of each text, in the order of docs."""
 
     def run(batches):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        t = tokenizer(path or default_path())
+        of = encoder(path or default_path())
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids, lengths, i = [], [], 0
+            texts, i = batch.column(1).to_pylist(), 0
             while i < len(texts):
                 j, size = i, 0
                 while j < len(texts) and (j == i or size + len(texts[j] or "") <= CALL_CHARACTERS):
                     size += len(texts[j] or "")
                     j += 1
-                for e in t.encode_batch_fast([x or "" for x in texts[i:j]], add_special_tokens=False):
-                    own = e.ids
-                    own.append(END)
-                    ids.append(np.array(own, np.int32))
-                    lengths.append(len(own))
+                flat, sizes = of([x or "" for x in texts[i:j]])
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
                 i = j
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
 
     return docs.mapInArrow(run, "doc_id long, ids array<int>")
 
