@@ -10,6 +10,7 @@ their own; an empty table gives an empty result. The tokenizer's special strings
 from __future__ import annotations
 
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,61 +41,76 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Codes(dict):
+    """Numbers of units in order of appearance; `new` lists those not seen before."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.new.append(unit)
+        self[unit] = code = len(self)
+        return code
+
+
 class Encoder:
     """Ids of whole texts. A blank between two non-blanks always starts a new piece of the tokenizer's own cutting, so texts are cut
-    there and each distinct unit is encoded once for many texts. Texts with other blanks next to a blank are encoded as they are."""
+    there and each distinct unit is encoded once for many texts: all new ones as one text, whose ids are dealt out by their bytes.
+    Texts with other blanks next to a blank are encoded as they are."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)  # byte-level: a letter for each byte
         self._clear()
 
     def _clear(self) -> None:
-        self.first: dict[str, int] = {}
-        self.later: dict[str, int] = {}
-        self.starts, self.lengths, self.pool = [0], [1], [np.array([END], np.int32)]
-        self.size = 1
-
-    def _learn(self, units: set[str], known: dict[str, int], before: str) -> None:
-        good = [u for u in units if u and not u[0].isspace() and not u[-1].isspace()]
-        known.update(dict.fromkeys(units, -1))
-        for u, e in zip(good, self.tokenizer.encode_batch_fast([before + u for u in good], add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.int32)
-            known[u] = len(self.starts)
-            self.starts.append(self.size)
-            self.lengths.append(len(ids))
-            self.pool.append(ids)
-            self.size += len(ids)
+        """Unit 0 is the end id; a unit that can't be encoded alone has the length -1."""
+        self.codes = _Codes()
+        self.codes["\x00end\x00 "] = 0
+        self.starts, self.lengths, self.pool = np.array([0]), np.array([1]), np.array([END], np.int32)
+
+    def _learn(self, units: list[str]) -> None:
+        good = np.array([u[0] == " " and len(u) > 1 and not u[1].isspace() and not u[-1].isspace() for u in units], bool)
+        text = [u for u, ok in zip(units, good, strict=True) if ok]
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(text)], add_special_tokens=False)[0].ids, np.int32) if text else np.zeros(0, np.int32)
+        ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(u.encode()) for u in text])) + 1
+        lengths = np.full(len(units), -1)
+        lengths[good] = np.diff(ends, prepend=0)
+        starts = np.zeros(len(units), np.int64)
+        starts[good] = len(self.pool) + ends - lengths[good]
+        self.starts, self.lengths, self.pool = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, ids])
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with END after each text, and the number of each text's ids."""
-        if len(self.first) + len(self.later) > KEPT_UNITS:
+        if len(self.codes) > KEPT_UNITS:
             self._clear()
+        # the first unit of a text has no blank before it and is encoded by itself
         cut = [t.split(" ") for t in texts]
-        for known, units, before in ((self.first, {c[0] for c in cut}, ""), (self.later, set().union(*[c[1:] for c in cut]) if cut else set(), " ")):
-            if missing := units.difference(known):
-                self._learn(missing, known, before)
-        if len(self.pool) > 1:
-            self.pool = [np.concatenate(self.pool)]
-        pool, starts, lengths = self.pool[0], np.array(self.starts), np.array(self.lengths)
-        codes, number = [], []
-        for c in cut:
-            codes.append(self.first[c[0]])
-            codes += map(self.later.__getitem__, c[1:])
-            codes.append(0)
-            number.append(len(c) + 1)
-        codes, number = np.array(codes, np.int64), np.array(number, np.int64)
+        heads = self.tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
+        number = np.fromiter((len(c) - 1 for c in cut), np.int64, len(cut))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(c[1:] for c in cut)), np.int64, int(number.sum()))
+        if self.codes.new:
+            self._learn([" " + u for u in self.codes.new])
+            self.codes.new = []
         doc = np.repeat(np.arange(len(texts)), number)
-        odd = np.unique(doc[codes < 0])
-        keep = ~np.isin(doc, odd)
-        n = lengths[codes[keep]]
-        sizes = np.bincount(doc[keep], n, len(texts)).astype(np.int64)
-        flat = pool[np.repeat(starts[codes[keep]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        if not len(odd):
-            return flat, sizes
-        parts, whole = np.split(flat, np.cumsum(sizes)[:-1]), self.tokenizer.encode_batch_fast([texts[i] for i in odd], add_special_tokens=False)
-        for i, e in zip(odd.tolist(), whole, strict=True):
-            parts[i] = np.array([*e.ids, END], np.int32)
-        return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        odd = np.zeros(len(texts), bool)
+        odd[doc[self.lengths[codes] < 0]] = True
+        odd |= np.fromiter((len(c) > 1 and (not c[0] or c[0][-1].isspace()) for c in cut), bool, len(cut))
+        n = np.maximum(self.lengths[codes], 0)
+        total = np.concatenate(([0], np.cumsum(n)))
+        flat = self.pool[np.repeat(self.starts[codes] - total[:-1], n) + np.arange(int(total[-1]))]
+        at = total[np.concatenate(([0], np.cumsum(number)))]
+        whole = dict(zip(np.flatnonzero(odd).tolist(), self.tokenizer.encode_batch_fast([texts[i] for i in np.flatnonzero(odd)], add_special_tokens=False), strict=True))
+        end, parts, sizes = np.array([END], np.int32), [], []
+        for i, head in enumerate(heads):
+            own = [np.array(whole[i].ids, np.int32)] if i in whole else [np.array(head.ids, np.int32), flat[at[i] : at[i + 1]]]
+            parts += [*own, end]
+            sizes.append(sum(map(len, own)) + 1)
+        return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), np.array(sizes, np.int64)
 
 
 _encoders: dict[str, Encoder] = {}
