@@ -12,7 +12,6 @@ the key are read, so extra columns change nothing.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -52,26 +51,32 @@ def features(sentence: str) -> set[str]:
 
 def fit(texts: list[str], labels: np.ndarray, weights: np.ndarray) -> dict:
     """Word weights, b and leak; `weights` restores the shares of the labels in the table."""
-    bags = [[features(t[a:b]) for a, b in sentences(t)] for t in texts]
+    number: dict[str, int] = {}
+    of = lambda s: np.array([number.setdefault(f, len(number)) for f in sorted(features(s))], np.int32)
+    bags = [[of(t[a:b]) for a, b in sentences(t)] for t in texts]
+    names = list(number)
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     share = float((weights * labels).sum() / max(weights.sum(), 1e-9))
     if not n1 or not n0:
         return {"words": {}, "b": -20.0, "leak": share}
-    seen = [Counter(), Counter()]
+    seen = np.zeros((2, len(names)), np.int64)
     for y, bag in zip(labels, bags, strict=True):
-        seen[int(y)].update(set().union(*bag) if bag else ())
-    z = {}
-    for w, k in seen[1].items():
-        p, q, both = k / n1, seen[0][w] / n0, (k + seen[0][w]) / (n1 + n0)
-        if k >= LEAST_DOCUMENTS and (s := (p - q) / np.sqrt(both * (1 - both) * (1 / n1 + 1 / n0) + 1e-12)) >= LEAST_Z:
-            z[w] = s
-    vocabulary = {w: i for i, w in enumerate(sorted(z, key=lambda w: (-z[w], w))[:MOST_WORDS])}
+        if bag:
+            seen[int(y), np.unique(np.concatenate(bag))] += 1
+    p, q, both = seen[1] / n1, seen[0] / n0, seen.sum(0) / (n1 + n0)
+    z = (p - q) / np.sqrt(both * (1 - both) * (1 / n1 + 1 / n0) + 1e-12)
+    listed = [i for i in np.flatnonzero((seen[1] >= LEAST_DOCUMENTS) & (z >= LEAST_Z)).tolist()]
+    listed = sorted(listed, key=lambda i: (-z[i], names[i]))[:MOST_WORDS]
+    vocabulary = {names[i]: k for k, i in enumerate(listed)}
+    place = np.full(len(names), -1)
+    place[listed] = np.arange(len(listed))
     doc_of, sent, word, plain = [], [], [], np.zeros(len(texts))
     for d, bag in enumerate(bags):
         for s in bag:
-            if found := [vocabulary[w] for w in s if w in vocabulary]:
+            found = place[s]
+            if (found := found[found >= 0]).size:
                 sent += [len(doc_of)] * len(found)
-                word += sorted(found)
+                word += sorted(found.tolist())
                 doc_of.append(d)
             else:
                 plain[d] += 1
