@@ -16,7 +16,8 @@ BLOCK_BYTES = 1 << 20
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+_CASED = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE = _CASED.copy()
 _BYTE[65:91] = _BYTE[97:123]
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -77,10 +78,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first[inner] = word[inner]
     last[inner - 1] = word[inner - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return run_hashes(data, starts, ends, _BYTE), np.searchsorted(starts, offsets)
+
+
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _CASED) -> np.ndarray:
+    """Hash of the bytes data[start:end] of each run."""
+    n = len(data)
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power("p", _P, n), out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * _power("i", _P_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    np.cumsum(values[data] * _power("p", _P, n), out=total[1:])
+    return mix((total[ends] - total[starts]) * _power("i", _P_INVERSE, n + 1)[starts] + (ends - starts).astype(np.uint64))
 
 
 def shingles(words: np.ndarray, at: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

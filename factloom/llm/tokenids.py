@@ -10,18 +10,18 @@ their own; an empty table gives an empty result. The tokenizer's special strings
 from __future__ import annotations
 
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from factloom.llm import npwords
 from factloom.llm.common import documents, new_path, written
 
 END = 0
-#: Characters encoded in one call, and units whose ids a process keeps: bounds of its memory.
-CALL_CHARACTERS, KEPT_UNITS = 2_000_000, 300_000
+#: Bytes encoded in one call, units whose ids a process keeps, places of its table: bounds of its memory.
+CALL_BYTES, KEPT_UNITS, PLACES = 1_000_000, 600_000, 1 << 22
 _tokenizers: dict[str, object] = {}
 
 
@@ -41,23 +41,32 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Codes(dict):
-    """Numbers of units in order of appearance; `new` lists those not seen before."""
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91], _LETTER[97:123] = True, True
+_STOP = np.zeros(256, bool)
+_STOP[[ord(c) for c in ".,;:!?"]] = True
 
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
 
-    def __missing__(self, unit: str) -> int:
-        self.new.append(unit)
-        self[unit] = code = len(self)
-        return code
+def _odd(data: np.ndarray) -> np.ndarray:
+    """Places with blanks next to each other, or with a blank outside ASCII."""
+    white = _WHITE[data]
+    out = white.copy()
+    out[:-1] &= white[1:]
+    out[-1:] = False
+    for k in np.flatnonzero(np.isin(data, (0xC2, 0xE1, 0xE2, 0xE3))).tolist() if (data >= 0xC2).any() else ():
+        c = data[k : k + 3].tobytes()
+        if c[:2] in (b"\xc2\x85", b"\xc2\xa0") or (c[0] > 0xC2 and c.decode(errors="replace").isspace()):
+            out[k] = True
+    return out
 
 
 class Encoder:
-    """Ids of whole texts. A blank between two non-blanks always starts a new piece of the tokenizer's own cutting, so texts are cut
-    there and each distinct unit is encoded once for many texts: all new ones as one text, whose ids are dealt out by their bytes.
-    Texts with other blanks next to a blank are encoded as they are."""
+    """Ids of whole texts. The tokenizer's own cutting always ends a piece before a single blank, on both sides of a single line end and between
+    a letter and a stop, so texts are cut there and each distinct unit is encoded once for many texts: all new ones as one text, whose ids are
+    dealt out by their bytes. Units are known by 64-bit hashes in a table with one place for each; one that finds its place taken is encoded
+    again each time. Texts with blanks next to each other, at an end, or outside ASCII are encoded as they are."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
@@ -68,48 +77,76 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        """Unit 0 is the end id; a unit that can't be encoded alone has the length -1."""
-        self.codes = _Codes()
-        self.codes["\x00end\x00 "] = 0
-        self.starts, self.lengths, self.pool = np.array([0]), np.array([1]), np.array([END], np.int32)
-
-    def _learn(self, units: list[str]) -> None:
-        good = np.array([u[0] == " " and len(u) > 1 and not u[1].isspace() and not u[-1].isspace() for u in units], bool)
-        text = [u for u, ok in zip(units, good, strict=True) if ok]
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(text)], add_special_tokens=False)[0].ids, np.int32) if text else np.zeros(0, np.int32)
-        ends = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum([len(u.encode()) for u in text])) + 1
-        lengths = np.full(len(units), -1)
-        lengths[good] = np.diff(ends, prepend=0)
-        starts = np.zeros(len(units), np.int64)
-        starts[good] = len(self.pool) + ends - lengths[good]
-        self.starts, self.lengths, self.pool = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths]), np.concatenate([self.pool, ids])
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.keys, self.codes = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.int32)
+        self.starts, self.lengths, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _learn(self, units: list[bytes]) -> None:
+        """Number the units on. Those with a blank before them are joined as they are, others by line ends; blanks are texts of their own."""
+        kinds = [0 if len(u) > 1 and u[0] == 32 else 2 if _WHITE[u[0]] else 1 for u in units]
+        starts, lengths, pools, at = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64), [self.pool], len(self.pool)
+        for kind, between in ((0, 0), (1, 1), (2, 0)):
+            own = [i for i, k in enumerate(kinds) if k == kind]
+            for part in ([[i] for i in own] if kind == 2 else [own] if own else []):
+                text = (b"\n" * between).join([units[i] for i in part]).decode()
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+                size = np.fromiter((len(units[i]) for i in part), np.int64, len(part))
+                first = np.cumsum(size + between) - size - between
+                ends = np.cumsum(self.bytes[ids])
+                a, z = np.searchsorted(ends, first, "right"), np.searchsorted(ends, first + size) + 1
+                starts[part], lengths[part] = at + a, z - a
+                pools.append(ids)
+                at += len(ids)
+        self.starts, self.lengths, self.pool = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths]), np.concatenate(pools)
+
+    def _numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each unit."""
+        hashes = npwords.run_hashes(data, starts, ends)
+        place = (hashes & np.uint64(PLACES - 1)).astype(np.int64)
+        codes = self.codes[place]
+        miss = np.flatnonzero(self.keys[place] != hashes)
+        if len(miss):
+            new, at, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
+            raw, first = data.tobytes(), len(self.starts)
+            self._learn([raw[a:b] for a, b in zip(starts[miss[at]].tolist(), ends[miss[at]].tolist(), strict=True)])
+            codes[miss] = first + back
+            spot = (new & np.uint64(PLACES - 1)).astype(np.int64)
+            self.keys[spot] = new
+            # of several new units with one place, the one whose key was written last owns it
+            own = self.keys[spot] == new
+            self.codes[spot[own]] = first + np.flatnonzero(own)
+        return codes
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, with END after each text, and the number of each text's ids."""
-        if len(self.codes) > KEPT_UNITS:
+        if len(self.starts) > KEPT_UNITS:
             self._clear()
-        # the first unit of a text has no blank before it and is encoded by itself
-        cut = [t.split(" ") for t in texts]
-        heads = self.tokenizer.encode_batch_fast([c[0] for c in cut], add_special_tokens=False)
-        number = np.fromiter((len(c) - 1 for c in cut), np.int64, len(cut))
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(c[1:] for c in cut)), np.int64, int(number.sum()))
-        if self.codes.new:
-            self._learn([" " + u for u in self.codes.new])
-            self.codes.new = []
-        doc = np.repeat(np.arange(len(texts)), number)
-        odd = np.zeros(len(texts), bool)
-        odd[doc[self.lengths[codes] < 0]] = True
-        odd |= np.fromiter((len(c) > 1 and (not c[0] or c[0][-1].isspace()) for c in cut), bool, len(cut))
-        n = np.maximum(self.lengths[codes], 0)
+        data, offsets = npwords.utf8(column)
+        n_texts, size = len(offsets) - 1, np.diff(offsets)
+        full = np.flatnonzero(size)
+        odd = np.zeros(n_texts, bool)
+        odd[full] = _WHITE[data[offsets[:-1][full]]] | _WHITE[data[offsets[1:][full] - 1]]
+        odd[np.searchsorted(offsets, np.flatnonzero(_odd(data)), "right") - 1] = True
+        cut = _WHITE[data]
+        line = cut & (data != 32)
+        cut[1:] |= line[:-1] | (_STOP[data[1:]] & _LETTER[data[:-1]])
+        cut[offsets[:-1][full]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(data))[: len(starts)]
+        text = np.searchsorted(offsets, starts, "right") - 1
+        usual = ~odd[text]
+        starts, ends, text = starts[usual], ends[usual], text[usual]
+        codes = self._numbers(data, starts, ends)
+        n = self.lengths[codes]
         total = np.concatenate(([0], np.cumsum(n)))
         flat = self.pool[np.repeat(self.starts[codes] - total[:-1], n) + np.arange(int(total[-1]))]
-        at = total[np.concatenate(([0], np.cumsum(number)))]
-        whole = dict(zip(np.flatnonzero(odd).tolist(), self.tokenizer.encode_batch_fast([texts[i] for i in np.flatnonzero(odd)], add_special_tokens=False), strict=True))
+        at = total[np.searchsorted(text, np.arange(n_texts + 1))]
+        which, raw = np.flatnonzero(odd).tolist(), data.tobytes()
+        whole = dict(zip(which, self.tokenizer.encode_batch_fast([raw[offsets[i] : offsets[i + 1]].decode() for i in which], add_special_tokens=False), strict=True))
         end, parts, sizes = np.array([END], np.int32), [], []
-        for i, head in enumerate(heads):
-            own = [np.array(whole[i].ids, np.int32)] if i in whole else [np.array(head.ids, np.int32), flat[at[i] : at[i + 1]]]
-            parts += [*own, end]
-            sizes.append(sum(map(len, own)) + 1)
+        for i in range(n_texts):
+            own = np.array(whole[i].ids, np.int32) if i in whole else flat[at[i] : at[i + 1]]
+            parts += [own, end]
+            sizes.append(len(own) + 1)
         return (np.concatenate(parts) if parts else np.zeros(0, np.int32)), np.array(sizes, np.int64)
 
 
@@ -132,16 +169,10 @@ def encode(docs: DataFrame, path: str | None) -> DataFrame:
     def run(batches):
         of = encoder(path or default_path())
         for batch in batches:
-            texts, i = batch.column(1).to_pylist(), 0
-            while i < len(texts):
-                j, size = i, 0
-                while j < len(texts) and (j == i or size + len(texts[j] or "") <= CALL_CHARACTERS):
-                    size += len(texts[j] or "")
-                    j += 1
-                flat, sizes = of([x or "" for x in texts[i:j]])
+            for i, j in npwords.blocks(npwords.utf8(batch.column(1))[1], CALL_BYTES):
+                flat, sizes = of(batch.column(1).slice(i, j - i))
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
-                i = j
 
     return docs.mapInArrow(run, "doc_id long, ids array<int>")
 
