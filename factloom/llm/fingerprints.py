@@ -7,7 +7,7 @@ made, GROWTH times as large each time; should the last fail too, the digests the
 similarity that the recovered difference implies. Built from SQL functions only; cells without a piece are not stored.
 
 Defined results: a null text is empty; two empty texts have likeness 1; repeated rows have a fingerprint each, equal ids are ordered by text;
-null ids come last in descending order; of an only document the next is itself; an empty table gives an empty result. Extra columns are left out.
+null ids (and the smallest long) come last in descending order and are returned as null; of an only document the next is itself; an empty table gives an empty result. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import documents
+from factloom.llm.common import documents, written
 
 PIECE_WORDS = 24
 #: Cells of the stored fingerprint; sizes of sketches that are compared, as shares of the pieces of both texts.
@@ -123,31 +123,34 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     lowest = -(1 << 63)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("o", F.coalesce("doc_id", F.lit(lowest)))
-    n = min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("o"), F.coalesce("text", F.lit("")).alias("text"))
+    doc_id = F.when(F.col("o") != lowest, F.col("o")).alias("doc_id")  # no column of its own: all uses of the shuffled rows then share one shuffle
+    n = min(MOST_RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))  # several to a partition, so that partitions are even
     ids = rows.select("o")
     got = ids.agg(F.percentile_approx("o", [i / n for i in range(1, n)] if n > 1 else [0.5], 20 * n).alias("ends"), F.max("o").alias("last")).first()
     ends = sorted({*(got["ends"] or []), *([got["last"]] if got["last"] is not None else [])})
     if not ends:
-        return rows.select(F.lit(0).alias("range"), F.lit(1).alias("nth"), "doc_id", "text", F.col("text").alias("next"))
+        return rows.select(F.lit(0).alias("range"), F.lit(1).alias("nth"), doc_id, "text", F.col("text").alias("next"))
     at = F.array(*[F.lit(e) for e in ends])
     place = F.size(F.filter(at, lambda e: e < F.col("o")))
     is_end = F.array_contains(at, F.col("o"))
     here = lambda r, helper: F.struct(r.alias("range"), F.lit(helper).alias("helper"))
     both = F.when(is_end, F.array(here(F.col("r"), 0), here(F.pmod(F.col("r") + 1, F.lit(len(ends))), 1))).otherwise(F.array(here(F.col("r"), 0)))
-    dealt = rows.withColumn("r", place).withColumn("to", F.explode(both)).select("doc_id", "o", "text", "to.*")
+    dealt = rows.withColumn("r", place).withColumn("to", F.explode(both)).select("o", "text", "to.*")
     w = Window.partitionBy("range").orderBy("helper", F.col("o").desc(), "text")
     dealt = dealt.withColumn("next", F.lead("text").over(w)).withColumn("nth", F.row_number().over(w))
-    return dealt.where("helper = 0").select("range", "nth", "doc_id", "text", "next")
+    return dealt.where("helper = 0").select("range", "nth", doc_id, "text", "next")
 
 
 def compared(rows: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """rows (keyed by range and nth, dealt by range) with d0, d1, ...: how many digests differ between the two columns of each pair.
+    """rows (keyed by range and nth) with d0, d1, ...: how many digests differ between the two columns of each pair.
 
-    All sketches are added up, subtracted and peeled at once as rows (range, nth, pair, cell), which stay in the partition of their range: no shuffle.
+    All sketches are added up, subtracted and peeled at once as rows (range, nth, pair, cell). The one shuffle is that of the rows by (range, nth); cells stay
+    in the partition of their row from then on.
     A step peels the cells of one of the three tables, in which a digest has one cell only. Documents whose cells don't come to nothing in STEPS
     steps are left to `difference`, with larger sketches.
     """
+    rows = rows.repartition("range", "nth")
     third = lambda l, r: F.ceil((F.size(l) + F.size(r)) * FIRST_SHARE / 3).cast("int") + 3
     put = lambda i, c, n, t: F.transform(c, lambda k: F.struct(F.lit(i).alias("pair"), k.alias("key"), F.lit(n).alias("n"), t.alias("third")))
     all_ = F.concat(*[put(i, F.col(c), n, third(l, r)) for i, (l, r) in enumerate(pairs) for c, n in ((l, 1), (r, -1))])
@@ -183,6 +186,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     third = F.floor(n / 3).cast("int")
     rows = rows.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.substr("text", F.lit(1), n - third), F.substr("next", F.lit(1), third)))
     rows = rows.select("range", "nth", "doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), digests(F.col("next")).alias("x"))
+    rows = written(rows, "digests")  # texts are cut and hashed once, and their shuffle isn't needed any more
     a, e, x = F.col("a"), F.col("e"), F.col("x")
     rows = compared(rows, [("a", "e"), ("a", "x")])
     return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(a).alias("fingerprint"), fingerprint(e).alias("edited_fingerprint"), likeness(a, e, F.col("d0")).alias("near_edited"), likeness(a, x, F.col("d1")).alias("near_next"))
