@@ -6,18 +6,26 @@ import os
 import tempfile
 import uuid
 
+import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest number of 8-byte keys that is ever broadcast; above it a shuffle join is used.
 BROADCAST_KEYS = 4_000_000
+#: Rows of an Arrow batch, where the session has Spark's default of 10,000: texts are long, and batches lie beside the heap.
+BATCH_ROWS = "1000"
+
+# Python workers live on from task to task: with the system's allocator what a task freed goes back at once.
+pyarrow.set_memory_pool(pyarrow.system_memory_pool())
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
