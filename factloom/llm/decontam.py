@@ -29,8 +29,8 @@ FEATURES, RANK = 1 << 13, 64
 #: Words of a window, words from one window to the next, longest query: shorter windows for short queries.
 SCALES = ((32, 8, 24), (64, 16, 48))
 BLOCK, PASSAGE = 8, 64
-#: Features in a larger share of the documents have no weight.
-COMMON = 0.06
+#: Features in a larger share of the documents have the weight COMMON_WEIGHT only.
+COMMON, COMMON_WEIGHT = 0.06, 0.1
 LEAST_COSINE, LEAST_SHARE, LEAST_ANSWER, WHOLE_SHARE, LEAST_WORDS = 0.3, 0.6, 0.5, 0.8, 5
 _DOCUMENT, _COUNTS = 0, 1
 #: Punctuation becomes blank before words are hashed, so that it doesn't separate equal words.
@@ -136,7 +136,7 @@ def latent_axes(encoded: DataFrame) -> np.ndarray:
         n += r["doc_id"]
         counts += np.frombuffer(r["words"], np.int64)
     common = counts > COMMON * n
-    weight = np.where(common, 0, np.log((n + 1) / (counts + 1))).astype(np.float32)
+    weight = np.where(common, COMMON_WEIGHT, np.log((n + 1) / (counts + 1))).astype(np.float32)
     part = encoded.where(F.col("kind") == _DOCUMENT).select("words").mapInArrow(_range_rows(weight), "axis int, sums binary")
     # partial sums meet in two steps, so that no task reads more than a few of them
     part = part.groupBy("axis", F.pmod(F.spark_partition_id(), F.lit(16)).alias("part")).applyInPandas(lambda rows: _summed(rows), "axis int, sums binary")

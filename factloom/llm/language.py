@@ -82,16 +82,17 @@ class Parser:
         tables, self.roots, self.bits, base = [], [], [], 0
         for name in self.names:
             go = suffix_automaton(self.code[np.frombuffer(samples[name], np.uint8)].tolist())
-            table = np.full((len(go), width), -1, np.int64)
+            # one state more: no phrase is open, as at the start and after a byte that the sample lacks
+            table = np.full((len(go) + 1, width), -1, np.int64)
             for s, to in enumerate(go):
                 table[s, list(to)] = list(to.values())
-            fresh = np.where(table[0] >= 0, table[0], 0)  # the phrase ends; the byte starts the next one
+            fresh = np.where(table[0] >= 0, table[0], len(go))  # the phrase ends; the byte starts the next one
             missing = table < 0
             table = np.where(missing, fresh[None, :], table)
             tables.append(((table + base) * width * 2 + missing).astype(np.int32))
-            self.roots.append(base * width)
+            self.roots.append((base + len(go)) * width)
             self.bits.append(np.log2(max(2, len(samples[name]))))
-            base += len(go)
+            base += len(go) + 1
         self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.bits = np.array(self.bits)
 
@@ -110,12 +111,12 @@ class Parser:
             grid[inside] = codes[(starts[own][None, :] + np.arange(int(size[0]))[:, None])[inside]]
             active = np.searchsorted(-size, -np.arange(int(size[0])), "left")
             for lang in range(k):
-                state, count = np.full(len(own), self.roots[lang], np.int32), np.ones(len(own), np.int32)
+                state, count = np.full(len(own), self.roots[lang], np.int32), np.zeros(len(own), np.int32)
                 for step, m in enumerate(active.tolist()):
                     got = self.table.take(state[:m] + grid[step, :m])
                     count[:m] += got & 1
                     np.right_shift(got, 1, out=state[:m])
-                out[own, lang] = np.where(size > 0, count, 0)
+                out[own, lang] = count
         return out
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:

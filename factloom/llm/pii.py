@@ -60,7 +60,7 @@ def _passes(kind: str, m: Column) -> Column:
         turned = F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))
         value = lambda c: F.when(c < 58, c - 48).otherwise(c - 55)
         step = lambda a, c: F.when(c < 58, (a * 10 + value(c)) % 97).otherwise((a * 100 + value(c)) % 97)
-        return F.length(plain).between(15, 34) & (F.aggregate(F.split(turned, "(?!^)"), F.lit(0), lambda a, c: step(a, F.ascii(c))) == 1)
+        return F.length(plain).between(15, 34) & (F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), lambda a, c: step(a, F.ascii(c))) == 1)
     return F.lit(True)
 
 
