@@ -28,9 +28,9 @@ SQL: dict[str, str] = {
         WITH p AS (
           SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
         ), b AS (
-          SELECT *, list_aggregate(list_transform(range(0, 40), i -> lpad(CAST(CAST(bin(CAST(concat('0x', substr(h, CAST(i + 1 AS INTEGER), 1)) AS INTEGER)) AS VARCHAR) AS VARCHAR), 4, '0')), 'string_agg', '') AS bits FROM p
+          SELECT *, list_aggregate(list_transform(range(0, 40), lambda i: lpad(CAST(CAST(bin(CAST(concat('0x', substr(h, CAST(i + 1 AS INTEGER), 1)) AS INTEGER)) AS VARCHAR) AS VARCHAR), 4, '0')), 'string_agg', '') AS bits FROM p
         ), d AS (
-          SELECT page_id, html, list_aggregate(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
+          SELECT page_id, html, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 +
             16 * CAST(substr(bits, CAST(5 * i + 1 AS INTEGER), 1) AS INTEGER) + 8 * CAST(substr(bits, CAST(5 * i + 2 AS INTEGER), 1) AS INTEGER) +
             4 * CAST(substr(bits, CAST(5 * i + 3 AS INTEGER), 1) AS INTEGER) + 2 * CAST(substr(bits, CAST(5 * i + 4 AS INTEGER), 1) AS INTEGER) +
             CAST(substr(bits, CAST(5 * i + 5 AS INTEGER), 1) AS INTEGER) AS INTEGER), 1)), 'string_agg', '') AS digest FROM b
