@@ -207,6 +207,7 @@ class Items:
         for (size, stride, _), queries, item_of, bits, need in zip(SCALES, self.queries, self.item_of, self.bits, self.need, strict=True):
             if not len(queries):
                 continue
+            window_words, flat_bits = np.lib.stride_tricks.sliding_window_view(padded, size), bits.ravel()
             windows = sums.copy()
             for k in range(1, size // BLOCK):
                 windows[:-k] += sums[k:] * (text[k:] == text[:-k])[:, None]
@@ -218,11 +219,16 @@ class Items:
                 cosine = windows @ queries[q0 : q0 + 256].T
                 hit = np.flatnonzero(cosine >= LEAST_COSINE)
                 width = cosine.shape[1]
-                for k in range(0, len(hit), 1 << 15):
-                    flat = hit[k : k + (1 << 15)]
-                    w, q = flat // width, q0 + flat % width
-                    seen = self.one[bits[q[:, None], padded[first[w][:, None] + np.arange(size)[None, :]]]]
-                    ok = np.bitwise_count(np.bitwise_or.reduce(seen, axis=1)) >= need[q]
+                for k in range(0, len(hit), 1 << 14):
+                    flat = hit[k : k + (1 << 14)]
+                    w, q = np.divmod(flat, width)
+                    q += q0
+                    at_bits = window_words[first[w]].T.astype(np.int32)  # a row for each place in the window
+                    at_bits += (q << 16).astype(np.int32)
+                    seen = np.zeros(len(flat), np.uint64)
+                    for row in at_bits:
+                        seen |= self.one.take(flat_bits.take(row))
+                    ok = np.bitwise_count(seen) >= need[q]
                     yield of[w[ok]], item_of[q[ok]], first[w[ok]], cosine.ravel()[flat[ok]]
 
     def matches(self, words: np.ndarray, at: np.ndarray):
