@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -17,6 +18,13 @@ BATCH_ROWS = "1000"
 
 # Python workers live on from task to task: with the system's allocator what a task freed goes back at once.
 pyarrow.set_memory_pool(pyarrow.system_memory_pool())
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system, also that of earlier tasks of this process, where the C library can do so."""
+    if _trim is not None:
+        _trim(0)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

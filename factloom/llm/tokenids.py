@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, new_path, written
+from factloom.llm.common import documents, give_back, new_path, written
 
 END = 0
 #: Bytes encoded in one call, units whose ids a process keeps, places of its table: bounds of its memory.
-CALL_BYTES, KEPT_UNITS, PLACES = 1_000_000, 600_000, 1 << 22
+CALL_BYTES, KEPT_UNITS, PLACES = 500_000, 600_000, 1 << 22
 _tokenizers: dict[str, object] = {}
 
 
@@ -173,6 +173,8 @@ def encode(docs: DataFrame, path: str | None) -> DataFrame:
                 flat, sizes = of(batch.column(1).slice(i, j - i))
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "ids"])
+                del flat
+                give_back()
 
     return docs.mapInArrow(run, "doc_id long, ids array<int>")
 
