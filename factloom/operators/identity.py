@@ -5,7 +5,7 @@ Links are equi-joins on a block key (a date, a number, a place) with a residual
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Letters that names are written with in two ways.
@@ -138,3 +138,23 @@ def components(edges: DataFrame, a: str, b: str, rounds: int = 64) -> DataFrame:
         new = new.join(old.select(F.col("id").alias("component"), F.col("component").alias("up")), "component", "left").withColumn("component", F.coalesce("up", "component"))
         labels = written(new.select("id", "component", (F.col("component") != F.col("was")).alias("moved")), "labels")
     return labels.drop("moved")
+
+
+def match_any(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key_sets: list[list[str]]) -> DataFrame:
+    """Distinct pairs that agree on all columns of any key set: one equi-join for each set, instead of a join on OR. Null keys match nothing."""
+    found = None
+    for keys in key_sets:
+        part = left.select(left_id, *keys).join(right.select(right_id, *keys), keys).select(left_id, right_id)
+        found = part if found is None else found.unionByName(part)
+    return found.distinct()
+
+
+def pair_once(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
+    """keys, left id, right id: the n-th row of a key on one side goes with the n-th on the other, each is used once, and what is left over has a null partner."""
+    nth = lambda df, c: df.select(*keys, c, F.row_number().over(Window.partitionBy(*keys).orderBy(c)).alias("__n"))
+    return nth(left, left_id).join(nth(right, right_id), [*keys, "__n"], "full_outer").select(*keys, left_id, right_id)
+
+
+def lacking(entities: DataFrame, evidence: DataFrame, keys: list[str], positive: Column) -> DataFrame:
+    """Entities without any positive evidence."""
+    return entities.join(evidence.where(positive).select(*keys).distinct(), keys, "left_anti")

@@ -101,3 +101,20 @@ def promote(entries: DataFrame, requests: DataFrame, active: DataFrame, module:
     ok = F.col("__now").eqNullSafe(F.col("expected_version")) & F.coalesce("__there", F.lit(False))
     moved = rows.where(ok).groupBy(module).agg(F.min(version).alias("__new"), F.count(F.lit(1)).alias("__n")).where("__n = 1")
     return active.join(moved, module, "full_outer").select(module, F.coalesce("__new", version).alias(version))
+
+
+def with_candidates(members: DataFrame, candidates: DataFrame, family: str, member: str, day: str) -> DataFrame:
+    """family, first_day, members (sorted, comma-joined), n, candidate: candidates count only in families that have no member of their own."""
+    cols = [family, member, day]
+    extra = candidates.select(*cols).join(members.select(family).distinct(), family, "left_anti").withColumn("candidate", F.lit(True))
+    rows = members.select(*cols).withColumn("candidate", F.lit(False)).unionByName(extra)
+    ids = F.array_join(F.transform(F.array_sort(F.collect_set(member)), lambda x: x.cast("string")), ",")
+    return rows.groupBy(family).agg(F.min(F.to_date(day)).alias("first_day"), ids.alias("members"), F.count(F.lit(1)).alias("n"), F.bool_or("candidate").alias("candidate"))
+
+
+def patch_conflicts(current: DataFrame, patch: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """key, column, state of every column that a patch states: fills (nothing there), same, or conflict. A patch's nulls state nothing."""
+    rows = current.select(key, *columns).join(patch.select(key, *[F.col(c).alias(f"__{c}") for c in columns]), key)
+    state = lambda c: F.when(F.col(f"__{c}").isNull(), None).when(F.col(c).isNull(), "fills").when(F.col(c) == F.col(f"__{c}"), "same").otherwise("conflict")
+    states = F.filter(F.array(*[F.struct(F.lit(c).alias("column"), state(c).alias("state")) for c in columns]), lambda s: s["state"].isNotNull())
+    return rows.select(key, F.explode(states).alias("s")).select(key, "s.*")

@@ -164,3 +164,14 @@ def baseline_table(df: DataFrame, group: str, numeric: list[str], flags: list[st
     known = F.count("x") + F.count("b")
     q = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return long.groupBy("variable", "group").agg(known.alias("n"), (F.count(F.lit(1)) - known).alias("n_missing"), *[F.round(q[i], 4).alias(c) for i, c in enumerate(("q1", "median", "q3"))], F.when(F.count("b") > 0, F.count_if("b")).alias("k"), F.when(F.count("b") > 0, F.round(F.count_if("b") * 100.0 / F.count("b"), 4)).alias("pct"))
+
+
+def worst_unless_unresolved(category: str, ranks: dict[str, int], unresolved: Column, dominating: str, otherwise: str = "INDETERMINATE") -> Column:
+    """Aggregate: the category of the highest rank; `otherwise` if any row is unresolved, unless the dominating category is there. Unknown categories don't count."""
+    open_ = F.bool_or(F.coalesce(unresolved, F.lit(False))) & ~F.coalesce(F.bool_or(F.col(category) == dominating), F.lit(False))
+    return F.when(open_, otherwise).otherwise(strongest(category, ranks))
+
+
+def first_k(df: DataFrame, group: str, k: int, order: list[Column]) -> DataFrame:
+    """The first k rows of each group with their rank; the limit is taken in each map task before the shuffle."""
+    return df.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k)

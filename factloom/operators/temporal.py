@@ -117,3 +117,15 @@ def compatible_dates(a: str, b: str) -> Column:
     """Whether two partial dates (columns <a>_year, <a>_month, <a>_day, ...) can be one date; an unknown part agrees with all."""
     same = lambda part: F.coalesce(F.col(f"{a}_{part}") == F.col(f"{b}_{part}"), F.lit(True))
     return same("year") & same("month") & same("day")
+
+
+def first_day(df: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
+    """Per key the earliest known day, the value its rows agree on (else null), and their number. Two aggregations, no join back."""
+    days = df.where(F.col(time).isNotNull()).groupBy(*keys, F.to_date(time).alias("first_date")).agg(F.min(value).alias("l"), F.max(value).alias("h"), F.count(F.lit(1)).alias("n"))
+    first = days.groupBy(*keys).agg(F.min_by(F.struct("first_date", "l", "h", "n"), "first_date").alias("d"))
+    return first.select(*keys, "d.first_date", F.when(F.col("d.l") == F.col("d.h"), F.col("d.l")).alias("value"), F.col("d.n").alias("n"))
+
+
+def dated_identities(df: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """keys, n_identities, dated: distinct days are identities and take in what is undated; without any day there is one undated identity."""
+    return df.groupBy(*keys).agg(F.greatest(F.count_distinct(day), F.lit(1)).alias("n_identities"), (F.count(day) > 0).alias("dated"))

@@ -173,3 +173,34 @@ def locate_quote(quote: Column, text: Column) -> Column:
     again = F.locate(normalized(quote), normalized(text), at + 1) if isinstance(quote, str) else F.call_function("locate", normalized(quote), normalized(text), at + 1)
     size = F.length(normalized(quote))
     return F.when((at > 0) & (again == 0) & (size > 0), F.struct((at - 1).alias("start"), (at - 1 + size).alias("end")))
+
+
+def longest_alias(name: Column, aliases: list[tuple[str, str]]) -> Column:
+    """Code of the longest alias that begins a name as whole words; AMBIGUOUS if aliases of that length differ in code, null without any."""
+    t = normalized(name)
+    hits = F.array_compact(F.array(*[F.when((t == a.lower()) | F.startswith(t, F.lit(a.lower() + " ")), F.struct(F.lit(len(a)).alias("n"), F.lit(code).alias("code"))) for a, code in aliases]))
+    top = F.array_max(F.transform(hits, lambda h: h["n"]))
+    codes = F.array_distinct(F.transform(F.filter(hits, lambda h: h["n"] == top), lambda h: h["code"]))
+    return F.when(F.size(codes) == 1, F.get(codes, F.lit(0))).when(F.size(codes) > 1, "AMBIGUOUS")
+
+
+def dosage(text: Column) -> Column:
+    """struct(strength, unit, schedule, as_needed) of a product line such as `12,5 mg 1-0-1 if needed`; parts not found are null."""
+    number = r"([0-9]+(?:[.,][0-9]+)?) ?(mg|g|ml|%)"
+    part = lambda p, g: F.nullif(F.regexp_extract(text, p, g), F.lit(""))
+    return F.struct(F.replace(part(number, 1), F.lit(","), F.lit(".")).try_cast("double").alias("strength"), part(number, 2).alias("unit"), part(r"([0-9](?:-[0-9]){2,3})", 1).alias("schedule"), text.rlike("if needed|bei Bedarf").alias("as_needed"))
+
+
+def nearest(x: Column, centers: list[tuple[str, float]], margin: float) -> Column:
+    """struct(label, ambiguous): the label of the nearest center (the first of equals), and whether the second nearest is less than `margin` farther."""
+    ranked = F.array_sort(F.array(*[F.struct(F.abs(x - c).alias("d"), F.lit(i).alias("i"), F.lit(label).alias("label")) for i, (label, c) in enumerate(centers)]))
+    return F.when(x.isNotNull(), F.struct(ranked[0]["label"].alias("label"), (ranked[1]["d"] - ranked[0]["d"] < margin).alias("ambiguous")))
+
+
+def bind_items(items: DataFrame, units: DataFrame, keys: list[str], item_id: str, item: str, unit_id: str, unit: str) -> DataFrame:
+    """item_id, the only unit of its section whose text holds the item's or is held by it, and state MAPPED, AMBIGUOUS or UNMAPPED; every item has a row."""
+    pairs = items.select(*keys, item_id, normalized(F.col(item)).alias("__i")).join(units.select(*keys, unit_id, normalized(F.col(unit)).alias("__u")), keys)
+    pairs = pairs.where((F.length("__i") > 0) & (F.length("__u") > 0) & (F.contains("__i", "__u") | F.contains("__u", "__i")))
+    found = pairs.groupBy(item_id).agg(F.count_distinct(unit_id).alias("__n"), F.min(unit_id).alias("__one"))
+    state = F.when(F.col("__n") == 1, "MAPPED").when(F.col("__n") > 1, "AMBIGUOUS").otherwise("UNMAPPED")
+    return items.select(item_id).join(found, item_id, "left").select(item_id, F.when(F.col("__n") == 1, F.col("__one")).alias(unit_id), state.alias("state"))
