@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _agree(a: tuple, b: tuple) -> bool:
@@ -65,3 +66,36 @@ def without_overlaps(spans: DataFrame, key: list[str], start: str, end: str) ->
         return rows[keep]
 
     return spans.groupBy(*key).applyInPandas(run, spans.schema)
+
+
+def replay(items: DataFrame, events: DataFrame, artifact: str) -> DataFrame:
+    """Items of an artifact after its review events in order: artifact, key, value, state.
+
+    items has key and value; events have at, action, key, new_key and value. ACCEPT, REJECT and UNCERTAIN set the state, EDIT the value too, SPLIT adds new_key
+    with the event's value (else the old one), MERGE takes key away in favour of new_key. Events on keys that aren't there, SPLITs onto keys that are and
+    MERGEs into keys that aren't change nothing; events of one time follow action and key. Each step depends on the one before, so one artifact's rows are one task's.
+    """
+    kind = dict(items.dtypes)[artifact]
+    left = items.select(artifact, F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    right = events.select(artifact, "at", "action", F.col("key").cast("string").alias("key"), F.col("new_key").cast("string").alias("new_key"), F.col("value").cast("string").alias("value"))
+    states = {"ACCEPT": "ACCEPTED", "REJECT": "REJECTED", "UNCERTAIN": "UNCERTAIN"}
+
+    def run(own, log):
+        known = lambda x: None if pd.isna(x) else x
+        now = {k: (known(v), "OPEN") for k, v in zip(own["key"], own["value"], strict=True)}
+        for e in log.sort_values(["at", "action", "key"], kind="stable").itertuples(index=False):
+            if e.key not in now:
+                continue
+            value, new = known(e.value), known(e.new_key)
+            if e.action in states:
+                now[e.key] = now[e.key][0], states[e.action]
+            elif e.action == "EDIT":
+                now[e.key] = value, "EDITED"
+            elif e.action == "SPLIT" and new is not None and new not in now:
+                now[new] = now[e.key][0] if value is None else value, "OPEN"
+            elif e.action == "MERGE" and new in now and new != e.key:
+                del now[e.key]
+        names = [artifact, "key", "value", "state"]
+        return pd.DataFrame([(own[artifact].iloc[0], k, v, s) for k, (v, s) in now.items()] if len(own) else [], columns=names)
+
+    return left.groupBy(artifact).cogroup(right.groupBy(artifact)).applyInPandas(run, f"{artifact} {kind}, key string, value string, state string")

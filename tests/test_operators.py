@@ -232,3 +232,21 @@ def test_noise_is_kept_apart(spark):
     docs = frame(spark, [(i, f"same\nown {i}\nsame") for i in range(3)], "i int, t string")
     kept, gone = text.without_noise(docs, "i", "t", text.noise_lines(docs, "i", "t", 3))
     assert kept.count() == 3 and gone.count() == 6
+
+
+def test_replay(spark):
+    items = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (2, "a", "y"), (3, "a", "z")], "art long, key string, value string")
+    log = [(1, 1, "EDIT", "a", None, "x2"), (1, 2, "SPLIT", "a", "c", None), (1, 3, "MERGE", "b", "a", None), (1, 4, "ACCEPT", "c", None, None), (1, 5, "ACCEPT", "b", None, None), (2, 1, "MERGE", "a", "gone", None), (2, 2, "REJECT", "a", None, None), (9, 1, "ACCEPT", "a", None, None)]
+    events = spark.createDataFrame(log, "art long, at int, action string, key string, new_key string, value string")
+    got = {tuple(r) for r in clusters.replay(items, events, "art").collect()}
+    assert got == {(1, "a", "x2", "EDITED"), (1, "c", "x2", "ACCEPTED"), (2, "a", "y", "REJECTED"), (3, "a", "z", "OPEN")}
+    assert clusters.replay(items.where("false"), events, "art").count() == 0
+
+
+def test_new_text_operators(spark):
+    rows = spark.createDataFrame([("Acid plus", 5.0), ("acidic", None), (None, 30.0)], "s string, x double")
+    aliases = [("acid", "A"), ("acid plus", "AP")]
+    got = rows.select(text.longest_alias(F.col("s"), aliases).alias("c"), text.nearest(F.col("x"), [("l", 0.0), ("r", 10.0)], 1.0).alias("n"), text.dosage(F.col("s")).alias("d")).collect()
+    assert [r["c"] for r in got] == ["AP", None, None]
+    assert [r["n"] and tuple(r["n"]) for r in got] == [("l", True), None, ("r", False)]
+    assert got[0]["d"]["strength"] is None and got[0]["d"]["as_needed"] is False
