@@ -174,3 +174,32 @@ def new_flags(found: DataFrame, stored: DataFrame, key: str, state: str, flags:
     """key, flag `computed!=stored` to append where both states are known and differ and no flag of that key and text is there; contents are never edited."""
     rows = found.select(key, F.col(state).alias("__f")).join(stored.select(key, F.col(state).alias("__s")), key).where(F.col("__f") != F.col("__s"))
     return rows.select(key, F.concat_ws("!=", "__f", "__s").alias("flag")).distinct().join(flags.select(key, "flag"), [key, "flag"], "left_anti")
+
+
+def nested(df: DataFrame, key: str, order: list[str], fields: list[str], name: str) -> DataFrame:
+    """key and an array of its rows as structs, in order; for keys whose rows fit one value, such as the pages of a document."""
+    return df.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, *[c for c in fields if c not in order]))), lambda r: F.struct(*[r[c].alias(c) for c in fields])).alias(name))
+
+
+def unnested(df: DataFrame, key: str, name: str) -> DataFrame:
+    """key, place (from 0) and the fields of each struct of a nested array; empty arrays give no rows."""
+    return df.select(key, F.posexplode(name).alias("place", "__r")).select(key, "place", "__r.*")
+
+
+def pattern_of(values: Column, rules: list[tuple[str, list[str]]], default: str) -> Column:
+    """The first pattern all of whose values are in a set."""
+    out = F.lit(default)
+    for name, needed in reversed(rules):
+        out = F.when(F.size(F.array_intersect(values, F.array(*[F.lit(v) for v in needed]))) == len(needed), name).otherwise(out)
+    return out
+
+
+def queues(df: DataFrame, module: list[str], done: Column, review: Column) -> DataFrame:
+    """module, n, n_done, n_review, n_queue (neither done nor in review; unknown predicates don't hold)."""
+    d, r = F.coalesce(done, F.lit(False)), F.coalesce(review, F.lit(False))
+    return df.groupBy(*module).agg(F.count(F.lit(1)).alias("n"), F.count_if(d).alias("n_done"), F.count_if(r).alias("n_review"), F.count_if(~d & ~r).alias("n_queue"))
+
+
+def representative(df: DataFrame, keys: list[str], source: str, rank: str) -> DataFrame:
+    """keys, the source of the highest rank (of equals the largest source), its rank, and how many sources there are."""
+    return df.groupBy(*keys).agg(F.max_by(source, F.struct(rank, source)).alias(source), F.max(rank).alias(rank), F.count_distinct(source).alias("n_sources"))

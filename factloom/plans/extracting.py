@@ -158,3 +158,27 @@ def flags_to_append(t: Tables) -> DataFrame:
     found = stored.withColumn("state", F.lit("O"))
     there = t.orders.where("o_orderkey % 4 = 0").select("o_orderkey", F.concat(F.lit("O!="), "o_orderstatus").alias("flag"))
     return extract.new_flags(found, stored, "o_orderkey", "state", there)
+
+
+@query("""SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS INTEGER) AS place, turn, role FROM conversations""")
+def nested_rows(t: Tables) -> DataFrame:
+    return extract.unnested(extract.nested(t.conversations, "conv_id", ["turn", "role"], ["turn", "role"], "turns"), "conv_id", "turns")
+
+
+@query("""WITH s AS (SELECT o_custkey, bool_or(o_orderstatus = 'F') AS f, bool_or(o_orderstatus = 'O') AS o, bool_or(o_orderstatus = 'P') AS p FROM orders WHERE o_totalprice > 300000 GROUP BY o_custkey)
+  SELECT o_custkey, CASE WHEN f AND o THEN 'mixed' WHEN f THEN 'final' WHEN o THEN 'open' ELSE 'pending' END AS pattern FROM s""")
+def pattern_of_findings(t: Tables) -> DataFrame:
+    per = t.orders.where("o_totalprice > 300000").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("s"))
+    return per.select("o_custkey", extract.pattern_of(F.col("s"), [("mixed", ["F", "O"]), ("final", ["F"]), ("open", ["O"])], "pending").alias("pattern"))
+
+
+@query("""SELECT o_custkey, o_orderpriority, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS n_done, count(*) FILTER (WHERE o_orderstatus = 'P') AS n_review, count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'P')) AS n_queue FROM orders GROUP BY ALL""")
+def module_queues(t: Tables) -> DataFrame:
+    return extract.queues(t.orders, ["o_custkey", "o_orderpriority"], F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P")
+
+
+@query("""WITH r AS (SELECT s_nationkey, s_name, CAST(floor(s_acctbal / 2000) AS BIGINT) AS rank FROM supplier), m AS (SELECT s_nationkey, max(rank) AS rank, count(DISTINCT s_name) AS n_sources FROM r GROUP BY s_nationkey)
+  SELECT m.s_nationkey, max(r.s_name) AS s_name, m.rank, m.n_sources FROM m JOIN r ON m.s_nationkey = r.s_nationkey AND m.rank = r.rank GROUP BY m.s_nationkey, m.rank, m.n_sources""")
+def representative_source(t: Tables) -> DataFrame:
+    rows = t.supplier.select("s_nationkey", "s_name", F.floor(F.col("s_acctbal") / 2000).alias("rank"))
+    return extract.representative(rows, ["s_nationkey"], "s_name", "rank")

@@ -74,3 +74,15 @@ def test_ranks_rules_and_taxonomy(spark):
     assert {(r["l"], r["level"], r["node"]) for r in tree} == {("p", 0, "top"), ("p", 1, "low"), ("q", None, None), (None, None, None)}
     rules = [("OUT", "big", F.col("r") > 1), ("IN", "x", F.col("v") == "x")]
     assert {tuple(r[0]) for r in df.where("k = 'c'").select(extract.decide_with_reason(rules, ("?", "none"))).collect()} == {("?", "none"), ("OUT", "big")}
+
+
+def test_nested_patterns_queues_and_sources(spark):
+    df = frame(spark, [("a", 2, "y"), ("a", 1, "x"), ("a", 1, None), ("b", 1, "x")], "k string, n int, v string")
+    again = extract.unnested(extract.nested(df, "k", ["n"], ["n", "v"], "rows"), "k", "rows")
+    assert [(r["k"], r["place"], r["n"], r["v"]) for r in again.orderBy("k", "place").collect()] == [("a", 0, 1, None), ("a", 1, 1, "x"), ("a", 2, 2, "y"), ("b", 0, 1, "x")]
+    assert extract.unnested(extract.nested(df.where("false"), "k", ["n"], ["v"], "rows"), "k", "rows").count() == 0
+    sets = frame(spark, [(["x", "y"],), (["y"],), ([],), (None,)], "s array<string>")
+    assert [r[0] for r in sets.select(extract.pattern_of(F.col("s"), [("both", ["x", "y"]), ("one", ["y"])], "none")).collect()] == ["both", "one", "none", "none"]
+    got = {r["k"]: tuple(r)[1:] for r in extract.queues(df, ["k"], F.col("v") == "x", F.col("v") == "y").collect()}
+    assert got == {"a": (3, 1, 1, 1), "b": (1, 1, 0, 0)}
+    assert {tuple(r) for r in extract.representative(df, ["k"], "v", "n").collect()} == {("a", "y", 2, 2), ("b", "x", 1, 1)}
