@@ -5,6 +5,7 @@
    B = A' Y is summed over all passages of all texts (randomised SVD with one power step): its left singular vectors are the latent axes.
 3. Benchmark items are projected as queries. Windows of every text, in two sizes (SCALES) for shorter and longer queries, are projected too, and those
    whose cosine with a query reaches LEAST_COSINE are candidates (no limit to their number).
+   A cosine is diluted by the words around a short or common passage, so every window whose words allow a long enough subsequence is one too (Bound).
 4. A candidate's stretch of text is compared with the item: its distinct words in common bound the longest common subsequence, which is then computed; the
    item's answer (its last sentence) must be found in it as well, unless nearly the whole item is. Paraphrases that keep most words in order are caught so.
 
@@ -28,6 +29,8 @@ from factloom.llm.common import documents, table, written
 FEATURES, RANK = 1 << 13, 64
 #: Words of a window, words from one window to the next, longest query: shorter windows for short queries.
 SCALES = ((32, 8, 24), (64, 16, 48))
+#: Items that are looked for together where the cosine doesn't count.
+GROUP = 32
 BLOCK, PASSAGE = 8, 64
 #: Features in a larger share of the documents have the weight COMMON_WEIGHT only.
 COMMON, COMMON_WEIGHT = 0.06, 0.1
@@ -152,6 +155,78 @@ def axes_of(b: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([axes, np.zeros((1, axes.shape[1]))]).astype(np.float32)
 
 
+class Bound:
+    """Places where a few items of about one length may stand, with none left out.
+
+    A part of 1.5 times an item's length (see Items.best) that passes lies in one of the windows looked at here, a run of blocks. The distinct words
+    that window and item share, with the item's repeats, bound their longest common subsequence; where that is enough, the subsequence itself is computed.
+    """
+
+    def __init__(self, words: list[np.ndarray]):
+        n = np.array([len(w) for w in words])
+        self.step = 1 + (int(n.min()) >= 32)
+        self.size = -(-(int(n.max()) * 3 // 2 + 2 + BLOCK * self.step - 1) // BLOCK)
+        vocabulary = np.unique(np.concatenate(words))
+        self.id = np.full(1 << 16, len(vocabulary), np.int32)
+        self.id[vocabulary] = np.arange(len(vocabulary))
+        self.limbs = -(-n // 64)
+        self.first = np.cumsum(self.limbs) - self.limbs
+        self.shared = np.zeros((len(vocabulary) + 1, self.limbs.sum()), np.uint64)
+        self.places = np.zeros((self.limbs.sum(), len(vocabulary) + 1), np.uint64)
+        for own, at in zip(words, self.first.tolist(), strict=True):
+            for k, w in enumerate(np.unique(own).tolist()):
+                self.shared[self.id[w], at + k // 64] |= np.uint64(1 << k % 64)
+            for k, w in enumerate(own.tolist()):
+                self.places[at + k // 64, self.id[w]] |= np.uint64(1 << k % 64)
+        self.least = np.ceil(LEAST_SHARE * n - 1e-9).astype(np.int64)
+        self.need = self.least - (n - np.array([len(np.unique(w)) for w in words]))
+
+    def windows(self, words: np.ndarray, beyond: np.ndarray):
+        """Arrays of start block and item of the windows whose longest common subsequence with the item is long enough; words: rows of BLOCK each."""
+        ids = self.id[words]
+        ids[beyond] = len(self.shared) - 1
+        seen = self.shared.take(ids[:, 0], axis=0)
+        for k in range(1, BLOCK):
+            seen |= self.shared.take(ids[:, k], axis=0)
+        have = 1
+        while have < self.size:  # words of `have` blocks from each block on, then of more
+            more = min(have, self.size - have)
+            if len(seen) > more:
+                seen[:-more] |= seen[more:].copy()
+            have += more
+        count = np.bitwise_count(seen[:: self.step])
+        if len(self.limbs) < count.shape[1]:
+            count = np.add.reduceat(count, self.first, axis=1, dtype=np.int64)
+        start, item = np.nonzero(count >= self.need)
+        start *= self.step
+        flat = np.append(ids.ravel(), np.full(self.size * BLOCK, len(self.shared) - 1, np.int32))
+        for limbs in np.unique(self.limbs[item]).tolist():
+            those = np.flatnonzero(self.limbs[item] == limbs)
+            for i in range(0, len(those), 1 << 13):
+                a, b = start[those[i : i + (1 << 13)]], item[those[i : i + (1 << 13)]]
+                ok = self.common(flat, a * BLOCK, b, limbs) >= self.least[b]
+                yield a[ok], b[ok]
+
+    def common(self, ids: np.ndarray, start: np.ndarray, item: np.ndarray, limbs: int) -> np.ndarray:
+        """Length of the longest common subsequence of each window and item, a row of bits for all at once."""
+        width = self.places.shape[1]
+        rows, places = [(self.first[item] + k) * width for k in range(limbs)], self.places.ravel()
+        v = [np.full(len(start), ~np.uint64(0)) for _ in range(limbs)]
+        for k in range(self.size * BLOCK):
+            word = ids.take(start + k)
+            carry = None
+            for j in range(limbs):
+                u = v[j] & places.take(rows[j] + word)
+                total = v[j] + u
+                over = total < u if limbs > 1 else None
+                if carry is not None:
+                    total += carry
+                    over |= total < carry
+                v[j] = total | (v[j] ^ u)
+                carry = over.astype(np.uint64) if limbs > 1 else None
+        return sum(np.bitwise_count(~x).astype(np.int64) for x in v)
+
+
 class Items:
     """Benchmark items: words, queries in latent space, answers, and masks for the longest common subsequence."""
 
@@ -187,6 +262,8 @@ class Items:
         self.item_of = [np.array([x[1] for x in own], np.int64) for own in queries]
         self.bits = [np.array([x[2] for x in own], np.uint8).reshape(-1, 1 << 16) for own in queries]
         self.need = [np.array([x[3] for x in own]) for own in queries]
+        order = np.argsort([len(w) for w in self.words], kind="stable")
+        self.bounds = [(order[k : k + GROUP], Bound([self.words[i] for i in order[k : k + GROUP]])) for k in range(0, len(order), GROUP)]
         self.one = np.append(np.uint64(1) << np.arange(64, dtype=np.uint64), np.uint64(0))
 
     def lcs(self, item: int, words: np.ndarray) -> int:
@@ -231,11 +308,28 @@ class Items:
                     ok = np.bitwise_count(seen) >= need[q]
                     yield of[w[ok]], item_of[q[ok]], first[w[ok]], cosine.ravel()[flat[ok]]
 
+    def exact(self, words: np.ndarray, at: np.ndarray):
+        """Like candidates, whatever the cosine: every window whose longest common subsequence with an item is long enough."""
+        starts, text = _pieces(at, BLOCK)
+        if not len(starts):
+            return
+        places = starts[:, None] + np.arange(BLOCK)
+        beyond = places >= at[text + 1][:, None]  # a text's last row is filled up
+        rows = words.take(np.minimum(places, len(words) - 1))
+        for items, bound in self.bounds:
+            for a, b in bound.windows(rows, beyond):
+                value = np.array([self.cosine(int(items[j]), words[starts[i] : min(starts[i] + bound.size * BLOCK, at[text[i] + 1])]) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+                yield text[a], items[b], starts[a], value
+
+    def cosine(self, item: int, words: np.ndarray) -> float:
+        q, w = self.axes[features(self.words[item])].sum(0), self.axes[features(words)].sum(0)
+        return float(q @ w / max(float(np.linalg.norm(q) * np.linalg.norm(w)), 1e-9))
+
     def matches(self, words: np.ndarray, at: np.ndarray):
         """(text, item, cosine, common, start, end) for texts of a block."""
         if not len(words) or not self.ids:
             return
-        got = [x for x in self.candidates(words, at) if len(x[0])]
+        got = [x for x in (*self.candidates(words, at), *self.exact(words, at)) if len(x[0])]
         if not got:
             return
         text, item, start, value = (np.concatenate(x) for x in zip(*got, strict=True))
@@ -245,7 +339,8 @@ class Items:
         for a, z in zip(new.tolist(), [*new[1:].tolist(), len(text)], strict=True):
             own, t = int(item[a]), int(text[a])
             n = len(self.words[own])
-            first, last = max(int(at[t]), int(start[a]) - n), min(int(at[t + 1]), int(start[z - 1]) + PASSAGE + n)
+            # the last window may begin before its part, and the part is 1.5 times as long as the item
+            first, last = max(int(at[t]), int(start[a]) - n), min(int(at[t + 1]), int(start[z - 1]) + PASSAGE + 2 * n)
             found = self.best(own, words[first:last])
             if found:
                 yield t, own, float(value[a:z].max()), found[0], first - int(at[t]) + found[1], first - int(at[t]) + found[2]
@@ -254,11 +349,14 @@ class Items:
         """Common subsequence, start and end of the part of 1.5 times the item's length that has the longest one and passes, or None."""
         n, out = len(self.words[item]), None
         size = n + n // 2 + 2
-        for i in range(0, max(1, len(stretch) - size + 1 + n // 4), max(1, n // 4)):
-            part = stretch[i : i + size]
-            common = self.lcs(item, part)
-            if common >= LEAST_SHARE * n and (out is None or common > out[0]) and (common >= WHOLE_SHARE * n or np.isin(self.answers[item], part).mean() >= LEAST_ANSWER):
-                out = common, i, i + len(part)
+        for step in dict.fromkeys((max(1, n // 4), 1)):  # every place, where none of the wider steps passes
+            for i in range(0, max(1, len(stretch) - size + 1 + n // 4), step):
+                part = stretch[i : i + size]
+                common = self.lcs(item, part)
+                if common >= LEAST_SHARE * n and (out is None or common > out[0]) and (common >= WHOLE_SHARE * n or np.isin(self.answers[item], part).mean() >= LEAST_ANSWER):
+                    out = common, i, i + len(part)
+            if out:
+                return out
         return out
 
 

@@ -353,6 +353,42 @@ def test_decontamination_finds_passages_and_paraphrases(spark):
     assert decontam.contaminated(documents(spark, rows).where("false"), frame(spark, items, "item_id long, text string")).count() == 0
 
 
+def brute_matches(items, rows):
+    """(doc_id, item_id) of the pairs of which some part of the document, at any place, passes."""
+    out = set()
+    for i, t in rows:
+        words = next((w for _, _, w, _ in decontam.tokens(pa.array([t]))), np.zeros(0, np.uint16))
+        for k, own in enumerate(items.words):
+            n = len(own)
+            for a in range(max(1, len(words) - n - n // 2 - 1)):
+                part = words[a : a + n + n // 2 + 2]
+                common = items.lcs(k, part)
+                if common >= decontam.LEAST_SHARE * n and (common >= decontam.WHOLE_SHARE * n or np.isin(items.answers[k], part).mean() >= decontam.LEAST_ANSWER):
+                    out.add((i, items.ids[k]))
+                    break
+    return out
+
+
+def test_decontamination_equals_brute_force(spark):
+    rng = np.random.default_rng(11)
+    common = [f"c{k}" for k in range(30)]
+    items = [(k, prose(9000 + k, n)) for k, n in enumerate([5, 6, 8, 10, 12, 16, 24, 40, 60, 70, 130])]
+    items += [(20 + k, " ".join(rng.choice(common, n, replace=n > 30))) for k, n in enumerate([8, 12, 20, 40])] + [(30, "a b " * 5)]
+    rows = []
+    for k, (_, item) in enumerate(items):
+        w = item.split()
+        wide = " ".join(f"{x} n{j}" if j % 3 == 0 else x for j, x in enumerate(w))
+        for j, part in enumerate([item, " ".join(x for i, x in enumerate(w) if i % 7 != 3), wide, " ".join(w[len(w) * 2 // 5 :])]):
+            about = [" ".join(rng.choice(common, 40)) + " " + prose(k * 10 + j + z, 60 + j) for z in (0, 500)]
+            rows.append((k * 10 + j, f"{about[0]} {part} {about[1]}"))
+    rows += [(900 + k, " ".join(rng.choice(common, 50)) + prose(k, 200)) for k in range(20)]
+    own = decontam.Items(items, np.zeros((decontam.FEATURES + 1, decontam.RANK), np.float32))
+    expected = brute_matches(own, rows)
+    found = decontam.contaminated(documents(spark, rows), frame(spark, items, "item_id long, text string")).collect()
+    assert len(expected) >= 3 * len(items)
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected
+
+
 def test_lcs_equals_table():
     items = decontam.Items([(1, "a b c d e f g h")], np.zeros((decontam.FEATURES + 1, decontam.RANK), np.float32))
     words = items.words[0]
