@@ -9,7 +9,7 @@
 4. A candidate's stretch of text is compared with the item: its distinct words in common bound the longest common subsequence, which is then computed; the
    item's answer (its last sentence) must be found in it as well, unless nearly the whole item is. Paraphrases that keep most words in order are caught so.
 
-Defined results: null and empty texts and items match nothing; items under LEAST_WORDS words are left out; repeated documents or items give a
+Defined results: null and empty texts and items match nothing; items under LEAST_WORDS words match where all of them stand one after the other; repeated documents or items give a
 match each; an empty table gives an empty result. Extra columns are left out. Words are runs of bytes other than blanks, with A-Z lower-cased and the
 punctuation around them cut off.
 """
@@ -244,16 +244,15 @@ class Items:
                 masks[w] = masks.get(w, 0) | 1 << i
             scale = next((k for k, (_, _, most) in enumerate(SCALES) if len(words) <= most), len(SCALES) - 1)
             most = SCALES[scale][2]
-            for i in range(0, len(words), most):  # longer items are several queries
+            for i in (*range(0, len(words) - most, most), max(0, len(words) - most)):  # longer items are several queries, the last one their last words
                 piece = words[i : i + most]
-                if i == 0 or len(piece) >= 16:
-                    q = axes[features(piece)].sum(0)
-                    distinct = np.unique(piece)
-                    bits = np.full(1 << 16, 64, np.uint8)
-                    bits[distinct] = np.arange(len(distinct))
-                    # distinct words that a window must share for a common subsequence of LEAST_SHARE; a neighbouring window may hold the rest of a part
-                    need = LEAST_SHARE * len(piece) - (len(piece) - len(distinct))
-                    queries[scale].append((q / max(float(np.linalg.norm(q)), 1e-9), len(self.ids), bits, need))
+                q = axes[features(piece)].sum(0)
+                distinct = np.unique(piece)
+                bits = np.full(1 << 16, 64, np.uint8)
+                bits[distinct] = np.arange(len(distinct))
+                # distinct words that a window must share for a common subsequence of LEAST_SHARE; a neighbouring window may hold the rest of a part
+                need = LEAST_SHARE * len(piece) - (len(piece) - len(distinct))
+                queries[scale].append((q / max(float(np.linalg.norm(q)), 1e-9), len(self.ids), bits, need))
             self.ids.append(item_id)
             self.words.append(words)
             self.answers.append(answer)
@@ -370,9 +369,51 @@ def _search(items_of):
             for i, j in npwords.blocks(at, 1 << 16):
                 for t, item, cosine, common, start, end in items.matches(words[at[i] : at[j]], at[i : j + 1] - at[i]):
                     rows.append((ids[i + t], items.ids[item], cosine, common / len(items.words[item]), start, end))
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "cosine", "lcs_share", "start_word", "end_word"])
+            yield _rows(rows)
+
+    return run
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "cosine", "lcs_share", "start_word", "end_word"])
+
+
+def _hashes(column: pa.Array):
+    """For blocks of texts: the first text, word hashes of 64 bits, offsets of the texts."""
+    data, offsets = npwords.utf8(column)
+    for i, j in npwords.blocks(offsets):
+        yield i, *npwords.word_hashes(_PLAIN[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i])
+
+
+def short_items(rows: list[tuple[int, str]]) -> list[tuple[int, list[int]]]:
+    """Items of fewer than LEAST_WORDS words, and the hashes of these."""
+    own = [(item_id, next((w for _, w, _ in _hashes(pa.array([text]))), np.zeros(0, np.uint64)).tolist()) for item_id, text in rows]
+    return [(item_id, w) for item_id, w in own if 0 < len(w) < LEAST_WORDS]
+
+
+def _verbatim(items: list[tuple[int, list[int]]]):
+    """The first place of each item of `items` in each text that has its words one after the other."""
+
+    def run(batches):
+        for batch in batches:
+            ids, rows = batch.column(0).to_pylist(), []
+            for i, words, at in _hashes(batch.column(1)):
+                order = np.argsort(words, kind="stable")
+                ordered = words[order]
+                for item_id, own in items:
+                    a, z = np.searchsorted(ordered, np.uint64(own[0]), "left"), np.searchsorted(ordered, np.uint64(own[0]), "right")
+                    place = order[a:z]
+                    text = np.searchsorted(at, place, "right") - 1
+                    ok = place + len(own) <= at[text + 1]
+                    place, text = place[ok], text[ok]
+                    for k, w in enumerate(own[1:], 1):
+                        ok = words[place + k] == np.uint64(w)
+                        place, text = place[ok], text[ok]
+                    text, first = np.unique(text, return_index=True)
+                    rows += [(ids[i + t], item_id, 1.0, 1.0, p, p + len(own)) for t, p in zip(text.tolist(), (place[first] - at[text]).tolist(), strict=True)]
+            yield _rows(rows)
 
     return run
 
@@ -385,7 +426,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = sorted((r["item_id"], r["text"]) for r in benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").collect())
     # items and axes are sent once; the benchmark is the stated, bounded query set
     sent = docs.sparkSession.sparkContext.broadcast((rows, axes))
-    found = encoded.where(F.col("kind") == _DOCUMENT).select("doc_id", "words").mapInArrow(_search(lambda: Items(*sent.value)), "doc_id long, item_id long, cosine double, lcs_share double, start_word int, end_word int")
+    form = "doc_id long, item_id long, cosine double, lcs_share double, start_word int, end_word int"
+    found = encoded.where(F.col("kind") == _DOCUMENT).select("doc_id", "words").mapInArrow(_search(lambda: Items(*sent.value)), form)
+    if short := short_items(rows):
+        found = found.unionByName(own.mapInArrow(_verbatim(short), form))
     # a stretch that two groups of windows reach is one match
     best = F.max_by(F.struct("cosine", "lcs_share", "start_word", "end_word"), F.struct("lcs_share", -F.col("start_word"))).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.*")

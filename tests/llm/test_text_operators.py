@@ -389,6 +389,22 @@ def test_decontamination_equals_brute_force(spark):
     assert {(r["doc_id"], r["item_id"]) for r in found} == expected
 
 
+def test_decontamination_matches_items_under_five_words(spark):
+    items = [(1, "Golden heron, forty."), (2, "forty"), (3, "a b a"), (4, "..."), (5, ""), (6, "golden forty")]
+    rows = [(1, prose(1, 50) + " golden HERON forty " + prose(2, 50)), (2, "golden heron"), (3, "forty a b. a b a"), (4, "a b"), (4, "a forty"), (5, None), (6, "golden"), (7, "heron forty")]
+    got = {(r["doc_id"], r["item_id"]): (r["start_word"], r["end_word"]) for r in decontam.contaminated(documents(spark, rows), frame(spark, items, "item_id long, text string")).collect()}
+    assert got == {(1, 1): (50, 53), (1, 2): (52, 53), (3, 2): (0, 1), (3, 3): (1, 4), (4, 2): (1, 2), (7, 2): (1, 2)}
+
+
+def test_last_words_of_a_long_item_are_a_query():
+    words = prose(5, 60).split()
+    axes = np.random.default_rng(4).normal(size=(decontam.FEATURES + 1, decontam.RANK)).astype(np.float32)
+    items = decontam.Items([(1, " ".join(words))], axes)
+    text = next(w for _, _, w, _ in decontam.tokens(pa.array([" ".join(words[-38:])])))
+    assert any(len(x[0]) for x in items.candidates(text, np.array([0, len(text)])))
+    assert [m[1] for m in items.matches(text, np.array([0, len(text)]))] == [0]
+
+
 def test_lcs_equals_table():
     items = decontam.Items([(1, "a b c d e f g h")], np.zeros((decontam.FEATURES + 1, decontam.RANK), np.float32))
     words = items.words[0]
