@@ -2,7 +2,7 @@
 
 Built from SQL functions only. A match is put between two marks, the text is split there, and running lengths give the places of
 the matches in code points. Email, IP address, card (Luhn) and phone are the base kinds: every match that passes its check stays.
-IBANs (mod 97) and national ids (by context) are added where their score reaches LEAST_SCORE. The patterns use possessive repeats
+IBANs (mod 97, as long as their country's are) and national ids (by context, words on either side) are added where their score reaches LEAST_SCORE. The patterns use possessive repeats
 and start only at the end of the last match or of another run, which finds the same matches without backtracking, however long a run is.
 
 Defined results: a null or empty text has no span; repeated rows are searched each; an empty table gives an empty result. Extra columns are left out.
@@ -24,7 +24,8 @@ PATTERNS = {
     "ip": _AFTER.format("0-9") + r"[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # only where one may start: its end is that of its country's length, see _iban
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: What a text must contain for a kind to be searched: cheap tests that rule out no match.
@@ -40,6 +41,14 @@ CONTEXT = {
     "national_id": "ssn|social|security|national|identity",
 }
 CONTEXT_SCORE, CONTEXT_CHARACTERS, LEAST_SCORE = 0.3, 40, 0.5
+#: Characters of an IBAN in each country of the registry; for other countries all lengths from 15 to 34 are tried.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: Characters of the longest IBAN with a blank after each character.
+_IBAN_CHARACTERS = 67
 _SPAN = "array<struct<start:int,kind:int,end:int,score:double>>"
 
 
@@ -55,34 +64,69 @@ def _passes(kind: str, m: Column) -> Column:
         return F.length(digits).between(12, 19) & F.call_function("luhn_check", digits)
     if kind == "phone":
         return F.length(F.regexp_replace(m, "[^0-9]", "")).between(9, 15)
-    if kind == "iban":
-        plain = F.translate(m, " ", "")
-        turned = F.concat(F.substr(plain, F.lit(5)), F.substring(plain, 1, 4))
-        value = lambda c: F.when(c < 58, c - 48).otherwise(c - 55)
-        step = lambda a, c: F.when(c < 58, (a * 10 + value(c)) % 97).otherwise((a * 100 + value(c)) % 97)
-        return F.length(plain).between(15, 34) & (F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), lambda a, c: step(a, F.ascii(c))) == 1)
     return F.lit(True)
 
 
+def _iban(text: Column) -> Column:
+    """Characters of the IBAN with which a text starts (mod 97; no letter or digit after it), or 0."""
+    want = F.lit(0)
+    for n, countries in IBAN_LENGTHS.items():
+        want = F.when(F.substring(text, 1, 2).isin(countries.split()), n).otherwise(want)
+    value = lambda c: F.when(c < 58, c - 48).otherwise(c - 55)
+    add = lambda a, c: F.when(c < 58, (a * 10 + value(c)) % 97).otherwise((a * 100 + value(c)) % 97)
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("head"), F.lit(0).alias("rest"), F.lit(False).alias("blank"), F.lit(False).alias("over"), F.lit(0).alias("size"))
+
+    def step(s: Column, i: Column) -> Column:
+        c, after = F.substr(text, i, F.lit(1)), F.substr(text, i + 1, F.lit(1))
+        taken, blank = c.rlike("^[A-Z0-9]$"), c == " "
+        over = s["over"] | ~(taken | (blank & ~s["blank"]))
+        n = s["n"] + F.when(taken, 1).otherwise(0)
+        head = F.when(taken & (n <= 4), add(s["head"], F.ascii(c))).otherwise(s["head"])
+        rest = F.when(taken & (n > 4), add(s["rest"], F.ascii(c))).otherwise(s["rest"])
+        # the first four characters, six digits, come last: 10 ** 6 % 97 is 27
+        ok = ~over & taken & F.when(want > 0, n == want).otherwise(n.between(15, 34)) & ((rest * 27 + head) % 97 == 1) & ~after.rlike("^[A-Za-z0-9]$")
+        return F.struct(n.alias("n"), head.alias("head"), rest.alias("rest"), blank.alias("blank"), over.alias("over"), F.when(ok, i).otherwise(s["size"]).alias("size"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_IBAN_CHARACTERS)), start, step, lambda s: s["size"])
+
+
 def find(text: Column, kind: str) -> Column:
     """The spans of a kind in a text without MARK: array of start, kind's number, end (exclusive), score; in order."""
     n = KINDS.index(kind)
     parts = F.split(F.regexp_replace(text, PATTERNS[kind], MARK + "$0" + MARK), MARK)
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("hit"), F.lit("").alias("before"), F.array().cast(_SPAN).alias("spans"))
-
-    def step(state: Column, part: Column) -> Column:
-        size = F.length(part)
-        near = F.lower(F.right(state["before"], F.lit(CONTEXT_CHARACTERS))).rlike(CONTEXT[kind])
-        score = F.lit(SCORES[kind]) + F.when(near, CONTEXT_SCORE).otherwise(0.0)
-        score = F.least(F.lit(1.0), score)
-        ok = state["hit"] & _passes(kind, part)
-        if kind not in BASE:
-            ok = ok & (score >= LEAST_SCORE)
-        span = F.struct(state["at"].alias("start"), F.lit(n).alias("kind"), (state["at"] + size).alias("end"), score.alias("score"))
-        return F.struct((state["at"] + size).alias("at"), (~state["hit"]).alias("hit"), part.alias("before"), F.when(ok, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), F.lit(1).alias("i"), F.lit("").alias("before"), F.lit(0).alias("until"), F.array().cast(_SPAN).alias("spans"))
+
+    def walk(parts: Column, firsts: Column) -> Column:
+        # a match or what lies between two; what follows is put together from the first characters of as many parts as can matter (a match has four or more)
+        def following(i: Column, characters: int) -> Column:
+            return F.left(F.array_join(F.slice(firsts, i, F.lit(characters // 2 + 1)), ""), F.lit(characters))
+
+        def step(state: Column, part: Column) -> Column:
+            hit, at = state["i"] % 2 == 0, state["at"]
+            size = F.length(part)
+            if kind == "iban":
+                ends = at + F.when(hit & (at >= state["until"]), _iban(following(state["i"], _IBAN_CHARACTERS + 1))).otherwise(0)
+                ok = hit & (ends > at)
+                after = F.substr(following(state["i"], _IBAN_CHARACTERS + CONTEXT_CHARACTERS), ends - at + 1, F.lit(CONTEXT_CHARACTERS))
+            else:
+                ends, ok, after = at + size, hit & _passes(kind, part), following(state["i"] + 1, CONTEXT_CHARACTERS)
+            near = F.lower(F.concat(state["before"], F.lit("\n"), after)).rlike(CONTEXT[kind])
+            score = F.lit(SCORES[kind]) + F.when(near, CONTEXT_SCORE).otherwise(0.0)
+            score = F.least(F.lit(1.0), score)
+            if kind not in BASE:
+                ok = ok & (score >= LEAST_SCORE)
+            span = F.struct(at.alias("start"), F.lit(n).alias("kind"), ends.alias("end"), score.alias("score"))
+            before = F.right(F.concat(state["before"], F.right(part, F.lit(CONTEXT_CHARACTERS))), F.lit(CONTEXT_CHARACTERS))
+            until = F.when(ok, ends).otherwise(state["until"])
+            return F.struct((at + size).alias("at"), (state["i"] + 1).alias("i"), before.alias("before"), until.alias("until"), F.when(ok, F.concat(state["spans"], F.array(span))).otherwise(state["spans"]).alias("spans"))
+
+        return F.aggregate(parts, start, step, lambda s: s["spans"])
 
     # most texts have no match: then there is one part, and nothing to walk
-    return F.transform(F.array(parts), lambda p: F.when(F.size(p) > 1, F.aggregate(p, start, step, lambda s: s["spans"])).otherwise(F.array().cast(_SPAN)))[0]
+    first = lambda x: F.left(x, F.lit(_IBAN_CHARACTERS + CONTEXT_CHARACTERS))
+    pair = F.array(F.struct(parts.alias("p")))
+    pair = F.transform(pair, lambda x: F.struct(x["p"].alias("p"), F.when(F.size(x["p"]) > 1, F.transform(x["p"], first)).alias("f")))
+    return F.transform(pair, lambda x: F.when(F.size(x["p"]) > 1, walk(x["p"], x["f"])).otherwise(F.array().cast(_SPAN)))[0]
 
 
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -306,6 +306,20 @@ def test_pii_added_kinds_need_check_or_context(spark):
     assert "iban" in got[1] and "iban" not in got[2] and "national_id" in got[3] and "national_id" not in got[4]
 
 
+def test_pii_ibans_end_by_length_and_context_is_on_both_sides(spark):
+    from factloom.llm.pii import KINDS, spans
+
+    de, gb = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    odd = "ZZ" + str(98 - int("1234567890123" + "353500") % 97).zfill(2) + "1234567890123"
+    rows = [f"{de} BIC COBADEFF", f"{de} 2024", f"{de} Please", f"{de} {gb} {de}", f"é {gb} A", f"{odd} NEXT {de}", f"{de}1", f"{de[:-1]}", f"{de}, {de}", f"AB12 {de}"]
+    found = [[de], [de], [de], [de, gb, de], [gb], [odd, de], [], [], [de, de], [de]]
+    rows += ["SSN 123-45-6789, 987-65-4321", "123-45-6789 (SSN)", "123-45-6789 " + "x" * 60 + " SSN", "123-45-6789" + ", 987-65-4321" * 2 + " SSN"]
+    found += [["123-45-6789", "987-65-4321"], ["123-45-6789"], [], ["123-45-6789", "987-65-4321", "987-65-4321"]]
+    for r in spans(documents(spark, list(enumerate(rows)))).collect():
+        text = rows[r["doc_id"]]
+        assert [text[s["start"] : s["end"]] for s in r["spans"] if KINDS[s["kind"]] in ("iban", "national_id")] == found[r["doc_id"]], text
+
+
 def test_pii_empty_table(spark):
     assert pii.spans(documents(spark, []).where("false")).count() == 0
 
