@@ -120,18 +120,16 @@ def coherent_groups(df: DataFrame, group: str, attributes: list[str]) -> DataFra
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), ok.alias("coherent"))
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int = 64) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """id, component (smallest id reachable) of every id in an edge.
 
-    Rounds of smallest neighbour label and label of label; each is cut by a checkpoint in the shared folder (spark.checkpoint.dir).
+    Rounds of smallest neighbour label and label of label until nothing moves; each is cut by a checkpoint in the shared folder (spark.checkpoint.dir).
     """
     from factloom.sources.work import written
 
     both = written(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).where("u is not null and v is not null").distinct(), "edges")
     labels = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("component")).select(F.col("u").alias("id"), "component", F.lit(True).alias("moved")), "labels")
-    for _ in range(rounds):
-        if not labels.where("moved").limit(1).count():
-            break
+    while labels.where("moved").limit(1).count():
         old = labels.drop("moved")
         near = both.join(old.withColumnRenamed("id", "v"), "v").groupBy("u").agg(F.min("component").alias("near"))
         new = old.join(near.withColumnRenamed("u", "id"), "id").select("id", F.col("component").alias("was"), F.least("component", "near").alias("component"))

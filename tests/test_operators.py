@@ -250,3 +250,14 @@ def test_new_text_operators(spark):
     assert [r["c"] for r in got] == ["AP", None, None]
     assert [r["n"] and tuple(r["n"]) for r in got] == [("l", True), None, ("r", False)]
     assert got[0]["d"]["strength"] is None and got[0]["d"]["as_needed"] is False
+
+
+def test_components_of_a_long_chain(spark):
+    chain = [0, *range(170, 100, -1)]
+    edges = frame(spark, list(zip(chain[:-1], chain[1:], strict=True)), "a long, b long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        assert {(r["id"], r["component"]) for r in identity.components(edges, "a", "b").collect()} == {(i, 0) for i in chain}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
