@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 BROADCAST_KEYS = 4_000_000
 #: Rows of an Arrow batch, where the session has Spark's default of 10,000: texts are long, and batches lie beside the heap.
 BATCH_ROWS = "1000"
+#: Rows that meet in one step of a sum over tasks.
+FAN = 64
 
 # Python workers live on from task to task: with the system's allocator what a task freed goes back at once.
 pyarrow.set_memory_pool(pyarrow.system_memory_pool())
@@ -71,9 +74,19 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: str, n_keys: int) -> DataFrame
     return df.join(F.broadcast(keys) if n_keys <= BROADCAST_KEYS else keys.hint("shuffle_hash"), on, "left_semi")
 
 
-def bounded_sample(rows: DataFrame, group: str, size: int, order: list[Column]) -> DataFrame:
-    """At most `size` rows of each `group`, the first by `order`. The limit is taken in each map task before the shuffle."""
-    from pyspark.sql import Window
+def _summed(rows):
+    import pandas as pd
 
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return rows.withColumn("__rank", rank).where(F.col("__rank") <= size).drop("__rank")
+    total = sum(np.frombuffer(x, np.float64) for x in rows["sums"])
+    return pd.DataFrame({"axis": [rows["axis"].iloc[0]], "part": [rows["part"].iloc[0]], "sums": [total.tobytes()]})
+
+
+def tree_sum(rows: DataFrame) -> dict[int, np.ndarray]:
+    """Sums over all tasks of rows (axis, sums: bytes of doubles), a few of fixed size from each task: FAN tasks' rows meet at a time, level by level."""
+    rows = written(rows.withColumn("part", F.spark_partition_id()), "sums")
+    parts = (rows.agg(F.max("part")).first()[0] or 0) + 1
+    while parts > 1:
+        parts = -(-parts // FAN)
+        level = rows.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("axis", "part").applyInPandas(_summed, "axis int, part int, sums binary")
+        rows = written(level, "sums") if parts > 1 else level
+    return {r["axis"]: np.frombuffer(r["sums"], np.float64) for r in rows.collect()}

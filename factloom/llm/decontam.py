@@ -1,13 +1,18 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Every text is encoded once as 16-bit word hashes, with the number of documents that hold each of FEATURES hashed words.
+1. A first pass over every text counts in how many documents each of FEATURES hashed words stands, and how often.
 2. Texts are cut into passages; their TF-IDF matrix A is never built. A sparse random sign matrix R gives Y = A R passage by passage, and
    B = A' Y is summed over all passages of all texts (randomised SVD with one power step): its left singular vectors are the latent axes.
-3. Benchmark items are projected as queries. Windows of every text, in two sizes (SCALES) for shorter and longer queries, are projected too, and those
-   whose cosine with a query reaches LEAST_COSINE are candidates (no limit to their number).
-   A cosine is diluted by the words around a short or common passage, so every window whose words allow a long enough subsequence is one too (Bound).
-4. A candidate's stretch of text is compared with the item: its distinct words in common bound the longest common subsequence, which is then computed; the
-   item's answer (its last sentence) must be found in it as well, unless nearly the whole item is. Paraphrases that keep most words in order are caught so.
+   Both sums are added up on the executors, FAN tasks' at a time, in as many levels as the number of tasks asks for.
+3. Benchmark items are projected as queries, texts as windows, in two sizes (SCALES) for shorter and longer queries; a cosine of LEAST_COSINE makes a
+   candidate (no limit to their number). Only windows that can pass are projected: an item's rarest words are its anchors, and a part that
+   shares LEAST_SHARE of the item has at least `need` anchors close together; where they aren't, no subsequence is long enough. A cosine is diluted by the
+   words around a short or common passage, so the places that the anchors leave are candidates as well where the cosine misses them.
+   Items of common words only, whose anchors would leave too many places, are bounded by all their words (Bound).
+4. A candidate's stretch of text is compared with the item: the longest common subsequence of 64-bit word hashes is computed; the item's answer (its last
+   sentence) must be found in it as well, unless nearly the whole item is. Paraphrases that keep most words in order are caught so.
+
+The benchmark is the stated query set: it is searched for in parts of at most PART_ITEMS items and PART_CHARACTERS characters, each against all texts.
 
 Defined results: null and empty texts and items match nothing; items under LEAST_WORDS words match where all of them stand one after the other; repeated documents or items give a
 match each; an empty table gives an empty result. Extra columns are left out. Words are runs of bytes other than blanks, with A-Z lower-cased and the
@@ -24,65 +29,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, table, written
+from factloom.llm.common import documents, table, tree_sum, written
 
 FEATURES, RANK = 1 << 13, 64
 #: Words of a window, words from one window to the next, longest query: shorter windows for short queries.
 SCALES = ((32, 8, 24), (64, 16, 48))
-#: Items that are looked for together where the cosine doesn't count.
-GROUP = 32
+#: Items that are looked for together where anchors leave too many places; the share of places that is too many, and that for which no more anchors are taken.
+GROUP, MOST_PLACES, FEW_PLACES = 32, 0.003, 1e-5
+#: Items and characters of the benchmark that are sent to the tasks at a time.
+PART_ITEMS, PART_CHARACTERS = 5_000, 4_000_000
 BLOCK, PASSAGE = 8, 64
 #: Features in a larger share of the documents have the weight COMMON_WEIGHT only.
 COMMON, COMMON_WEIGHT = 0.06, 0.1
 LEAST_COSINE, LEAST_SHARE, LEAST_ANSWER, WHOLE_SHARE, LEAST_WORDS = 0.3, 0.6, 0.5, 0.8, 5
-_DOCUMENT, _COUNTS = 0, 1
 #: Punctuation becomes blank before words are hashed, so that it doesn't separate equal words.
 _PLAIN = np.arange(256, dtype=np.uint8)
 _PLAIN[[ord(c) for c in ".,;:!?\"'()[]|*#$%&"]] = 32
 
 
 def tokens(column: pa.Array):
-    """For blocks of texts: the first text and one past the last, 16-bit word hashes, offsets of the texts."""
+    """For blocks of texts: the first text and one past the last, 64-bit word hashes, offsets of the texts."""
     data, offsets = npwords.utf8(column)
     for i, j in npwords.blocks(offsets):
         words, at = npwords.word_hashes(_PLAIN[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i])
-        yield i, j, (words & np.uint64(0xFFFF)).astype(np.uint16), at
+        yield i, j, words, at
 
 
-def _encoded(batches):
-    """kind, doc_id, words (bytes of 16-bit hashes); at the end one row with the task's document counts."""
-    counts = np.zeros(FEATURES, np.int64)
-    n = 0
-    names = ["kind", "doc_id", "words"]
+def _counted(batches):
+    """One row: the task's number of documents, documents with each feature, occurrences of each feature."""
+    counts, often, n = np.zeros(FEATURES), np.zeros(FEATURES), 0
     for batch in batches:
-        for i, j, words, at in tokens(batch.column(1)):
-            feature = (words & np.uint16(FEATURES - 1)).astype(np.int64)
-            doc = np.repeat(np.arange(j - i), np.diff(at))
-            seen = np.zeros((j - i) * FEATURES if j - i <= 512 else 0, bool)
-            if len(seen):
-                seen[doc * FEATURES + feature] = True
-                counts += seen.reshape(j - i, FEATURES).sum(0)
-            else:
-                counts += np.bincount(np.unique(doc * FEATURES + feature) % FEATURES, minlength=FEATURES)
+        for i, j, words, at in tokens(batch.column(0)):
+            feature = (words & np.uint64(FEATURES - 1)).astype(np.int64)
+            often += np.bincount(feature, minlength=FEATURES)
+            for a in range(i, j, 256):
+                z = min(a + 256, j)
+                own = slice(at[a - i], at[z - i])
+                seen = np.zeros((z - a) * FEATURES, bool)
+                seen[np.repeat(np.arange(z - a), np.diff(at[a - i : z - i + 1])) * FEATURES + feature[own]] = True
+                counts += seen.reshape(z - a, FEATURES).sum(0)
             n += j - i
-            raw, ends = words.tobytes(), (at * 2).astype(np.int32)
-            binary = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(j - i, np.int32)), batch.column(0).slice(i, j - i), binary], names=names)
-    if n:
-        yield pa.RecordBatch.from_arrays([pa.array([_COUNTS], pa.int32()), pa.array([n], pa.int64()), pa.array([counts.tobytes()], pa.binary())], names=names)
-
-
-def _words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All words of a batch of encoded texts, and the offsets of the texts."""
-    column = column.cast(pa.large_binary())
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
-    raw = column.buffers()[2]
-    return (np.frombuffer(raw, np.uint16, offset=0, count=int(offsets[-1]) // 2)[offsets[0] // 2 :] if raw is not None else np.zeros(0, np.uint16)), (offsets - offsets[0]) // 2
+    yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([np.concatenate(([n], counts, often)).tobytes()], pa.binary())], names=["axis", "sums"])
 
 
 def features(words: np.ndarray) -> np.ndarray:
     """Feature of each word; a word that only repeats the one before it gets the feature FEATURES, which has no weight."""
-    out = (words & np.uint16(FEATURES - 1)).astype(np.int64)
+    out = (words & np.uint64(FEATURES - 1)).astype(np.int64)
     out[1:][words[1:] == words[:-1]] = FEATURES
     return out
 
@@ -109,12 +101,11 @@ def _range_rows(weight: np.ndarray):
         column, own_weight = np.append(column, 0), np.append(sign * weight[:FEATURES], 0.0)
         total = np.zeros((RANK, FEATURES))
         for batch in batches:
-            words, at = _words(batch.column(0))
-            for i, j in npwords.blocks(at, 1 << 16):
-                own = features(words[at[i] : at[j]])
+            for _, _, words, at in tokens(batch.column(0)):
+                own = features(words)
                 if not len(own):
                     continue
-                starts, _ = _pieces(at[i : j + 1] - at[i], PASSAGE)
+                starts, _ = _pieces(at, PASSAGE)
                 passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(own))))
                 y = np.bincount(passage * RANK + column[own], own_weight[own], len(starts) * RANK).reshape(-1, RANK)
                 y = np.ascontiguousarray((y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)).T)
@@ -125,27 +116,14 @@ def _range_rows(weight: np.ndarray):
     return run
 
 
-def _summed(rows):
-    import pandas as pd
-
-    total = sum(np.frombuffer(x, np.float64) for x in rows["sums"])
-    return pd.DataFrame({"axis": [rows["axis"].iloc[0]], "sums": [total.tobytes()]})
-
-
-def latent_axes(encoded: DataFrame) -> np.ndarray:
-    """(FEATURES + 1) x RANK matrix that takes features to latent coordinates, from all texts."""
-    n, counts = 0, np.zeros(FEATURES, np.int64)
-    for r in encoded.where(F.col("kind") == _COUNTS).select("doc_id", "words").toLocalIterator():  # one row of fixed size for each task
-        n += r["doc_id"]
-        counts += np.frombuffer(r["words"], np.int64)
-    common = counts > COMMON * n
-    weight = np.where(common, COMMON_WEIGHT, np.log((n + 1) / (counts + 1))).astype(np.float32)
-    part = encoded.where(F.col("kind") == _DOCUMENT).select("words").mapInArrow(_range_rows(weight), "axis int, sums binary")
-    # partial sums meet in two steps, so that no task reads more than a few of them
-    part = part.groupBy("axis", F.pmod(F.spark_partition_id(), F.lit(16)).alias("part")).applyInPandas(lambda rows: _summed(rows), "axis int, sums binary")
-    got = {r["axis"]: np.frombuffer(r["sums"], np.float64) for r in part.groupBy("axis").applyInPandas(lambda rows: _summed(rows), "axis int, sums binary").collect()}
-    b = np.stack([got[c] for c in sorted(got)], 1) if got else np.zeros((FEATURES, RANK))
-    return axes_of(b, weight)
+def latent_axes(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(FEATURES + 1) x RANK matrix that takes features to latent coordinates, from all texts, and the share of all words that each feature has."""
+    got = tree_sum(texts.mapInArrow(_counted, "axis int, sums binary")).get(0, np.zeros(1 + 2 * FEATURES))
+    n, counts, often = got[0], got[1 : FEATURES + 1], got[FEATURES + 1 :]
+    weight = np.where(counts > COMMON * n, COMMON_WEIGHT, np.log((n + 1) / (counts + 1))).astype(np.float32)
+    sums = tree_sum(texts.mapInArrow(_range_rows(weight), "axis int, sums binary"))
+    b = np.stack([sums[c] for c in sorted(sums)], 1) if sums else np.zeros((FEATURES, RANK))
+    return axes_of(b, weight), often / max(often.sum(), 1)
 
 
 def axes_of(b: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -155,6 +133,29 @@ def axes_of(b: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return np.concatenate([axes, np.zeros((1, axes.shape[1]))]).astype(np.float32)
 
 
+class Vocabulary:
+    """Numbers of known words."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = np.unique(words)
+        self.maybe = np.zeros(1 << 20, bool)
+        self.maybe[(self.words & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+
+    def places(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the known ones among `words` (one dimension), and their numbers."""
+        at = np.flatnonzero(self.maybe[(words & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        number = np.minimum(np.searchsorted(self.words, words[at]), len(self.words) - 1)
+        ok = self.words[number] == words[at] if len(self.words) else np.zeros(0, bool)
+        return at[ok], number[ok]
+
+    def ids(self, words: np.ndarray) -> np.ndarray:
+        """The number of each word; one past the last for unknown ones."""
+        out = np.full(words.size, len(self.words), np.int32)
+        at, number = self.places(words.ravel())
+        out[at] = number
+        return out.reshape(words.shape)
+
+
 class Bound:
     """Places where a few items of about one length may stand, with none left out.
 
@@ -166,24 +167,23 @@ class Bound:
         n = np.array([len(w) for w in words])
         self.step = 1 + (int(n.min()) >= 32)
         self.size = -(-(int(n.max()) * 3 // 2 + 2 + BLOCK * self.step - 1) // BLOCK)
-        vocabulary = np.unique(np.concatenate(words))
-        self.id = np.full(1 << 16, len(vocabulary), np.int32)
-        self.id[vocabulary] = np.arange(len(vocabulary))
+        self.vocabulary = Vocabulary(np.concatenate(words))
+        vocabulary = self.vocabulary.words
         self.limbs = -(-n // 64)
         self.first = np.cumsum(self.limbs) - self.limbs
         self.shared = np.zeros((len(vocabulary) + 1, self.limbs.sum()), np.uint64)
         self.places = np.zeros((self.limbs.sum(), len(vocabulary) + 1), np.uint64)
         for own, at in zip(words, self.first.tolist(), strict=True):
-            for k, w in enumerate(np.unique(own).tolist()):
-                self.shared[self.id[w], at + k // 64] |= np.uint64(1 << k % 64)
-            for k, w in enumerate(own.tolist()):
-                self.places[at + k // 64, self.id[w]] |= np.uint64(1 << k % 64)
+            for k, w in enumerate(self.vocabulary.ids(np.unique(own)).tolist()):
+                self.shared[w, at + k // 64] |= np.uint64(1 << k % 64)
+            for k, w in enumerate(self.vocabulary.ids(own).tolist()):
+                self.places[at + k // 64, w] |= np.uint64(1 << k % 64)
         self.least = np.ceil(LEAST_SHARE * n - 1e-9).astype(np.int64)
         self.need = self.least - (n - np.array([len(np.unique(w)) for w in words]))
 
     def windows(self, words: np.ndarray, beyond: np.ndarray):
         """Arrays of start block and item of the windows whose longest common subsequence with the item is long enough; words: rows of BLOCK each."""
-        ids = self.id[words]
+        ids = self.vocabulary.ids(words)
         ids[beyond] = len(self.shared) - 1
         seen = self.shared.take(ids[:, 0], axis=0)
         for k in range(1, BLOCK):
@@ -228,42 +228,63 @@ class Bound:
 
 
 class Items:
-    """Benchmark items: words, queries in latent space, answers, and masks for the longest common subsequence."""
+    """Benchmark items: words, queries in latent space, answers, anchors, and masks for the longest common subsequence."""
 
-    def __init__(self, rows: list[tuple[int, str]], axes: np.ndarray):
+    def __init__(self, rows: list[tuple[int, str]], axes: np.ndarray, rates: np.ndarray | None = None):
         self.axes, self.ids, self.words, self.answers, self.masks = axes, [], [], [], []
         queries: list[list] = [[] for _ in SCALES]
         for item_id, text in rows:
-            words = next((w for _, _, w, _ in tokens(pa.array([text]))), np.zeros(0, np.uint16))
+            words = next((w for _, _, w, _ in tokens(pa.array([text]))), np.zeros(0, np.uint64))
             if len(words) < LEAST_WORDS:
                 continue
             last = [x for x in re.split(r"(?<=[.!?])\s+|\n+", text.strip()) if x][-1]
-            answer = next((w for _, _, w, _ in tokens(pa.array([last]))), words[:0])[-12:]
+            answer = next((w for _, _, w, _ in tokens(pa.array([last]))), words[:0])
             masks: dict[int, int] = {}
             for i, w in enumerate(words.tolist()):
                 masks[w] = masks.get(w, 0) | 1 << i
             scale = next((k for k, (_, _, most) in enumerate(SCALES) if len(words) <= most), len(SCALES) - 1)
             most = SCALES[scale][2]
             for i in (*range(0, len(words) - most, most), max(0, len(words) - most)):  # longer items are several queries, the last one their last words
-                piece = words[i : i + most]
-                q = axes[features(piece)].sum(0)
-                distinct = np.unique(piece)
-                bits = np.full(1 << 16, 64, np.uint8)
-                bits[distinct] = np.arange(len(distinct))
-                # distinct words that a window must share for a common subsequence of LEAST_SHARE; a neighbouring window may hold the rest of a part
-                need = LEAST_SHARE * len(piece) - (len(piece) - len(distinct))
-                queries[scale].append((q / max(float(np.linalg.norm(q)), 1e-9), len(self.ids), bits, need))
+                q = axes[features(words[i : i + most])].sum(0)
+                queries[scale].append((q / max(float(np.linalg.norm(q)), 1e-9), len(self.ids)))
             self.ids.append(item_id)
             self.words.append(words)
             self.answers.append(answer)
             self.masks.append(masks)
         self.queries = [np.array([x[0] for x in own], np.float32).reshape(-1, RANK) for own in queries]
         self.item_of = [np.array([x[1] for x in own], np.int64) for own in queries]
-        self.bits = [np.array([x[2] for x in own], np.uint8).reshape(-1, 1 << 16) for own in queries]
-        self.need = [np.array([x[3] for x in own]) for own in queries]
-        order = np.argsort([len(w) for w in self.words], kind="stable")
-        self.bounds = [(order[k : k + GROUP], Bound([self.words[i] for i in order[k : k + GROUP]])) for k in range(0, len(order), GROUP)]
-        self.one = np.append(np.uint64(1) << np.arange(64, dtype=np.uint64), np.uint64(0))
+        self._choose(np.full(FEATURES, 1 / FEATURES) if rates is None else np.maximum(rates, 0.1 / FEATURES))
+
+    def _choose(self, rates: np.ndarray) -> None:
+        """The anchors of each item: the rarest of its words, as many as leave the fewest places where `need` of them stand in a part."""
+        n_items = len(self.ids)
+        self.size, self.need = np.zeros(n_items, np.int64), np.ones(n_items, np.int64)
+        self.least = np.array([int(np.ceil(LEAST_SHARE * len(w) - 1e-9)) for w in self.words], np.int64)
+        common, anchors = [], []
+        for item, words in enumerate(self.words):
+            n, size = len(words), len(words) + len(words) // 2 + 2
+            own, times = np.unique(words, return_counts=True)
+            rate = rates[(own & np.uint64(FEATURES - 1)).astype(np.int64)]
+            order = np.argsort(rate, kind="stable")
+            need = self.least[item] - (n - np.cumsum(times[order]))
+            mean = size * np.cumsum(rate[order])
+            # Chernoff's bound on the chance of `need` anchors in a part
+            chance = np.where(need < 1, 1.0, np.where(mean < need, np.exp(need - mean + need * np.log(np.maximum(mean, 1e-300) / np.maximum(need, 1))), 1.0))
+            few = np.flatnonzero(chance <= FEW_PLACES)
+            k = int(few[0]) if len(few) else int(np.argmin(chance))
+            self.size[item], self.need[item] = size, max(1, need[k])
+            if chance[k] > MOST_PLACES:
+                common.append(item)
+            else:
+                anchors += [(int(w), item) for w in own[order[: k + 1]].tolist()]
+        order = sorted(common, key=lambda i: len(self.words[i]))
+        self.bounds = [(np.array(order[k : k + GROUP]), Bound([self.words[i] for i in order[k : k + GROUP]])) for k in range(0, len(order), GROUP)]
+        word, item = np.array([a for a, _ in anchors], np.uint64), np.array([i for _, i in anchors], np.int64)
+        self.anchors = Vocabulary(word)
+        number = self.anchors.ids(word)
+        order = np.argsort(number, kind="stable")
+        self.anchor_items = item[order]
+        self.anchor_first = np.searchsorted(number[order], np.arange(len(self.anchors.words) + 1))
 
     def lcs(self, item: int, words: np.ndarray) -> int:
         """Length of the longest common subsequence, a row of bits at a time."""
@@ -275,50 +296,64 @@ class Items:
                 v = ((v + u) | (v - u)) & full
         return len(self.words[item]) - v.bit_count()
 
-    def candidates(self, words: np.ndarray, at: np.ndarray):
-        """Arrays of text, item, start word and cosine of the windows that may hold an item."""
-        starts, text = _pieces(at, BLOCK)
-        sums = np.add.reduceat(self.axes[features(words)], starts, axis=0)
-        padded = np.append(words, np.zeros(max(w for w, _, _ in SCALES), np.uint16))
-        for (size, stride, _), queries, item_of, bits, need in zip(SCALES, self.queries, self.item_of, self.bits, self.need, strict=True):
+    def stretches(self, words: np.ndarray, at: np.ndarray):
+        """Arrays of text, item, first word and one past the last: all parts that share enough with an item lie in one of these, with none left out."""
+        place, number = self.anchors.places(words)
+        times = self.anchor_first[number + 1] - self.anchor_first[number]
+        item = self.anchor_items[np.repeat(self.anchor_first[number] - np.cumsum(times) + times, times) + np.arange(int(times.sum()))]
+        place = np.repeat(place, times)
+        order = np.argsort(item * len(words) + place, kind="stable")
+        place, item = place[order], item[order]
+        text = np.searchsorted(at, place, "right") - 1
+        first = np.arange(len(place))
+        last = first + self.need[item] - 1
+        first = first[last < len(place)]
+        last = last[: len(first)] if len(first) == len(last) else last[first]
+        ok = (item[first] == item[last]) & (text[first] == text[last]) & (place[last] - place[first] < self.size[item[first]])
+        first, last = first[ok], last[ok]
+        text, item, size = text[first], item[first], self.size[item[first]]
+        out = [(text, item, np.maximum(at[text], place[last] - size + 1), np.minimum(at[text + 1], place[first] + size))]
+        if self.bounds and len(words):
+            starts, of = _pieces(at, BLOCK)
+            places = starts[:, None] + np.arange(BLOCK)
+            beyond = places >= at[of + 1][:, None]  # a text's last row is filled up
+            rows = words.take(np.minimum(places, len(words) - 1))
+            for items, bound in self.bounds:
+                for a, b in bound.windows(rows, beyond):
+                    out.append((of[a], items[b], starts[a], np.minimum(starts[a] + bound.size * BLOCK, at[of[a] + 1])))
+        text, item, low, high = (np.concatenate(x) for x in zip(*out, strict=True))
+        order = np.lexsort((low, item, text))
+        text, item, low, high = text[order], item[order], low[order], high[order]
+        new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (low[1:] > high[:-1])))[: len(text)])
+        return text[new], item[new], low[new], np.maximum.reduceat(high, new) if len(new) else high
+
+    def candidates(self, words: np.ndarray, at: np.ndarray, found=None):
+        """Arrays of text, item, start word and cosine: windows near the stretches that are found, whose cosine with a query of the item reaches LEAST_COSINE."""
+        text, item, low, high = self.stretches(words, at) if found is None else found
+        if not len(text):
+            return
+        pairs, own = np.unique(text * len(self.ids) + item), np.append(features(words), FEATURES)
+        for (size, stride, _), queries, item_of in zip(SCALES, self.queries, self.item_of, strict=True):
             if not len(queries):
                 continue
-            window_words, flat_bits = np.lib.stride_tricks.sliding_window_view(padded, size), bits.ravel()
-            windows = sums.copy()
-            for k in range(1, size // BLOCK):
-                windows[:-k] += sums[k:] * (text[k:] == text[:-k])[:, None]
-            # the windows that start at a multiple of the stride in their text
-            own = np.flatnonzero((starts - at[text]) % stride == 0)
-            windows, first, of = windows[own], starts[own], text[own]
-            windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
-            for q0 in range(0, len(queries), 256):
-                cosine = windows @ queries[q0 : q0 + 256].T
-                hit = np.flatnonzero(cosine >= LEAST_COSINE)
-                width = cosine.shape[1]
-                for k in range(0, len(hit), 1 << 14):
-                    flat = hit[k : k + (1 << 14)]
-                    w, q = np.divmod(flat, width)
-                    q += q0
-                    at_bits = window_words[first[w]].T.astype(np.int32)  # a row for each place in the window
-                    at_bits += (q << 16).astype(np.int32)
-                    seen = np.zeros(len(flat), np.uint64)
-                    for row in at_bits:
-                        seen |= self.one.take(flat_bits.take(row))
-                    ok = np.bitwise_count(seen) >= need[q]
-                    yield of[w[ok]], item_of[q[ok]], first[w[ok]], cosine.ravel()[flat[ok]]
-
-    def exact(self, words: np.ndarray, at: np.ndarray):
-        """Like candidates, whatever the cosine: every window whose longest common subsequence with an item is long enough."""
-        starts, text = _pieces(at, BLOCK)
-        if not len(starts):
-            return
-        places = starts[:, None] + np.arange(BLOCK)
-        beyond = places >= at[text + 1][:, None]  # a text's last row is filled up
-        rows = words.take(np.minimum(places, len(words) - 1))
-        for items, bound in self.bounds:
-            for a, b in bound.windows(rows, beyond):
-                value = np.array([self.cosine(int(items[j]), words[starts[i] : min(starts[i] + bound.size * BLOCK, at[text[i] + 1])]) for i, j in zip(a.tolist(), b.tolist(), strict=True)])
-                yield text[a], items[b], starts[a], value
+            # windows start at multiples of the stride in their text
+            a, z = np.maximum(0, (low - at[text] - size) // stride + 1), (high - at[text] - 1) // stride + 1
+            n = np.maximum(0, z - a)
+            start, one = np.unique(np.repeat(at[text] + a * stride, n) + (np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)) * stride, return_index=True)
+            of = np.repeat(text, n)[one]
+            for k in range(0, len(start), 1024):
+                first, text_of = start[k : k + 1024], of[k : k + 1024]
+                places = first[:, None] + np.arange(size)
+                beyond = places >= at[text_of + 1][:, None]
+                places[beyond] = len(words)
+                vectors = self.axes[own[places]]
+                vectors[beyond] = 0
+                windows = vectors.sum(1)
+                windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
+                cosine = windows @ queries.T
+                w, q = np.nonzero(cosine >= LEAST_COSINE)
+                ok = np.isin(text_of[w] * len(self.ids) + item_of[q], pairs)
+                yield text_of[w[ok]], item_of[q[ok]], first[w[ok]], cosine[w[ok], q[ok]]
 
     def cosine(self, item: int, words: np.ndarray) -> float:
         q, w = self.axes[features(self.words[item])].sum(0), self.axes[features(words)].sum(0)
@@ -328,21 +363,19 @@ class Items:
         """(text, item, cosine, common, start, end) for texts of a block."""
         if not len(words) or not self.ids:
             return
-        got = [x for x in (*self.candidates(words, at), *self.exact(words, at)) if len(x[0])]
-        if not got:
-            return
-        text, item, start, value = (np.concatenate(x) for x in zip(*got, strict=True))
-        order = np.lexsort((start, item, text))
-        text, item, start, value = text[order], item[order], start[order], value[order]
-        new = np.flatnonzero(np.concatenate(([True], (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (start[1:] - start[:-1] > PASSAGE)))[: len(text)])
-        for a, z in zip(new.tolist(), [*new[1:].tolist(), len(text)], strict=True):
-            own, t = int(item[a]), int(text[a])
-            n = len(self.words[own])
-            # the last window may begin before its part, and the part is 1.5 times as long as the item
-            first, last = max(int(at[t]), int(start[a]) - n), min(int(at[t + 1]), int(start[z - 1]) + PASSAGE + 2 * n)
-            found = self.best(own, words[first:last])
-            if found:
-                yield t, own, float(value[a:z].max()), found[0], first - int(at[t]) + found[1], first - int(at[t]) + found[2]
+        found = self.stretches(words, at)
+        cosines: dict[tuple[int, int], float] = {}
+        for x in self.candidates(words, at, found):
+            for t, i, value in zip(x[0].tolist(), x[1].tolist(), x[3].tolist(), strict=True):
+                cosines[t, i] = max(value, cosines.get((t, i), -1.0))
+        for t, own, first, last in zip(*(x.tolist() for x in found), strict=True):
+            part = words[first:last]
+            if self.lcs(own, part) < self.least[own]:
+                continue
+            if got := self.best(own, part):
+                start = first - int(at[t])
+                value = cosines.get((t, own))
+                yield t, own, self.cosine(own, part[got[1] : got[2]]) if value is None else value, got[0], start + got[1], start + got[2]
 
     def best(self, item: int, stretch: np.ndarray) -> tuple[int, int, int] | None:
         """Common subsequence, start and end of the part of 1.5 times the item's length that has the longest one and passes, or None."""
@@ -359,17 +392,17 @@ class Items:
         return out
 
 
-def _search(items_of):
+def _search(sent):
     def run(batches):
-        items = items_of()
+        rows, axes, rates, short = sent.value
+        items = Items(rows, axes, rates)
         for batch in batches:
-            rows = []
-            words, at = _words(batch.column(1))
-            ids = batch.column(0).to_pylist()
-            for i, j in npwords.blocks(at, 1 << 16):
-                for t, item, cosine, common, start, end in items.matches(words[at[i] : at[j]], at[i : j + 1] - at[i]):
-                    rows.append((ids[i + t], items.ids[item], cosine, common / len(items.words[item]), start, end))
-            yield _rows(rows)
+            out, ids = [], batch.column(0).to_pylist()
+            for i, _, words, at in tokens(batch.column(1)):
+                for t, item, cosine, common, start, end in items.matches(words, at):
+                    out.append((ids[i + t], items.ids[item], cosine, common / len(items.words[item]), start, end))
+                out += [(ids[i + t], *found) for t, found in _verbatim(short, words, at)]
+            yield _rows(out)
 
     return run
 
@@ -380,56 +413,51 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "item_id", "cosine", "lcs_share", "start_word", "end_word"])
 
 
-def _hashes(column: pa.Array):
-    """For blocks of texts: the first text, word hashes of 64 bits, offsets of the texts."""
-    data, offsets = npwords.utf8(column)
-    for i, j in npwords.blocks(offsets):
-        yield i, *npwords.word_hashes(_PLAIN[data[offsets[i] : offsets[j]]], offsets[i : j + 1] - offsets[i])
-
-
 def short_items(rows: list[tuple[int, str]]) -> list[tuple[int, list[int]]]:
     """Items of fewer than LEAST_WORDS words, and the hashes of these."""
-    own = [(item_id, next((w for _, w, _ in _hashes(pa.array([text]))), np.zeros(0, np.uint64)).tolist()) for item_id, text in rows]
+    own = [(item_id, next((w for _, _, w, _ in tokens(pa.array([text]))), np.zeros(0, np.uint64)).tolist()) for item_id, text in rows]
     return [(item_id, w) for item_id, w in own if 0 < len(w) < LEAST_WORDS]
 
 
-def _verbatim(items: list[tuple[int, list[int]]]):
+def _verbatim(items: list[tuple[int, list[int]]], words: np.ndarray, at: np.ndarray):
     """The first place of each item of `items` in each text that has its words one after the other."""
-
-    def run(batches):
-        for batch in batches:
-            ids, rows = batch.column(0).to_pylist(), []
-            for i, words, at in _hashes(batch.column(1)):
-                order = np.argsort(words, kind="stable")
-                ordered = words[order]
-                for item_id, own in items:
-                    a, z = np.searchsorted(ordered, np.uint64(own[0]), "left"), np.searchsorted(ordered, np.uint64(own[0]), "right")
-                    place = order[a:z]
-                    text = np.searchsorted(at, place, "right") - 1
-                    ok = place + len(own) <= at[text + 1]
-                    place, text = place[ok], text[ok]
-                    for k, w in enumerate(own[1:], 1):
-                        ok = words[place + k] == np.uint64(w)
-                        place, text = place[ok], text[ok]
-                    text, first = np.unique(text, return_index=True)
-                    rows += [(ids[i + t], item_id, 1.0, 1.0, p, p + len(own)) for t, p in zip(text.tolist(), (place[first] - at[text]).tolist(), strict=True)]
-            yield _rows(rows)
-
-    return run
+    for item_id, own in items:
+        place = np.flatnonzero(words == np.uint64(own[0]))
+        text = np.searchsorted(at, place, "right") - 1
+        ok = place + len(own) <= at[text + 1]
+        place, text = place[ok], text[ok]
+        for k, w in enumerate(own[1:], 1):
+            ok = words[place + k] == np.uint64(w)
+            place, text = place[ok], text[ok]
+        text, first = np.unique(text, return_index=True)
+        for t, p in zip(text.tolist(), (place[first] - at[text]).tolist(), strict=True):
+            yield t, (item_id, 1.0, 1.0, p, p + len(own))
+
+
+def benchmark_parts(benchmark: DataFrame):
+    """The items in parts that fit the driver and every task, however long the benchmark is."""
+    rows = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    part, size = [], 0
+    for r in rows.orderBy("item_id", "text").toLocalIterator():
+        if part and (len(part) >= PART_ITEMS or size + len(r["text"]) > PART_CHARACTERS):
+            yield part
+            part, size = [], 0
+        part.append((r["item_id"], r["text"]))
+        size += len(r["text"])
+    yield part
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item it holds: doc_id, item_id, cosine, lcs_share, and the words between which it was found."""
     own = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    encoded = written(own.mapInArrow(_encoded, "kind int, doc_id long, words binary"), "encoded")
-    axes = latent_axes(encoded)
-    rows = sorted((r["item_id"], r["text"]) for r in benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").collect())
-    # items and axes are sent once; the benchmark is the stated, bounded query set
-    sent = docs.sparkSession.sparkContext.broadcast((rows, axes))
-    form = "doc_id long, item_id long, cosine double, lcs_share double, start_word int, end_word int"
-    found = encoded.where(F.col("kind") == _DOCUMENT).select("doc_id", "words").mapInArrow(_search(lambda: Items(*sent.value)), form)
-    if short := short_items(rows):
-        found = found.unionByName(own.mapInArrow(_verbatim(short), form))
+    axes, rates = latent_axes(own.select("text"))
+    form, found, parts = "doc_id long, item_id long, cosine double, lcs_share double, start_word int, end_word int", None, 0
+    for part in benchmark_parts(benchmark):
+        sent = docs.sparkSession.sparkContext.broadcast((part, axes, rates, short_items(part)))
+        one = own.mapInArrow(_search(sent), form)
+        if parts:  # a long benchmark: each part's matches are written before the next part is searched for
+            one, found = written(one, "matches"), written(found, "matches") if parts == 1 else found
+        found, parts = one if found is None else found.unionByName(one), parts + 1
     # a stretch that two groups of windows reach is one match
     best = F.max_by(F.struct("cosine", "lcs_share", "start_word", "end_word"), F.struct("lcs_share", -F.col("start_word"))).alias("m")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "m.*")
