@@ -41,15 +41,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; others are refused,
+    as executors would write to disks of their own."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
     return path.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete the work tables of this application; call it when the results that read them have been used."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that no column of df has, in whatever case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -74,6 +94,12 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: str, n_keys: int) -> DataFrame
     return df.join(F.broadcast(keys) if n_keys <= BROADCAST_KEYS else keys.hint("shuffle_hash"), on, "left_semi")
 
 
+def sampled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ids(doc_id, ...), a bounded sample, each with one text of that id: of rows that share an id, the one with the smallest hash."""
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return rows.groupBy(*ids.columns).agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("t")).select(*ids.columns, "t.text")
+
+
 def _summed(rows):
     import pandas as pd
 

@@ -1,9 +1,11 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
 A text is cut into pieces (a line, or a part of it of at most PIECE_WORDS words), and each distinct piece's digest (40 bits, with 24 check bits) is
-added to three cells of a sketch: count, and xor of digests. The sketches of two versions are subtracted cell by cell; common pieces vanish, and peeling
-(cells with one digest left give it away, which frees other cells) recovers the digests that differ. If peeling gets stuck, larger sketches are
-made, GROWTH times as large each time; should the last fail too, the digests themselves are compared. Likeness is the Jaccard
+added to three cells of a sketch: count, and xor of digests. A fingerprint is the sketch with CELLS_A_PIECE to twice as many cells a piece, in steps of powers of
+two, so that it can be folded to any smaller step. The fingerprints of two versions are folded to one size and subtracted cell by cell; common pieces
+vanish, so that a small edit leaves three cells for each piece it changes, and peeling (cells with one digest left give it away, which frees other
+cells) recovers the digests that differ. Where peeling gets stuck, for more differs than the fingerprints hold, larger sketches of the
+digests are made, sized for the pieces of both, then larger ones; should the last fail too, the digests themselves are compared. Likeness is the Jaccard
 similarity that the recovered difference implies. Built from SQL functions only; cells without a piece are not stored.
 
 Defined results: a null text is empty; two empty texts have likeness 1; repeated rows have a fingerprint each, equal ids are ordered by text;
@@ -18,11 +20,14 @@ from pyspark.sql import functions as F
 from factloom.llm.common import documents, written
 
 PIECE_WORDS = 24
-#: Cells of the stored fingerprint; sizes of sketches that are compared, as shares of the pieces of both texts.
-CELLS, FIRST_SHARE, GROWTH, ATTEMPTS, ROUNDS = 24, 2.0, 3, 3, 40
-#: Peeling steps over one table of cells each that `compared` takes before a document goes to larger sketches.
+#: Cells of the smallest sketch's three tables; least cells of a fingerprint for each piece.
+SMALLEST, CELLS_A_PIECE = 8, 1.5
+#: Sizes of the sketches that `difference` compares one after the other, as shares of the pieces of both texts; peeling rounds.
+FIRST_SHARE, GROWTH, ATTEMPTS, ROUNDS = 2.0, 3, 3, 40
+#: Peeling steps over one table of cells each that are taken before larger sketches are made.
 STEPS = 12
-MOST_RANGES = 2000
+#: Documents of a range of ids.
+RANGE_ROWS = 20_000
 _CELL = "array<struct<at:int,n:int,key:bigint>>"
 _PIECE = rf"(?:\S+[\x20\t]+){{0,{PIECE_WORDS - 1}}}\S+"
 _HIGH = -(1 << 24)
@@ -109,75 +114,149 @@ def likeness(left: Column, right: Column, differing: Column | None = None) -> Co
     return F.when(both == 0, F.lit(1.0)).otherwise(of(differing) if differing is not None else bound(difference(left, right), of))
 
 
-def fingerprint(keys: Column) -> Column:
-    """The number of pieces and the cells of the sketch of CELLS cells: place, count and digests in hexadecimal."""
-    said = lambda c: F.concat(F.lpad(F.hex(c["at"].cast("bigint")), 2, "0"), F.lit("x"), F.hex(c["n"].cast("bigint")), F.lit("x"), F.lpad(F.hex(c["key"]), 16, "0"))
-    return F.concat(F.size(keys).cast("string"), F.lit(":"), F.array_join(F.transform(sketch(keys, F.lit(CELLS)), said), "."))
+def third_of(pieces: Column) -> Column:
+    """Cells of each of the three tables of a sketch for so many pieces: the least power of two times SMALLEST that suffices."""
+    return (F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(pieces * (CELLS_A_PIECE / 3 / SMALLEST), F.lit(1.0))))) * SMALLEST).cast("int")
+
+
+def fingerprint(pieces: Column, cells: Column) -> Column:
+    """A fingerprint as text: the number of pieces, the cells of a table, and place, count and digests of each cell, in hexadecimal."""
+    said = lambda c: F.concat(F.hex(c["at"].cast("bigint")), F.lit("x"), F.hex(c["n"].cast("bigint")), F.lit("x"), F.lpad(F.hex(c["key"]), 16, "0"))
+    return F.concat_ws(":", pieces.cast("string"), third_of(pieces).cast("string"), F.array_join(F.transform(cells, said), "."))
+
+
+def parsed(text: Column) -> Column:
+    """pieces, third and cells of a fingerprint's text."""
+    number = lambda h: F.conv(h, 16, -10).cast("bigint")
+    cell = lambda c: bound(F.split(c, "x"), lambda f: F.struct(number(f[0]).cast("int").alias("at"), number(f[1]).cast("int").alias("n"), number(f[2]).alias("key")))
+    fields = F.split(text, ":")
+    cells = F.when(fields[2] == "", F.array().cast(_CELL)).otherwise(F.transform(F.split(fields[2], "[.]"), cell))
+    return F.struct(fields[0].cast("int").alias("pieces"), fields[1].cast("int").alias("third"), cells.alias("cells"))
+
+
+def folded(cells: Column, third: Column, to: Column) -> Column:
+    """Cells of a sketch with tables of `third` cells as those of one with tables of `to` cells, not more."""
+    return _merged(F.transform(cells, lambda c: F.struct((F.floor(c["at"] / third).cast("int") * to + c["at"] % third % to).alias("at"), c["n"].alias("n"), c["key"].alias("key"))))
+
+
+def differing_pieces(left: Column, right: Column) -> Column:
+    """Number of digests that differ, from two fingerprints' texts alone; null where they hold too few cells for it."""
+    sizes = lambda l, r: F.least(l["third"], r["third"])
+    both = lambda l, r: bound(sizes(l, r), lambda t: peel(subtract(folded(l["cells"], l["third"], t), folded(r["cells"], r["third"], t)), t * 3))
+    return bound(parsed(left), lambda l: bound(parsed(right), lambda r: bound(both(l, r), lambda found: F.when(found.isNotNull(), F.size(found)))))
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, and the text of the next document in descending doc_id (of the first, after the last).
 
-    Documents are dealt to ranges of doc_id, whose ends are ids of documents; the first document of each range also goes to the range before it, as the next of
-    that range's last. So one shuffle does, and only the ends (at most MOST_RANGES numbers) reach the driver.
+    Documents are dealt to ranges of doc_id of about RANGE_ROWS documents, whose ends are ids of documents; the first document of each range also goes to the
+    range before it, as the next of that range's last. So one shuffle does, and only the ends (a number for each range) reach the driver. Rows that share
+    one id are in one range, which is sorted with spilling.
     """
     spark = docs.sparkSession
     lowest = -(1 << 63)
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(lowest)).alias("o"), F.coalesce("text", F.lit("")).alias("text"))
     doc_id = F.when(F.col("o") != lowest, F.col("o")).alias("doc_id")  # no column of its own: all uses of the shuffled rows then share one shuffle
-    n = min(MOST_RANGES, 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))  # several to a partition, so that partitions are even
-    ids = rows.select("o")
+    ids, partitions = rows.select("o"), int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(4 * partitions, -(-ids.count() // RANGE_ROWS))  # several to a partition, so that partitions are even
     got = ids.agg(F.percentile_approx("o", [i / n for i in range(1, n)] if n > 1 else [0.5], 20 * n).alias("ends"), F.max("o").alias("last")).first()
     ends = sorted({*(got["ends"] or []), *([got["last"]] if got["last"] is not None else [])})
     if not ends:
         return rows.select(F.lit(0).alias("range"), F.lit(1).alias("nth"), doc_id, "text", F.col("text").alias("next"))
     at = F.array(*[F.lit(e) for e in ends])
-    place = F.size(F.filter(at, lambda e: e < F.col("o")))
-    is_end = F.array_contains(at, F.col("o"))
+    # binary search for the number of ends below o
+    halve = lambda s, _: bound(F.shiftright(s["low"] + s["high"], 1), lambda m: F.when(s["low"] >= s["high"], s).when(F.get(at, m) < F.col("o"), F.struct((m + 1).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), m.alias("high"))))
+    place = F.aggregate(F.sequence(F.lit(1), F.lit(len(ends).bit_length())), F.struct(F.lit(0).alias("low"), F.lit(len(ends)).alias("high")), halve, lambda s: s["low"])
     here = lambda r, helper: F.struct(r.alias("range"), F.lit(helper).alias("helper"))
+    is_end = F.get(at, F.col("r")) == F.col("o")
     both = F.when(is_end, F.array(here(F.col("r"), 0), here(F.pmod(F.col("r") + 1, F.lit(len(ends))), 1))).otherwise(F.array(here(F.col("r"), 0)))
     dealt = rows.withColumn("r", place).withColumn("to", F.explode(both)).select("o", "text", "to.*")
+    if n > 4 * partitions:
+        dealt = dealt.repartition(n // 4, "range")
     w = Window.partitionBy("range").orderBy("helper", F.col("o").desc(), "text")
     dealt = dealt.withColumn("next", F.lead("text").over(w)).withColumn("nth", F.row_number().over(w))
     return dealt.where("helper = 0").select("range", "nth", doc_id, "text", "next")
 
 
-def compared(rows: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """rows (keyed by range and nth) with d0, d1, ...: how many digests differ between the two columns of each pair.
+def _places(third: Column) -> list[Column]:
+    """The cells of the digest `key` in the three tables."""
+    return [F.pmod(F.shiftright("key", 13 * j + 11), third).cast("int") + third * j for j in range(3)]
+
+
+def _put(i: int, keys: Column, n: int, third: Column) -> Column:
+    return F.transform(keys, lambda k: F.struct(F.lit(i).alias("pair"), k.alias("key"), F.lit(n).alias("n"), third.alias("third")))
+
+
+def sketches(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """range, nth and f_a, f_b, ...: the fingerprint's cells of each column a, b, ... of digests, in order of place. rows are partitioned by (range, nth)."""
+    all_ = F.concat(*[_put(i, F.col(c), 1, third_of(F.size(c))) for i, c in enumerate(columns)])
+    cells = rows.select("range", "nth", F.explode(all_).alias("d")).select("range", "nth", "d.*").withColumn("at", F.explode(F.array(*_places(F.col("third")))))
+    cells = cells.groupBy("range", "nth", "pair", "at").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key"))
+    own = lambda i, c: F.array_sort(F.collect_list(F.when(F.col("pair") == i, F.struct("at", "n", "key")))).alias(f"f_{c}")
+    return cells.groupBy("range", "nth").agg(*[own(i, c) for i, c in enumerate(columns)])
 
-    All sketches are added up, subtracted and peeled at once as rows (range, nth, pair, cell). The one shuffle is that of the rows by (range, nth); cells stay
-    in the partition of their row from then on.
-    A step peels the cells of one of the three tables, in which a digest has one cell only. Documents whose cells don't come to nothing in STEPS
-    steps are left to `difference`, with larger sketches.
+
+def _summed(cells: DataFrame) -> DataFrame:
+    return cells.groupBy("range", "nth", "pair", "third", "at").agg(F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key")).where("n <> 0 or key <> 0")
+
+
+def peeled(cells: DataFrame, pairs: int) -> DataFrame:
+    """range, nth and for each pair d0, d1, ...: digests recovered from the cells (range, nth, pair, third, at, n, key), and open0, ...: cells left.
+
+    A step peels the cells of one of the three tables, in which a digest has one cell only.
     """
-    rows = rows.repartition("range", "nth")
-    third = lambda l, r: F.ceil((F.size(l) + F.size(r)) * FIRST_SHARE / 3).cast("int") + 3
-    put = lambda i, c, n, t: F.transform(c, lambda k: F.struct(F.lit(i).alias("pair"), k.alias("key"), F.lit(n).alias("n"), t.alias("third")))
-    all_ = F.concat(*[put(i, F.col(c), n, third(l, r)) for i, (l, r) in enumerate(pairs) for c, n in ((l, 1), (r, -1))])
-    key = ["range", "nth", "pair", "third", "at"]
-    cells = rows.select("range", "nth", F.explode(all_).alias("d")).select("range", "nth", "d.*")
-    place = lambda j: F.pmod(F.shiftright("key", 13 * j + 11), F.col("third")).cast("int") + F.col("third") * j
-    cells = cells.withColumn("at", F.explode(F.array(*[place(j) for j in range(3)])))
-    summed = lambda df: df.groupBy(*key).agg(F.sum("n").cast("int").alias("n"), F.bit_xor("key").alias("key")).where("n <> 0 or key <> 0")
-    cells = summed(cells)
+    cells = _summed(cells)
     cell = lambda at, n, k: F.struct(at.alias("at"), n.alias("n"), k.alias("key"))
     for step in range(STEPS):
         j = step % 3
         pure = (F.col("at") >= F.col("third") * j) & (F.col("at") < F.col("third") * (j + 1)) & (F.abs("n") == 1)
         pure = pure & (_checked(F.col("key").bitwiseAND(F.lit(_HIGH))) == F.col("key"))
-        found = F.array(*[cell(place(i), -F.col("n"), F.col("key")) for i in range(3) if i != j], cell(F.lit(-1), F.lit(1), F.lit(0).cast("bigint")))
+        found = F.array(*[cell(p, -F.col("n"), F.col("key")) for i, p in enumerate(_places(F.col("third"))) if i != j], cell(F.lit(-1), F.lit(1), F.lit(0).cast("bigint")))
         out = F.when(pure, found).otherwise(F.array(cell(F.col("at"), F.col("n"), F.col("key"))))
-        cells = summed(cells.select("range", "nth", "pair", "third", F.explode(out).alias("c")).select("range", "nth", "pair", "third", "c.*"))
+        cells = _summed(cells.select("range", "nth", "pair", "third", F.explode(out).alias("c")).select("range", "nth", "pair", "third", "c.*"))
     per = []
-    for i in range(len(pairs)):
+    for i in range(pairs):
         own = F.col("pair") == i
-        per += [F.sum(F.when(own & (F.col("at") == -1), F.col("n"))).alias(f"d{i}"), F.count_if(own & (F.col("at") >= 0)).alias(f"open{i}")]
-    got = cells.groupBy("range", "nth").agg(*per)
-    out = rows.join(got, ["range", "nth"], "left")
+        per += [F.coalesce(F.sum(F.when(own & (F.col("at") == -1), F.col("n"))).cast("int"), F.lit(0)).alias(f"d{i}"), F.count_if(own & (F.col("at") >= 0)).alias(f"open{i}")]
+    return cells.groupBy("range", "nth").agg(*per)
+
+
+def _folded_cells(pair: int, cells: str, third: str, to: Column, sign: int) -> Column:
+    """A fingerprint's cells, folded to tables of `to` cells, as rows of a pair."""
+    place = lambda c: F.floor(c["at"] / F.col(third)).cast("int") * to + c["at"] % F.col(third) % to
+    return F.transform(cells, lambda c: F.struct(F.lit(pair).alias("pair"), to.alias("third"), place(c).alias("at"), (c["n"] * sign).alias("n"), c["key"].alias("key")))
+
+
+def compared(rows: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """rows (keyed by range and nth) with d0, d1, ...: how many digests differ between the two columns of each pair, and f_ and the name of each column of
+    digests: the cells of its fingerprint.
+
+    First the fingerprints are folded to one size, subtracted and peeled; pairs that don't come to nothing in STEPS steps are compared again in sketches of
+    their digests, sized for the pieces of both, and at last by `difference`. All shuffles are of rows by (range, nth); cells stay in the partition of their row.
+    """
+    rows, columns = rows.repartition("range", "nth"), list(dict.fromkeys(c for pair in pairs for c in pair))
+    prints = sketches(rows, columns)
+    sizes = rows.select("range", "nth", *[third_of(F.size(c)).alias(f"t_{c}") for c in columns])
+    wide, subtracted = prints.join(sizes, ["range", "nth"]), []
+    for i, (l, r) in enumerate(pairs):
+        to = F.least(f"t_{l}", f"t_{r}")
+        subtracted += [_folded_cells(i, f"f_{c}", f"t_{c}", to, sign) for c, sign in ((l, 1), (r, -1))]
+    cells = wide.select("range", "nth", F.explode(F.concat(*subtracted)).alias("c")).select("range", "nth", "c.*")
+    first = written(peeled(cells, len(pairs)), "peeled")
+    again = first.where(" or ".join(f"open{i} > 0" for i in range(len(pairs)))).select("range", "nth", *[f"open{i}" for i in range(len(pairs))])
+    larger = []
+    for i, (l, r) in enumerate(pairs):
+        a, b = F.col(l), F.col(r)
+        third = third_of(F.size(a) + F.size(b))
+        larger += [F.when(F.col(f"open{i}") > 0, _put(i, c, sign, third)).otherwise(F.array()) for c, sign in ((a, 1), (b, -1))]
+    cells = rows.join(again, ["range", "nth"]).select("range", "nth", F.explode(F.concat(*larger)).alias("d")).select("range", "nth", "d.*")
+    second = peeled(cells.withColumn("at", F.explode(F.array(*_places(F.col("third"))))), len(pairs))
+    second = second.select("range", "nth", *[F.col(f"{c}{i}").alias(f"{c}{i}_") for i in range(len(pairs)) for c in ("d", "open")])
+    out = rows.join(prints, ["range", "nth"], "left").join(first, ["range", "nth"], "left").join(second, ["range", "nth"], "left")
     for i, (l, r) in enumerate(pairs):
-        peeled = F.coalesce(F.col(f"d{i}").cast("int"), F.lit(0))
-        out = out.withColumn(f"d{i}", F.when(F.coalesce(F.col(f"open{i}"), F.lit(0)) == 0, peeled).otherwise(difference(F.col(l), F.col(r), 1)))
-    return out.drop(*[f"open{i}" for i in range(len(pairs))])
+        done = F.when(F.coalesce(F.col(f"open{i}"), F.lit(0)) == 0, F.coalesce(F.col(f"d{i}"), F.lit(0))).when(F.coalesce(F.col(f"open{i}_"), F.lit(0)) == 0, F.coalesce(F.col(f"d{i}_"), F.lit(0)))
+        out = out.withColumn(f"d{i}", done.otherwise(difference(F.col(l), F.col(r), 1)))
+    return out.withColumns({f"f_{c}": F.coalesce(f"f_{c}", F.array().cast(_CELL)) for c in columns})
 
 
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,4 +268,4 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(rows, "digests")  # texts are cut and hashed once, and their shuffle isn't needed any more
     a, e, x = F.col("a"), F.col("e"), F.col("x")
     rows = compared(rows, [("a", "e"), ("a", "x")])
-    return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(a).alias("fingerprint"), fingerprint(e).alias("edited_fingerprint"), likeness(a, e, F.col("d0")).alias("near_edited"), likeness(a, x, F.col("d1")).alias("near_next"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.size(a), F.col("f_a")).alias("fingerprint"), fingerprint(F.size(e), F.col("f_e")).alias("edited_fingerprint"), likeness(a, e, F.col("d0")).alias("near_edited"), likeness(a, x, F.col("d1")).alias("near_next"))

@@ -12,6 +12,9 @@ are predicted each; an empty table gives an empty result; with no labelled text
 
 from __future__ import annotations
 
+import heapq
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -19,10 +22,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, held_out
+from factloom.llm.common import documents, held_out, sampled_texts
 
 #: Bounds of the training sample: documents of each language (first by a hash of the id), bytes of labelled text of each.
 SAMPLE_DOCUMENTS, SAMPLE_BYTES = 150, 40_000
+#: Bytes of a stretch that is learned from.
+PIECE = 256
 STRETCH, LANES, SYMBOLS = 2048, 1 << 14, 96
 
 
@@ -142,20 +147,34 @@ class Parser:
         return [self.names[b] if ok else "und" for b, ok in zip(best.tolist(), letters, strict=True)], np.where(letters, score, 0.0)
 
 
+def _stretches(most: int):
+    """lang, nth, h and bytes of a text's stretches of PIECE bytes, the first `most` of them by a hash over the whole text."""
+
+    def run(batches):
+        for batch in batches:
+            for lang, doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                low = text.lower().encode()
+                hashed = [(zlib.crc32(b"%d:%d" % (doc_id, i)), i) for i in range(-(-len(low) // PIECE))]
+                own = heapq.nsmallest(most, hashed)
+                cols = [[lang] * len(own), list(range(len(own))), [h for h, _ in own], [low[i * PIECE : (i + 1) * PIECE] for _, i in own]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.int32(), pa.int64(), pa.binary()), strict=True)], names=["lang", "nth", "h", "piece"])
+
+    return run
+
+
 def train(docs: DataFrame, *, sample: int = SAMPLE_DOCUMENTS, size: int = SAMPLE_BYTES, modulus: int = 4, remainder: int = 2) -> dict[str, bytes]:
-    """Labelled text of each language: equal shares of at most `sample` documents, `size` bytes in all. The ids are chosen first, without the text."""
+    """Labelled text of each language: `size` bytes at most, in stretches from all over at most `sample` documents, in turns, so that a language with few
+    documents takes more of each. The ids are chosen first, without the text; of rows that share an id one is learned from."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(modulus, remainder)).select("doc_id", "lang").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(modulus, remainder)).select("doc_id", "lang").withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
-    piece = max(1, size // sample) * 4
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, piece).alias("text"))
-    by: dict[str, list[tuple[int, str]]] = {}
-    for r in rows.collect():  # at most `sample` pieces of bounded length for each language
-        by.setdefault(r["lang"], []).append((r["h"], r["text"]))
-    out = {}
-    for lang, texts in by.items():
-        share = max(1, size // len(texts))
-        out[lang] = b" ".join(t.lower().encode()[: max(share, 64)] for _, t in sorted(texts))[:size]
-    return out
+    ids = known.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
+    most = -(-2 * size // PIECE)
+    rows = sampled_texts(docs.where(F.col("text").isNotNull()), ids).select("lang", F.col("doc_id").cast("long"), "text").mapInArrow(_stretches(most), "lang string, nth int, h long, piece binary")
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("nth", "h", "piece"))
+    out: dict[str, list[bytes]] = {}
+    for r in rows.withColumn("turn", turn).where(F.col("turn") <= most).orderBy("lang", "turn").collect():  # twice `size` bytes a language at most
+        out.setdefault(r["lang"], []).append(bytes(r["piece"]))
+    return {lang: b" ".join(pieces)[:size] for lang, pieces in out.items()}
 
 
 _parsers: dict[int, Parser] = {}

@@ -4,11 +4,11 @@ Each source's target T asks for mu = T / (its size) copies of every document: fl
 probability. The cube method settles it: inside a block of documents, probabilities walk in the null space of the constraints
 (sum of sizes, number of documents), so both totals stay what they were, until only as many probabilities are fractional as there
 are constraints. What is left of all blocks meets in fewer blocks, and so on, until one small landing problem is left for each source; it is
-settled by the choice that comes nearest to the totals.
+settled by the choice that comes nearest to the totals, and swaps with other documents of that problem close the gap that remains.
 
 Defined results: null texts have size 0, documents of size 0 take part (their taken words are 0); repeated rows are documents of
 their own; a null source is a source, ordered last; an empty table gives an empty result. All random choices come from a fixed seed and
-rows are put in order inside a block, so reruns agree. Extra columns are left out of op10 and kept by `mix`.
+rows are put in order inside a block, so reruns over the same files agree. Extra columns are left out of op10 and kept by `mix`.
 """
 
 from __future__ import annotations
@@ -17,16 +17,18 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from factloom.llm.common import documents, written
+from factloom.llm.common import documents, unused, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS, TOTAL, MOST = (3, 1, 2), 1.5, 2.0
 #: Documents of a source that are settled together.
 BLOCK = 4096
 SEED = 10
+#: Swaps that are tried in a landing problem; rows of facts that are broadcast; groups of rows that repeat id, size and source.
+REPAIRS, BROADCAST_SOURCES, SALTS = 64, 100_000, 64
 
 
 def targets(sizes: dict[str | None, int]) -> dict[str | None, float]:
@@ -80,27 +82,62 @@ def landing(p: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return p
 
 
+def repair(p: np.ndarray, sizes: np.ndarray, open_: np.ndarray, want: float) -> np.ndarray:
+    """Settled entries (of open_, those that may change) swapped two by two while that brings the taken size nearer to `want`."""
+    p = p.copy()
+    for _ in range(REPAIRS):
+        gap = want - float(p @ sizes)
+        ones, zeros = open_[p[open_] == 1], open_[p[open_] == 0]
+        if not len(ones) or not len(zeros):
+            break
+        zeros = zeros[np.argsort(sizes[zeros], kind="stable")]
+        # each one's best partner is the zero whose size is nearest to its own plus the gap
+        at = np.searchsorted(sizes[zeros], sizes[ones] + gap)
+        near = np.stack([np.clip(at - 1, 0, len(zeros) - 1), np.clip(at, 0, len(zeros) - 1)])
+        left = np.abs(gap + sizes[ones] - sizes[zeros[near]])
+        k, i = np.unravel_index(int(left.argmin()), left.shape)
+        if left[k, i] >= abs(gap) - 1e-6:
+            break
+        p[ones[i]], p[zeros[near[k, i]]] = 0.0, 1.0
+    return p
+
+
 def _settle(last: bool):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["h", "doc_id", "size"], kind="stable", na_position="first").reset_index(drop=True)
-        sizes = rows["size"].to_numpy(float)
-        p = flight(rows["p"].to_numpy(float), sizes, np.random.default_rng([SEED, int(rows["block"].iloc[0]), len(rows)]))
-        rows["p"] = landing(p, sizes) if last else p
+        sizes, before = rows["size"].to_numpy(float), rows["p"].to_numpy(float)
+        p = flight(before, sizes, np.random.default_rng([SEED, int(rows["block"].iloc[0]), len(rows)]))
+        if last:
+            p = repair(landing(p, sizes), sizes, np.flatnonzero((before > 1e-9) & (before < 1 - 1e-9)), float(before @ sizes))
+        rows["p"] = p
         return rows
 
     return run
 
 
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source and a number of each row, written."""
+    return written(docs.select("doc_id", size_of().alias("size"), "source", F.monotonically_increasing_id().alias("nth")), "sized")
+
+
 def copies(sized: DataFrame) -> DataFrame:
-    """sized(doc_id, size, source) with source_size, target and copies (whole number) of each row."""
+    """sized(doc_id, size, source, nth) with source_size, target and copies (whole number) of each row."""
     per = {r["source"]: (r["words"], r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("words"), F.count("*").alias("n")).collect()}
     want = targets({s: w for s, (w, _) in per.items()})
     spark = sized.sparkSession
     facts = [(s, int(w), float(want[s]), want[s] / w if w else 0.0, max(1, -(-n // BLOCK))) for s, (w, n) in per.items()]
-    facts = spark.createDataFrame(facts, "source string, source_size long, target double, mu double, blocks int")
-    h = F.xxhash64(F.lit(SEED), "doc_id", "size")
-    rows = sized.alias("d").join(F.broadcast(facts.withColumnRenamed("source", "s")), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    rows = rows.select("doc_id", "size", "source", "source_size", "target", F.floor("mu").cast("int").alias("base"), (F.col("mu") - F.floor("mu")).alias("p"), h.alias("h"), F.pmod(F.shiftright(h, 20), F.col("blocks")).cast("int").alias("block"))
+    facts = spark.createDataFrame(facts, "s string, source_size long, target double, mu double, blocks int")
+    facts = F.broadcast(facts) if len(per) <= BROADCAST_SOURCES else facts
+    # rows that repeat an id and size would all be in one block: where there are many, their numbers deal them to several
+    often = sized.groupBy("doc_id", "size").count().where(F.col("count") > BLOCK // 4).select(F.col("doc_id").alias("o"), F.col("size").alias("z"))
+    n_often = often.count()
+    rows, h = sized, F.xxhash64(F.lit(SEED), "doc_id", "size")
+    if n_often:
+        often = F.broadcast(often) if n_often <= BROADCAST_SOURCES else often
+        rows = rows.join(often, F.col("doc_id").eqNullSafe(F.col("o")) & (F.col("size") == F.col("z")), "left")
+        h = F.when(F.col("z").isNull(), h).otherwise(F.xxhash64(h, "nth"))
+    rows = rows.join(facts, F.col("source").eqNullSafe(F.col("s"))).withColumn("h", h)
+    rows = rows.select("doc_id", "size", "source", "nth", "source_size", "target", F.floor("mu").cast("int").alias("base"), (F.col("mu") - F.floor("mu")).alias("p"), "h", F.pmod(F.shiftright("h", 20), F.col("blocks")).cast("int").alias("block"))
     parts, blocks = [], max((-(-n // BLOCK) for _, n in per.values()), default=1)
     while True:
         last = blocks <= 1
@@ -114,7 +151,7 @@ def copies(sized: DataFrame) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select("doc_id", "size", "source", "source_size", "target", (F.col("base") + F.col("p").cast("int")).alias("copies"))
+    return out.select("doc_id", "size", "source", "nth", "source_size", "target", (F.col("base") + F.col("p").cast("int")).alias("copies"))
 
 
 def size_of(text: str = "text"):
@@ -122,21 +159,32 @@ def size_of(text: str = "text"):
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """docs with every row as often as the mix takes it."""
-    sized = written(docs.select("doc_id", size_of().alias("size"), "source"), "sized")
-    n = copies(sized).groupBy("doc_id", "size", "source").agg(F.array_sort(F.collect_list("copies")).alias("copies"))
-    # rows that agree in id, size and source share their copies in order of the text
-    names = docs.columns
-    rows = docs.withColumn("__size", size_of())
-    joined = rows.join(n.select(F.col("doc_id").alias("__d"), F.col("size").alias("__n"), F.col("source").alias("__s"), F.col("copies").alias("__copies")), F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__size") == F.col("__n")) & F.col("source").eqNullSafe(F.col("__s")))
-    from pyspark.sql import Window
+    """docs with every row as often as the mix takes it.
 
-    single = joined.where(F.size("__copies") == 1).withColumn("__k", F.col("__copies")[0])
-    several = joined.where(F.size("__copies") > 1).withColumn("__i", F.row_number().over(Window.partitionBy("doc_id", "__size", "source").orderBy("text")))
-    several = several.withColumn("__k", F.element_at("__copies", F.col("__i"))).drop("__i")
-    return single.unionByName(several).withColumn("__t", F.explode(F.array_repeat(F.lit(True), F.col("__k")))).select(*names)
+    Rows that agree in id, size and source share their copies: SALTS groups of them get equal parts of the copies beyond the least, each group's first rows
+    in order of the text.
+    """
+    names = docs.columns
+    size, salt, one, i, o, z, s, low, more, n = unused(docs, "size", "salt", "one", "i", "o", "z", "s", "low", "more", "n")
+    key = [F.col("doc_id").alias(o), F.col("size").alias(z), F.col("source").alias(s)]
+    facts = copies(sized(docs)).groupBy("doc_id", "size", "source").agg(F.min("copies").alias(low), F.sum("copies").alias("all"), F.count("*").alias(n))
+    facts = facts.select(*key, low, (F.col("all") - F.col(low) * F.col(n)).alias(more), n)
+    same = F.col("doc_id").eqNullSafe(F.col(o)) & (F.col(size) == F.col(z)) & F.col("source").eqNullSafe(F.col(s))
+    joined = docs.withColumn(size, size_of()).join(facts, same)
+    single = joined.where(F.col(n) == 1).withColumn(i, F.col(low))
+    several = joined.where(F.col(n) > 1).withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.least(F.lit(SALTS), F.col(n))).cast("int"))
+    several = written(several, "repeated")  # the numbers of rows must not change between the two uses
+    group = Window.partitionBy(o, z, s)
+    shares = several.groupBy(o, z, s, salt).agg(F.count("*").alias(one), F.first(more).alias(more), F.first(n).alias(n))
+    upto = F.sum(one).over(group.orderBy(salt))
+    part = lambda x: F.floor(F.col(more) * x / F.col(n))
+    shares = shares.withColumn(one, (part(upto) - part(upto - F.col(one))).cast("long")).select(*[F.col(c).alias(f"{c}2") for c in (o, z, s, salt)], one)
+    rank = F.row_number().over(Window.partitionBy(o, z, s, salt).orderBy("text"))
+    fits = F.col(o).eqNullSafe(F.col(f"{o}2")) & (F.col(z) == F.col(f"{z}2")) & F.col(s).eqNullSafe(F.col(f"{s}2")) & (F.col(salt) == F.col(f"{salt}2"))
+    several = several.withColumn(i, rank).join(shares, fits).withColumn(i, F.col(low) + (F.col(i) <= F.col(one)).cast("int"))
+    rows = single.select(*names, i).unionByName(several.select(*names, i))
+    return rows.withColumn(n, F.explode(F.array_repeat(F.lit(True), F.col(i).cast("int")))).select(*names)
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = written(documents(spark, sf_dir).select("doc_id", size_of().alias("size"), "source"), "sized")
-    return copies(sized).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    return copies(sized(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, held_out, remainder_of_id, table
+from factloom.llm.common import documents, held_out, sampled_texts, table
 
 #: Bound of the training sample: labelled documents, the first by a hash of the id.
 SAMPLE_DOCUMENTS = 20_000
@@ -127,10 +127,10 @@ def _with_statistics(batches):
 
 
 def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_DOCUMENTS, modulus: int = 3, remainder: int = 1):
-    """Learn from at most `sample` labelled documents (null labels aside) that are not held out."""
-    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(modulus, remainder)).select("doc_id", "quality")
+    """Learn from at most `sample` labelled documents (null labels aside) that are not held out; of rows that share an id one is learned from."""
+    known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(modulus, remainder)).select("doc_id", "quality").distinct()
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select(F.col("quality").cast("double").alias("y"), "text")
+    rows = sampled_texts(docs, known).select(F.col("quality").cast("double").alias("y"), "text")
     got = rows.mapInArrow(_with_statistics, "y double, x array<double>").toArrow()
     y = got.column("y").to_numpy()
     x = np.array(got.column("x").to_pylist(), np.float64).reshape(len(y), len(NAMES))
@@ -167,5 +167,3 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", held_out(3, 1), "score", "predicted")
 
-
-__all__ = ["NAMES", "fit_trees", "keep_good", "op9_quality", "remainder_of_id", "score", "score_rows", "statistics", "train"]

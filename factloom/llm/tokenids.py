@@ -1,10 +1,10 @@
 """Token ids in ORC files: run-length encoded integers, row indexes, and Bloom filters on document ids.
 
-Documents are dealt to ranges of doc_id and sorted, so the files, in the order of their names, hold the ids in ascending doc_id order;
+Documents are dealt to ranges of doc_id and sorted, so the files, in the order of their numbers, hold the ids in ascending doc_id order;
 each range becomes a file of stripes that can be read in parallel, and statistics or Bloom filters prune stripes for a look-up by id.
 
-Defined results: a null text is empty and yields the end id alone; null ids come first; equal ids are ordered by text and are documents of
-their own; an empty table gives an empty result. The tokenizer's special strings inside a text are ordinary text. Extra columns are left out.
+Defined results: a null text is empty and yields the end id alone; null ids come first; equal ids are ordered by the text (its first 64
+characters, then a hash) and are documents of their own; an empty table gives an empty result. The tokenizer's special strings inside a text are ordinary text. Extra columns are left out.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from factloom.llm.common import documents, give_back, new_path, written
 END = 0
 #: Bytes encoded in one call, units whose ids a process keeps, places of its table: bounds of its memory.
 CALL_BYTES, KEPT_UNITS, PLACES = 500_000, 600_000, 1 << 22
+#: Byte values of the second hash of a unit.
+_SECOND = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64)
 _tokenizers: dict[str, object] = {}
 
 
@@ -35,6 +37,17 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+def cuts_hold(path: str) -> bool:
+    """Whether texts may be cut as Encoder does: byte-level pre-tokenizer with its own pattern, no normalizer, no post-processor."""
+    import json
+
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    own = told.get("pre_tokenizer") or {}
+    plain = own.get("type") == "ByteLevel" and own.get("use_regex", True) and not own.get("add_prefix_space", True)
+    return plain and told.get("normalizer") is None and told.get("post_processor") is None
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -65,11 +78,12 @@ def _odd(data: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of whole texts. The tokenizer's own cutting always ends a piece before a single blank, on both sides of a single line end and between
     a letter and a stop, so texts are cut there and each distinct unit is encoded once for many texts: all new ones as one text, whose ids are
-    dealt out by their bytes. Units are known by 64-bit hashes in a table with one place for each; one that finds its place taken is encoded
-    again each time. Texts with blanks next to each other, at an end, or outside ASCII are encoded as they are."""
+    dealt out by their bytes. Units are known by two hashes of 64 and 32 bits and their length, in a table with one place for each; one that finds its place
+    taken is encoded again each time. Texts with blanks next to each other, at an end, or outside ASCII are encoded as they are, and so are all
+    texts where the tokenizer cuts in another way (cuts_hold)."""
 
     def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
+        self.tokenizer, self.cuts = tokenizer(path), cuts_hold(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -77,8 +91,9 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.codes = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.int32)
+        self.keys, self.seconds, self.codes = np.zeros(PLACES, np.uint64), np.zeros(PLACES, np.uint32), np.zeros(PLACES, np.int32)
         self.starts, self.lengths, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.sizes = np.zeros(1, np.int64)[:0]
 
     def _learn(self, units: list[bytes]) -> None:
         """Number the units on. Those with a blank before them are joined as they are, others by line ends; blanks are texts of their own."""
@@ -100,20 +115,25 @@ class Encoder:
 
     def _numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number of each unit."""
-        hashes = npwords.run_hashes(data, starts, ends)
+        hashes, seconds, size = npwords.run_hashes(data, starts, ends), (npwords.run_hashes(data, starts, ends, _SECOND) >> np.uint64(32)).astype(np.uint32), ends - starts
         place = (hashes & np.uint64(PLACES - 1)).astype(np.int64)
         codes = self.codes[place]
-        miss = np.flatnonzero(self.keys[place] != hashes)
+        # a place that no unit has taken yet has the key 0 and the length 0
+        known = (self.keys[place] == hashes) & (self.seconds[place] == seconds)
+        known[known] = self.sizes[codes[known]] == size[known]
+        miss = np.flatnonzero(~known)
         if len(miss):
-            new, at, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
-            raw, first = data.tobytes(), len(self.starts)
-            self._learn([raw[a:b] for a, b in zip(starts[miss[at]].tolist(), ends[miss[at]].tolist(), strict=True)])
-            codes[miss] = first + back
-            spot = (new & np.uint64(PLACES - 1)).astype(np.int64)
-            self.keys[spot] = new
+            order = miss[np.lexsort((size[miss], seconds[miss], hashes[miss]))]
+            new = np.ones(len(order), bool)
+            new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (seconds[order][1:] != seconds[order][:-1]) | (size[order][1:] != size[order][:-1])
+            at, raw, first = order[new], data.tobytes(), len(self.starts)
+            self._learn([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
+            self.sizes = np.concatenate([self.sizes, size[at]])
+            codes[order] = first + np.cumsum(new) - 1
+            self.keys[place[at]], self.seconds[place[at]] = hashes[at], seconds[at]
             # of several new units with one place, the one whose key was written last owns it
-            own = self.keys[spot] == new
-            self.codes[spot[own]] = first + np.flatnonzero(own)
+            own = (self.keys[place[at]] == hashes[at]) & (self.seconds[place[at]] == seconds[at])
+            self.codes[place[at[own]]] = first + np.flatnonzero(own)
         return codes
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -126,6 +146,7 @@ class Encoder:
         odd = np.zeros(n_texts, bool)
         odd[full] = _WHITE[data[offsets[:-1][full]]] | _WHITE[data[offsets[1:][full] - 1]]
         odd[np.searchsorted(offsets, np.flatnonzero(_odd(data)), "right") - 1] = True
+        odd |= not self.cuts
         cut = _WHITE[data]
         line = cut & (data != 32)
         cut[1:] |= line[:-1] | (_STOP[data[1:]] & _LETTER[data[:-1]])
@@ -181,8 +202,10 @@ def encode(docs: DataFrame, path: str | None) -> DataFrame:
 
 def write(docs: DataFrame, path: str, tokenizer_path: str | None = None) -> None:
     """Encode every text and write the ids in ascending doc_id order to ORC files in `path`."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    out = encode(rows, tokenizer_path).write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.substring("text", 1, 64).alias("begin"), F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("nth"))
+    # equal ids are dealt to several files too
+    order = [F.col("doc_id").asc_nulls_first(), F.col("begin").asc(), F.col("h").asc(), F.col("nth").asc()]
+    out = encode(rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text"), tokenizer_path).write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
     out.option("orc.row.index.stride", "10000").option("orc.create.index", "true").option("orc.stripe.size", str(16 << 20)).option("compression", "zstd").orc(path)
 
 
@@ -200,6 +223,11 @@ def _digests(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64())], names=["file", "doc_id", "row", "n_tokens", "ids_crc32"])
 
 
+def file_number(name: str) -> int:
+    """The place of a file among the files: names are padded to five digits only."""
+    return int(name.split("-")[1])
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of each document, from the files.
 
@@ -209,7 +237,7 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     small = written(rows.mapInArrow(_digests, "file string, doc_id long, row long, n_tokens long, ids_crc32 long"), "token-digests")
     totals = {r["file"]: r["n"] for r in small.groupBy("file").agg(F.sum("n_tokens").alias("n")).collect()}
     before, at = [], 0
-    for name in sorted(totals):
+    for name in sorted(totals, key=file_number):
         before.append((name, at))
         at += totals[name]
     base = F.broadcast(spark.createDataFrame(before, "file string, base long"))

@@ -56,7 +56,7 @@ def test_stages_take_effect(spark, corpus):
     assert ids(good) - ids(single) == set(range(400, 420)) and single.columns == docs.columns
     clean = written(stages["benchmark decontamination"](spark, single, path), "clean")
     assert ids(single) - ids(clean) == {430} and clean.columns == docs.columns
-    mixed = written(stages["mixing sources to target weights"](spark, clean.drop("__copies"), path), "mixed")
+    mixed = written(stages["mixing sources to target weights"](spark, clean, path), "mixed")
     sizes = {r["doc_id"]: r["n"] for r in clean.select("doc_id", mixing.size_of().alias("n")).collect()}
     taken = {r["source"]: r["n"] for r in mixed.withColumn("n", mixing.size_of()).groupBy("source").agg(F.sum("n").alias("n")).collect()}
     per = {}

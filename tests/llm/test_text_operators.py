@@ -352,6 +352,49 @@ def test_fingerprint_edges(spark, tmp_path):
     assert fingerprints.op8_fingerprints(spark, f"{tmp_path}/none").count() == 0
 
 
+def brute_likeness(a, b):
+    cut = lambda t: {p for p in re.findall(rf"(?:[^ \t\n\x0b\f\r]+[ \t]+){{0,{fingerprints.PIECE_WORDS - 1}}}[^ \t\n\x0b\f\r]+", t)}
+    a, b = cut(a), cut(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_likeness_comes_from_the_returned_fingerprints(spark, tmp_path):
+    rows = [(i, "\n".join(prose(i * 1000 + k, 9) for k in range((i * 7) % 90))) for i in range(40)]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    out = fingerprints.op8_fingerprints(spark, str(tmp_path))
+    own = out.withColumn("d", fingerprints.differing_pieces(F.col("fingerprint"), F.col("edited_fingerprint"))).withColumn("l", fingerprints.parsed(F.col("fingerprint"))["pieces"]).withColumn("r", fingerprints.parsed(F.col("edited_fingerprint"))["pieces"]).collect()
+    texts, peeled = dict(rows), 0
+    for r in own:
+        text, nxt = texts[r["doc_id"]], texts[(r["doc_id"] - 1) % 40]
+        k = len(text) // 3
+        edited = text[: len(text) - k] + nxt[:k]
+        assert r["near_edited"] == pytest.approx(brute_likeness(text, edited)) and r["near_next"] == pytest.approx(brute_likeness(text, nxt))
+        if r["d"] is not None and r["l"] + r["r"]:
+            assert r["near_edited"] == pytest.approx((r["l"] + r["r"] - r["d"]) / (r["l"] + r["r"] + r["d"]))
+            peeled += 1
+    assert peeled >= 34  # the fingerprints alone hold enough for an edit of a third
+
+
+def test_a_small_edit_leaves_cells_in_proportion_to_it(spark):
+    lines = [prose(k, 9) for k in range(2000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines[:1000], "another line", *lines[1001:]])), (3, "\n".join(lines[:600]))]
+    d = frame(spark, rows).select("doc_id", F.lit(0).alias("range"), F.col("doc_id").cast("int").alias("nth"), fingerprints.digests(F.col("text")).alias("a"))
+    prints = {r["nth"]: r for r in fingerprints.sketches(d.repartition("range", "nth"), ["a"]).join(d, ["range", "nth"]).select("nth", fingerprints.fingerprint(F.size("a"), F.col("f_a")).alias("f")).collect()}
+    pair = spark.createDataFrame([(prints[1]["f"], prints[2]["f"], prints[3]["f"])], "l string, r string, s string")
+    l, r, s = (fingerprints.parsed(F.col(c)) for c in "lrs")
+    got = pair.select(F.size(fingerprints.subtract(l["cells"], r["cells"])).alias("left"), fingerprints.differing_pieces(F.col("l"), F.col("r")).alias("d"), s["third"].alias("small"), l["third"].alias("large"), fingerprints.differing_pieces(F.col("l"), F.col("s")).alias("far")).first()
+    assert got["left"] <= 6 and got["d"] == 2
+    assert got["small"] < got["large"] and got["far"] is None  # folded to the smaller size, too few cells for 1400
+
+
+def test_next_documents_across_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 3)
+    rows = [(i * 3 % 100, f"t{i * 3 % 100:03d}") for i in range(100)] + [(None, "null")] * 2
+    got = {(r["text"], r["next"]) for r in fingerprints.with_next(frame(spark, rows)).collect()}
+    order = [f"t{i:03d}" for i in range(99, -1, -1)] + ["null"]
+    assert got == set(zip(order, [*order[1:], order[0]])) | {("null", "null")}
+
+
 # --- decontamination, mixing --------------------------------------------------------------------------------------------------------------
 
 
@@ -450,7 +493,7 @@ def test_mixing_hits_targets_and_agrees_with_itself(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BLOCK", 50)
     rows = [(i, prose(i, 5 + i % 60), None, None if i % 7 == 0 else f"s{i % 3}", 1) for i in range(700)] + [(3, prose(3, 8), None, "s0", 1)] * 2 + [(None, None, None, "s1", 0)]
     docs = spark.createDataFrame(rows, DOCS)
-    sized = written(docs.select("doc_id", mixing.size_of().alias("size"), "source"), "sized")
+    sized = mixing.sized(docs)
     once, again = (sorted(map(str, mixing.copies(sized).collect())) for _ in range(2))
     assert once == again and len(once) == len(rows)
     per = mixing.copies(sized).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most")).collect()
