@@ -1,6 +1,10 @@
 """A training-data pipeline over `documents`: quality, near duplicates, decontamination, mixing, token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next stage's docs.
+
+Defined results: null texts count as empty; rows with a null doc_id can't be linked or matched and pass the stages that drop documents; rows that repeat a
+doc_id go or stay together in these; an empty table passes every stage as an empty table; columns beyond those of documents, whatever their names, are
+kept up to the last stage, which returns what the files hold.
 """
 
 from __future__ import annotations
@@ -9,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import decontam, jaccard, mixing, quality, tokenids
-from factloom.llm.common import documents, new_path, table, written
+from factloom.llm.common import BROADCAST_KEYS, documents, new_path, table, unused, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,12 +47,11 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    from factloom.llm.common import BROADCAST_KEYS
-
-    gone = written(gone, "gone")
-    keys = gone.withColumnRenamed("doc_id", "__gone")
-    keys = F.broadcast(keys) if gone.count() <= BROADCAST_KEYS else keys
-    return docs.join(keys, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """The rows of docs whose doc_id is not in gone; rows with a null doc_id stay."""
+    (key,) = unused(docs, "gone")
+    gone = written(gone.select(F.col("doc_id").alias(key)), "gone")
+    keys = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
+    return docs.join(keys, F.col("doc_id") == F.col(key), "left_anti")
 
 
 STAGES = [
