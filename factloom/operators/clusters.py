@@ -13,12 +13,13 @@ def _agree(a: tuple, b: tuple) -> bool:
 
 def date_clusters(mentions: DataFrame, key: list[str], mention: str, year: str, month: str, day: str) -> DataFrame:
     """key, mention, cluster: mentions by precision (day, month, year, unknown) join the only cluster all of whose dates agree with theirs; with none they
-    start one, with several they stay apart (cluster null: held)."""
+    start one, with several they stay apart (cluster null: held). Mentions of one date have one cluster, so the distinct dates of a key are clustered, which
+    its calendar bounds, and then joined to its mentions."""
     kinds = dict(mentions.dtypes)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        dates = [tuple(None if pd.isna(v) else int(v) for v in r) for r in rows[[year, month, day]].to_numpy()]
-        order = sorted(range(len(rows)), key=lambda i: (-sum(x is not None for x in dates[i]), tuple(-1 if x is None else x for x in dates[i]), rows[mention].iloc[i]))
+        dates = [tuple(None if pd.isna(v) else int(v) for v in r) for r in rows[["__y", "__m", "__d"]].to_numpy()]
+        order = sorted(range(len(rows)), key=lambda i: (-sum(x is not None for x in dates[i]), tuple(-1 if x is None else x for x in dates[i])))
         clusters: list[list[tuple]] = []
         out: list[int | None] = [None] * len(rows)
         for i in order:
@@ -30,10 +31,15 @@ def date_clusters(mentions: DataFrame, key: list[str], mention: str, year: str,
                 fit = [len(clusters) - 1]
             clusters[fit[0]].append(dates[i])
             out[i] = fit[0] + 1
-        return rows[[*key, mention]].assign(cluster=pd.array(out, dtype="Int64"))
-
-    schema = ", ".join(f"{c} {kinds[c]}" for c in (*key, mention)) + ", cluster long"
-    return mentions.groupBy(*key).applyInPandas(run, schema)
+        return rows[[*[f"__k_{k}" for k in key], "__y", "__m", "__d"]].assign(cluster=pd.array(out, dtype="Int64"))
+
+    dates = mentions.select(*[F.col(k).alias(f"__k_{k}") for k in key], F.col(year).cast("int").alias("__y"), F.col(month).cast("int").alias("__m"), F.col(day).cast("int").alias("__d")).distinct()
+    schema = ", ".join(f"`__k_{k}` {kinds[k]}" for k in key) + ", __y int, __m int, __d int, cluster long"
+    found = dates.groupBy(*[f"__k_{k}" for k in key]).applyInPandas(run, schema)
+    same = F.col(year).eqNullSafe(F.col("__y")) & F.col(month).eqNullSafe(F.col("__m")) & F.col(day).eqNullSafe(F.col("__d"))
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+    return mentions.join(found, same).select(*key, mention, "cluster")
 
 
 def visual_rows(tokens: DataFrame, key: list[str], token: str, y: str, tolerance: float) -> DataFrame:

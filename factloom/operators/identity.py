@@ -5,9 +5,11 @@ Links are equi-joins on a block key (a date, a number, a place) with a residual
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factloom.operators import ranks
+
 # Letters that names are written with in two ways.
 _EXPANDED = {"Ä": "AE", "Ö": "OE", "Ü": "UE", "ß": "SS", "ẞ": "SS"}
 _MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
@@ -61,10 +63,23 @@ def demote_shared(df: DataFrame, candidate: str, status: str, review: str = "REV
 def graded_match(left: DataFrame, right: DataFrame, block: list[str], left_id: str, right_id: str, left_name: str, right_name: str) -> DataFrame:
     """One row for each left id: the strictest grade found, how many right ids have it, the only one (else null), and the status.
 
-    Candidates share the block keys; of exact, orthography and prefix matches only the strictest grade counts, and a rival of that grade makes the link ambiguous.
+    Each grade is an equi-join on the block and what the grade compares: the name, a common form, the first word (then tested for the others). Left ids that a
+    stricter grade has settled don't go on, and a rival of the same grade makes the link ambiguous.
     """
-    pairs = left.select(*block, left_id, F.col(left_name).alias("__l")).join(right.select(*block, right_id, F.col(right_name).alias("__r")), block)
-    graded = pairs.withColumn("grade", name_match(F.col("__l"), F.col("__r"))).where(F.col("grade").isNotNull())
+    l = left.select(*block, left_id, F.col(left_name).alias("__l")).where(F.col("__l").isNotNull())
+    r = right.select(*block, right_id, F.col(right_name).alias("__r")).where(F.col("__r").isNotNull())
+    keys = {
+        "exact": (F.array(upper_name(F.col("__l"))), F.array(upper_name(F.col("__r")))),
+        "orthography": (name_forms(F.col("__l")), name_forms(F.col("__r"))),
+        "prefix": (F.slice(name_tokens(F.col("__l")), 1, 1), F.slice(name_tokens(F.col("__r")), 1, 1)),
+    }
+    graded = None
+    for grade, (a, b) in keys.items():
+        pairs = l.withColumn("__k", F.explode(a)).join(r.withColumn("__k", F.explode(b)), [*block, "__k"])
+        pairs = pairs.where(name_match(F.col("__l"), F.col("__r")) == grade).select(left_id, right_id, F.lit(grade).alias("grade"))
+        graded = pairs if graded is None else graded.unionByName(pairs)
+        if grade != "prefix":
+            l = l.join(pairs.select(left_id).distinct(), left_id, "left_anti")
     rank = F.when(F.col("grade") == "exact", 1).when(F.col("grade") == "orthography", 2).otherwise(3)
     per = graded.groupBy(left_id, rank.alias("__rank")).agg(F.count_distinct(right_id).alias("n"), F.min(right_id).alias("__one"), F.min("grade").alias("grade"))
     top = per.groupBy(left_id).agg(F.min_by(F.struct("n", "__one", "grade"), "__rank").alias("b")).select(left_id, "b.*")
@@ -94,9 +109,16 @@ def symmetric_difference(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def multi_value_index(df: DataFrame, column: str, owner: str, separator: str = ";") -> DataFrame:
-    """value, owners (sorted, comma-joined), n_owners: an inverted index of a column of separated values."""
-    values = df.select(owner, F.explode(F.split(column, separator)).alias("value")).select(owner, F.trim("value").alias("value")).where("value <> ''")
-    return values.distinct().groupBy("value").agg(F.array_join(F.array_sort(F.collect_list(F.col(owner).cast("string"))), ",").alias("owners"), F.count(F.lit(1)).alias("n_owners"))
+    """value, owner: an inverted index of a column of separated values, a row for each owner, so that a popular value is no long row."""
+    values = df.select(owner, F.explode(F.split(column, separator)).alias("value")).select(F.trim("value").alias("value"), owner).where("value <> ''")
+    return values.distinct()
+
+
+def index_counts(index: DataFrame) -> DataFrame:
+    """value, n_owners and a digest of the owners that doesn't depend on their order."""
+    owner = index.columns[1]
+    digest = F.conv(F.substring(F.md5(F.col(owner).cast("string").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return index.groupBy("value").agg(F.count(F.lit(1)).alias("n_owners"), F.sum(digest).alias("owners_digest"))
 
 
 def resolve_in_order(rows: DataFrame, row_id: str, tiers: list[DataFrame], candidate: str) -> DataFrame:
@@ -149,7 +171,7 @@ def match_any(left: DataFrame, right: DataFrame, left_id: str, right_id: str, ke
 
 def pair_once(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
     """keys, left id, right id: the n-th row of a key on one side goes with the n-th on the other, each is used once, and what is left over has a null partner."""
-    nth = lambda df, c: df.select(*keys, c, F.row_number().over(Window.partitionBy(*keys).orderBy(c)).alias("__n"))
+    nth = lambda df, c: ranks.row_numbers(df.select(*keys, c), keys, [F.col(c)], "__n")
     return nth(left, left_id).join(nth(right, right_id), [*keys, "__n"], "full_outer").select(*keys, left_id, right_id)
 
 

@@ -59,15 +59,21 @@ def active_or_latest(entries: DataFrame, active: DataFrame, module: str, version
 
 def closure(edges: DataFrame, source: str, target: str, start: DataFrame | None = None) -> DataFrame:
     """source, target of all paths (from the start nodes, if given): joins to the fixpoint, each round cut by a written table."""
-    from factloom.sources.work import written
+    from factloom.sources.work import appended, written
 
     step = written(edges.select(F.col(source).alias("s"), F.col(target).alias("t")).where("s is not null and t is not null").distinct(), "step")
     own = step if start is None else step.join(start.select(F.col(start.columns[0]).alias("s")).distinct(), "s", "left_semi")
-    reached = new = written(own, "reached")
+    # each round appends what is new to one folder, so that no round writes again what others have reached
+    path = appended(own, "reached")
+    spark, schema, rounds = edges.sparkSession, own.schema, 0
+    reached = lambda: spark.read.schema(schema).parquet(*[f"{path}/{k}" for k in range(rounds + 1)])
+    new = spark.read.schema(schema).parquet(f"{path}/0")
     while new.limit(1).count():
         found = new.join(step.select(F.col("s").alias("t"), F.col("t").alias("u")), "t").select("s", F.col("u").alias("t")).distinct()
-        new = written(found.join(reached, ["s", "t"], "left_anti"), "new")
-        reached = written(reached.union(new), "reached")
+        found.join(reached(), ["s", "t"], "left_anti").write.parquet(f"{path}/{rounds + 1}")
+        rounds += 1
+        new = spark.read.schema(schema).parquet(f"{path}/{rounds}")
+    reached = reached()
     return reached.select(F.col("s").alias(source), F.col("t").alias(target))
 
 

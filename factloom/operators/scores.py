@@ -67,14 +67,16 @@ def greedy_cover(items: DataFrame, item: str, feature: str, k: int) -> DataFrame
     spark = items.sparkSession
     rows = items.select(item, feature).distinct()
     weight = rows.groupBy(feature).agg((1 / F.sqrt(F.count(F.lit(1)))).alias("__w"))
-    open_, picks = rows.join(weight, feature), []
+    from factloom.sources.work import written
+
+    open_, picks = written(rows.join(weight, feature), "open"), []
     for _ in range(k):
         best = open_.groupBy(item).agg(F.round(F.sum("__w"), 9).alias("__s")).orderBy(F.col("__s").desc(), item).limit(1).first()
         if best is None:
             break
         picks.append((len(picks) + 1, best[0]))
         covered = rows.where(F.col(item) == best[0]).select(feature)
-        open_ = open_.join(covered, feature, "left_anti")
+        open_ = written(open_.join(covered, feature, "left_anti"), "open")  # earlier rounds aren't computed again
     kind = dict(items.dtypes)[item]
     return spark.createDataFrame(picks, f"rank int, {item} {kind}")
 

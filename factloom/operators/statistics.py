@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.operators import ranks
+
 
 def consensus(value: str | Column) -> Column:
     """Aggregate: the value if all non-null ones agree, else null."""
@@ -63,10 +65,22 @@ def strongest_of_best_tier(df: DataFrame, keys: list[str], tier: str, status: st
     return df.groupBy(*keys).agg(F.min(tier).alias(tier), F.max_by(status, F.struct((-F.col(tier)).alias("t"), rank.alias("r"))).alias(status))
 
 
-def continuous(value: str) -> list[Column]:
-    """Aggregates: n, missing, quartiles with linear interpolation."""
-    q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return [F.count(value).alias("n"), (F.count(F.lit(1)) - F.count(value)).alias("n_missing"), *[F.round(q[i], 4).alias(n) for i, n in enumerate(("q1", "median", "q3"))]]
+_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def continuous(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, n, n_missing and exact quartiles with linear interpolation; a group without a known value has null quartiles."""
+    counts = df.groupBy(*keys).agg(F.count(value).alias("n"), (F.count(F.lit(1)) - F.count(value)).alias("n_missing"))
+    return _joined(counts, ranks.quantiles(df, keys, value, _QUARTILES), keys)
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """left with the other columns of right, by keys of which null is a value."""
+    right = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(right, same, "left").drop(*[f"__{k}" for k in keys])
 
 
 def categorical(flag: str | Column, name: str) -> list[Column]:
@@ -110,6 +124,15 @@ def densified(groups: DataFrame, expected: DataFrame, keys: list[str], zeros: li
     return expected.select(*keys).distinct().join(groups, keys, "left").na.fill(0, zeros)
 
 
+def grid(df: DataFrame, key: str, column: str, most: int = 10_000) -> DataFrame:
+    """Every distinct key with every distinct value of column, which is a short list: more than `most` values are an error. Their number is checked first."""
+    values = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    expected = F.array(*[F.lit(v) for v in sorted(values)]) if values else F.array().cast(f"array<{dict(df.dtypes)[column]}>")
+    return df.select(key).distinct().select(key, F.explode(expected).alias(column))
+
+
 def pivot_counts(df: DataFrame, key: str, column: str, values: list[str]) -> DataFrame:
     """A count column for each of the stated values (so no pass over the data to find them), and the rest in `other`."""
     known = F.col(column).isin(values)
@@ -119,12 +142,10 @@ def pivot_counts(df: DataFrame, key: str, column: str, values: list[str]) -> Dat
 def mann_whitney(df: DataFrame, stratum: list[str], value: str, flag: str) -> DataFrame:
     """U of the flagged group, n1, n0, z (tie and continuity corrected), for each stratum.
 
-    Values are counted first, so ranks come from distinct values, and large strata aren't gathered row by row.
+    Values are counted first, and ranks come from the counts of smaller values (ranks.running_totals), so no stratum is gathered in one task.
     """
     per = df.where(F.col(value).isNotNull() & F.col(flag).isNotNull()).groupBy(*stratum, value).agg(F.count_if(F.col(flag)).alias("t1"), F.count(F.lit(1)).alias("t"))
-    w = Window.partitionBy(*stratum).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("t").over(w), F.lit(0))
-    ranked = per.withColumn("rank", before + (F.col("t") + 1) / 2)
+    ranked = ranks.running_totals(per, stratum, [F.col(value)], "t", "before").withColumn("rank", F.col("before") + (F.col("t") + 1) / 2)
     out = ranked.groupBy(*stratum).agg(F.sum(F.col("rank") * F.col("t1")).alias("r1"), F.sum("t1").alias("n1"), F.sum("t").alias("n"), F.sum(F.col("t").cast("double") * (F.col("t") * F.col("t") - 1)).alias("ties"))
     out = out.withColumn("n0", F.col("n") - F.col("n1")).withColumn("u", F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2)
     n = F.col("n").cast("double")
@@ -162,8 +183,10 @@ def baseline_table(df: DataFrame, group: str, numeric: list[str], flags: list[st
     parts += [F.struct(F.lit(v).alias("variable"), F.lit(None).cast("double").alias("x"), F.col(v).cast("boolean").alias("b")) for v in flags]
     long = df.select(F.col(group).alias("group"), F.explode(F.array(*parts)).alias("v")).select("group", "v.*")
     known = F.count("x") + F.count("b")
-    q = F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return long.groupBy("variable", "group").agg(known.alias("n"), (F.count(F.lit(1)) - known).alias("n_missing"), *[F.round(q[i], 4).alias(c) for i, c in enumerate(("q1", "median", "q3"))], F.when(F.count("b") > 0, F.count_if("b")).alias("k"), F.when(F.count("b") > 0, F.round(F.count_if("b") * 100.0 / F.count("b"), 4)).alias("pct"))
+    flags_ = [F.when(F.count("b") > 0, F.count_if("b")).alias("k"), F.when(F.count("b") > 0, F.round(F.count_if("b") * 100.0 / F.count("b"), 4)).alias("pct")]
+    counts = long.groupBy("variable", "group").agg(known.alias("n"), (F.count(F.lit(1)) - known).alias("n_missing"), *flags_)
+    out = _joined(counts, ranks.quantiles(long, ["variable", "group"], "x", _QUARTILES), ["variable", "group"])
+    return out.select("variable", "group", "n", "n_missing", *_QUARTILES, "k", "pct")
 
 
 def worst_unless_unresolved(category: str, ranks: dict[str, int], unresolved: Column, dominating: str, otherwise: str = "INDETERMINATE") -> Column:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factloom.operators import ranks
+
 
 def as_of(index: DataFrame, facts: DataFrame, keys: list[str], index_id: str, index_time: str, fact_time: str, value: str, lookback_days: int, same_day_first: bool = True) -> DataFrame:
     """index with the value of the latest fact in [index_time - lookback_days, index_time]; null if the latest facts disagree.
@@ -35,25 +37,57 @@ def facts_at(facts: DataFrame, index: DataFrame, entity: str, kind: str, value:
     return agg.select(entity, kind, F.when(F.col("__l") == F.col("__h"), F.col("__l")).alias("value"), "last_date", "n_facts")
 
 
+#: Seconds of the narrowest bucket, how much wider each level's are, levels, most buckets that an interval is put into.
+_BUCKET, _WIDER, _LEVELS, _MOST = 86_400, 64, 4, 64
+
+
 def link_in_interval(points: DataFrame, intervals: DataFrame, keys: list[str], point_id: str, point_time: str, interval_id: str, start: str, end: str) -> DataFrame:
-    """points with the id of the only interval that holds their time (inclusive), else null, and the number of intervals."""
-    rows = points.select(*keys, point_id, point_time).join(intervals.select(*keys, interval_id, start, end), keys)
-    rows = rows.where((F.col(point_time) >= F.col(start)) & (F.col(point_time) <= F.col(end)))
+    """points with the id of the only interval that holds their time (inclusive), else null, and the number of intervals.
+
+    The range join is an equi-join on the keys and on buckets of time: an interval is put into the buckets it touches, on the first level where these are few,
+    a point into its bucket on every level. So a point meets intervals near its time only, however long a key's history is.
+    """
+    seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    width = lambda k: _BUCKET * _WIDER**k
+    first, last = (lambda k: F.floor(seconds(start) / width(k))), (lambda k: F.floor(seconds(end) / width(k)))
+    level = F.lit(_LEVELS - 1)
+    for k in range(_LEVELS - 2, -1, -1):
+        level = F.when(last(k) - first(k) < _MOST, k).otherwise(level)
+    touched = F.when(F.col("__level") == 0, F.sequence(first(0), last(0)))
+    for k in range(1, _LEVELS):
+        touched = touched.when(F.col("__level") == k, F.sequence(first(k), last(k)))
+    right = intervals.where(F.col(start) <= F.col(end)).select(*keys, interval_id, start, end).withColumn("__level", level).withColumn("__bucket", F.explode(touched))
+    own = F.array(*[F.struct(F.lit(k).alias("__level"), F.floor(seconds(point_time) / width(k)).alias("__bucket")) for k in range(_LEVELS)])
+    left = points.select(*keys, point_id, point_time, F.explode(own).alias("__b")).select(*keys, point_id, point_time, "__b.*")
+    rows = left.join(right, [*keys, "__level", "__bucket"]).where((F.col(point_time) >= F.col(start)) & (F.col(point_time) <= F.col(end)))
     found = rows.groupBy(point_id).agg(F.count(F.lit(1)).alias("n_intervals"), F.min(interval_id).alias("__i"))
     out = points.join(found, point_id, "left")
     return out.withColumn("n_intervals", F.coalesce("n_intervals", F.lit(0).cast("bigint"))).withColumn(interval_id, F.when(F.col("n_intervals") == 1, F.col("__i"))).drop("__i")
 
 
-def islands(df: DataFrame, keys: list[str], time: str, gap_seconds: int, order: list[str]) -> DataFrame:
-    """keys, island, start, end, n: runs of rows whose distance to the row before is at most gap_seconds.
+def islands(df: DataFrame, keys: list[str], time: str, gap_seconds: int, order: list[str], bucket_seconds: int = 7 * 86_400) -> DataFrame:
+    """keys, island, start, end, n: runs of rows whose distance to the row before is at most gap_seconds, numbered from 1 inside a key.
 
-    For keys with too many rows for one task, first cut time into coarse windows and join the ends; here a key's rows are sorted with spilling.
+    Time is cut into buckets, each of which is a window of its own; then only the first and last run of each bucket meet in a window of the key, where runs that
+    go on in the next bucket become one. `order` only breaks ties of time, which don't change the runs.
     """
-    w = Window.partitionBy(*keys).orderBy(time, *order)
-    micros = F.unix_micros(F.col(time).cast("timestamp"))
-    late = micros - F.lag(micros).over(w) > gap_seconds * 1_000_000
-    marked = df.withColumn("__new", F.coalesce(late, F.lit(True)).cast("int")).withColumn("island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*keys, "island").agg(F.min(time).alias("start"), F.max(time).alias("end"), F.count(F.lit(1)).alias("n"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    rows = df.where(F.col(time).isNotNull()).select(*keys, time, *[c for c in order if c not in (*keys, time)], F.floor(micros(time) / (bucket_seconds * 1_000_000)).alias("__b"))
+    w = Window.partitionBy(*keys, "__b").orderBy(time, *order)
+    late = lambda c, before, w: F.coalesce(micros(c) - F.lag(micros(before)).over(w) > gap_seconds * 1_000_000, F.lit(True)).cast("int")
+    marked = rows.withColumn("__new", late(time, time, w)).withColumn("__i", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = marked.groupBy(*keys, "__b", "__i").agg(F.min(time).alias("start"), F.max(time).alias("end"), F.count(F.lit(1)).alias("n"))
+    last = runs.groupBy(*keys, "__b").agg(F.max("__i").alias("__k"), F.min("start").alias("__first"), F.max("end").alias("__end"))
+    # how many runs of the key begin before each bucket: those of earlier buckets that aren't the going on of one before them
+    by_bucket = Window.partitionBy(*keys).orderBy("__b")
+    joined = 1 - late("__first", "__end", by_bucket)
+    last = last.withColumn("__goes_on", joined).withColumn("__before", F.sum(F.col("__k") - F.col("__goes_on")).over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__k") + F.col("__goes_on"))
+    last = last.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("__b").alias("__b2"), "__goes_on", "__before")
+    same = F.col("__b") == F.col("__b2")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    numbered = runs.join(last, same).withColumn("island", (F.col("__before") + F.col("__i") - F.col("__goes_on")).cast("bigint"))
+    return numbered.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
 
 
 def running_changes(df: DataFrame, keys: list[str], order: list[str], state: Column) -> DataFrame:
@@ -65,7 +99,7 @@ def running_changes(df: DataFrame, keys: list[str], order: list[str], state: Col
 
 def numbered(df: DataFrame, key: str, date: str, tie: str) -> DataFrame:
     """df with exam_order: 1, 2, ... by date, unknown dates last, ties by `tie`."""
-    return df.withColumn("exam_order", F.row_number().over(Window.partitionBy(key).orderBy(F.col(date).asc_nulls_last(), tie)))
+    return ranks.row_numbers(df, [key], [F.col(date).asc_nulls_last(), F.col(tie).asc()], "exam_order")
 
 
 def last_known(df: DataFrame, keys: list[str], value: str, order: list[str]) -> DataFrame:
@@ -109,7 +143,8 @@ def partial_date(text: Column) -> Column:
     day, month, year = r"\b(\d{1,2})\.(\d{1,2})\.((?:19|20)\d{2})\b", r"\b(\d{1,2})/((?:19|20)\d{2})\b", r"\b((?:19|20)\d{2})\b"
     out = lambda y, m, d, p: F.struct(y.alias("year"), m.alias("month"), d.alias("day"), F.lit(p).alias("precision"))
     none = F.lit(None).cast("int")
-    valid = F.try_make_date(part(day, 3), part(day, 2), part(day, 1)) if hasattr(F, "try_make_date") else F.expr("true")
+    padded = F.concat_ws("-", F.regexp_extract(text, day, 3), F.lpad(F.regexp_extract(text, day, 2), 2, "0"), F.lpad(F.regexp_extract(text, day, 1), 2, "0"))
+    valid = F.try_to_date(padded, "yyyy-MM-dd")
     return F.when(text.rlike(day) & valid.isNotNull(), out(part(day, 3), part(day, 2), part(day, 1), "day")).when(text.rlike(month) & part(month, 1).between(1, 12), out(part(month, 2), part(month, 1), none, "month")).when(text.rlike(year), out(part(year, 1), none, none, "year")).otherwise(out(none, none, none, "unknown"))
 
 

@@ -6,8 +6,10 @@ Patterns use explicit classes that Java and RE2 read alike.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def normalized(text: Column) -> Column:
@@ -20,11 +22,24 @@ def signature(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(text, "[0-9]", "#"), r"[^A-Za-zÄÖÜäöüßÀ-ÿ#]", ""))
 
 
-def lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, line_no (from 0), line, start: every line with the code point offset it begins at."""
-    rows = docs.select(key, F.posexplode(F.transform(F.split(text, "\n"), lambda x: x)).alias("line_no", "line"))
-    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("start", F.coalesce(F.sum(F.length("line") + 1).over(w), F.lit(0)))
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("line", T.StringType()), T.StructField("start", T.LongType())])))
+def _with_starts(texts: pd.Series) -> pd.Series:
+    def cut(t: str | None) -> list[dict] | None:
+        if t is None:
+            return None
+        out, at = [], 0
+        for line in t.split("\n"):
+            out.append({"line": line, "start": at})
+            at += len(line) + 1
+        return out
+
+    return texts.map(cut)
+
+
+def lines(docs: DataFrame, key: str, text: str, *more: Column) -> DataFrame:
+    """key, line_no (from 0), line, start: every line with the code point offset it begins at, and further columns of the text. Nothing is shuffled."""
+    names = docs.select(key, *more).columns
+    return docs.select(key, *more, F.posexplode(_with_starts(F.col(text))).alias("line_no", "l")).select(*names, "line_no", "l.line", "l.start")
 
 
 def noise_lines(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
@@ -45,11 +60,10 @@ def sections(docs: DataFrame, key: str, text: str, is_heading: Column) -> DataFr
 
     is_heading is a predicate on the columns line and line_no. What comes before the first heading is a section of its own, without heading.
     """
-    rows = lines(docs, key, text).withColumn("__h", is_heading)
-    heads = rows.where(F.col("__h") | (F.col("line_no") == 0)).select(key, "line_no", "start", F.when(F.col("__h"), F.col("line")).alias("heading"))
-    w = Window.partitionBy(key).orderBy("line_no")
-    size = docs.select(key, F.length(text).alias("__n"))
-    spans = heads.withColumn("section_no", F.row_number().over(w)).withColumn("__next", F.lead("start").over(w)).join(size, key)
+    rows = lines(docs, key, text, F.length(text).alias("__n")).withColumn("__h", is_heading)
+    heads = rows.where(F.col("__h") | (F.col("line_no") == 0)).select(key, "__n", "line_no", "start", F.when(F.col("__h"), F.col("line")).alias("heading"))
+    w = Window.partitionBy(key).orderBy("line_no")  # of headings only
+    spans = heads.withColumn("section_no", F.row_number().over(w)).withColumn("__next", F.lead("start").over(w))
     return spans.select(key, "section_no", F.col("start").cast("bigint").alias("start"), F.coalesce("__next", "__n").cast("bigint").alias("end"), "heading")
 
 

@@ -46,7 +46,7 @@ def _priced(t: Tables) -> DataFrame:
   round(quantile_cont(o_totalprice, 0.5), 4) AS median, round(quantile_cont(o_totalprice, 0.75), 4) AS q3
   FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""")
 def describe_continuous(t: Tables) -> DataFrame:
-    return _priced(t).groupBy("c_mktsegment").agg(*statistics.continuous("o_totalprice"))
+    return statistics.continuous(_priced(t), ["c_mktsegment"], "o_totalprice")
 
 
 @query("""SELECT c_mktsegment, count(*) FILTER (WHERE o_orderstatus = 'F') AS final_k, count(o_orderstatus) AS final_n,
@@ -126,9 +126,7 @@ def pivot_status_coverage(t: Tables) -> DataFrame:
   SELECT b.p_brand, s.p_size, coalesce(n, 0) AS n, mean FROM b CROSS JOIN s LEFT JOIN g ON g.p_brand = b.p_brand AND g.p_size = s.p_size""")
 def densified_group_summary(t: Tables) -> DataFrame:
     groups = t.part.where("p_retailprice > 1200").groupBy("p_brand", "p_size").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("p_retailprice"), 4).alias("mean"))
-    sizes = t.part.agg(F.collect_set("p_size").alias("s"))  # the expected values are a short list
-    expected = t.part.select("p_brand").distinct().join(F.broadcast(sizes)).select("p_brand", F.explode("s").alias("p_size"))
-    return statistics.densified(groups, expected, ["p_brand", "p_size"], ["n"])
+    return statistics.densified(groups, statistics.grid(t.part, "p_brand", "p_size"), ["p_brand", "p_size"], ["n"])
 
 
 @query("""WITH l AS (SELECT c_mktsegment AS s, o_totalprice AS v, o_orderstatus = 'F' AS f FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus IN ('F','O')),
@@ -255,10 +253,10 @@ def three_way_manifest_join(t: Tables) -> DataFrame:
     return o.join(c, "c_custkey").join(items, "o_orderkey").select("c_custkey", "o_orderkey", "n_items", "quantity")
 
 
-@query("""WITH c AS (SELECT * FROM customer WHERE c_custkey % 5 <> 0) SELECT o_orderkey, c_custkey, CASE WHEN c_custkey IS NULL THEN 'missing' WHEN c_acctbal < 0 THEN 'conflict' ELSE 'ok' END AS status
+@query("""WITH c AS (SELECT * FROM customer WHERE c_mktsegment <> 'MACHINERY') SELECT o_orderkey, c_custkey, CASE WHEN c_custkey IS NULL THEN 'missing' WHEN c_acctbal < 0 THEN 'conflict' ELSE 'ok' END AS status
   FROM orders LEFT JOIN c ON o_custkey = c_custkey""")
 def left_join_conflicts(t: Tables) -> DataFrame:
-    c = t.customer.where("c_custkey % 5 <> 0").select("c_custkey", "c_acctbal")
+    c = t.customer.where("c_mktsegment <> 'MACHINERY'").select("c_custkey", "c_acctbal")
     status = F.when(F.col("c_custkey").isNull(), "missing").when(F.col("c_acctbal") < 0, "conflict").otherwise("ok")
     return t.orders.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").select("o_orderkey", "c_custkey", status.alias("status"))
 
@@ -286,16 +284,16 @@ def key_match_cardinality(t: Tables) -> DataFrame:
     return identity.match_cardinality(probe, build, ["n", "g"], "s_suppkey").select("c_custkey", "n_candidates", "status", "candidate")
 
 
-@query("""WITH p AS (SELECT p_partkey AS k, p_size AS s, p_brand AS b, upper(trim(regexp_replace(p_name, '[^A-Za-z0-9]+', ' ', 'g'))) AS n FROM part),
+@query("""WITH p AS (SELECT p_partkey AS k, p_size AS s, p_brand AS b, p_retailprice AS v, upper(trim(regexp_replace(p_name, '[^A-Za-z0-9]+', ' ', 'g'))) AS n FROM part),
   x AS (SELECT l.k AS l, r.k AS r, CASE WHEN l.n = r.n THEN 1 WHEN replace(l.n, ' ', '') = replace(r.n, ' ', '') THEN 2
     WHEN list_slice(string_split(l.n, ' '), 1, least(len(string_split(l.n, ' ')), len(string_split(r.n, ' ')))) = list_slice(string_split(r.n, ' '), 1, least(len(string_split(l.n, ' ')), len(string_split(r.n, ' ')))) THEN 3 END AS g
-    FROM p l JOIN p r ON l.s = r.s AND l.b = r.b AND r.k % 2 = 1 WHERE l.k % 2 = 0),
+    FROM p l JOIN p r ON l.s = r.s AND l.b = r.b AND r.v >= 1200 WHERE l.v < 1200),
   c AS (SELECT l, g, count(DISTINCT r) AS n, min(r) AS one FROM x WHERE g IS NOT NULL GROUP BY l, g), m AS (SELECT l, min(g) AS g FROM c GROUP BY l), z AS (SELECT c.* FROM c JOIN m ON c.l = m.l AND c.g = m.g)
   SELECT k AS left_id, CASE g WHEN 1 THEN 'exact' WHEN 2 THEN 'orthography' WHEN 3 THEN 'prefix' END AS grade, coalesce(z.n, 0) AS n_matches, CASE WHEN z.n = 1 THEN one END AS right_id,
-  CASE WHEN z.n IS NULL THEN 'NO_MATCH' WHEN z.n = 1 THEN 'MATCH' ELSE 'AMBIGUOUS' END AS status FROM p LEFT JOIN z ON z.l = p.k WHERE k % 2 = 0""")
+  CASE WHEN z.n IS NULL THEN 'NO_MATCH' WHEN z.n = 1 THEN 'MATCH' ELSE 'AMBIGUOUS' END AS status FROM p LEFT JOIN z ON z.l = p.k WHERE p.v < 1200""")
 def graded_match_unique(t: Tables) -> DataFrame:
-    side = lambda r, name, label: t.part.where(F.col("p_partkey") % 2 == r).select("p_size", "p_brand", F.col("p_partkey").alias(name), F.col("p_name").alias(label))
-    return identity.graded_match(side(0, "left_id", "l"), side(1, "right_id", "r"), ["p_size", "p_brand"], "left_id", "right_id", "l", "r")
+    side = lambda dear, name, label: t.part.where((F.col("p_retailprice") >= 1200) == F.lit(dear)).select("p_size", "p_brand", F.col("p_partkey").alias(name), F.col("p_name").alias(label))
+    return identity.graded_match(side(False, "left_id", "l"), side(True, "right_id", "r"), ["p_size", "p_brand"], "left_id", "right_id", "l", "r")
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT s_nationkey AS a, CAST(floor(s_acctbal / 500) AS INTEGER) + 1000 AS b FROM supplier), d AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
@@ -320,9 +318,9 @@ def date_conflict_reasons(t: Tables) -> DataFrame:
 
 
 @query("""WITH v AS (SELECT DISTINCT p_partkey, trim(u) AS value FROM (SELECT p_partkey, unnest(string_split(p_type, ' ')) AS u FROM part) WHERE trim(u) <> '')
-  SELECT value, count(*) AS n_owners, md5(string_agg(CAST(p_partkey AS VARCHAR), ',' ORDER BY CAST(p_partkey AS VARCHAR))) AS owners_md5 FROM v GROUP BY value""")
+  SELECT value, count(*) AS n_owners, CAST(sum(CAST(concat('0x', substr(md5(CAST(p_partkey AS VARCHAR)), 1, 8)) AS BIGINT)) AS BIGINT) AS owners_digest FROM v GROUP BY value""")
 def split_semicolon_index(t: Tables) -> DataFrame:
-    return identity.multi_value_index(t.part, "p_type", "p_partkey", " ").select("value", "n_owners", F.md5(F.col("owners").cast("binary")).alias("owners_md5"))
+    return identity.index_counts(identity.multi_value_index(t.part, "p_type", "p_partkey", " "))
 
 
 @query("""WITH c AS (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END AS own, s_nationkey + CAST(floor(s_acctbal / 3000) AS INTEGER) AS other FROM supplier),
@@ -340,36 +338,37 @@ def resolve_tiers(t: Tables) -> DataFrame:
 # --- loads and versions ---------------------------------------------------------------------------------------------------------
 
 
-@query("""WITH c AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 20 = 0),
-  s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 3 = 0),
+@query("""WITH c AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'),
+  s AS (SELECT l_orderkey AS k, l_linestatus AS v FROM lineitem WHERE l_linenumber = 1 AND l_returnflag <> 'R'),
   a AS (SELECT k, count(*) AS n, min(v) AS v FROM c GROUP BY k), b AS (SELECT k, count(*) AS n, min(v) AS v FROM s GROUP BY k)
   SELECT a.k, a.v, CASE WHEN a.n > 1 OR b.n > 1 THEN 'ambiguous' WHEN b.n IS NULL THEN 'insert' WHEN a.v IS NOT DISTINCT FROM b.v THEN 'skip' ELSE 'conflict' END AS status FROM a LEFT JOIN b ON a.k = b.k""")
 def reconcile_plan(t: Tables) -> DataFrame:
     o = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
-    stored = o.where("k % 3 = 0").withColumn("v", F.when(F.col("k") % 7 == 0, "X").otherwise(F.col("v")))
-    return reconcile.plan_load(o.where("k % 2 = 0").unionByName(o.where("k % 20 = 0")), stored, ["k"], ["v"])
+    twice = t.orders.where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"))
+    stored = t.lineitem.where("l_linenumber = 1 and l_returnflag <> 'R'").select(F.col("l_orderkey").alias("k"), F.col("l_linestatus").alias("v"))
+    return reconcile.plan_load(o.unionByName(twice), stored, ["k"], ["v"])
 
 
-@query("""WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p FROM orders WHERE o_orderkey % 13 <> 5), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s,
-    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS p FROM orders WHERE o_orderkey % 11 <> 3)
+@query("""WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_totalprice AS p FROM orders WHERE o_orderpriority <> '5-LOW'), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS s,
+    CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_totalprice END AS p FROM orders WHERE o_orderpriority <> '1-URGENT')
   SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'ADDED' WHEN b.k IS NULL THEN 'REMOVED' WHEN a.s IS DISTINCT FROM b.s OR a.p IS DISTINCT FROM b.p THEN 'CHANGED' ELSE 'UNCHANGED' END AS change,
   CASE WHEN a.k IS NULL OR b.k IS NULL THEN '' ELSE concat_ws(',', CASE WHEN a.s IS DISTINCT FROM b.s THEN 's' END, CASE WHEN a.p IS DISTINCT FROM b.p THEN 'p' END) END AS changed_columns FROM a FULL JOIN b ON a.k = b.k""")
 def snapshot_diff(t: Tables) -> DataFrame:
-    o = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("p"))
+    side = lambda but: t.orders.where(F.col("o_orderpriority") != but).select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("p"))
     k = F.col("k")
-    new = o.where(k % 11 != 3).withColumn("s", F.when(k % 7 == 0, "X").otherwise(F.col("s"))).withColumn("p", F.when(k % 5 != 0, F.col("p")))
-    return reconcile.snapshot_diff(o.where(k % 13 != 5), new, ["k"], ["s", "p"])
+    new = side("1-URGENT").withColumn("s", F.when(k % 7 == 0, "X").otherwise(F.col("s"))).withColumn("p", F.when(k % 5 != 0, F.col("p")))
+    return reconcile.snapshot_diff(side("5-LOW"), new, ["k"], ["s", "p"])
 
 
 @query("""WITH a AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS s, CASE WHEN c_custkey % 4 <> 0 THEN c_acctbal END AS b FROM customer),
-  b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'OTHER' ELSE c_mktsegment END AS s, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS b FROM customer WHERE c_custkey % 7 <> 0),
+  b AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'OTHER' ELSE c_mktsegment END AS s, CASE WHEN c_custkey % 6 <> 0 THEN c_acctbal END AS b FROM customer WHERE c_nationkey <> 7),
   j AS (SELECT a.s AS s, b.s AS s2, a.b AS b, b.b AS b2 FROM a LEFT JOIN b ON a.k = b.k)
   SELECT 's' AS "column", count(*) FILTER (WHERE s IS NULL AND s2 IS NOT NULL) AS filled, count(*) FILTER (WHERE s = s2) AS equal, count(*) FILTER (WHERE s <> s2) AS conflict FROM j
   UNION ALL SELECT 'b', count(*) FILTER (WHERE b IS NULL AND b2 IS NOT NULL), count(*) FILTER (WHERE b = b2), count(*) FILTER (WHERE b <> b2) FROM j""")
 def fill_null_merge(t: Tables) -> DataFrame:
     k = F.col("c_custkey")
     a = t.customer.select(k.alias("k"), F.when(k % 3 != 0, F.col("c_mktsegment")).alias("s"), F.when(k % 4 != 0, F.col("c_acctbal")).alias("b"))
-    b = t.customer.where(k % 7 != 0).select(k.alias("k"), F.when(k % 5 == 0, "OTHER").otherwise(F.col("c_mktsegment")).alias("s"), F.when(k % 6 != 0, F.col("c_acctbal")).alias("b"))
+    b = t.customer.where("c_nationkey <> 7").select(k.alias("k"), F.when(k % 5 == 0, "OTHER").otherwise(F.col("c_mktsegment")).alias("s"), F.when(k % 6 != 0, F.col("c_acctbal")).alias("b"))
     return reconcile.fill_nulls(a, b, "k", ["s", "b"])[1]
 
 
@@ -475,9 +474,9 @@ def exam_inventory_lower_bound(t: Tables) -> DataFrame:
     return text.inventory(t.orders.select("o_custkey", "o_orderdate", said.alias("said")), ["o_custkey"], "o_orderdate", "said")
 
 
-@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0""")
+@query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50""")
 def json_props_project(t: Tables) -> DataFrame:
-    return t.events.select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k")).where("k % 2 = 0")
+    return t.events.select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k")).where("k >= 50")
 
 
 # --- scores and gates -----------------------------------------------------------------------------------------------------------

@@ -114,11 +114,12 @@ def wide_row_per_entity(t: Tables) -> DataFrame:
     return extract.wide(t.customer.select("c_custkey", "c_mktsegment"), "c_custkey", [(orders, per_order), (events, per_event)])
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 3 THEN 'LOST' WHEN o_orderkey % 10 = 6 THEN 'REPEATED' END AS state FROM orders WHERE o_orderkey % 10 IN (3, 6) UNION ALL SELECT -1, 'INVENTED'""")
+@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '3-MEDIUM' THEN 'LOST' WHEN '1-URGENT' THEN 'REPEATED' END AS state FROM orders WHERE o_orderpriority IN ('3-MEDIUM', '1-URGENT') UNION ALL SELECT -1, 'INVENTED'""")
 def conservation_check(t: Tables) -> DataFrame:
     o = t.orders.select("o_orderkey")
     invented = t.spark.range(1).select(F.lit(-1).cast("long").alias("o_orderkey"))
-    return extract.conserved(o, o.where("o_orderkey % 10 <> 3").unionByName(o.where("o_orderkey % 10 = 6")).unionByName(invented), "o_orderkey")
+    part = lambda p: t.orders.where(p).select("o_orderkey")
+    return extract.conserved(o, part("o_orderpriority <> '3-MEDIUM'").unionByName(part("o_orderpriority = '1-URGENT'")).unionByName(invented), "o_orderkey")
 
 
 @query("""SELECT p_brand, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS l_returnflag, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS p_type, count(*) AS n, count(DISTINCT l_orderkey) AS n_sources,
@@ -152,11 +153,11 @@ def replay_check(t: Tables) -> DataFrame:
     return extract.replay_mismatches(stored, {"k": k, "size": F.length("props")}).select("event_id", "differs")
 
 
-@query("""SELECT o_orderkey, 'O!=' || o_orderstatus AS flag FROM orders WHERE o_orderstatus <> 'O' AND o_orderkey % 4 <> 0""")
+@query("""SELECT o_orderkey, 'O!=' || o_orderstatus AS flag FROM orders WHERE o_orderstatus <> 'O' AND o_orderpriority <> '5-LOW'""")
 def flags_to_append(t: Tables) -> DataFrame:
     stored = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("state"))
     found = stored.withColumn("state", F.lit("O"))
-    there = t.orders.where("o_orderkey % 4 = 0").select("o_orderkey", F.concat(F.lit("O!="), "o_orderstatus").alias("flag"))
+    there = t.orders.where("o_orderpriority = '5-LOW'").select("o_orderkey", F.concat(F.lit("O!="), "o_orderstatus").alias("flag"))
     return extract.new_flags(found, stored, "o_orderkey", "state", there)
 
 

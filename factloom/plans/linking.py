@@ -94,10 +94,10 @@ def nearest_column(t: Tables) -> DataFrame:
     return t.events.where("value is not null").select("event_id", near.alias("n")).select("event_id", "n.*")
 
 
-@query("""WITH i AS (SELECT o_custkey, o_orderkey, lower(o_orderpriority) AS x FROM orders WHERE o_orderkey % 2 = 1), u AS (SELECT o_custkey, o_orderkey AS unit, lower(substr(o_orderpriority, 1, 3)) AS y FROM orders WHERE o_orderkey % 2 = 0),
+@query("""WITH i AS (SELECT o_custkey, o_orderkey, lower(o_orderpriority) AS x FROM orders WHERE o_orderstatus = 'F'), u AS (SELECT o_custkey, o_orderkey AS unit, lower(substr(o_orderpriority, 1, 3)) AS y FROM orders WHERE o_orderstatus <> 'F'),
   f AS (SELECT o_orderkey, count(DISTINCT unit) AS n, min(unit) AS one FROM i JOIN u ON i.o_custkey = u.o_custkey AND (contains(x, y) OR contains(y, x)) GROUP BY o_orderkey)
   SELECT i.o_orderkey, CASE WHEN n = 1 THEN one END AS unit, CASE WHEN n = 1 THEN 'MAPPED' WHEN n > 1 THEN 'AMBIGUOUS' ELSE 'UNMAPPED' END AS state FROM i LEFT JOIN f ON i.o_orderkey = f.o_orderkey""")
 def bind_items(t: Tables) -> DataFrame:
-    items = t.orders.where("o_orderkey % 2 = 1")
-    units = t.orders.where("o_orderkey % 2 = 0").select("o_custkey", F.col("o_orderkey").alias("unit"), F.substring("o_orderpriority", 1, 3).alias("short"))
+    items = t.orders.where("o_orderstatus = 'F'")
+    units = t.orders.where("o_orderstatus <> 'F'").select("o_custkey", F.col("o_orderkey").alias("unit"), F.substring("o_orderpriority", 1, 3).alias("short"))
     return text.bind_items(items, units, ["o_custkey"], "o_orderkey", "o_orderpriority", "unit", "short")

@@ -22,11 +22,11 @@ def coherent_groups(t: Tables) -> DataFrame:
     return identity.coherent_groups(t.orders.select("o_custkey", "o_orderstatus", F.year("o_orderdate").alias("y")), "o_custkey", ["o_orderstatus", "y"])
 
 
-@query("""WITH e AS (SELECT user_id AS m, CAST(floor(value / 20) AS INTEGER) AS v, max(ts) AS at FROM events GROUP BY 1, 2), a AS (SELECT DISTINCT user_id AS m, 2 AS act FROM events WHERE user_id % 2 = 0)
+@query("""WITH e AS (SELECT user_id AS m, CAST(floor(value / 20) AS INTEGER) AS v, max(ts) AS at FROM events GROUP BY 1, 2), a AS (SELECT DISTINCT user_id AS m, 2 AS act FROM events WHERE event_type = 'purchase')
   SELECT e.m, arg_max(e.v, (CASE WHEN e.v IS NOT DISTINCT FROM a.act THEN 1 ELSE 0 END, e.at, e.v)) AS v FROM e LEFT JOIN a ON e.m = a.m GROUP BY e.m""")
 def active_or_latest(t: Tables) -> DataFrame:
     e = t.events.groupBy(F.col("user_id").alias("m"), F.floor(F.col("value") / 20).cast("int").alias("v")).agg(F.max("ts").alias("at"))
-    active = t.events.where("user_id % 2 = 0").select(F.col("user_id").alias("m"), F.lit(2).alias("v")).distinct()
+    active = t.events.where("event_type = 'purchase'").select(F.col("user_id").alias("m"), F.lit(2).alias("v")).distinct()
     return reconcile.active_or_latest(e, active, "m", "v", "at")
 
 

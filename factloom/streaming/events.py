@@ -26,9 +26,12 @@ def distinct_events(events: DataFrame, keys: list[str], time: str, late: str = "
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def latest_state(events: DataFrame, keys: list[str], order: list[str], columns: list[str]) -> DataFrame:
-    """The last record of each key so far (update mode)."""
-    return events.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r")).select(*keys, "r.*")
+def latest_state(events: DataFrame, keys: list[str], order: list[str], columns: list[str], time: str, late: str = "10 minutes", size: str = "1 day") -> DataFrame:
+    """keys, start and the last record of each key in each window of `size` (update mode). State lives until the watermark has passed its window; the last record of
+    all is the one of the last window, an aggregation of what is stored (reconcile.latest_per_key)."""
+    events = events.withWatermark(time, late)
+    got = events.groupBy(*keys, F.window(time, size).alias("w")).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("r"))
+    return got.select(*keys, F.col("w.start").alias("start"), "r.*")
 
 
 def append_batches(stream: DataFrame, path: str, checkpoint: str):
