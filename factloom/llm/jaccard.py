@@ -5,14 +5,17 @@ groups are its point. Two sets share at most the sum of the smaller coordinates,
 unseen, and whole tree nodes with them (their largest coordinates bound all points below); pairs that survive are verified on the sets.
 
 For unrelated texts of one length all points lie about equally far apart and a tree over the whole corpus prunes nothing above its leaves. So the corpus is first
-cut into blocks: sets whose BANDS x ROWS minima of permuted hashes agree in a band. A pair of similarity 0.8 has no block in common with a probability
-under 3e-8 (more similar pairs with a smaller one). Within the blocks the join is exact:
-
-1. documents with equal sets become one class, represented by its smallest id;
-2. each member of a block is compared with the block's smallest member; linked members become components;
-3. blocks whose members are still in several components are joined by the R-tree, without the pairs of one component; blocks over LEAF members are split
-   into parts, and each pair of parts is a task of its own;
-4. components of all verified links give the result.
+cut into blocks, exactly: of two sets of similarity 0.8 each has at most a fifth of its shingles outside the other, so in whatever order all shingles are put
+the first one they share is among the first fifth (and one) of both. A block is the sets that hold one shingle there; no link is lost. Within the blocks:
+
+1. documents with equal sets become one class, represented by its smallest id; blocks with the same members are one;
+2. shingles that more than HOT classes have in their first fifth (passages that many texts share) and all others so frequent in these texts come last in the order,
+   so that they make blocks only of sets that consist of little else;
+3. a block's tree is searched for its smallest member; found pairs are verified, and linked members become components. Blocks over LEAF members are searched in
+   parts of their own, to each of which the smallest member goes;
+4. blocks whose members are still in several components are joined tree by tree, without the pairs of one component: a leaf is at most about LEAF members of similar
+   size, pairs of leaves that their bounds rule out go before any point is read, and each pair that is left is a task's work;
+5. components of all verified links give the result.
 
 Defined results: null, empty and word-less texts have no shingle, link with nothing and are components of their own; rows that repeat a doc_id are rows of one
 document; rows with a null doc_id have a null component and link nothing; an empty table gives an empty result. Extra columns are left out.
@@ -22,46 +25,54 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, keep_keys, written
+from factloom.llm.common import BROADCAST_KEYS, documents, keep_keys, written
 from factloom.llm.components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 80, 100
-GROUPS, BANDS, ROWS = 128, 44, 5
-#: Members of a block that are joined in one task, points in a node of the tree.
-LEAF, NODE = 2048, 32
-_rng = np.random.default_rng(5)
-_A = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_B = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
-
-
-def band_keys(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band of each non-empty set."""
-    low = (hashes >> np.uint64(32)).astype(np.uint32)
-    n = len(at) - 1
-    minima = np.empty((BANDS * ROWS, n), np.uint32)
-    work = np.empty(len(low), np.uint32)
-    for p in range(BANDS * ROWS):
-        np.multiply(low, _A[p], out=work)
-        np.bitwise_xor(work, _B[p], out=work)
-        minima[p] = np.minimum.reduceat(work, at[:-1])
-    keys = np.zeros((n, BANDS), np.uint64)
-    for band in range(BANDS):
-        h = np.full(n, band + 1, np.uint64)
-        for r in range(ROWS):
-            h = npwords.mix(h * np.uint64(0x9E3779B97F4A7C15) + minima[band * ROWS + r])
-        keys[:, band] = h
-    return keys
+GROUPS = 128
+#: Members of a block that are searched in one task, points in a node of the tree.
+LEAF, NODE = 1024, 32
+#: Classes that make a shingle frequent; the most frequent shingles that are sent to the tasks.
+HOT, MOST_HOT = 1024, 500_000
+
+
+def first_shingles(hashes: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The first fifth (and one) of a set's sorted hashes, of which the frequent ones come last."""
+    n = len(hashes)
+    take = n - -(-n * NUMERATOR // DENOMINATOR) + 1
+    if len(hot):
+        last = np.isin(hashes, hot)
+        hashes = np.concatenate([hashes[~last], hashes[last]])
+    return hashes[:take]
 
 
 def points(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The count vector of each set."""
     doc = np.repeat(np.arange(len(at) - 1), np.diff(at))
     flat = doc * GROUPS + (hashes & np.uint64(GROUPS - 1)).astype(np.int64)
-    return np.minimum(np.bincount(flat, minlength=(len(at) - 1) * GROUPS), 65535).astype(np.uint16).reshape(-1, GROUPS)
+    return np.bincount(flat, minlength=(len(at) - 1) * GROUPS).astype(np.uint32).reshape(-1, GROUPS)
+
+
+def packed(point: np.ndarray) -> bytes:
+    """A point in as few bytes a coordinate as its largest one needs."""
+    top = int(point.max(initial=0))
+    return point.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32).tobytes()
+
+
+def unpacked(column: pa.Array | list) -> np.ndarray:
+    """Points from their bytes, whose number tells how wide a coordinate is."""
+    rows = column if isinstance(column, list) else column.to_pylist()
+    out = np.zeros((len(rows), GROUPS), np.int64)
+    width = np.array([len(r) // GROUPS for r in rows], np.int64)
+    for w, kind in ((1, np.uint8), (2, np.uint16), (4, np.uint32)):
+        own = np.flatnonzero(width == w)
+        if len(own):
+            out[own] = np.frombuffer(b"".join([rows[i] for i in own.tolist()]), kind).reshape(-1, GROUPS)
+    return out
 
 
 def _sets(column: pa.Array):
@@ -71,27 +82,44 @@ def _sets(column: pa.Array):
         yield i, j, *npwords.shingles(words, first, SHINGLE)
 
 
+def _listed(hashes: np.ndarray, at: np.ndarray, hot: np.ndarray) -> pa.ListArray:
+    own = [first_shingles(hashes[a:b], hot) if b > a else hashes[:0] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int32)
+    flat = np.concatenate(own) if own else hashes[:0]
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+
+
 def _sketches(batches):
-    """doc_id, number of shingles, digest of the set (two longs), keys of the bands."""
+    """doc_id, number of shingles, digest of the set (two longs), first shingles."""
     for batch in batches:
         for i, j, hashes, at in _sets(batch.column(1)):
             n = np.diff(at)
             full = np.flatnonzero(n)
-            one, two, keys = np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64), np.zeros((0, BANDS), np.uint64)
+            one, two = np.zeros(j - i, np.uint64), np.zeros(j - i, np.uint64)
             if len(full):
                 starts = at[:-1][full]
                 one[full], two[full] = np.add.reduceat(npwords.mix(hashes), starts), np.bitwise_xor.reduceat(npwords.mix(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), starts)
-                keys = band_keys(hashes, np.append(starts, len(hashes)))
-            ends = np.concatenate(([0], np.cumsum(np.where(n > 0, BANDS, 0)))).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))], names=["doc_id", "n", "d1", "d2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n.astype(np.int64)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), _listed(hashes, at, hashes[:0])], names=["doc_id", "n", "d1", "d2", "first"])
+
+
+def _first_again(sent):
+    """id, number of shingles and first shingles in the order that puts the frequent ones last."""
+
+    def run(batches):
+        hot = sent.value
+        for batch in batches:
+            for i, j, hashes, at in _sets(batch.column(1)):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(at).astype(np.int64)), _listed(hashes, at, hot)], names=["id", "n", "first"])
+
+    return run
 
 
 def _full_sets(batches):
-    """doc_id, number of shingles, point (bytes), the set's hashes."""
+    """id, number of shingles, point (bytes), the set's hashes."""
     for batch in batches:
         for i, j, hashes, at in _sets(batch.column(1)):
             p = points(hashes, at)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(at)), pa.array([x.tobytes() for x in p], pa.binary()), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))], names=["id", "n", "point", "hashes"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.diff(at)), pa.array([packed(x) for x in p], pa.binary()), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(hashes.view(np.int64)))], names=["id", "n", "point", "hashes"])
 
 
 def possible(shared: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -103,7 +131,7 @@ class RTree:
     """Points packed into nodes by size, then by their first coordinates, with the largest coordinates and the least size of each node."""
 
     def __init__(self, counts: np.ndarray, sizes: np.ndarray):
-        self.counts, self.sizes = counts.astype(np.int32), sizes.astype(np.int64)
+        self.counts, self.sizes = counts.astype(np.int64), sizes.astype(np.int64)
         order = np.argsort(self.sizes, kind="stable")
         slab = max(NODE, int(np.sqrt(len(order) * NODE)))
         order = np.concatenate([s[np.lexsort((self.counts[s, 1], self.counts[s, 0]))] for s in np.split(order, range(slab, len(order), slab))]) if len(order) else order
@@ -133,69 +161,183 @@ def tree_join(ids: np.ndarray, groups: np.ndarray, sizes: np.ndarray, counts: np
     return out
 
 
-def _joined(rows):
-    """Candidate pairs of one task: a block, or two parts of a large block."""
-    rows = rows.drop_duplicates("id")
-    counts = np.frombuffer(b"".join(rows["point"]), np.uint16).reshape(len(rows), GROUPS)
-    pairs = tree_join(rows["id"].to_numpy(), rows["grp"].to_numpy(), rows["n"].to_numpy(), counts, rows["part"].to_numpy())
-    import pandas as pd
-
-    return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64").drop_duplicates()
+def _groups(batches, width: int):
+    """Whole groups of rows that agree in their first `width` columns, from batches of sorted rows: a table of some groups, and their starts."""
+    left = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]) if left is None else pa.concat_tables([left, pa.Table.from_batches([batch])])
+        keys = [table.column(k).to_numpy() for k in range(width)]
+        new = np.ones(table.num_rows, bool)
+        new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        starts = np.flatnonzero(new)
+        if len(starts) > 1:
+            yield table.slice(0, int(starts[-1])), starts[:-1]
+        left = table.slice(int(starts[-1]))
+    if left is not None and left.num_rows:
+        yield left, np.zeros(1, np.int64)
+
+
+def _searched(batches):
+    """Pairs (a, b) of each block's members and its smallest member, b, that the block's tree doesn't rule out. Rows: key, part, other (0: the smallest), id, n, point."""
+    for table, starts in _groups(batches, 2):
+        ids, sizes, other = (table.column(c).to_numpy() for c in ("id", "n", "other"))
+        counts = unpacked(table.column("point").to_pylist())
+        ends = np.append(starts[1:], len(ids))
+        small = ends - starts <= NODE
+        # a tree of one node: its points are tested at once, for all such blocks
+        head = np.repeat(starts, ends - starts)
+        own = np.repeat(small, ends - starts) & (other > 0) & (other[head] == 0)
+        at = np.flatnonzero(own)
+        at = at[possible(np.minimum(counts[at], counts[head[at]]).sum(1), sizes[at] + sizes[head[at]])]
+        a, b = [ids[at]], [ids[head[at]]]
+        for i, j in zip(starts[~small].tolist(), ends[~small].tolist(), strict=True):
+            if other[i]:
+                continue
+            tree = RTree(counts[i + 1 : j], sizes[i + 1 : j])
+            for _, found in tree.search(np.zeros(1, np.int64), counts[i : i + 1], sizes[i : i + 1]):
+                a.append(ids[i + 1 : j][found])
+                b.append(np.full(len(found), ids[i]))
+        a, b = np.concatenate(a), np.concatenate(b)
+        keep = a != b
+        yield pa.RecordBatch.from_arrays([pa.array(a[keep], pa.int64()), pa.array(b[keep], pa.int64())], names=["a", "b"])
+
+
+def _leaves(batches):
+    """key, slab, salt, least size and largest coordinates of each leaf, and its members. Rows: key, slab, salt, id, grp, n, point."""
+    names = ["key", "slab", "salt", "least", "high", "ids", "grps", "sizes", "points"]
+    for table, starts in _groups(batches, 3):
+        counts, sizes = unpacked(table.column("point").to_pylist()), table.column("n").to_numpy()
+        ids, grps = table.column("id").to_numpy(), table.column("grp").to_numpy()
+        ends = np.append(starts[1:], len(ids))
+        keys = [table.column(c).to_numpy()[starts] for c in ("key", "slab", "salt")]
+        offsets = pa.array(np.append(starts, len(ids)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (ids, grps, sizes)]
+        blobs = [counts[i:j].astype(np.uint32).tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+        high = [x.astype(np.uint32).tobytes() for x in np.maximum.reduceat(counts, starts)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(np.minimum.reduceat(sizes, starts)), pa.array(high, pa.binary()), *lists, pa.array(blobs, pa.binary())], names=names)
+
+
+def _near_leaves(batches):
+    """Pairs of leaves that their bounds don't rule out."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        get = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: E731, B023
+        x, y = (np.frombuffer(b"".join(get(c).to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64) for c in ("high", "high2"))
+        ok = pa.array(possible(np.minimum(x, y).sum(1), get("least").to_numpy() + get("least2").to_numpy()))
+        names = ["key", "slab", "salt", "slab2", "salt2"]
+        yield pa.RecordBatch.from_arrays([get(c).filter(ok) for c in names], names=names)
 
 
-def _bound(a: str, b: str) -> Column:
-    shared = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return shared
+def _joined(batches):
+    """Pairs (a, b) of members of two leaves (or one) that the trees don't rule out and that are of different groups."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            one, two = ([np.array(row[f"{c}{k}"], np.int64) for c in ("ids", "grps", "sizes")] for k in ("", "2"))
+            x, y = (np.frombuffer(row[f"points{k}"], np.uint32).reshape(-1, GROUPS) for k in ("", "2"))
+            if (row["slab"], row["salt"]) == (row["slab2"], row["salt2"]):
+                pairs = tree_join(*one, x, np.zeros(len(x)))
+            else:
+                pairs = tree_join(*[np.concatenate(z) for z in zip(one, two, strict=True)], np.concatenate([x, y]), np.repeat([0, 1], [len(x), len(y)]))
+            a, b = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: sizes and points first, then the sets themselves."""
-    small = sets.select("id", "n", "point")
-    side = lambda c: small.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("point").alias(f"p{c}"))
-    total = F.col("na") + F.col("nb")
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("na", "nb") * DENOMINATOR >= F.greatest("na", "nb") * NUMERATOR)
-    near = near.mapInArrow(_by_points, "a long, b long")
+    """The pairs (a, b) whose sets are similar, each once."""
     full = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("hashes").alias(f"h{c}"))
     shared = F.size(F.array_intersect("ha", "hb"))
-    return near.join(full("a"), "a").join(full("b"), "b").where(shared * (NUMERATOR + DENOMINATOR) >= total * NUMERATOR).select("a", "b").distinct()
-
-
-def _by_points(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        get = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: E731, B023
-        x, y = (np.frombuffer(b"".join(get(c).to_pylist()), np.uint16).reshape(-1, GROUPS) for c in ("pa", "pb"))
-        ok = pa.array(possible(np.minimum(x, y).sum(1, dtype=np.int64), get("na").to_numpy() + get("nb").to_numpy()))
-        yield pa.RecordBatch.from_arrays([get("a").filter(ok), get("b").filter(ok)], names=["a", "b"])
+    found = pairs.join(full("a"), "a").join(full("b"), "b")
+    return found.where(shared * (NUMERATOR + DENOMINATOR) >= (F.col("na") + F.col("nb")) * NUMERATOR).select("a", "b").distinct()
+
+
+def block_keys(own: DataFrame, classes: DataFrame) -> DataFrame:
+    """id, n, key: the first shingles of every class, in an order that puts frequent ones last.
+
+    Frequent are shingles that more than HOT classes have among their first ones by hash, and further ones that more than HOT of these classes' texts
+    hold anywhere: the rest of the same passages. Whatever is called frequent, the order is one for all texts, so blocks stay exact.
+    """
+    keys = classes.select(F.col("rep").alias("id"), "n", F.explode("first").alias("key"))
+    often = lambda df: df.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > HOT)
+    hot = written(often(keys).select("key"), "hot")
+    n_hot = hot.count()
+    if not n_hot:
+        return keys
+    with_hot = lambda some, n: written(keep_keys(keys, some, "key", n).select(F.col("id").alias("doc_id")).distinct(), "with-hot")
+    touched = with_hot(hot, n_hot)
+    texts = keep_keys(own.where("doc_id is not null"), touched, "doc_id", touched.count())
+    counted = often(texts.mapInArrow(_full_sets, "id long, n long, point binary, hashes array<long>").select(F.explode("hashes").alias("key")))
+    counted = written(counted.unionByName(hot.withColumn("members", F.lit(HOT + 1).cast("long"))).groupBy("key").agg(F.max("members").alias("members")), "counted")
+    least, n_hot = HOT, counted.count()
+    while n_hot > MOST_HOT:  # only the most frequent ones go to the tasks; the blocks of the others are larger, and as exact
+        least *= 2
+        n_hot = counted.where(F.col("members") > least).count()
+    hot = counted.where(F.col("members") > least).select("key")
+    sent = own.sparkSession.sparkContext.broadcast(np.sort(np.array([r["key"] for r in hot.collect()], np.int64).view(np.uint64)))
+    touched = with_hot(hot, n_hot)
+    n_touched = touched.count()
+    texts = keep_keys(own.where("doc_id is not null"), touched, "doc_id", n_touched)
+    again = texts.mapInArrow(_first_again(sent), "id long, n long, first array<long>").where("n > 0").select("id", "n", F.explode("first").alias("key")).distinct()
+    ids = touched.select(F.col("doc_id").alias("id"))
+    ids = F.broadcast(ids) if n_touched <= BROADCAST_KEYS else ids
+    return written(keys.join(ids, "id", "left_anti").unionByName(again), "keys")
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sketches (doc_id, n, rep: the smallest id with the same set), and enough verified links (a, b) between reps to connect all that are linked."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = written(own.mapInArrow(_sketches, "doc_id long, n long, d1 long, d2 long, bands array<long>"), "sketches")
-    classes = sketches.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    sketches = written(own.mapInArrow(_sketches, "doc_id long, n long, d1 long, d2 long, first array<long>"), "sketches")
+    classes = sketches.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep"), F.first("first").alias("first"))
     classes = written(classes, "classes")
-    keys = classes.select(F.col("rep").alias("id"), F.explode("bands").alias("key"))
-    heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("members")).where("members > 1")
-    members = written(keys.join(heads, "key"), "members")
-    stars = written(members.where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct(), "stars")
+    keys = block_keys(own, classes)
+    # blocks with the same members are one
+    heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("members"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x"))
+    blocks = written(heads.where("members > 1").groupBy("members", "s", "x").agg(F.min("key").alias("key"), F.min("head").alias("head")).select("key", "head", "members"), "blocks")
+    members = written(keys.join(F.broadcast(blocks) if blocks.count() <= BROADCAST_KEYS // 8 else blocks, "key"), "members")
     ids = written(members.select(F.col("id").alias("doc_id")).distinct(), "candidates")
     wanted = keep_keys(own.where("doc_id is not null"), ids, "doc_id", ids.count())
     sets = written(wanted.mapInArrow(_full_sets, "id long, n long, point binary, hashes array<long>"), "sets")
+    dots = sets.select("id", "point")
+    parts = F.ceil(F.col("members") / LEAF).cast("int")
+    here = F.when(F.col("id") == F.col("head"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts).cast("int")))
+    rows = members.withColumn("part", F.explode(here)).withColumn("other", (F.col("id") != F.col("head")).cast("int")).join(dots, "id")
+    rows = rows.select("key", "part", "other", "id", "n", "point").repartition("key", "part").sortWithinPartitions("key", "part", "other")
+    stars = written(rows.mapInArrow(_searched, "a long, b long").distinct(), "stars")
     first = written(verified(stars, sets), "links")
-    # what the heads have not settled: blocks of three or more with several components
+    # what the smallest members have not settled: blocks of three or more with several components
     labels = components(first)
-    more = members.where("members > 2").join(labels, "id", "left").select("key", "id", "members", F.coalesce("label", "id").alias("grp"))
+    more = members.where("members > 2").join(labels, "id", "left").select("key", "id", "n", F.coalesce("label", "id").alias("grp"))
     open_ = more.groupBy("key").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high").select("key")
-    more = more.join(open_, "key").join(sets.select("id", "n", "point"), "id")
-    parts = F.ceil(F.col("members") / LEAF).cast("int")
-    more = more.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    more = more.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other"))
-    pairs = more.select("key", "low", "high", "id", "grp", "n", "point", "part").groupBy("key", "low", "high").applyInPandas(_joined, "a long, b long").distinct()
-    second = verified(pairs.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), sets)
+    n_open = open_.count()
     reps = classes.select("d1", "d2", "n", "rep")
-    return sketches.drop("bands").join(reps, ["d1", "d2", "n"], "left").select("doc_id", "n", "rep"), written(first.unionByName(second), "links")
+    out = sketches.drop("first").join(reps, ["d1", "d2", "n"], "left").select("doc_id", "n", "rep")
+    if not n_open:
+        return out, first
+    second = verified(leaf_pairs(keep_keys(more, open_, "key", n_open).join(dots, "id")).join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), sets)
+    return out, written(first.unionByName(second), "links")
+
+
+def leaf_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of one block and different groups that the trees don't rule out; rows: key, id, n, grp, point.
+
+    Sizes of similar sets differ by a quarter at most, so a leaf (a slab of sizes, dealt by salts to about LEAF members) meets leaves of its own slab and the next.
+    """
+    rows = rows.withColumn("slab", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)) + 1e-9).cast("int"))
+    salts = rows.groupBy("key", "slab").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("salts"))
+    rows = rows.join(salts, ["key", "slab"]).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+    rows = rows.select("key", "slab", "salt", "id", "grp", "n", "point").repartition("key", "slab", "salt").sortWithinPartitions("key", "slab", "salt")
+    form = "key long, slab int, salt int, least long, high binary, ids array<long>, grps array<long>, sizes array<long>, points binary"
+    leaves = written(rows.mapInArrow(_leaves, form), "leaves")
+    one, names = leaves.select("key", "slab", "salt", "least", "high"), ["key", "slab", "salt", "least", "high"]
+    two = one.toDF(*[c if c == "key" else f"{c}2" for c in names])
+    near = F.col("slab2").isin(F.col("slab"), F.col("slab") + 1, F.col("slab") + 2) & ((F.col("slab2") > F.col("slab")) | (F.col("salt2") >= F.col("salt")))
+    bounds = one.join(two, "key").where(near)
+    pairs = written(bounds.mapInArrow(_near_leaves, "key long, slab int, salt int, slab2 int, salt2 int"), "leaf-pairs")
+    full = leaves.drop("least", "high")
+    second = full.toDF(*[c if c == "key" else f"{c}2" for c in full.columns])
+    return pairs.join(full, ["key", "slab", "salt"]).join(second, ["key", "slab2", "salt2"]).mapInArrow(_joined, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -85,6 +85,49 @@ def test_jaccard_parts_of_large_blocks(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def skewed_copies():
+    """One passage in many texts, a chain of near copies whose ends aren't linked, and pairs of exactly the least similarity."""
+    passage, rng, rows = prose(77, 60), np.random.default_rng(8), []
+    rows += [(1000 + k, f"{prose(3000 + k, 120 + k)} {passage} {prose(4000 + k, 60)}") for k in range(40)]
+    rows += [(1100 + k, f"{passage} {prose(5000 + k, 5)}") for k in range(12)]
+    words = prose(55, 204).split()
+    for k in range(30):
+        rows.append((int(1300 - k if k % 2 else 1200 + k), " ".join(words)))
+        words[int(rng.integers(0, 200))] = f"step{k}"
+        words[(7 * k) % 200] = f"more{k}"
+    base = prose(66, 94).split()  # 90 shingles; 10 fewer at an end leave 80 of 100
+    rows += [(1400, " ".join([*(f"x{i}" for i in range(10)), *base])), (1401, " ".join([*base, *(f"y{i}" for i in range(10))])), (1402, " ".join(base))]
+    return rows
+
+
+def test_jaccard_equals_brute_force_on_skewed_input(spark, monkeypatch):
+    rows = skewed_copies() + near_copies()
+    want = brute_components(rows)
+    assert len({c for i, (_, c) in want.items() if 1200 <= i <= 1300}) < 31
+    for hot, leaf in ((1024, 1024), (8, 4), (2, 2)):
+        monkeypatch.setattr(jaccard, "HOT", hot)
+        monkeypatch.setattr(jaccard, "LEAF", leaf)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.near_duplicates(frame(spark, rows)).collect()}
+        assert got == want, (hot, leaf)
+
+
+def test_similar_sets_share_a_first_shingle():
+    rng = np.random.default_rng(12)
+    for _ in range(3000):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 400, n)).astype(np.uint64)
+        b = np.unique(np.where(rng.random(len(a)) < 0.12, rng.integers(0, 400, len(a)), a).astype(np.uint64))
+        hot = np.unique(rng.integers(0, 400, int(rng.integers(0, 200)))).astype(np.uint64)
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(jaccard.first_shingles(a, hot), jaccard.first_shingles(b, hot)))
+
+
+def test_points_keep_large_counts():
+    counts = np.array([[300] * jaccard.GROUPS, [1] * jaccard.GROUPS, [70_000] * jaccard.GROUPS], np.uint32)
+    assert (jaccard.unpacked([jaccard.packed(c) for c in counts]) == counts).all()
+
+
 def test_tree_join_finds_all_pairs():
     rng = np.random.default_rng(1)
     counts = rng.poisson(3, (150, jaccard.GROUPS)).astype(np.uint16)
