@@ -203,3 +203,30 @@ def queues(df: DataFrame, module: list[str], done: Column, review: Column) -> Da
 def representative(df: DataFrame, keys: list[str], source: str, rank: str) -> DataFrame:
     """keys, the source of the highest rank (of equals the largest source), its rank, and how many sources there are."""
     return df.groupBy(*keys).agg(F.max_by(source, F.struct(rank, source)).alias(source), F.max(rank).alias(rank), F.count_distinct(source).alias("n_sources"))
+
+
+def projected(parts: list[tuple[DataFrame, str, Column, list[Column], Column]]) -> DataFrame:
+    """kind, anchor, value (JSON of the named columns), evidence of facts of several kinds in one long table: (rows, kind, anchor, value columns, evidence) each."""
+    out = None
+    for rows, kind, anchor, value, evidence in parts:
+        own = rows.select(F.lit(kind).alias("kind"), anchor.cast("string").alias("anchor"), F.to_json(F.struct(*value)).alias("value"), evidence.cast("string").alias("evidence"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def slice_geometry(slices: DataFrame, series: list[str], position: list[str], orientation: list[str], tolerance: float = 0.5) -> DataFrame:
+    """series, n, step (median distance), n_gaps (distances over the step by more than the tolerance's share), n_repeats (distance 0) of image slices.
+
+    position is a slice's corner, orientation the six cosines of its rows and columns; slices are put in order along the normal of their plane. A series is one
+    scan, so its slices are few.
+    """
+    from pyspark.sql import Window
+
+    r, c, p = [F.col(x) for x in orientation[:3]], [F.col(x) for x in orientation[3:]], [F.col(x) for x in position]
+    normal = [r[1] * c[2] - r[2] * c[1], r[2] * c[0] - r[0] * c[2], r[0] * c[1] - r[1] * c[0]]
+    along = p[0] * normal[0] + p[1] * normal[1] + p[2] * normal[2]
+    rows = slices.select(*series, along.alias("__at"))
+    rows = rows.withColumn("__step", F.col("__at") - F.lag("__at").over(Window.partitionBy(*series).orderBy("__at")))
+    per = rows.groupBy(*series).agg(F.count(F.lit(1)).alias("n"), F.median(F.when(F.col("__step") > 1e-6, F.col("__step"))).alias("step"), F.collect_list("__step").alias("__steps"))
+    wide = F.size(F.filter("__steps", lambda s: s > F.col("step") * (1 + tolerance)))
+    return per.select(*series, "n", F.round("step", 6).alias("step"), wide.alias("n_gaps"), F.size(F.filter("__steps", lambda s: F.abs(s) <= 1e-6)).alias("n_repeats"))

@@ -154,6 +154,18 @@ def compatible_dates(a: str, b: str) -> Column:
     return same("year") & same("month") & same("day")
 
 
+def compatible_pairs(dates: DataFrame, keys: list[str], year: str, month: str, day: str) -> DataFrame:
+    """keys, year, the months and days (_a, _b) of two distinct partial dates of that year, whether they can be one date, and how many pairs of rows they stand for.
+
+    Distinct dates of a year are a few hundred at most, so a key with many rows makes no more pairs than its calendar has."""
+    per = dates.groupBy(*keys, year, month, day).agg(F.count(F.lit(1)).alias("__n"))
+    side = lambda s: per.select(*keys, year, F.col(month).alias(f"{month}_{s}"), F.col(day).alias(f"{day}_{s}"), F.col("__n").alias(f"__n_{s}"))
+    place = lambda s: F.struct(F.coalesce(f"{month}_{s}", F.lit(0)), F.coalesce(f"{day}_{s}", F.lit(0)))
+    rows = side("a").join(side("b"), [*keys, year]).where(place("a") < place("b"))
+    same = lambda c: F.coalesce(F.col(f"{c}_a") == F.col(f"{c}_b"), F.lit(True))
+    return rows.withColumn("compatible", same(month) & same(day)).withColumn("n_pairs", F.col("__n_a") * F.col("__n_b")).drop("__n_a", "__n_b")
+
+
 def first_day(df: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
     """Per key the earliest known day, the value its rows agree on (else null), and their number. Two aggregations, no join back."""
     days = df.where(F.col(time).isNotNull()).groupBy(*keys, F.to_date(time).alias("first_date")).agg(F.min(value).alias("l"), F.max(value).alias("h"), F.count(F.lit(1)).alias("n"))

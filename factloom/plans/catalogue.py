@@ -231,14 +231,14 @@ def age_exact_and_calendar(t: Tables) -> DataFrame:
     return d.select("o_orderkey", F.round(temporal.age_exact(F.col("b"), F.col("z")), 6).alias("age_exact"), temporal.age_years(F.col("b"), F.col("z")).alias("age_years"))
 
 
-@query("""WITH p AS (SELECT o_custkey AS c, o_orderkey AS k, year(o_orderdate) AS y, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE month(o_orderdate) END AS m,
-    CASE WHEN o_orderkey % 3 = 1 THEN day(o_orderdate) END AS d FROM orders)
-  SELECT a.k AS a, b.k AS b, (a.m = b.m) IS NOT FALSE AND (a.d = b.d) IS NOT FALSE AS compatible FROM p a JOIN p b ON a.c = b.c AND a.y = b.y AND a.k < b.k""")
+@query("""WITH p AS (SELECT o_custkey, year(o_orderdate) AS y, CASE WHEN o_orderpriority <> '1-URGENT' THEN month(o_orderdate) END AS m, CASE WHEN o_orderpriority > '2-HIGH' THEN day(o_orderdate) END AS d FROM orders), g AS (SELECT o_custkey, y, m, d, count(*) AS n FROM p GROUP BY ALL)
+  SELECT a.o_custkey, a.y, coalesce(a.m, 0) AS m1, coalesce(a.d, 0) AS d1, coalesce(b.m, 0) AS m2, coalesce(b.d, 0) AS d2, (a.m = b.m) IS NOT FALSE AND (a.d = b.d) IS NOT FALSE AS compatible, a.n * b.n AS n_pairs FROM g a JOIN g b ON a.o_custkey = b.o_custkey AND a.y = b.y AND (coalesce(a.m, 0), coalesce(a.d, 0)) < (coalesce(b.m, 0), coalesce(b.d, 0))""")
 def partial_date_compat_groups(t: Tables) -> DataFrame:
-    k, at = F.col("o_orderkey"), F.col("o_orderdate")
-    p = t.orders.select("o_custkey", k, F.year(at).alias("y"), F.when(k % 3 != 0, F.month(at)).alias("m"), F.when(k % 3 == 1, F.dayofmonth(at)).alias("d"))
-    side = lambda s: p.select("o_custkey", "y", k.alias(s), F.col("y").alias(f"{s}_year"), F.col("m").alias(f"{s}_month"), F.col("d").alias(f"{s}_day"))
-    return side("a").join(side("b"), ["o_custkey", "y"]).where("a < b").select("a", "b", temporal.compatible_dates("a", "b").alias("compatible"))
+    p, at = F.col("o_orderpriority"), F.col("o_orderdate")
+    dates = t.orders.select("o_custkey", F.year(at).alias("y"), F.when(p != "1-URGENT", F.month(at)).alias("m"), F.when(p > "2-HIGH", F.dayofmonth(at)).alias("d"))
+    got = temporal.compatible_pairs(dates, ["o_custkey"], "y", "m", "d")
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    return got.select("o_custkey", "y", zero("m_a").alias("m1"), zero("d_a").alias("d1"), zero("m_b").alias("m2"), zero("d_b").alias("d2"), "compatible", "n_pairs")
 
 
 # --- joins and identity ---------------------------------------------------------------------------------------------------------
