@@ -140,7 +140,11 @@ def mann_whitney_u(t: Tables) -> DataFrame:
     return statistics.mann_whitney(rows, ["c_mktsegment"], "o_totalprice", "f")
 
 
-@query()
+@query("""WITH g AS (SELECT p_brand, count(*) FILTER (WHERE p_size > 25 AND p_retailprice > 1400) AS a, count(*) FILTER (WHERE p_size > 25 AND p_retailprice <= 1400) AS b, count(*) FILTER (WHERE p_size <= 25 AND p_retailprice > 1400) AS c, count(*) FILTER (WHERE p_size <= 25 AND p_retailprice <= 1400) AS d FROM part GROUP BY p_brand),
+  x AS (SELECT *, unnest(range(greatest(0, a - d), least(a + b, a + c) + 1)) AS k FROM g),
+  l AS (SELECT *, lgamma(a + b + 1) - lgamma(k + 1) - lgamma(a + b - k + 1) + lgamma(c + d + 1) - lgamma(a + c - k + 1) - lgamma(d - a + k + 1) - lgamma(a + b + c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) AS lp FROM x),
+  o AS (SELECT *, max(CASE WHEN k = a THEN lp END) OVER (PARTITION BY p_brand) AS own FROM l)
+  SELECT p_brand, a, b, c, d, CASE WHEN a + b > 0 AND a + c > 0 AND c + d > 0 AND b + d > 0 THEN round(least(1.0, sum(CASE WHEN lp <= own + 1e-7 THEN exp(lp) ELSE 0 END)), 9) END AS p FROM o GROUP BY p_brand, a, b, c, d""")
 def fisher_exact_guarded(t: Tables) -> DataFrame:
     """Per brand: are large parts dearer? Two-sided p, null where a margin is empty."""
     large, dear = F.col("p_size") > 25, F.col("p_retailprice") > 1400
