@@ -24,6 +24,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Operators with trained, sampled or sketched results have no SQL; they are tested against brute force, round trips or held-out labels.
 #: DuckDB has no base32, so the digest is built from its bits.
 SQL: dict[str, str] = {
+    "op4_jaccard": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+          SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS s FROM w
+        ), u AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+        l AS (
+          SELECT a.doc_id AS x, b.doc_id AS y FROM u a JOIN u b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+        ), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+        r AS (SELECT doc_id AS id, doc_id AS c FROM s UNION SELECT e.y, r.c FROM r JOIN e ON r.id = e.x)
+        SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.c) AS component_id FROM s JOIN r ON r.id = s.doc_id GROUP BY s.doc_id, s.s
+    """,
     "op7_warc": """
         WITH p AS (
           SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages

@@ -80,3 +80,19 @@ def test_registered():
     assert {"pipeline"} <= names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
     assert set(__spark_entry__.oracle_sql()) <= names
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier" and len(corpus_pipeline.STAGES) == 5
+
+
+def test_stages_without_rows_and_with_null_ids(spark, corpus, tmp_path):
+    path, _ = corpus
+    docs = spark.read.parquet(f"{path}/documents.parquet").withColumn("gone", F.lit("clash")).withColumn("Size", F.lit("clash"))
+    stages = dict(corpus_pipeline.STAGES)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), path).count() == 0, name
+    item = spark.read.parquet(f"{path}/benchmark.parquet").first()["text"]
+    nulls = spark.createDataFrame([(None, prose(1, 60), "en", "s0", 1), (None, prose(1, 60), "en", None, 1), (None, None, None, "s1", 1), (8000, item, "en", "s0", 1)], DOCS).withColumn("gone", F.lit("clash")).withColumn("Size", F.lit("clash"))
+    # what can't be told from others by its id is neither linked nor matched, and stays
+    assert stages["n-gram Jaccard join"](spark, nulls, path).count() == 4
+    assert sorted(str(r["doc_id"]) for r in stages["benchmark decontamination"](spark, nulls, path).collect()) == ["None"] * 3
+    mixed = stages["mixing sources to target weights"](spark, nulls, path)
+    assert mixed.columns == nulls.columns and mixed.where("gone <> 'clash' or Size <> 'clash'").count() == 0
+    assert stages["token-ID / binary output"](spark, nulls, path).count() == 4

@@ -128,6 +128,21 @@ def test_points_keep_large_counts():
     assert (jaccard.unpacked([jaccard.packed(c) for c in counts]) == counts).all()
 
 
+def test_finer_points_bound_what_sets_share():
+    rng = np.random.default_rng(6)
+    for n, m in ((100, 110), (500, 530), (510, 600), (1500, 1800), (3000, 3000)):
+        a, b = (np.unique(rng.integers(0, 1 << 62, k)).astype(np.uint64) for k in (n, m))
+        b[: n // 2] = a[: n // 2]
+        b = np.unique(b)
+        hashes, at = np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)])
+        fine = [f or jaccard.packed(p) for f, p in zip(jaccard.fine_points(hashes, at), jaccard.points(hashes, at))]
+        for blob, own in zip(fine, (a, b)):
+            assert jaccard.folded(blob, jaccard.GROUPS, 1).sum() == len(own)
+        both = pa.RecordBatch.from_arrays([pa.array([1, 1, 2]), pa.array([2, 1, 2]), pa.array([len(a), len(a), len(b)]), pa.array([len(b), len(a), len(b)]), pa.array([fine[0], fine[0], fine[1]], pa.binary()), pa.array([fine[1], fine[0], fine[1]], pa.binary())], names=list("abcdef"))
+        out = next(jaccard._by_fine_points([both])).to_pylist()
+        assert {(1, 1), (2, 2)} <= {(r["a"], r["b"]) for r in out} and (n < 1000 or len(out) == 2)  # long texts of which half is shared are told apart
+
+
 def test_tree_join_finds_all_pairs():
     rng = np.random.default_rng(1)
     counts = rng.poisson(3, (150, jaccard.GROUPS)).astype(np.uint16)
@@ -547,3 +562,221 @@ def test_mixing_hits_targets_and_agrees_with_itself(spark, monkeypatch):
 
 def test_mixing_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
+
+
+# --- sampling and whole texts ---------------------------------------------------------------------------------------------------------
+
+
+def test_texts_without_a_word_get_the_leak():
+    model = {"words": {"rotten": 6.0, "fil*": 2.0}, "b": -3.0, "leak": 0.01}
+    scorer = toxicity.Scorer(model)
+    for text in (None, "", "3.14", "1. 2. 3. 4.", "\n" * 50, " ... !!! 7_7 "):
+        assert scorer(text) == (0.01, [])
+
+
+def brute_noisy_or(text, model):
+    """Sentences by hand: stretches between stops and line ends that hold a letter."""
+    rest = 1 - model["leak"]
+    for part in re.split(r"[.!?\n]+", text):
+        words = re.findall(r"[^\W\d_]+", toxicity.lowered(part))
+        if words:
+            z = model["b"] + sum(x for w, x in model["words"].items() if (w in words if w[-1] != "*" else any(v.startswith(w[:-1]) and len(v) > len(w) - 1 for v in words)))
+            rest *= 1 - 1 / (1 + np.exp(-z))
+    return 1 - rest
+
+
+def test_toxicity_score_equals_noisy_or_by_hand(spark):
+    model = {"words": {"rotten": 6.0, "river": 1.0, "silve*": 0.7}, "b": -4.0, "leak": 0.02}
+    scorer = toxicity.Scorer(model)
+    texts = ["Rotten. Fine; ROTTEN 3.5 rotten_x", "river silver4 silv silverX! 22. ?!", "İrotten rotten²", prose(4, 200) + ". rotten\n\nriver"]
+    for t in texts:
+        assert scorer(t)[0] == pytest.approx(brute_noisy_or(t, model))
+
+
+def test_toxicity_learns_from_long_texts_and_repeated_ids(spark):
+    rows, labels = toxic_docs()
+    rows = [(i, prose(i, 4000) + ". " + t if i % 40 == 0 else t) for i, t in rows] + [rows[4]] * 300
+    model = toxicity.train(documents(spark, rows), frame(spark, labels + labels[:3] + [(None, 1)], "doc_id long, toxic int"), sample=350)
+    assert {"rotten", "filthy"} <= set(model["words"])
+    held = toxicity.score(documents(spark, rows), model).join(frame(spark, labels, "doc_id long, toxic int"), "doc_id").where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4) == 2)
+    got = held.groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()
+    assert {r["toxic"]: r["p"] for r in got} == {0: 0.0, 1: 1.0}
+
+
+def test_language_learns_from_all_over_a_text(spark):
+    header = "navigation menu imprint search " * 60
+    rows = [(i, header + " ".join(np.random.default_rng(i).choice(["the", "and", "of", "house"] if i % 2 else ["der", "und", "das", "haus"], 600)), "en" if i % 2 else "de", "s", 1) for i in range(8)]
+    samples = language.train(spark.createDataFrame(rows + [rows[0]] * 50, DOCS), size=20_000)
+    assert set(samples) == {"en", "de"} and all(len(x) > 8_000 for x in samples.values())  # few documents fill the bytes
+    assert b"haus" in samples["de"] and b"house" in samples["en"] and samples["de"].count(b"menu") < len(samples["de"]) / 40
+
+
+def test_quality_scores_equal_a_walk_by_hand_and_repeated_ids_are_one_row(spark):
+    rows = [(i, prose(i, 80) if i % 2 else "||| " * 40 + str(i)) for i in range(200)]
+    labels = frame(spark, [(i, i % 2) for i in range(200)] + [(None, 1)], "doc_id long, quality int")
+    model = quality.train(documents(spark, rows + [rows[3]] * 500), labels)
+    start, features, values, leaves = model
+    got = {r["doc_id"]: r["score"] for r in quality.score(documents(spark, rows), model).collect()}
+    for i, text in rows[:40]:
+        x, raw = quality.statistics(pa.array([text]))[0], start
+        for f, v, leaf in zip(features, values, leaves):
+            node = 0
+            while node < len(f):
+                node = 2 * node + 1 + int(x[f[node]] > v[node])
+            raw += leaf[node - len(f)]
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-raw)))
+    assert all((got[i] >= 0.5) == bool(i % 2) for i in range(200))
+
+
+def test_tokens_of_null_and_repeated_ids_and_long_texts(spark):
+    rows = [(None, f"none {k}") for k in range(40)] + [(7, f"seven {k}") for k in range(40)] + [(7, "seven 1")] * 20 + [(9, "word " * 60_000), (3, "a" * 50_000)]
+    path = new_path(spark, "ids")
+    tokenids.write(frame(spark, rows).repartition(8), path)
+    got = sorted(tokenids.digests(spark, path).collect(), key=lambda r: r["start"])
+    t = tokenids.tokenizer(tokenids.default_path())
+    want = sorted((i is not None, i or 0, zlib.crc32(np.array(t.encode(x, add_special_tokens=False).ids + [0], "<u4").tobytes())) for i, x in rows)
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["ids_crc32"]) for r in got) == want
+    assert [r["start"] for r in got] == list(itertools.accumulate([0, *(r["n_tokens"] for r in got[:-1])]))
+    assert [r["doc_id"] for r in got if r["doc_id"] is not None] == sorted(r["doc_id"] for r in got if r["doc_id"] is not None) and got[0]["doc_id"] is None
+    assert tokenids.file_number("part-100000-x.orc") > tokenids.file_number("part-99999-x.orc")
+
+
+def test_units_with_one_hash_are_told_apart(monkeypatch):
+    real = tokenids.npwords.run_hashes
+    encoder = tokenids.Encoder(tokenids.default_path())
+    monkeypatch.setattr(tokenids.npwords, "run_hashes", lambda d, a, z, *v: real(d, a, z, *v) if v else np.full(len(a), 12345, np.uint64))
+    texts = ["one two three, four", "five six. seven", "one two three, four"]
+    flat, sizes = encoder(pa.array(texts))
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert flat.tolist() == [i for ids in want for i in ids] and sizes.tolist() == [len(x) for x in want]
+
+
+def test_tokenizers_with_other_cuts_encode_whole_texts(tmp_path):
+    import json
+
+    with open(tokenids.default_path()) as f:
+        told = json.load(f)
+    told["pre_tokenizer"]["use_regex"] = False
+    path = str(tmp_path / "other.json")
+    with open(path, "w") as f:
+        json.dump(told, f)
+    assert tokenids.cuts_hold(tokenids.default_path()) and not tokenids.cuts_hold(path)
+    text = "Some text, with stops. And\nlines"
+    flat, _ = tokenids.Encoder(path)(pa.array([text]))
+    assert flat.tolist() == tokenids.tokenizer(path).encode(text, add_special_tokens=False).ids + [0]
+
+
+def test_mixing_names_repeats_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 64)
+    rows = [(i, prose(i, 10 + i % 30), None, f"s{i % 3}", 1) for i in range(120)] + [(7, prose(7, 17), None, "s1", 1)] * 200 + [(7, prose(k, 17), None, "s1", 1) for k in range(50)] + [(500, "word " * 40_000, None, "s2", 1)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for c in ("size", "salt", "one", "i", "o", "z", "s", "low", "more", "n", "copies", "__copies", "__size", "nth", "target", "Block"):
+        docs = docs.withColumn(c, F.lit(c))
+    once, again = (sorted(map(str, mixing.mix(docs).collect())) for _ in range(2))
+    assert once == again
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and mixed.where("size <> 'size' or n <> 'n' or __copies <> '__copies' or i <> 'i'").count() == 0
+    assert mixed.count() == sum(r["copies"] for r in mixing.copies(mixing.sized(docs)).collect())
+    sizes = {}
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(r[1].split())
+    taken = {r["source"]: r["n"] for r in mixed.groupBy("source").agg(F.sum(mixing.size_of()).alias("n")).collect()}
+    assert all(abs(taken.get(s, 0) - w) <= 0.02 * w + 40 for s, w in mixing.targets(sizes).items() if s != "s2")
+
+
+def test_swaps_close_the_gap_that_landing_leaves():
+    sizes = np.array([5.0, 7, 11, 13, 400, 90, 3, 8])
+    p = np.array([1.0, 0, 1, 0, 1, 0, 0, 1])
+    got = mixing.repair(p, sizes, np.arange(8), 426.0)
+    assert abs(426 - got @ sizes) <= abs(426 - p @ sizes) and got.sum() == p.sum() and abs(426 - got @ sizes) <= 2
+    assert (mixing.repair(p, sizes, np.array([], int), 999.0) == p).all()
+
+
+def test_decontamination_in_parts_of_the_benchmark(spark, monkeypatch):
+    items = [(k, prose(9000 + k, 12 + k)) for k in range(9)] + [(20, "golden forty"), (21, "golden forty")]
+    rows = [(i, f"{prose(i, 80)} {items[i % 9][1]} {prose(i + 50, 80)} golden forty") for i in range(12)]
+    bench = frame(spark, items, "item_id long, text string")
+    whole = sorted(map(tuple, decontam.contaminated(documents(spark, rows), bench).select("doc_id", "item_id", "start_word", "end_word").collect()))
+    monkeypatch.setattr(decontam, "PART_ITEMS", 2)
+    parts = sorted(map(tuple, decontam.contaminated(documents(spark, rows), bench).select("doc_id", "item_id", "start_word", "end_word").collect()))
+    assert whole == parts and len({(i, k) for i, k, _, _ in whole if k < 9}) == 12 and sum(k > 9 for _, k, _, _ in whole) == 24
+    assert decontam.contaminated(documents(spark, rows), bench.where("false")).count() == 0
+
+
+def test_decontamination_finds_paraphrases(spark):
+    """Planted paraphrases at three strengths: words dropped and replaced; the recall is that of pairs which pass the subsequence and answer checks."""
+    items = [(k, prose(9000 + k, 30) + ". " + prose(9500 + k, 8) + ".") for k in range(30)]
+    for strength, least in (((0.05, 0.05), 30), ((0.1, 0.1), 29), ((0.1, 0.2), 24)):
+        rows = []
+        for k, text in items:
+            rng = np.random.default_rng(k)
+            words = [f"new{rng.integers(1 << 30)}" if rng.random() < strength[1] else w for w in text.split() if rng.random() >= strength[0]]
+            rows.append((k, f"{prose(k, 150)} {' '.join(words)} {prose(k + 99, 150)}"))
+        found = decontam.contaminated(documents(spark, rows), frame(spark, items, "item_id long, text string")).where("doc_id = item_id").count()
+        assert found >= least, (strength, found)
+
+
+def test_decontamination_of_repeats_long_texts_and_clashing_columns(spark):
+    items = [(1, prose(9001, 20)), (1, prose(9001, 20)), (2, prose(9002, 300))]
+    long = " ".join(prose(k, 1000) for k in range(40))
+    rows = [(1, f"{long} {items[0][1]} {long}"), (1, f"{long} {items[0][1]} {long}"), (2, items[2][1]), (3, "x " * 50_000)]
+    docs = documents(spark, rows).withColumn("item_id", F.lit(5)).withColumn("cosine", F.lit("c")).withColumn("words", F.lit(0))
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, frame(spark, items, "item_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 2)}
+
+
+def test_sums_meet_in_levels(spark, monkeypatch):
+    from factloom.llm import common
+
+    monkeypatch.setattr(common, "FAN", 2)
+    rows = spark.range(0, 70, 1, 7).selectExpr("cast(id % 3 as int) as axis", "id")
+
+    def run(batches):
+        for b in batches:
+            for axis, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array([axis], pa.int32()), pa.array([np.array([1.0, i]).tobytes()], pa.binary())], names=["axis", "sums"])
+
+    got = common.tree_sum(rows.mapInArrow(run, "axis int, sums binary"))
+    assert {k: v.tolist() for k, v in got.items()} == {a: [len(range(a, 70, 3)), sum(range(a, 70, 3))] for a in range(3)}
+    assert common.tree_sum(rows.where("false").mapInArrow(run, "axis int, sums binary")) == {}
+
+
+def test_work_tables_need_a_shared_folder():
+    from types import SimpleNamespace
+
+    from factloom.llm import common
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda *a: None)))
+    with pytest.raises(ValueError):
+        common.shared_folder(cluster)
+
+
+@pytest.mark.parametrize("name", ["op4_jaccard", "op7_warc"])
+def test_queries_give_the_rows_of_their_sql(spark, name):
+    import os
+
+    import duckdb
+
+    from factloom.llm import queries
+
+    data = "/root/testdata/sf0.001"
+    if not os.path.isdir(data):
+        pytest.skip("no driver tables")
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
+    got, want = queries.QUERIES[name](spark, data), con.execute(queries.SQL[name])
+    names = [c[0] for c in want.description]
+    assert sorted(got.columns) == sorted(names)
+    assert sorted(tuple(map(str, r)) for r in got.select(*names).collect()) == sorted(tuple(map(str, r)) for r in want.fetchall())
+
+
+def test_warc_of_empty_tables_repeated_ids_and_long_payloads(spark):
+    pages = spark.createDataFrame([(1, "u", "x" * 300_000), (2, "u", "x" * 300_000), (2, "v", "x" * 300_000), (3, "w", None), (None, "n", "x" * 300_000)], "page_id long, url string, html string").withColumn("sha256", F.lit("clash")).withColumn("payload", F.lit(1))
+    path = new_path(spark, "warc")
+    warc.write(pages, path)
+    got = sorted(((r["page_id"] or 0, r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.read(spark, path).collect()), key=str)
+    assert got == sorted([(0, 300_000, "revisit", 2), (1, 300_000, "revisit", 2), (2, 300_000, "response", None), (2, 300_000, "response", None), (3, 0, "response", None)], key=str)
+    path = new_path(spark, "warc")
+    warc.write(pages.where("false"), path)
+    assert warc.read(spark, path).count() == 0 and warc.records(spark, path).count() == 0
