@@ -30,6 +30,22 @@ def give_back() -> None:
         _trim(0)
 
 
+#: What a process keeps from task to task; tasks of other kinds empty it.
+caches: list[dict] = []
+
+
+def trimmed(run):
+    """run(batches) for tasks that keep nothing: what others kept goes before, and what it freed goes back to the system after."""
+
+    def whole(batches):
+        for kept in caches:
+            kept.clear()
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, table, tree_sum, written
+from factloom.llm.common import documents, table, tree_sum, trimmed, written
 
 FEATURES, RANK = 1 << 13, 64
 #: Words of a window, words from one window to the next, longest query: shorter windows for short queries.
@@ -118,10 +118,10 @@ def _range_rows(weight: np.ndarray):
 
 def latent_axes(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(FEATURES + 1) x RANK matrix that takes features to latent coordinates, from all texts, and the share of all words that each feature has."""
-    got = tree_sum(texts.mapInArrow(_counted, "axis int, sums binary")).get(0, np.zeros(1 + 2 * FEATURES))
+    got = tree_sum(texts.mapInArrow(trimmed(_counted), "axis int, sums binary")).get(0, np.zeros(1 + 2 * FEATURES))
     n, counts, often = got[0], got[1 : FEATURES + 1], got[FEATURES + 1 :]
     weight = np.where(counts > COMMON * n, COMMON_WEIGHT, np.log((n + 1) / (counts + 1))).astype(np.float32)
-    sums = tree_sum(texts.mapInArrow(_range_rows(weight), "axis int, sums binary"))
+    sums = tree_sum(texts.mapInArrow(trimmed(_range_rows(weight)), "axis int, sums binary"))
     b = np.stack([sums[c] for c in sorted(sums)], 1) if sums else np.zeros((FEATURES, RANK))
     return axes_of(b, weight), often / max(often.sum(), 1)
 
@@ -454,7 +454,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     form, found, parts = "doc_id long, item_id long, cosine double, lcs_share double, start_word int, end_word int", None, 0
     for part in benchmark_parts(benchmark):
         sent = docs.sparkSession.sparkContext.broadcast((part, axes, rates, short_items(part)))
-        one = own.mapInArrow(_search(sent), form)
+        one = own.mapInArrow(trimmed(_search(sent)), form)
         if parts:  # a long benchmark: each part's matches are written before the next part is searched for
             one, found = written(one, "matches"), written(found, "matches") if parts == 1 else found
         found, parts = one if found is None else found.unionByName(one), parts + 1

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import BROADCAST_KEYS, documents, keep_keys, written
+from factloom.llm.common import BROADCAST_KEYS, documents, keep_keys, trimmed, written
 from factloom.llm.components import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 80, 100
@@ -327,7 +327,7 @@ def verified(pairs: DataFrame, own: DataFrame, fine: DataFrame) -> DataFrame:
     pairs = written(near, "pairs")
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "paired")
     texts = keep_keys(own.where("doc_id is not null"), ids, "doc_id", ids.count())
-    sets = written(texts.mapInArrow(_full_sets, "id long, n long, hashes array<long>"), "sets")
+    sets = written(texts.mapInArrow(trimmed(_full_sets), "id long, n long, hashes array<long>"), "sets")
     full = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("hashes").alias(f"h{c}"))
     shared = F.size(F.array_intersect("ha", "hb"))
     found = pairs.join(full("a"), "a").join(full("b"), "b")
@@ -349,7 +349,7 @@ def block_keys(own: DataFrame, classes: DataFrame) -> DataFrame:
     with_hot = lambda some, n: written(keep_keys(keys, some, "key", n).select(F.col("id").alias("doc_id")).distinct(), "with-hot")
     touched = with_hot(hot, n_hot)
     texts = keep_keys(own.where("doc_id is not null"), touched, "doc_id", touched.count())
-    counted = often(texts.mapInArrow(_picked(next_shingles), "id long, n long, first array<long>").select(F.explode("first").alias("key")))
+    counted = often(texts.mapInArrow(trimmed(_picked(next_shingles)), "id long, n long, first array<long>").select(F.explode("first").alias("key")))
     counted = written(counted.unionByName(hot.withColumn("members", F.lit(HOT + 1).cast("long"))).groupBy("key").agg(F.max("members").alias("members")), "counted")
     least, n_hot = HOT, counted.count()
     while n_hot > MOST_HOT:  # only the most frequent ones go to the tasks; the blocks of the others are larger, and as exact
@@ -360,7 +360,7 @@ def block_keys(own: DataFrame, classes: DataFrame) -> DataFrame:
     touched = with_hot(hot, n_hot)
     n_touched = touched.count()
     texts = keep_keys(own.where("doc_id is not null"), touched, "doc_id", n_touched)
-    again = written(texts.mapInArrow(_picked(first_shingles, sent), "id long, n long, first array<long>").where("n > 0"), "again").select("id", "n", F.explode("first").alias("key"))
+    again = written(texts.mapInArrow(trimmed(_picked(first_shingles, sent)), "id long, n long, first array<long>").where("n > 0"), "again").select("id", "n", F.explode("first").alias("key"))
     ids = touched.select(F.col("doc_id").alias("id"))
     ids = F.broadcast(ids) if n_touched <= BROADCAST_KEYS else ids
     return keys.join(ids, "id", "left_anti").unionByName(again)
@@ -369,7 +369,7 @@ def block_keys(own: DataFrame, classes: DataFrame) -> DataFrame:
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Sketches (doc_id, n, rep: the smallest id with the same set), and enough verified links (a, b) between reps to connect all that are linked."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = written(own.mapInArrow(_sketches, "doc_id long, n long, d1 long, d2 long, first array<long>, point binary, fine binary"), "sketches")
+    sketches = written(own.mapInArrow(trimmed(_sketches), "doc_id long, n long, d1 long, d2 long, first array<long>, point binary, fine binary"), "sketches")
     classes = sketches.where("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min_by(F.struct("first", "point", "fine"), "doc_id").alias("s"), F.min("doc_id").alias("rep"))
     classes = written(classes.select("d1", "d2", "n", "rep", "s.*"), "classes")
     keys = block_keys(own, classes)
@@ -383,7 +383,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     here = F.when(F.col("id") == F.col("head"), F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts).cast("int")))
     rows = members.withColumn("part", F.explode(here)).withColumn("other", (F.col("id") != F.col("head")).cast("int")).join(dots, ["id", "n"])
     rows = rows.select("key", "part", "other", "id", "n", "point").repartition("key", "part").sortWithinPartitions("key", "part", "other")
-    stars = written(rows.mapInArrow(_searched, "a long, b long").distinct(), "stars")
+    stars = written(rows.mapInArrow(trimmed(_searched), "a long, b long").distinct(), "stars")
     first = written(verified(stars, own, fine), "links")
     # what the smallest members have not settled: blocks of three or more with several components
     labels = components(first)
@@ -391,7 +391,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     open_ = more.groupBy("key").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high").select("key")
     more = keep_keys(more, open_, "key", open_.count()).join(dots, ["id", "n"])
     small = more.where(F.col("members") <= NODE).select("key", "id", "grp", "n", "point").repartition("key").sortWithinPartitions("key")
-    found = small.mapInArrow(_paired, "a long, b long").unionByName(leaf_pairs(more.where(F.col("members") > NODE))).distinct()
+    found = small.mapInArrow(trimmed(_paired), "a long, b long").unionByName(leaf_pairs(more.where(F.col("members") > NODE))).distinct()
     second = verified(found.join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), own, fine)
     reps = classes.select("d1", "d2", "n", "rep")
     return sketches.select("doc_id", "n", "d1", "d2").join(reps, ["d1", "d2", "n"], "left").select("doc_id", "n", "rep"), written(first.unionByName(second), "links")
@@ -409,7 +409,7 @@ def leaf_pairs(rows: DataFrame) -> DataFrame:
     rows = rows.join(salts, ["key", "slab"], "left").withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
     rows = rows.select("key", "slab", "salt", "id", "grp", "n", "point").repartition("key", "slab", "salt").sortWithinPartitions("key", "slab", "salt")
     form = "key long, slab int, salt int, least long, high binary, ids array<long>, grps array<long>, sizes array<long>, points binary"
-    leaves = written(rows.mapInArrow(_leaves, form), "leaves")
+    leaves = written(rows.mapInArrow(trimmed(_leaves), form), "leaves")
     one, names = leaves.select("key", "slab", "salt", "least", "high"), ["key", "slab", "salt", "least", "high"]
     two = one.toDF(*[c if c == "key" else f"{c}2" for c in names])
     near = F.col("slab2").isin(F.col("slab"), F.col("slab") + 1, F.col("slab") + 2) & ((F.col("slab2") > F.col("slab")) | (F.col("salt2") >= F.col("salt")))
@@ -417,7 +417,7 @@ def leaf_pairs(rows: DataFrame) -> DataFrame:
     pairs = written(bounds.mapInArrow(_near_leaves, "key long, slab int, salt int, slab2 int, salt2 int"), "leaf-pairs")
     full = leaves.drop("least", "high")
     second = full.toDF(*[c if c == "key" else f"{c}2" for c in full.columns])
-    return pairs.join(full, ["key", "slab", "salt"]).join(second, ["key", "slab2", "salt2"]).mapInArrow(_joined, "a long, b long").distinct()
+    return pairs.join(full, ["key", "slab", "salt"]).join(second, ["key", "slab2", "salt2"]).mapInArrow(trimmed(_joined), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, held_out, sampled_texts, table
+from factloom.llm.common import documents, held_out, sampled_texts, table, trimmed
 
 #: Bound of the training sample: labelled documents, the first by a hash of the id.
 SAMPLE_DOCUMENTS = 20_000
@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE_DOCUMENTS,
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(modulus, remainder)).select("doc_id", "quality").distinct()
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     rows = sampled_texts(docs, known).select(F.col("quality").cast("double").alias("y"), "text")
-    got = rows.mapInArrow(_with_statistics, "y double, x array<double>").toArrow()
+    got = rows.mapInArrow(trimmed(_with_statistics), "y double, x array<double>").toArrow()
     y = got.column("y").to_numpy()
     x = np.array(got.column("x").to_pylist(), np.float64).reshape(len(y), len(NAMES))
     order = np.lexsort((*x.T, y))  # the same trees however the rows arrive
@@ -146,7 +146,7 @@ def score(docs: DataFrame, model) -> DataFrame:
             s = score_rows(model, statistics(batch.column(1))) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, model) -> DataFrame:
@@ -159,7 +159,7 @@ def keep_good(docs: DataFrame, model) -> DataFrame:
             if batch.num_rows:
                 yield batch.filter(pa.array(score_rows(model, statistics(batch.column(at))) >= 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

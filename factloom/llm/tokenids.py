@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factloom.llm import npwords
-from factloom.llm.common import documents, give_back, new_path, written
+from factloom.llm.common import caches, documents, give_back, new_path, written
 
 END = 0
 #: Bytes encoded in one call, units whose ids a process keeps, places of its table: bounds of its memory.
-CALL_BYTES, KEPT_UNITS, PLACES = 500_000, 600_000, 1 << 22
+CALL_BYTES, KEPT_UNITS, PLACES = 500_000, 300_000, 1 << 21
 #: Byte values of the second hash of a unit.
 _SECOND = np.random.default_rng(77).integers(1, 1 << 63, 256, dtype=np.uint64)
 _tokenizers: dict[str, object] = {}
@@ -172,6 +172,7 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+caches.append(_encoders)
 
 
 def encoder(path: str) -> Encoder:
