@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import decontam, fingerprints, jaccard, language, mixing, pii, quality, tokenids, toxicity, warc
+from factloom.llm import decontam, fingerprints, jaccard, language, mixing, pii, quality, tokenids, toxicity, turns, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
+    "op11_turns": turns.op11_turns,
 }
 
 #: Operators with trained, sampled or sketched results have no SQL; they are tested against brute force, round trips or held-out labels.
@@ -50,4 +51,5 @@ SQL: dict[str, str] = {
         SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
           CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = best THEN NULL ELSE best END AS refers_to FROM m
     """,
+    "op11_turns": turns.SQL,
 }
