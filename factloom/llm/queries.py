@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from factloom.llm import decontam, fingerprints, jaccard, language, mixing, pii, quality, tokenids, toxicity, turns, warc
+from factloom.llm import decontam, fingerprints, jaccard, language, mixing, pii, quality, secrets, structure, tokenids, toxicity, turns, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.op1_decontamination,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": quality.op9_quality,
     "op10_mixing": mixing.op10_mixing,
     "op11_turns": turns.op11_turns,
+    "op12_structure": structure.op12_structure,
+    "op13_secrets": secrets.op13_secrets,
 }
 
 #: Operators with trained, sampled or sketched results have no SQL; they are tested against brute force, round trips or held-out labels.
