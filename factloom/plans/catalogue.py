@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from factloom.operators import identity, reconcile, scores, statistics, temporal, text
+from factloom.operators import identity, reconcile, scans, scores, statistics, temporal, text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -198,12 +198,10 @@ def interval_link_unique(t: Tables) -> DataFrame:
   c AS (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM r)
   SELECT user_id, event_id, state FROM c WHERE state IS DISTINCT FROM before""")
 def running_state_changes(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    rows = t.events.withColumn("top", F.max("value").over(w)).withColumn("bought", F.max((F.col("event_type") == "purchase").cast("int")).over(w))
-    rows = rows.withColumn("now", F.when(F.col("top") > 90, "high").when(F.col("bought") > 0, "bought").otherwise("none"))
-    return temporal.running_changes(rows, ["user_id"], ["ts", "event_id"], F.last("now")).select("user_id", "event_id", "state")
+    states = {"top": ("max", F.col("value")), "bought": ("any", F.col("event_type") == "purchase")}
+    state = F.when(F.col("top") > 90, "high").when(F.col("bought"), "bought").otherwise("none")
+    rows = t.events.select("user_id", "event_id", "ts", "value", "event_type")
+    return scans.state_changes(rows, ["user_id"], ["ts", "event_id"], states, state).select("user_id", "event_id", "state")
 
 
 @query("""WITH m AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 300 SECOND THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),

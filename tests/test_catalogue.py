@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from factloom.plans import catalogue, extracting, governance, instruments, linking, more, reports, tables  # noqa: F401
+from factloom.plans import catalogue, depth, extracting, governance, instruments, linking, more, reports, tables  # noqa: F401
 
 DATA = os.environ.get("FACTLOOM_DATA", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no driver tables")
