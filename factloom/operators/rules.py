@@ -1,6 +1,8 @@
-"""Rule tables of the report domain: studies, techniques, locations, sizes, assertions of a diagnosis, medicines, kin, headings, page lines, screening classes.
+"""Rule tables: an evaluator for rules that are data.
 
-A rule table is data; `text.labels`, `first_label` and `only_label` evaluate it inside the row. Everything here is a column expression.
+A rule is (label, needs, unless): it holds where each field in `needs` has a match of its pattern and no field in `unless` has. Fields are named columns; a field that is null
+matches nothing. decide() takes the first rule that holds, exclusive() the only one, every() all of them. Vocabularies belong to the caller: they come from a rule
+file (sources.external.rules_from_yaml) or are passed as lists, and this module holds none.
 """
 
 from __future__ import annotations
@@ -10,197 +12,86 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from factloom.operators import text
+Rule = tuple[str | tuple, dict[str, str], dict[str, str]]
+AMBIGUOUS = "AMBIGUOUS"
 
 
-def _found(value: Column, pattern: str) -> Column:
-    return value.rlike(f"(?i){pattern}")
+def words(*alternatives: str) -> str:
+    """A pattern of whole words in any case. Word borders are those of letters and digits of all scripts."""
+    return r"(?i)(?:^|[^\p{L}\p{N}])(?:" + "|".join(alternatives) + r")(?:[^\p{L}\p{N}]|\z)"
 
 
-# --- studies --------------------------------------------------------------------------------------------------------------------
+def on(field: str, table: list[tuple[str, str]]) -> list[Rule]:
+    """Rules of one field from (label, pattern) pairs."""
+    return [(label, {field: pattern}, {}) for label, pattern in table]
 
-# Anatomic scopes by the words of a study's header, first match.
-SCOPES = [("SPINE", r"(?i)Wirbelsäule|Lendenwirbel|Brustwirbel|Halswirbel|\bLWS\b|\bBWS\b"), ("BRAIN", r"(?i)Schädel|craniell|Hirn|brain|Schlaganfall|Epilepsie|\bMRT\b|\bMRI\b"), ("HEAD_NECK", r"(?i)Hals|neck")]
 
+def holds(fields: dict[str, Column], rule: Rule) -> Column:
+    """Whether a rule holds; never null."""
+    _, needs, unless = rule
+    if lacking := (needs.keys() | unless.keys()) - fields.keys():
+        raise KeyError(f"no such fields: {sorted(lacking)}")
+    found = lambda f, p: F.coalesce(fields[f].rlike(p), F.lit(False))
+    return combined(*[found(f, p) for f, p in needs.items()], *[~found(f, p) for f, p in unless.items()])
 
-def study_scope(header: Column) -> Column:
-    return text.first_label(header, SCOPES, "OTHER")
 
+def _label(label: str | tuple, names: list[str] | None) -> Column:
+    if names is None:
+        return F.lit(label)
+    return F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(names, label, strict=True)])
 
-def study_performed(report: Column) -> Column:
-    """False only where the report says that the study was broken off or not done."""
-    return ~F.coalesce(_found(report, r"bricht\s+die\s+Patientin|abgebrochen|nicht\s+durchgeführt|nicht\s+erfolgt|not\s+performed"), F.lit(False))
 
-
-def neurosonology(kind: Column, location: Column, header: Column) -> Column:
-    """Whether an ultrasound exam is one of brain vessels: by its place, else by its header; vessels of limbs are none."""
-    sound = _found(F.concat_ws(" ", kind, header), r"ultrasound|sonogr|neuroson|duplex|doppler")
-    named = _found(header, r"Neuroson|Transkran|Transcran|Transtemporal|Extrakrani|Extracrani|Carotis|Karotis|Halsgef")
-    limb = _found(header, r"Extremit|Armvene|Beinvene|femoral|popliteal")
-    return sound & F.when(location.isin("heart", "abdomen", "body"), False).when(location.isin("brain", "neck vessels"), True).otherwise(F.coalesce(named & ~limb, F.lit(False)))
-
-
-def angiography(modality: Column, header: Column) -> Column:
-    """CTA for a CT whose header names only that; a native study with it stays a CT."""
-    own = _found(header, r"\bCTA\b") & ~_found(header, r"Schädel\s+(?:craniell\s+)?nativ|Thorax\s+nativ")
-    return F.when(modality.isin("CT", "CTA") & own, "CTA").otherwise(modality)
-
-
-# Words that make a series no plain T2 series, and those that name one.
-NOT_T2 = r"flair|dark.?fluid|tirm|stir|dti|dwi|diff|adc|trace|swi|haem|hemo|t2\s*\*|t2star|\bffe\b|\bgre\b|\bt1\b|t1w|spine|cervical|lumbar|\blws\b|\bhws\b|thorax|abdomen|dixon|\bmip\b|scout|localiz|survey"
-T2 = r"\b(?:t2w?_?tse|t2[_ ](?:tse|ax|cor|sag|spc|space)|ax t2 frfse|cor t2 frfse|t2w_4mm|dual[_ /]?tse|t2w_drive)(?:\b|_)"
-
-
-def is_t2(description: Column, subtype: Column, modality: Column, images: Column) -> Column:
-    """Magnetic resonance, twelve images at least, not derived, a T2 name and no word that says otherwise."""
-    said, kind = F.lower(F.trim(F.coalesce(description, F.lit("")))), F.lower(F.coalesce(subtype, F.lit("")))
-    return (modality == "MR") & (images >= 12) & (said != "") & (kind != "unknown") & ~kind.rlike("derived|secondary") & ~said.rlike(NOT_T2) & F.regexp_replace(said, r"^cs\s*(?=t2w)", "").rlike(T2)
-
-
-# Sequences by their names.
-SEQUENCES = [
-    ("SWI", r"(?i)\bSWI\b|suszeptibilit[äa]tsgewicht"), ("T2STAR_GRE", r"(?i)T2\s*\*|T2[- ]?(?:star|stern)|\bGRE\b"), ("DWI", r"(?i)\bDWI\b|diffusionsgewicht"), ("ADC", r"\bADC\b"), ("FLAIR", r"(?i)\bFLAIR\b"),
-    ("T1", r"(?i)\bT1(?:w|[- ]gewichtet)?\b"), ("T2", r"(?i)\bT2(?:w|[- ]gewichtet)?\b(?!\s*\*)"), ("TOF_MRA", r"(?i)\bTOF\b|time.of.flight"),
-]
-
-
-def mri_technique(report: Column) -> list[Column]:
-    """sequences (comma-joined), blood_sensitive (three-valued), contrast (GADOLINIUM, NONE, UNKNOWN). A sequence that is denied is false, one that isn't named unknown."""
-    denied = {"SWI": _found(report, r"(?:keine?|ohne|nicht\s+durchgeführte?)\s+SWI\b"), "T2STAR_GRE": _found(report, r"(?:keine?|ohne|nicht\s+durchgeführte?)\s+(?:T2\s*\*|GRE)")}
-    flags = {name: F.when(denied[name], False).when(report.rlike(p), True) if name in denied else F.when(report.rlike(p), True) for name, p in SEQUENCES}
-    swi, star = flags["SWI"], flags["T2STAR_GRE"]
-    blood = F.when(F.coalesce(swi, F.lit(False)) | F.coalesce(star, F.lit(False)), True).when(~swi & ~star, False)
-    given, none = _found(report, r"Gadolinium|Gadovist|Dotarem|Gadobutrol|mit\s+KM\b|nach\s+(?:intravenöser\s+)?Kontrastmittel(?:applikation|gabe)"), _found(report, r"ohne\s+(?:i\.?v\.?\s*)?(?:KM|Kontrastmittel)|keine\s+Kontrastmittelgabe|\bnativ\b")
-    return [F.array_join(F.array_compact(F.array(*[F.when(c, name) for name, c in flags.items()])), ",").alias("sequences"), blood.alias("blood_sensitive"), F.when(given, "GADOLINIUM").when(none, "NONE").otherwise("UNKNOWN").alias("contrast")]
-
-
-# --- places and sizes -----------------------------------------------------------------------------------------------------------
-
-# Lobes, deep and lower parts of the brain by their names.
-LOBES = [("FRONTAL", "(?i)frontal"), ("PARIETAL", "(?i)pariet"), ("TEMPORAL", "(?i)temporal"), ("OCCIPITAL", "(?i)o[ck]{1,2}[zc]ipital"), ("INSULAR", "(?i)(?<!sub)insul")]
-DEEP, LOWER = r"(?i)thalam|basalgang|putamen|pallid|caudat|capsula\s+interna", r"(?i)cerebell|kleinhirn|hirnstamm|pons|pontin|mesenceph|medulla"
+def decide(fields: dict[str, Column], rules: list[Rule], default: str | tuple | None = None, names: list[str] | None = None) -> Column:
+    """Label of the first rule that holds, else `default`. With names, labels are tuples and the result is a struct."""
+    out = _label(default, names) if default is not None or names is None else F.lit(None)
+    for rule in reversed(rules):
+        out = F.when(holds(fields, rule), _label(rule[0], names)).otherwise(out)
+    return out
 
 
-def macro_location(location: Column) -> list[Column]:
-    """macro (LOBAR, DEEP, INFRATENTORIAL, MIXED, UNKNOWN) and lobe (one, MULTILOBAR or UNKNOWN)."""
-    lobes = text.labels(location, LOBES)
-    some, deep, lower = F.size(lobes) > 0, location.rlike(DEEP), location.rlike(LOWER)
-    groups = some.cast("int") + deep.cast("int") + lower.cast("int")
-    macro = F.when(groups > 1, "MIXED").when(some, "LOBAR").when(deep, "DEEP").when(lower, "INFRATENTORIAL").otherwise("UNKNOWN")
-    return [macro.alias("macro"), F.when(F.size(lobes) > 1, "MULTILOBAR").otherwise(F.coalesce(F.get(lobes, F.lit(0)), F.lit("UNKNOWN"))).alias("lobe")]
+def every(fields: dict[str, Column], rules: list[Rule]) -> Column:
+    """Labels of all rules that hold, in the rules' order, each once."""
+    return F.array_distinct(F.array_compact(F.array(*[F.when(holds(fields, r), F.lit(r[0])) for r in rules])))
 
 
-def dimensions(passage: Column) -> list[Column]:
-    """d1, d2, d3 (mm), longest, volume_ml of `a x b x c mm` or cm and a stated volume; no volume is derived."""
-    number = r"(\d+(?:[.,]\d+)?)"
-    size = rf"(?i){number}\s*[x×]\s*{number}(?:\s*[x×]\s*{number})?\s*(mm|cm)\b"
-    part = lambda g: F.replace(F.regexp_extract(passage, size, g), F.lit(","), F.lit(".")).try_cast("double")
-    scale = F.when(F.lower(F.regexp_extract(passage, size, 4)) == "cm", 10.0).otherwise(1.0)
-    d = [part(g) * scale for g in (1, 2, 3)]
-    volume = F.replace(F.regexp_extract(passage, rf"(?i)Volumen[^0-9.;\n]{{0,25}}{number}\s*(?:ml|cm3|cm³)", 1), F.lit(","), F.lit(".")).try_cast("double")
-    return [*[c.alias(f"d{i}") for i, c in enumerate(d, 1)], F.array_max(F.array(*d)).alias("longest"), volume.alias("volume_ml")]
-
-
-def explicit_flag(report: Column, positive: str, negative: str) -> Column:
-    """True, false where denied, null where it isn't named; a denial outweighs the name in it."""
-    return F.when(_found(report, negative), False).when(_found(report, positive), True)
-
-
-def morphology(report: Column) -> list[Column]:
-    projections, extension = r"finger[- ]like\s+projections|fingerförmige[nr]?\s+(?:Ausläufer|Fortsätze)", r"subarachnoidale?\s+Ausdehnung|Einbruch\s+in\s+den\s+Subarachnoidalraum|subarachnoid\s+extension"
-    no = lambda p: rf"(?:keine|ohne|no)\s+(?:{p})"
-    return [explicit_flag(report, projections, no(projections)).alias("projections"), explicit_flag(report, extension, no(extension)).alias("subarachnoid")]
-
-
-# --- assertions of a diagnosis --------------------------------------------------------------------------------------------------
-
-
-def stated_diagnosis(report: Column) -> list[Column]:
-    """status and framework of what a report says of amyloid angiopathy; what is said is neither a computed category nor proof."""
-    named = r"(?:CAA|Amyloidangiopath\w*)"
-    status = (
-        F.when(~_found(report, named), "NO_ASSERTION").when(_found(report, rf"kein(?:e[nr]?)?\s+Hinweis[^.;\n]{{0,90}}{named}|{named}\s+(?:ausgeschlossen|nicht\s+nachweisbar)"), "NEGATED")
-        .when(_found(report, r"definite\s+CAA") & _found(report, "autops|post.?mortem") & _found(report, "patholog|histolog"), "DEFINITE").when(_found(report, r"probable\s+CAA\s+with\s+supporting\s+pathology") & _found(report, "biops|hämatom|hematoma"), "PROBABLE_WITH_PATHOLOGY")
-        .when(_found(report, rf"(?:probable|wahrscheinlich)[^.;\n]{{0,35}}{named}"), "PROBABLE").when(_found(report, rf"(?:possible|möglich)[^.;\n]{{0,35}}{named}"), "POSSIBLE")
-        .when(_found(report, r"Verdacht|V\s*\.?\s*a\s*\.|suspiz|Differentialdiagnos|\bDD\b|fraglich"), "SUSPECTED").when(_found(report, rf"bekannt|{named}\s+(?:bestätigt|diagnostiziert|mit)"), "DIAGNOSED").otherwise("UNCERTAIN")
-    )
-    framework = F.when(status == "NO_ASSERTION", "UNKNOWN").when(_found(report, r"Boston[^.;\n]{0,16}(?:2[.,]0|v\.?\s*2)"), "BOSTON_V2").when(_found(report, "Boston"), "BOSTON").when(_found(report, "Edinburgh"), "EDINBURGH").otherwise("UNKNOWN")
-    return [status.alias("status"), framework.alias("framework")]
-
-
-# --- medicines ------------------------------------------------------------------------------------------------------------------
-
-# Classes of medicines (category, subclass, agent) by their names, first match.
-MEDICINES = [
-    (("ANTITHROMBOTIC", "ANTICOAGULANT", "LMWH"), "Fragmin|Enoxaparin|Clexane|Lovenox|Dalteparin|Nadroparin|Tinzaparin"),
-    (("ANTITHROMBOTIC", "ANTICOAGULANT", "UFH"), "Heparin|Liquemin|Calciparin"),
-    (("ANTITHROMBOTIC", "ANTICOAGULANT", "VKA"), "Marcoumar|Phenprocoumon|Warfarin|Acenocoumarol|Sintrom"),
-    (("ANTITHROMBOTIC", "ANTICOAGULANT", "DOAC"), "Lixiana|Eliquis|Xarelto|Pradaxa|Edoxaban|Apixaban|Rivaroxaban|Dabigatran"),
-    (("ANTITHROMBOTIC", "ANTIPLATELET", "ASPIRIN"), r"ASS|Aspirin|Acetylsalicylsäure|Thrombo\s*ASS"),
-    (("ANTITHROMBOTIC", "ANTIPLATELET", "P2Y12_INHIBITOR"), "Plavix|Clopidogrel|Ticagrelor|Brilique|Prasugrel|Efient"),
-    (("ANTIHYPERTENSIVE", None, None), "Ramipril|Bisoprolol|Concor|Amlodipin|Lisinopril|Candesartan|Valsartan|Enalapril|Metoprolol|Nebivolol|Carvedilol|Losartan"),
-    (("LIPID_LOWERING", None, None), "Atorvastatin|Simvastatin|Rosuvastatin|Pravastatin|Ezetimib|Sortis"),
-    (("ANTISEIZURE", None, None), "Levetiracetam|Keppra|Perampanel|Lacosamid|Vimpat|Valproat|Lamotrigin|Carbamazepin|Phenytoin|Gabapentin|Pregabalin|Lyrica"),
-    (("ANTIDEMENTIA", None, None), "Donepezil|Memantin|Rivastigmin|Galantamin"),
-    (("ANTIDEPRESSANT", None, None), "Sertralin|Escitalopram|Citalopram|Trazodon|Mirtazapin|Duloxetin|Venlafaxin"),
-]
-
-
-def medicine(name: Column, source: Column) -> Column:
-    """struct(category, subclass, agent, role) of the first class whose name is in a medicine's name. The role of an anticoagulant comes from its source's words."""
-    role_of = F.when(_found(source, r"(?:Thrombose|VTE)[- ]?prophylax|prophylaktisch"), "VTE_PROPHYLAXIS").when(_found(source, r"therapeutisch|Vollheparinisierung"), "THERAPEUTIC_ANTICOAGULATION").otherwise("UNKNOWN")
-    out = F.struct(F.lit("OTHER").alias("category"), F.lit(None).cast("string").alias("subclass"), F.lit(None).cast("string").alias("agent"), F.lit("UNKNOWN").alias("role"))
-    for (category, subclass, agent), names in reversed(MEDICINES):
-        role = role_of if subclass == "ANTICOAGULANT" else F.lit("ANTIPLATELET" if subclass == "ANTIPLATELET" else "UNKNOWN")
-        hit = F.struct(F.lit(category).alias("category"), F.lit(subclass).cast("string").alias("subclass"), F.lit(agent).cast("string").alias("agent"), role.alias("role"))
-        out = F.when(_found(name, rf"\b(?:{names})\b"), hit).otherwise(out)
-    return out
+def exclusive(fields: dict[str, Column], rules: list[Rule], several: str = AMBIGUOUS, none: str | None = None) -> Column:
+    """The label that all rules that hold share; `several` where they differ, `none` where no rule holds."""
+    found = every(fields, rules)
+    return F.when(F.size(found) > 1, several).otherwise(F.coalesce(F.get(found, F.lit(0)), F.lit(none)))
 
 
-def first_value(role: Column, value: Column, low: Column, high: Column) -> Column:
-    """struct(value, flag) of a cell in the column of first values; null for cells of other columns. A flag needs the end that decides."""
-    first = F.upper(F.replace(role, F.lit(" "), F.lit("_"))).isin("FIRST", "FIRST_VALUE", "ERSTER_WERT")
-    flag = F.when(value < low, "LOW").when(value > high, "HIGH").when(low.isNotNull() & high.isNotNull(), "NORMAL").otherwise("UNKNOWN")
-    return F.when(first, F.struct(value.alias("value"), flag.alias("flag")))
+def stated(value: Column, said: str, denied: str) -> Column:
+    """True where it is said, false where it is denied (a denial outweighs what it denies), null where it isn't named."""
+    return F.when(value.rlike(denied), False).when(value.rlike(said), True)
 
 
-# --- kin ------------------------------------------------------------------------------------------------------------------------
+def combined(*flags: Column) -> Column:
+    """Whether all flags hold; unknown ones don't."""
+    return reduce(lambda a, b: a & b, [F.coalesce(f, F.lit(False)) for f in flags], F.lit(True))
 
-# Words for relatives of the first and the second degree.
-FIRST_DEGREE = r"(?i)\b(?:Mutter|Vater|Eltern|Bruder|Brüder|Schwester|Schwestern|Geschwister|Sohn|Söhne|Tochter|Töchter|Kind|Kinder|mother|father|brothers?|sisters?|sons?|daughters?)\b"
-SECOND_DEGREE = r"(?i)\b(?:Großmutter|Großvater|Großeltern|Oma|Opa|Onkel|Tante|Neffe|Nichte|Enkel|Enkelin|Cousine?|grandmother|grandfather|uncle|aunt|nephew|niece)\b"
 
+def features(value: Column, table: dict[str, str], counts: dict[str, tuple[Column, int]]) -> list[Column]:
+    """A boolean for each pattern of a text, and for each count whether it reaches its least value; null counts don't."""
+    return [*[F.coalesce(value.rlike(p), F.lit(False)).alias(n) for n, p in table.items()], *[F.coalesce(c >= least, F.lit(False)).alias(n) for n, (c, least) in counts.items()]]
 
-def kinship(relative: Column) -> Column:
-    """first, second, unknown, not specified (null), or ambiguous where several words for relatives contradict each other."""
-    chained = _found(relative, r"^(?:(?:Brüder|Bruder)\s+des\s+Vaters|Schwester\s+der\s+Mutter|Sohn\s+des\s+Bruders)$")
-    n1, n2 = F.regexp_count(relative, F.lit(FIRST_DEGREE)), F.regexp_count(relative, F.lit(SECOND_DEGREE))
-    said = F.when(_found(relative, r"Verwandt\w*") & _found(relative, r"\b(?:ersten|1\.)\s+Grades"), "first").when(_found(relative, r"Verwandt\w*") & _found(relative, r"\b(?:zweiten|2\.)\s+Grades"), "second")
-    return F.when(relative.isNull(), "not specified").when(chained, "second").otherwise(F.coalesce(said, F.when(_found(relative, r"\b(?:Halb\w*|half[- ]?\w*)\b"), "unknown").when(n1 + n2 > 1, "ambiguous").when(n1 == 1, "first").when(n2 == 1, "second").otherwise("unknown")))
 
+def against(value: Column, low: Column, high: Column) -> Column:
+    """LOW or HIGH beyond a known end, NORMAL between two known ends, else UNKNOWN."""
+    return F.when(value < low, "LOW").when(value > high, "HIGH").when(value.isNotNull() & low.isNotNull() & high.isNotNull(), "NORMAL").otherwise("UNKNOWN")
 
-# --- headings and lines ---------------------------------------------------------------------------------------------------------
 
-# What a section is for, by the words of its heading.
-TARGETS = [
-    ("case", r"(?i)\b(?:stammdaten|patientendaten|demograph\w*)\b"), ("clinical_history", r"(?i)\b(?:diagnos\w*|anamnese|krankengeschichte|verlauf|epikrise|clinical history)\b"), ("medications", r"(?i)\b(?:medikation\w*|medikament\w*|medication\w*|arzneimittel\w*)\b"),
-    ("examinations", r"(?i)\b(?:untersuchung\w*|sonograph\w*|ultraschall\w*|duplex\w*|pet|spect|examination\w*)\b"), ("laboratory", r"(?i)\b(?:labor\w*|liquor\w*|laboratory|blutbild)\b"), ("radiology", r"(?i)\b(?:radiolog\w*|ct|mrt|mri|cct|cmrt)\b"), ("family_history", r"(?i)\b(?:familienanamnese|family history)\b"),
-]
+# --- lines of a text --------------------------------------------------------------------------------------------------------------
 
 
-def routing_targets(heading: Column, body: Column) -> Column:
-    """Targets of a section by its heading, or by its first line that isn't empty; lines over 160 characters are no headings."""
-    first = F.get(F.filter(F.split(body, "\n"), lambda x: F.trim(x) != ""), F.lit(0))
-    evidence = F.coalesce(F.nullif(heading, F.lit("")), first, F.lit(""))
-    return F.when(F.length(evidence) > 160, F.array().cast("array<string>")).otherwise(text.labels(evidence, TARGETS))
+def leading_line(body: Column) -> Column:
+    """The first line that isn't blank; null without one."""
+    return F.get(F.filter(F.split(body, "\n"), lambda x: F.trim(x) != ""), F.lit(0))
 
 
-def contextual_action(action: Column, section: Column, before: Column, after: Column) -> Column:
-    """KEEP or STOP of a heading inside a report; contextual ones depend on what stands before and after them."""
-    assessment = F.when(F.length(F.trim(before)) < 3, "KEEP").when(_found(after, r"^\s*Dieses\s+EEG"), "KEEP").when(_found(before, r"Interpretation\s*:") | after.rlike(r"^\s*1\."), "STOP").otherwise("KEEP")
-    status = F.when(_found(after, r"^\s*(?:Neurologisch|Wach|Bewusst|Allgemeinzustand|Kreislauf|1\.)"), "STOP").otherwise("KEEP")
-    peer = F.when(F.trim(before) != "", "STOP").otherwise("KEEP")
-    return F.when(action != "CONTEXTUAL", action).when(section == "ASSESSMENT", assessment).when(section == "STATUS", status).otherwise(peer)
+def routed(heading: Column, body: Column, rules: list[Rule], longest: int = 160) -> Column:
+    """Labels of the rules on the field `heading` that hold for a heading, or for the leading line where that is null or empty; what is longer than `longest` is no heading."""
+    evidence = F.coalesce(F.nullif(heading, F.lit("")), leading_line(body), F.lit(""))
+    return F.when(F.length(evidence) <= longest, every({"heading": evidence}, rules)).otherwise(F.array().cast("array<string>"))
 
 
 def page_line(line: Column, patterns: list[tuple[str, str]]) -> Column:
@@ -223,69 +114,29 @@ def joined_headings(lines: Column, headings: list[str], most: int = 3) -> Column
     return F.transform(lines, pick)
 
 
-def without_foreign_part(body: Column, opens: str, closes: str) -> Column:
-    """The lines of a text without the parts that an opening line begins and a closing line ends (the closing line stays): findings of another method in one report."""
-    state = F.aggregate(F.split(body, "\n"), F.struct(F.lit(False).alias("off"), F.array().cast("array<string>").alias("kept")), lambda s, x: _next(s, x, opens, closes), lambda s: s["kept"])
-    return F.array_join(state, "\n")
-
+def without_part(body: Column, opens: str, closes: str) -> Column:
+    """The lines of a text without the parts that an opening line begins and a closing line ends (the closing line stays)."""
 
-def _next(s: Column, line: Column, opens: str, closes: str) -> Column:
-    off = F.when(line.rlike(closes), False).when(line.rlike(opens), True).otherwise(s["off"])
-    return F.struct(off.alias("off"), F.when(off, s["kept"]).otherwise(F.concat(s["kept"], F.array(line))).alias("kept"))
+    def step(s: Column, line: Column) -> Column:
+        off = F.when(line.rlike(closes), False).when(line.rlike(opens), True).otherwise(s["off"])
+        return F.struct(off.alias("off"), F.when(off, s["kept"]).otherwise(F.concat(s["kept"], F.array(line))).alias("kept"))
 
+    start = F.struct(F.lit(False).alias("off"), F.array().cast("array<string>").alias("kept"))
+    return F.array_join(F.aggregate(F.split(body, "\n"), start, step, lambda s: s["kept"]), "\n")
 
-def unmeasured(span: Column) -> Column:
-    """Whether a table of vessels says of every vessel that it wasn't examined, and nothing else."""
-    rows = F.filter(F.transform(F.split(span, "\n"), F.trim), lambda x: x != "")
-    empty = lambda x: x.rlike(r"(?i)^A\.\s*carotis\s+(?:communis|interna|externa)\s*:(?=.*nicht untersucht)") & ~F.regexp_replace(F.regexp_replace(x, r"^[^:]*:", ""), "(?i)nicht untersucht", "").rlike(r"[^\s|\-]")
-    return (F.size(rows) > 0) & F.forall(rows, empty)
 
+def all_lines(body: Column, pattern: str) -> Column:
+    """Whether a text has lines that aren't blank and each of them has a match."""
+    rows = F.filter(F.transform(F.split(body, "\n"), F.trim), lambda x: x != "")
+    return F.coalesce((F.size(rows) > 0) & F.forall(rows, lambda x: x.rlike(pattern)), F.lit(False))
 
-# --- screening ------------------------------------------------------------------------------------------------------------------
 
-# Features of a document, by their words.
-FEATURES = {
-    "normal": r"(?i)Normalbefund|normales?\s+EEG|Grenzen\s+der\s+Norm", "focal_slowing": r"(?i)fokal\w*\s+Verlangsamung|Herdstörung", "generalized_slowing": r"(?i)(?:generalisiert|diffus)\w*\s+Verlangsamung|Allgemeinveränderung",
-    "epileptiform": r"(?i)Spikes?\b|Sharp[- ]Waves?|epilepsietypisch", "periodic": r"\b[LG]PDs?\b|\b[LG]RDA\b", "sleep": r"(?i)Schlafspindel|K[- ]Komplex|Vertex", "artifact": r"(?i)Artefakt|nicht\s+(?:beurteilbar|auswertbar)",
-    "seizure_context": r"(?i)Status\s+epilepticus|Anfall|Anfälle|Epilepsie", "stroke_context": r"(?i)Infarkt|Schlaganfall|ischämisch", "dementia_context": r"(?i)Demenz|Enzephalopathie",
-}
-
-
-def feature_vector(body: Column, counts: dict[str, tuple[Column, int]]) -> list[Column]:
-    """A boolean for each feature of the text, and for each count whether it reaches its least value."""
-    return [*[F.coalesce(body.rlike(p), F.lit(False)).alias(name) for name, p in FEATURES.items()], *[(c >= least).alias(name) for name, (c, least) in counts.items()]]
-
-
-def recording_class(body: Column) -> Column:
-    """PERFORMED, PLANNED, REFERENCED or UNKNOWN: whether a report tells of a recording of brain waves, plans one or only names one."""
-    named, planned = body.rlike(r"\bEEG\b|(?i)Elektroen[cz]ephalo"), _found(body, r"empfohlen|geplant|angefordert|vorgesehen|nicht\s+durchgeführt")
-    done = _found(body, r"(?:EEG|Elektroen[cz]ephalo\w*)[^.!?\n]{0,60}(?:zeigte|ergab|abgeleitet|unauffällig)") | body.rlike(r"(?im)^[ \t]*EEG\b[^\n]{0,140}\d{1,2}\.\d{1,2}\.\d{4}[\s\S]{0,400}?(?:grundrhythm|grundaktivit|Hz|herdbefund)")
-    return F.when(done & ~_found(body, r"EEG[^.!?\n]{0,40}nicht\s+durchgeführt"), "PERFORMED").when(planned & named, "PLANNED").when(named, "REFERENCED").otherwise("UNKNOWN")
-
-
-def needs_semantics(body: Column) -> Column:
-    """Whether a report has wording that rules alone don't settle."""
-    return _found(body, r"broad[- ]sharp|nicht\s+(?:sicher\s+)?beurteilbar|iktal|Korrelation|Phasenumkehr|triphasisch|bifronto")
-
-
-# Analytes by their names on a line of a laboratory table.
-ANALYTES = [("csf_tau_total", r"(?i)(?<!\w)(?:Tau\s+gesamt|Gesamt[-\s]+Tau|total[-\s]+tau|t[-\s]?Tau)(?!\w)"), ("csf_ptau_total", r"(?i)(?<!\w)(?:p[-\s]?Tau|phospho[-\s]+Tau)(?!\w)"), ("crp", r"(?i)\bCRP\b|C[- ]reaktives\s*Protein"), ("hba1c", r"(?i)HbA1c\b|Hämoglobin\s*A1c")]
-
-
-def laboratory_line(line: Column) -> Column:
-    """The analyte that a line is about, null for other lines."""
-    return F.when(~_found(line, r"HbA1c[- ]Wert"), text.first_label(line, ANALYTES))
-
-
-# How labels begin or what they name that are no diseases.
-NO_DISEASE = r"^(?:DD\b|V\.?\s*a\.|Verdacht auf|kein\w*\b|Die Patientin\b|Der Patient\b|Wir\b|Bitte\b|Empfohlen\b)|Gastroskopie|Endoskopie|Biopsie|Operation|operiert|\bOP\b|Resektion|Kardioversion"
-
-
-def eligible_label(label: Column) -> Column:
-    """Whether a label may be a disease: not empty, no suspicion, denial, prose or procedure."""
-    return F.coalesce((F.trim(label) != "") & ~_found(label, NO_DISEASE), F.lit(False))
-
-
-def combined(*flags: Column) -> Column:
-    """Whether all flags hold; unknown ones don't."""
-    return reduce(lambda a, b: a & b, [F.coalesce(f, F.lit(False)) for f in flags])
+def dimensions(passage: Column, volume: str = "volume") -> list[Column]:
+    """d1, d2, d3 (mm), longest, volume_ml of sizes such as `12 x 2.5 x 7 mm` or cm, and of a stated volume in ml that follows the word; no volume is derived."""
+    number = r"([0-9]+(?:[.,][0-9]+)?)"
+    size = rf"(?i){number}\s*[x×]\s*{number}(?:\s*[x×]\s*{number})?\s*(mm|cm)(?![\p{{L}}\p{{N}}])"
+    value = lambda pattern, g: F.replace(F.regexp_extract(passage, pattern, g), F.lit(","), F.lit(".")).try_cast("double")
+    scale = F.when(F.lower(F.regexp_extract(passage, size, 4)) == "cm", 10.0).otherwise(1.0)
+    d = [value(size, g) * scale for g in (1, 2, 3)]
+    stated_volume = value(rf"(?i){volume}[^0-9.;\n]*{number}\s*(?:ml|cm3|cm³)", 1)
+    return [*[c.alias(f"d{i}") for i, c in enumerate(d, 1)], F.array_max(F.array(*d)).alias("longest"), stated_volume.alias("volume_ml")]

@@ -1,109 +1,105 @@
-"""Queries of the rule tables: texts rendered from columns, and in the SQL what each of them is."""
+"""Queries of the rule tables, named after the rows of the coverage table whose kind of rule they evaluate: small vocabularies that fit the driver's texts, evaluated on whole tables, and the same rules in SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.operators import extract, rules
 from factloom.plans.catalogue import Tables, query
 
+P = "o_orderpriority"
 
-def _case(column: str, said: dict[str, str], default: str | None = None) -> Column:
-    out = F.when(F.lit(False), F.lit(None).cast("string"))
-    for value, sentence in said.items():
-        out = out.when(F.col(column) == value, sentence)
-    return out.otherwise(F.lit(default).cast("string"))
-
+#: Small words of the four languages of the texts.
+LANGUAGE_WORDS = [("EN", rules.words("the", "of", "and")), ("FR", rules.words("les", "des", "qui")), ("DE", rules.words("der", "die", "und")), ("ES", rules.words("los", "el", "por"))]
+_SQL_WORDS = {n: p.replace("'", "''") for n, p in LANGUAGE_WORDS}
+_EN, _FR, _DE, _ES = (f"regexp_matches(text, '{_SQL_WORDS[n]}')" for n in ("EN", "FR", "DE", "ES"))
+_FOUND = f"list_filter([CASE WHEN {_EN} THEN 'EN' END, CASE WHEN {_FR} THEN 'FR' END, CASE WHEN {_DE} THEN 'DE' END, CASE WHEN {_ES} THEN 'ES' END], lambda x: x IS NOT NULL)"
+#: The first line that isn't blank.
+_LEAD = "list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x) <> '')[1]"
 
-P = "o_orderpriority"
-URGENT, HIGH, MEDIUM, NONE, LOW = "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'SPINE' WHEN '2-HIGH' THEN 'BRAIN' WHEN '3-MEDIUM' THEN 'HEAD_NECK' ELSE 'OTHER' END AS scope, o_orderstatus <> 'F' AS performed, CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 'CTA' ELSE 'CT' END AS modality,
-  o_orderpriority = '3-MEDIUM' AS neurosonology FROM orders""")
+@query(r"""SELECT page_id, CASE WHEN regexp_matches(url, '/en/') THEN 'EN' WHEN regexp_matches(url, '/(fr|es)/') AND NOT regexp_matches(html, '<table') THEN 'ROMANCE' WHEN regexp_matches(url, '/de/') THEN 'DE' ELSE 'OTHER' END AS scope,
+  CASE WHEN regexp_matches(url, '[?&]ref=') THEN false WHEN regexp_matches(url, '[?#]') THEN true END AS direct FROM pages""")
 def study_rules(t: Tables) -> DataFrame:
-    header = _case(P, {URGENT: "MRT Halswirbelsäule", HIGH: "CT Schädel nativ und CTA", MEDIUM: "Duplex der Halsgefäße", NONE: "CTA Aorta", LOW: "Duplex der Beinvenen"})
-    report = F.when(F.col("o_orderstatus") == "F", "Die Untersuchung wurde abgebrochen.").otherwise("Regelrecht.")
-    sound = rules.neurosonology(F.lit("report"), F.lit("unknown"), header)
-    return t.orders.select("o_orderkey", rules.study_scope(header).alias("scope"), rules.study_performed(report).alias("performed"), rules.angiography(F.lit("CT"), header).alias("modality"), sound.alias("neurosonology"))
+    fields = {"url": F.col("url"), "html": F.col("html")}
+    scope = rules.decide(fields, [("EN", {"url": "/en/"}, {}), ("ROMANCE", {"url": "/(fr|es)/"}, {"html": "<table"}), ("DE", {"url": "/de/"}, {})], "OTHER")
+    return t.pages.select("page_id", scope.alias("scope"), rules.stated(F.col("url"), "[?#]", "[?&]ref=").alias("direct"))
 
 
-@query("""SELECT o_orderkey, o_orderpriority IN ('1-URGENT', '5-LOW') AND o_custkey % 30 >= 12 AS is_t2 FROM orders""")
+@query("""SELECT item_id, coalesce(name LIKE 'large%' AND kind IN ('home', 'office') AND size >= 12 AND NOT regexp_matches(name, 'plate|bolt'), false) AS wanted FROM items""")
 def t2_series(t: Tables) -> DataFrame:
-    said = _case(P, {URGENT: "T2_TSE_tra", HIGH: "t2_tse_flair", MEDIUM: "T1w_tse", NONE: "localizer", LOW: "csT2W_TSE tra 4mm"})
-    return t.orders.select("o_orderkey", rules.is_t2(said, F.lit("ORIGINAL"), F.lit("MR"), F.col("o_custkey") % 30).alias("is_t2"))
+    rule = ("WANTED", {"name": "^large", "kind": r"^(home|office)\z"}, {"name": "plate|bolt"})
+    return t.items.select("item_id", rules.combined(rules.holds({"name": F.col("name"), "kind": F.col("kind")}, rule), F.col("size") >= 12).alias("wanted"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'SWI,FLAIR,T1' WHEN '2-HIGH' THEN 'DWI,FLAIR' WHEN '3-MEDIUM' THEN 'T2STAR_GRE' ELSE '' END AS sequences, CASE o_orderpriority WHEN '1-URGENT' THEN true WHEN '2-HIGH' THEN false WHEN '3-MEDIUM' THEN true END AS blood_sensitive,
-  CASE o_orderstatus WHEN 'F' THEN 'GADOLINIUM' WHEN 'O' THEN 'NONE' ELSE 'UNKNOWN' END AS contrast FROM orders""")
+@query(f"""SELECT doc_id, array_to_string({_FOUND}, ',') AS languages, CASE WHEN regexp_matches(text, '(no|sin|kein) [0-9]') THEN false WHEN regexp_matches(text, '[0-9]') THEN true END AS numbers FROM documents""")
 def mri_techniques(t: Tables) -> DataFrame:
-    said = _case(P, {URGENT: "SWI, FLAIR und T1 gewichtet", HIGH: "DWI, FLAIR, keine SWI, keine GRE", MEDIUM: "T2* gewichtet", NONE: "Standardprotokoll", LOW: "Protokoll"})
-    given = F.when(F.col("o_orderstatus") == "F", " mit KM").when(F.col("o_orderstatus") == "O", " ohne KM").otherwise("")
-    return t.orders.select("o_orderkey", *rules.mri_technique(F.concat(said, given)))
+    found = rules.every({"text": F.col("text")}, rules.on("text", LANGUAGE_WORDS))
+    return t.documents.select("doc_id", F.array_join(found, ",").alias("languages"), rules.stated(F.col("text"), "[0-9]", "(no|sin|kein) [0-9]").alias("numbers"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'LOBAR' WHEN '2-HIGH' THEN 'LOBAR' WHEN '3-MEDIUM' THEN 'DEEP' WHEN '4-NOT SPECIFIED' THEN 'MIXED' ELSE 'UNKNOWN' END AS macro, CASE o_orderpriority WHEN '1-URGENT' THEN 'FRONTAL' WHEN '2-HIGH' THEN 'MULTILOBAR' WHEN '4-NOT SPECIFIED' THEN 'OCCIPITAL' ELSE 'UNKNOWN' END AS lobe FROM orders""")
+@query(f"""SELECT doc_id, CASE len(f) WHEN 0 THEN 'UNKNOWN' WHEN 1 THEN f[1] ELSE 'MIXED' END AS spoken FROM (SELECT doc_id, {_FOUND} AS f FROM documents)""")
 def macro_locations(t: Tables) -> DataFrame:
-    said = _case(P, {URGENT: "rechts frontal", HIGH: "temporal und parietal links", MEDIUM: "Thalamus links", NONE: "okzipital und Kleinhirn", LOW: "Marklager"})
-    return t.orders.select("o_orderkey", *rules.macro_location(said))
+    return t.documents.select("doc_id", rules.exclusive({"text": F.col("text")}, rules.on("text", LANGUAGE_WORDS), "MIXED", "UNKNOWN").alias("spoken"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN NULL WHEN p_type = 'ECONOMY' THEN p_size * 10.0 ELSE p_size * 1.0 END AS d1, CASE WHEN p_type <> 'PROMO' THEN CASE WHEN p_type = 'ECONOMY' THEN 25.0 ELSE 2.5 END END AS d2, CASE WHEN p_type = 'STANDARD' THEN 7.0 END AS d3,
   CASE WHEN p_type = 'PROMO' THEN NULL WHEN p_type = 'ECONOMY' THEN greatest(p_size * 10.0, 25.0) WHEN p_type = 'STANDARD' THEN greatest(p_size, 7.0) ELSE greatest(p_size, 2.5) END AS longest, CASE WHEN p_type = 'PROMO' THEN p_size + 0.5 END AS volume_ml FROM part""")
 def lesion_dimensions(t: Tables) -> DataFrame:
     kind = F.col("p_type")
-    said = F.when(kind == "PROMO", F.concat(F.lit("Volumen etwa "), "p_size", F.lit(",5 ml"))).when(kind == "ECONOMY", F.concat("p_size", F.lit(" x 2,5 cm"))).when(kind == "STANDARD", F.concat("p_size", F.lit(" x 2,5 × 7 mm"))).otherwise(F.concat("p_size", F.lit(" x 2.5 mm")))
+    said = F.when(kind == "PROMO", F.concat(F.lit("Volume about "), "p_size", F.lit(",5 ml"))).when(kind == "ECONOMY", F.concat("p_size", F.lit(" x 2,5 cm"))).when(kind == "STANDARD", F.concat("p_size", F.lit(" x 2,5 × 7 mm"))).otherwise(F.concat("p_size", F.lit(" x 2.5 mm")))
     return t.part.select("p_partkey", *rules.dimensions(said))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN true WHEN '2-HIGH' THEN false END AS projections, CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS subarachnoid FROM orders""")
+@query(r"""SELECT conv_id, turn, CASE WHEN regexp_matches(text, '[?]\s*\z') THEN false WHEN regexp_matches(text, '[.!]') THEN true END AS stated, CASE WHEN regexp_matches(text, '[0-9]{3}') THEN false WHEN regexp_matches(text, '[0-9]') THEN true END AS short_number FROM conversations""")
 def bleeding_morphology(t: Tables) -> DataFrame:
-    one = _case(P, {URGENT: "mit fingerförmigen Ausläufern", HIGH: "ohne fingerförmige Fortsätze"}, "rundlich")
-    two = F.when(F.col("o_orderstatus") == "F", " und Einbruch in den Subarachnoidalraum").when(F.col("o_orderstatus") == "O", ", keine subarachnoidale Ausdehnung").otherwise("")
-    return t.orders.select("o_orderkey", *rules.morphology(F.concat(one, two)))
+    text = F.col("text")
+    return t.conversations.select("conv_id", "turn", rules.stated(text, "[.!]", r"[?]\s*\z").alias("stated"), rules.stated(text, "[0-9]", "[0-9]{3}").alias("short_number"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'PROBABLE' WHEN '2-HIGH' THEN 'NEGATED' WHEN '3-MEDIUM' THEN 'SUSPECTED' WHEN '4-NOT SPECIFIED' THEN 'DIAGNOSED' ELSE 'NO_ASSERTION' END AS status, CASE o_orderpriority WHEN '1-URGENT' THEN 'BOSTON_V2' ELSE 'UNKNOWN' END AS framework FROM orders""")
+@query(r"""SELECT doc_id, CASE WHEN regexp_matches(text, '(?i)copyright|license') THEN 'LICENCE' WHEN regexp_matches(text, '(password|token)') AND regexp_matches(text, '[0-9a-f]{24}') THEN 'SECRET' WHEN regexp_matches(text, '[^ ]@[^ ]')
+  AND NOT regexp_matches(text, 'example[.](com|org)') THEN 'CONTACT' WHEN regexp_matches(text, '!!') THEN 'SHOUTED' ELSE 'PLAIN' END AS status FROM documents""")
 def stated_diagnoses(t: Tables) -> DataFrame:
-    said = _case(P, {URGENT: "probable CAA nach Boston 2.0", HIGH: "Kein Hinweis auf Amyloidangiopathie", MEDIUM: "Verdacht auf CAA", NONE: "Bekannte Amyloidangiopathie", LOW: "Arterielle Hypertonie nach Boston"})
-    return t.orders.select("o_orderkey", *rules.stated_diagnosis(said))
+    table = [("LICENCE", {"text": "(?i)copyright|license"}, {}), ("SECRET", {"text": "(password|token)", "again": "[0-9a-f]{24}"}, {}), ("CONTACT", {"text": "[^ ]@[^ ]"}, {"text": "example[.](com|org)"}), ("SHOUTED", {"text": "!!"}, {})]
+    return t.documents.select("doc_id", rules.decide({"text": F.col("text"), "again": F.col("text")}, table, "PLAIN").alias("status"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '3-MEDIUM' THEN 'ANTISEIZURE' WHEN '5-LOW' THEN 'OTHER' ELSE 'ANTITHROMBOTIC' END AS category, CASE o_orderpriority WHEN '1-URGENT' THEN 'ANTICOAGULANT' WHEN '2-HIGH' THEN 'ANTICOAGULANT' WHEN '4-NOT SPECIFIED' THEN 'ANTIPLATELET' END AS subclass,
-  CASE o_orderpriority WHEN '1-URGENT' THEN 'LMWH' WHEN '2-HIGH' THEN 'DOAC' WHEN '4-NOT SPECIFIED' THEN 'ASPIRIN' END AS agent, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CASE WHEN o_orderstatus = 'F' THEN 'VTE_PROPHYLAXIS' ELSE 'UNKNOWN' END WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'ANTIPLATELET' ELSE 'UNKNOWN' END AS role FROM orders""")
+@query(r"""SELECT item_id, CASE WHEN name LIKE '%bolt%' OR name LIKE '%widget%' THEN 'PART' WHEN name LIKE '%plate%' THEN 'WARE' ELSE 'OTHER' END AS category,
+  CASE WHEN name LIKE '%bolt%' THEN 'FIXING' WHEN name LIKE '%widget%' THEN 'DEVICE' END AS subclass FROM items""")
 def medicine_classes(t: Tables) -> DataFrame:
-    name = _case(P, {URGENT: "Enoxaparin 40 mg", HIGH: "ELIQUIS 5 mg", MEDIUM: "Keppra 500", NONE: "Thrombo ASS 100", LOW: "Vitamin D"})
-    source = F.when(F.col("o_orderstatus") == "F", "zur Thromboseprophylaxe").otherwise("laut Plan")
-    return t.orders.select("o_orderkey", rules.medicine(name, source).alias("m")).select("o_orderkey", "m.*")
+    table = [(("PART", "FIXING"), {"name": "bolt"}, {}), (("PART", "DEVICE"), {"name": "widget"}, {}), (("WARE", None), {"name": "plate"}, {})]
+    return t.items.select("item_id", rules.decide({"name": F.col("name")}, table, ("OTHER", None), ["category", "subclass"]).alias("m")).select("item_id", "m.*")
 
 
-@query("""SELECT p_partkey, CAST(p_size AS DOUBLE) AS value, CASE WHEN p_size < 10 THEN 'LOW' WHEN p_size > 40 THEN 'HIGH' ELSE 'NORMAL' END AS flag FROM part WHERE p_type = 'ECONOMY' UNION ALL SELECT p_partkey, NULL, NULL FROM part WHERE p_type <> 'ECONOMY'""")
+@query("""SELECT sale_id, line_no, item_id, amount, CASE WHEN amount < 100 THEN 'LOW' WHEN amount > quantity * 200.0 THEN 'HIGH' WHEN amount IS NOT NULL AND quantity IS NOT NULL THEN 'NORMAL' ELSE 'UNKNOWN' END AS flagged FROM sale_lines WHERE flag = 'kept'""")
 def first_values(t: Tables) -> DataFrame:
-    role = F.when(F.col("p_type") == "ECONOMY", "Erster Wert").otherwise("Letzter Wert")
-    return t.part.select("p_partkey", rules.first_value(role, F.col("p_size").cast("double"), F.lit(10.0), F.lit(40.0)).alias("f")).select("p_partkey", "f.value", "f.flag")
+    rows = t.sale_lines.where("flag = 'kept'")
+    return rows.select("sale_id", "line_no", "item_id", "amount", rules.against(F.col("amount"), F.lit(100.0), F.col("quantity") * 200.0).alias("flagged"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'first' WHEN '2-HIGH' THEN 'second' WHEN '3-MEDIUM' THEN 'second' WHEN '4-NOT SPECIFIED' THEN 'unknown' ELSE CASE WHEN o_orderstatus = 'F' THEN 'ambiguous' ELSE 'not specified' END END AS degree FROM orders""")
+@query(r"""WITH f AS (SELECT client_id, list_distinct(list_filter([CASE WHEN regexp_matches(name, '(?i)(^|[^\p{L}\p{N}])(jr|junior)([^\p{L}\p{N}]|\z)') THEN 'younger' END, CASE WHEN regexp_matches(name, '^[^a-z]+\z') THEN 'shouted' END], lambda x: x IS NOT NULL)) AS f FROM clients)
+  SELECT client_id, CASE len(f) WHEN 0 THEN 'plain' WHEN 1 THEN f[1] ELSE 'AMBIGUOUS' END AS form FROM f""")
 def kinship_degrees(t: Tables) -> DataFrame:
-    said = F.when(F.col(P) == LOW, F.when(F.col("o_orderstatus") == "F", "Mutter und Tante")).otherwise(_case(P, {URGENT: "die Mutter", HIGH: "Großvater väterlicherseits", MEDIUM: "Bruder des Vaters", NONE: "Halbbruder"}))
-    return t.orders.select("o_orderkey", rules.kinship(said).alias("degree"))
+    table = rules.on("name", [("younger", rules.words("jr", "junior")), ("shouted", r"^[^a-z]+\z")])
+    return t.clients.select("client_id", rules.exclusive({"name": F.col("name")}, table, none="plain").alias("form"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'clinical_history' WHEN '2-HIGH' THEN 'clinical_history,medications' WHEN '3-MEDIUM' THEN 'laboratory' WHEN '4-NOT SPECIFIED' THEN '' ELSE 'family_history' END AS targets FROM orders""")
+@query(f"""WITH h AS (SELECT doc_id, coalesce({_LEAD}, '') AS text FROM documents) SELECT doc_id, CASE WHEN length(text) <= 160 THEN array_to_string({_FOUND}, ',') ELSE '' END AS targets FROM h""")
 def section_targets(t: Tables) -> DataFrame:
-    heading = _case(P, {URGENT: "Diagnosen:", HIGH: "Verlauf und Medikation", NONE: "Brief " + "x" * 160 + " Labor"})
-    body = _case(P, {MEDIUM: "\n\nLaborbefund vom 1.2.2000\nDiagnosen", LOW: "Family history\nnone"}, "MRT folgt")
-    return t.orders.select("o_orderkey", F.array_join(rules.routing_targets(heading, body), ",").alias("targets"))
+    return t.documents.select("doc_id", F.array_join(rules.routed(F.lit(None).cast("string"), F.coalesce("text", F.lit("")), rules.on("heading", LANGUAGE_WORDS)), ",").alias("targets"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'STOP' WHEN '2-HIGH' THEN CASE WHEN o_orderstatus = 'F' THEN 'STOP' ELSE 'KEEP' END WHEN '3-MEDIUM' THEN CASE WHEN o_orderstatus = 'F' THEN 'STOP' ELSE 'KEEP' END WHEN '4-NOT SPECIFIED' THEN 'STOP' ELSE 'KEEP' END AS action FROM orders""")
+@query(r"""WITH l AS (SELECT conv_id, turn, role, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations)
+  SELECT conv_id, turn, CASE WHEN role = 'system' THEN 'KEEP' WHEN before IS NULL THEN 'START' WHEN regexp_matches(before, '[?]') THEN 'ANSWER' WHEN regexp_matches(text, '[?]') AND NOT coalesce(regexp_matches(before, '[0-9]'), false) THEN 'ASK' ELSE 'GO ON' END AS action FROM l""")
 def heading_actions(t: Tables) -> DataFrame:
-    action = _case(P, {URGENT: "STOP", LOW: "KEEP"}, "CONTEXTUAL")
-    section = _case(P, {HIGH: "ASSESSMENT", MEDIUM: "STATUS"}, "DIAGNOSES")
-    before = F.when(F.col("o_orderstatus") == "F", "Interpretation: normal").otherwise("Alpha")
-    after = F.when((F.col("o_orderstatus") == "F") & (F.col(P) == MEDIUM), "Neurologisch unauffällig").otherwise("Grundrhythmus")
-    return t.orders.select("o_orderkey", rules.contextual_action(action, section, before, after).alias("action"))
+    """What a turn does by its role, its text and the turn before it."""
+    last = t.conversations.select(F.col("conv_id").alias("c"), F.col("turn").alias("k"), F.col("text").alias("before"), F.lead("turn").over(Window.partitionBy("conv_id").orderBy("turn")).alias("of"))
+    rows = t.conversations.join(last, (F.col("conv_id") == F.col("c")) & (F.col("turn") == F.col("of")), "left")
+    fields = {"role": F.col("role"), "text": F.col("text"), "before": F.col("before"), "any": F.when(F.col("before").isNotNull(), "x")}
+    table = [("KEEP", {"role": r"^system\z"}, {}), ("START", {}, {"any": "x"}), ("ANSWER", {"before": "[?]"}, {}), ("ASK", {"text": "[?]"}, {"before": "[0-9]"})]
+    return rows.select("conv_id", "turn", rules.decide(fields, table, "GO ON").alias("action"))
 
 
 @query("""SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'page_of' WHEN c_mktsegment = 'FURNITURE' THEN 'footer' END AS pattern, CASE WHEN c_mktsegment = 'BUILDING' THEN c_nationkey END AS page_number FROM customer""")
@@ -121,32 +117,29 @@ def joined_headings(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", F.posexplode(found).alias("place", "heading"))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'PET Hirn' ELSE 'PET Hirn' || chr(10) || c_name END || chr(10) || 'Beurteilung der PET: ' || c_mktsegment AS body FROM customer""")
+@query(r"""WITH l AS (SELECT doc_id, i, s[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+  m AS (SELECT *, coalesce(last_value(CASE WHEN regexp_matches(line, '^(And|Des|Die|Las)') THEN 'on' WHEN regexp_matches(line, '^(The|Les|Der|Los)') THEN 'off' END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i), 'on') AS m FROM l)
+  SELECT doc_id, md5(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE m = 'on'), '')) AS kept FROM m GROUP BY doc_id""")
 def foreign_parts(t: Tables) -> DataFrame:
-    body = F.concat(F.lit("PET Hirn\n"), F.when(F.col("c_acctbal") < 0, F.concat(F.lit("CT des Schädels:\n"), "c_name")).otherwise(F.concat("c_name", F.lit("\nSchädel-CT"))), F.lit("\nBeurteilung der PET: "), "c_mktsegment")
-    return t.customer.select("c_custkey", rules.without_foreign_part(body, r"(?i)^\s*(?:Schädel-CT|CT\s+des\b)", r"(?i)^\s*Beurteilung\s+der\s+PET").alias("body"))
+    return t.documents.where("text IS NOT NULL").select("doc_id", F.md5(rules.without_part(F.col("text"), "^(The|Les|Der|Los)", "^(And|Des|Die|Las)")).alias("kept"))
 
 
-@query("""SELECT c_custkey, c_mktsegment = 'BUILDING' AS unmeasured FROM customer""")
+@query(r"""SELECT doc_id, len(l) > 0 AND len(list_filter(l, lambda x: NOT regexp_matches(x, '[.]\z'))) = 0 AS closed FROM (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents)""")
 def unmeasured_tables(t: Tables) -> DataFrame:
-    s = F.col("c_mktsegment")
-    span = F.when(s == "BUILDING", "A. carotis interna: nicht untersucht | -\nA. carotis communis: nicht untersucht").when(s == "FURNITURE", "A. carotis interna: nicht untersucht\nA. carotis communis: 80 cm/s").when(s == "MACHINERY", "").otherwise("A. carotis interna: nicht untersucht, Plaque")
-    return t.customer.select("c_custkey", rules.unmeasured(span).alias("unmeasured"))
+    return t.documents.select("doc_id", rules.all_lines(F.col("text"), r"[.]\z").alias("closed"))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'PERFORMED' WHEN '2-HIGH' THEN 'PLANNED' WHEN '3-MEDIUM' THEN 'REFERENCED' WHEN '4-NOT SPECIFIED' THEN 'PERFORMED' ELSE 'UNKNOWN' END AS class, o_orderpriority = '4-NOT SPECIFIED' AS needs_semantics, o_orderpriority = '1-URGENT' AS epileptiform,
-  o_orderpriority = '4-NOT SPECIFIED' AS artifact, o_orderpriority = '5-LOW' AS stroke_context, o_custkey >= 50 AS many FROM orders""")
+@query(f"""SELECT doc_id, coalesce({_EN}, false) AS english, coalesce(regexp_matches(text, '[0-9]'), false) AS numbers, coalesce(regexp_matches(text, '(?i)copyright|license'), false) AS licence, coalesce(n_chars >= 2000, false) AS long FROM documents""")
 def recording_screen(t: Tables) -> DataFrame:
-    said = _case(P, {URGENT: "EEG zeigte Spikes links", HIGH: "Ein EEG ist geplant", MEDIUM: "siehe EEG", NONE: "EEG vom 3.4.2000\nGrundrhythmus 9 Hz, nicht sicher beurteilbar bei Artefakten", LOW: "Infarkt"})
-    got = t.orders.select("o_orderkey", rules.recording_class(said).alias("class"), rules.needs_semantics(said).alias("needs_semantics"), *rules.feature_vector(said, {"many": (F.col("o_custkey"), 50)}))
-    return got.select("o_orderkey", "class", "needs_semantics", "epileptiform", "artifact", "stroke_context", "many")
+    table = {"english": LANGUAGE_WORDS[0][1], "numbers": "[0-9]", "licence": "(?i)copyright|license"}
+    return t.documents.select("doc_id", *rules.features(F.col("text"), table, {"long": (F.col("n_chars"), 2000)}))
 
 
-@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'csf_ptau_total' WHEN '2-HIGH' THEN 'crp' WHEN '3-MEDIUM' THEN 'hba1c' END AS analyte, o_orderstatus = 'F' AS eligible FROM orders""")
+@query(f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text FROM documents WHERE text IS NOT NULL), d AS (SELECT doc_id, CASE WHEN {_EN} THEN 'EN' WHEN {_FR} THEN 'FR' WHEN {_DE} THEN 'DE' WHEN {_ES} THEN 'ES' END AS spoken FROM l)
+  SELECT doc_id, spoken, count(*) AS n FROM d GROUP BY doc_id, spoken""")
 def laboratory_lines(t: Tables) -> DataFrame:
-    line = _case(P, {URGENT: "p-Tau 51 pg/ml", HIGH: "C-reaktives Protein 3", MEDIUM: "Hämoglobin A1c 5,6", NONE: "HbA1c-Wert siehe oben", LOW: "Natrium 140"})
-    label = F.when(F.col("o_orderstatus") == "F", "Diabetes mellitus").when(F.col("o_orderstatus") == "O", "Z.n. Resektion").otherwise("Verdacht auf Infarkt")
-    return t.orders.select("o_orderkey", rules.laboratory_line(line).alias("analyte"), rules.eligible_label(label).alias("eligible"))
+    lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    return lines.select("doc_id", rules.decide({"line": F.col("line")}, rules.on("line", LANGUAGE_WORDS)).alias("spoken")).groupBy("doc_id", "spoken").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""SELECT 'order' AS kind, CAST(o_custkey AS VARCHAR) AS anchor, '{"status":"' || o_orderstatus || '","key":' || o_orderkey || '}' AS value, o_orderpriority AS evidence FROM orders
@@ -162,3 +155,4 @@ def slice_geometry(t: Tables) -> DataFrame:
     cosines = {"r1": 0.0, "r2": 1.0, "r3": 0.0, "c1": 1.0, "c2": 0.0, "c3": 0.0}
     slices = t.orders.select("o_custkey", F.lit(7.0).alias("x"), F.col("o_totalprice").alias("y"), (F.floor(F.col("o_totalprice") / 10000) * 2.0).alias("z"), *[F.lit(v).alias(k) for k, v in cosines.items()])
     return extract.slice_geometry(slices, ["o_custkey"], ["x", "y", "z"], list(cosines))
+
