@@ -9,7 +9,7 @@ label on a cheapest path leads to one state, and comparing whole label strings c
 Rows are dealt by ranges of (conversation, turn), so that a conversation of any length spreads over ranges: each range's piece of it gives a 4 x 4 matrix of costs
 from grammar state to grammar state, matrices give the distances at the borders, and each piece is walked by itself. Almost all conversations are one piece.
 
-Defined results: nulls are one space, in the key of a damage too; rows of one turn follow role, then text; a row without conv_id belongs to one conversation; empty and
+Defined results: nulls are one space, in the key of a damage too; a row with an empty role has no initial and can't be kept; rows of one turn follow role, then text; a row without conv_id belongs to one conversation; empty and
 long texts are whole; an empty table gives an empty result; other columns are left out. The digest of a repaired conversation is taken in one stream with fixed memory.
 """
 
@@ -192,7 +192,7 @@ def _edited(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     waiting, n = [], 0
     for piece in _pieces(batches):
         rows, first = _rows(piece), piece.iloc[0]
-        split = isinstance(first["start"], (int, float)) and not pd.isna(first["start"])
+        split = not pd.isna(first["start"])
         state, end, last = (int(first["start"]), [int(x) for x in first["ends"]], bool(first["last"])) if split else (0, list(END), True)
         labels, after, _ = walk(rows, distances(rows, end), state, last)
         audit = "".join("I" * len(b) + e for e, _, b in labels) + "I" * len(after)
