@@ -127,7 +127,7 @@ def mentions(docs: DataFrame, key: str, text: str, concepts: dict[str, str]) ->
     """key, concept, start, end, state, scope, qualified, clause_start, clause_end of every mention.
 
     state: CONTEXT_ONLY, FAMILY, CONDITIONAL, DIFFERENTIAL, UNCERTAIN, ABSENT or PRESENT; scope: CURRENT, HISTORICAL, HYPOTHETICAL; qualified: a
-    modifier narrows what is asserted (no *larger* mass is not no mass).
+    modifier narrows what is asserted (no *larger* mass is not no mass). Each distinct text is searched once; null texts have no mention.
     """
     patterns = [(name, re.compile(p, re.I)) for name, p in concepts.items()]
 
@@ -135,7 +135,10 @@ def mentions(docs: DataFrame, key: str, text: str, concepts: dict[str, str]) ->
     def find(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else mentions_in(t, patterns))
 
-    return docs.select(key, F.explode(find(F.col(text))).alias("m")).select(key, "m.*")
+    known = docs.where(F.col(text).isNotNull()).select(key, F.col(text).alias("__t"), F.sha2(text, 256).alias("__h"))
+    texts = known.groupBy("__h").agg(F.any_value("__t").alias("__t"))
+    found = texts.select("__h", F.explode(find("__t")).alias("m"))
+    return known.select(key, "__h").join(found, "__h").select(key, "m.*")
 
 
 def negative_findings(found: DataFrame, key: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import importlib
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,13 +71,10 @@ def cardinalities(parent: DataFrame, child: DataFrame, parent_key: str, child_ke
     return counts.select(F.explode(F.array(*[F.struct(F.lit(g).alias("gate"), F.coalesce(F.col(g), F.lit(0)).cast("bigint").alias("n_violations")) for g in ("orphans", "too_few", "too_many")])).alias("g")).select("g.*")
 
 
-def registry(spark: SparkSession, symbols: list[tuple[str, str]]) -> DataFrame:
-    """module, symbol, present, callable: whether the registered functions of the code are there, looked up on the driver."""
-    rows = []
-    for module, symbol in symbols:
-        try:
-            found = getattr(importlib.import_module(module), symbol, None)
-        except ModuleNotFoundError:
-            found = None
-        rows.append((module, symbol, found is not None, callable(found)))
-    return spark.createDataFrame(rows, "module string, symbol string, present boolean, callable boolean")
+def registry(uses: DataFrame, symbol: str, registered: list[str]) -> DataFrame:
+    """symbol, registered, n of every symbol that is registered or used, n its uses: 0 for one that nothing uses. Unknown symbols of the rows (null) are one of their own.
+    The registry is a short list of names."""
+    known = uses.sparkSession.createDataFrame([(x,) for x in sorted(set(registered))], f"`{symbol}` string").withColumn("registered", F.lit(True))
+    used = uses.groupBy(F.col(symbol).cast("string").alias("__s")).agg(F.count(F.lit(1)).alias("n"))
+    rows = used.join(known, F.col("__s").eqNullSafe(F.col(symbol)), "full_outer")
+    return rows.select(F.coalesce("__s", symbol).alias(symbol), F.coalesce("registered", F.lit(False)).alias("registered"), F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))

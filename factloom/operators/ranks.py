@@ -39,14 +39,44 @@ def counted_values(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return running_totals(per, keys, [F.col(value)], "t", "before")
 
 
-def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
-    """keys and a column for each named share: exact quantiles with linear interpolation, rounded to four places. Groups without a known value have no row."""
-    counted = counted_values(df, keys, value)
-    total = counted.groupBy(*keys).agg(F.sum("t").alias("__total")).select(*[F.col(k).alias(f"__{k}") for k in keys], "__total")
+#: Accuracy of the approximate quantiles that bracket the exact ones, and how many values inside a group's brackets one task may sort.
+ACCURACY, SORTED = 10_000, 1_000_000
+
+
+def _bracketed(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """keys, value, t, before: as counted_values, for the values around the quantiles only, and __total.
+
+    Approximate quantiles, whose ranks are off by a known share, bracket each exact one. A second scan counts the values under each bracket and keeps those inside.
+    """
+    known = df.where(F.col(value).isNotNull()).select(*keys, value)
+    bound = 2 / ACCURACY
+    asked = [x for s in shares.values() for x in (max(s - bound, 0.0), min(s + bound, 1.0))]
+    about = known.groupBy(*keys).agg(F.percentile_approx(value, F.array(*[F.lit(x) for x in asked]), ACCURACY).alias("__q"), F.count(F.lit(1)).alias("__total"), F.min(value).alias("__least"), F.max(value).alias("__most"))
+    ends = [(F.least(F.get("__q", F.lit(2 * i)), F.get("__q", F.lit(2 * i + 1))) if s - bound > 0 else F.col("__least"), F.get("__q", F.lit(2 * i + 1)) if s + bound < 1 else F.col("__most")) for i, s in enumerate(shares.values())]
+    about = written(about.select(*[F.col(k).alias(f"__{k}") for k in keys], "__total", F.array(*[F.struct(a.alias("a"), z.alias("z")) for a, z in ends]).alias("__ends")), "brackets")
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    rows, parts = counted.join(total, same), []
+    rows = known.join(about, same)
+    # values outside all brackets become one row for each stretch between brackets: their number is all that matters
+    inside = F.exists("__ends", lambda e: (F.col(value) >= e["a"]) & (F.col(value) <= e["z"]))
+    under = F.aggregate("__ends", F.lit(0), lambda s, e: s + (F.col(value) > e["z"]).cast("int"))
+    kept = rows.select(*keys, "__total", under.alias("__stretch"), F.when(inside, F.col(value)).alias(value))
+    counted = written(kept.groupBy(*keys, "__total", "__stretch", value).agg(F.count(F.lit(1)).alias("t")), "counted")
+    # in a stretch the outside values come before those inside the bracket that ends it
+    order = [F.col("__stretch").asc(), F.col(value).asc_nulls_first()]
+    most = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= SORTED:
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return counted.withColumn("before", F.coalesce(F.sum("t").over(w), F.lit(0)))
+    return running_totals(counted, keys, order, "t", "before")
+
+
+def quantiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """keys and a column for each named share: exact quantiles with linear interpolation, rounded to four places. Groups without a known value have no row.
+
+    Two scans, no sort of the values: only what lies between approximate quantiles around each exact one is counted value by value."""
+    rows, parts = _bracketed(df, keys, value, shares), []
     for name, share in shares.items():
         at = (F.col("__total") - 1) * F.lit(share)
         for side, place in (("low", F.floor(at)), ("high", F.ceil(at))):

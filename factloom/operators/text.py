@@ -9,6 +9,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+
+from factloom.functions.offsets import located
 from pyspark.sql import types as T
 
 
@@ -182,11 +184,9 @@ def running_label(rows: DataFrame, key: str, order: str, label: Column) -> DataF
 
 
 def locate_quote(quote: Column, text: Column) -> Column:
-    """struct(start, end) of a quote in a text, blanks aside; null if it isn't there or there twice."""
-    at = F.instr(normalized(text), normalized(quote))
-    again = F.locate(normalized(quote), normalized(text), at + 1) if isinstance(quote, str) else F.call_function("locate", normalized(quote), normalized(text), at + 1)
-    size = F.length(normalized(quote))
-    return F.when((at > 0) & (again == 0) & (size > 0), F.struct((at - 1).alias("start"), (at - 1 + size).alias("end")))
+    """struct(start, end) of a quote's place in a text as it stands, blanks and Unicode forms aside (functions.offsets); null if it isn't there or there twice."""
+    at = located(text, quote, 1)
+    return F.when(at["n_places"] == 1, F.struct(at["start"].alias("start"), at["end"].alias("end")))
 
 
 def longest_alias(name: Column, aliases: list[tuple[str, str]]) -> Column:

@@ -309,16 +309,15 @@ def version_gates(t: Tables) -> DataFrame:
     return gates.version_gates(old, new, ["k"], "v")
 
 
-@query("""SELECT 'ages' AS gate, 0 AS violation UNION ALL SELECT 'numbers', 0 UNION ALL SELECT 'broken', 1""")
+@query("""SELECT DISTINCT c_mktsegment AS gate, CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS violation FROM customer""")
 def golden_rows(t: Tables) -> DataFrame:
-    """Fixed inputs through extractors and scores: the last gate expects what isn't so."""
-    from factloom.operators import instruments, temporal
-
-    inputs = t.spark.createDataFrame([("ages", "2000-02-29", "2021-02-28"), ("numbers", "3,50", "-1"), ("broken", "7", "8")], "gate string, a string, b string")
-    age = temporal.age_years(F.try_to_date("a"), F.try_to_date("b")).cast("string")
-    number = F.concat_ws(";", F.regexp_replace(instruments.exact_number(F.col("a")).cast("string"), "0+$", ""), F.coalesce(instruments.exact_number(F.col("b")).cast("string"), F.lit("null")))
-    computed = inputs.select("gate", F.when(F.col("gate") == "ages", age).when(F.col("gate") == "numbers", number).otherwise(F.col("a")).alias("result"))
-    expected = t.spark.createDataFrame([("ages", "20"), ("numbers", "3.5;null"), ("broken", "9")], "gate string, result string")
+    """Balances read back from their texts, a gate for each segment; what one of them expects isn't so."""
+    from factloom.operators import instruments
+
+    said = F.regexp_replace(F.col("c_acctbal").cast("decimal(20,2)").cast("string"), "[.]", ",")
+    computed = t.customer.select(F.col("c_mktsegment").alias("gate"), "c_custkey", F.abs(instruments.exact_number(F.regexp_replace(said, "-", ""))).cast("decimal(20,2)").alias("balance"))
+    wrong = (F.col("c_mktsegment") == "BUILDING").cast("int")
+    expected = t.customer.select(F.col("c_mktsegment").alias("gate"), "c_custkey", (F.abs("c_acctbal") + wrong).cast("decimal(20,2)").alias("balance"))
     return gates.golden(computed, expected, "gate")
 
 
@@ -328,6 +327,6 @@ def cardinality_gates(t: Tables) -> DataFrame:
     return gates.cardinalities(t.customer, t.orders, "c_custkey", "o_custkey", 3, 15)
 
 
-@query("""SELECT * FROM (VALUES ('factloom.operators.gates', 'golden', true, true), ('factloom.operators.reports', 'VESSELS', true, false), ('factloom.operators.text', 'nothing', false, false), ('factloom.nowhere', 'x', false, false)) v(module, symbol, present, callable)""")
+@query("""SELECT coalesce(k.kind, r.kind) AS kind, r.kind IS NOT NULL AS registered, coalesce(n, 0) AS n FROM (SELECT kind, count(*) AS n FROM clicks GROUP BY kind) k FULL JOIN (VALUES ('click'), ('view'), ('teleport')) r(kind) ON k.kind = r.kind""")
 def module_registry(t: Tables) -> DataFrame:
-    return gates.registry(t.spark, [("factloom.operators.gates", "golden"), ("factloom.operators.reports", "VESSELS"), ("factloom.operators.text", "nothing"), ("factloom.nowhere", "x")])
+    return gates.registry(t.clicks, "kind", ["click", "view", "teleport"])

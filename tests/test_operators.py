@@ -121,9 +121,9 @@ def test_assertions_and_rules(spark):
 
 
 def test_quotes(spark):
-    df = frame(spark, [("the  cat", "see the cat here"), ("x", "x y x"), ("z", "abc")], "q string, t string")
+    df = frame(spark, [("the  cat", "see the cat here"), ("x", "x y x"), ("z", "abc"), ("beta gamma", "alpha   beta  gamma")], "q string, t string")
     got = [r[0] for r in df.select(text.locate_quote(F.col("q"), F.col("t"))).collect()]
-    assert (got[0]["start"], got[0]["end"]) == (4, 11) and got[1] is None and got[2] is None
+    assert (got[0]["start"], got[0]["end"]) == (4, 11) and got[1] is None and got[2] is None and (got[3]["start"], got[3]["end"]) == (8, 19)
 
 
 def test_scores_and_decisions(spark):
