@@ -523,7 +523,12 @@ def gate_violations(t: Tables) -> DataFrame:
     })
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT DISTINCT o_custkey, concat_ws('|', o_orderpriority, o_orderstatus) AS kind FROM orders), w AS (SELECT kind, 1 / sqrt(count(*)) AS w FROM r GROUP BY kind),
+  i AS (SELECT o_custkey, list(r.kind) AS kinds, list(struct_pack(kind := r.kind, w := w)) AS own FROM r JOIN w ON r.kind = w.kind GROUP BY o_custkey),
+  p AS (SELECT 0 AS rank, CAST(NULL AS BIGINT) AS o_custkey, CAST([] AS VARCHAR[]) AS covered
+    UNION ALL SELECT * FROM (SELECT p.rank + 1, i.o_custkey, list_concat(p.covered, i.kinds) FROM p, i WHERE p.rank < 8 AND NOT list_has_all(p.covered, i.kinds)
+      ORDER BY round(list_sum(list_transform(list_filter(i.own, lambda x: NOT list_contains(p.covered, x.kind)), lambda x: x.w)), 9) DESC, i.o_custkey LIMIT 1))
+  SELECT CAST(rank AS INTEGER) AS rank, o_custkey FROM p WHERE rank > 0""")
 def greedy_coverage_pick(t: Tables) -> DataFrame:
     """Eight customers that cover the most kinds of orders (priority and status), rare kinds first."""
     rows = t.orders.select("o_custkey", F.concat_ws("|", "o_orderpriority", "o_orderstatus").alias("kind"))

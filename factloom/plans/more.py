@@ -119,7 +119,17 @@ def leakage_between_groups(t: Tables) -> DataFrame:
     return per.agg(F.count_if(F.col("a") & F.col("b")).alias("n_shared"))
 
 
-@query()
+@query("""WITH a AS (SELECT o_custkey, o_orderkey, year(o_orderdate) AS y, CASE WHEN o_orderkey % 3 <> 0 THEN month(o_orderdate) END AS m, CASE WHEN o_orderkey % 3 = 1 THEN day(o_orderdate) END AS d FROM orders),
+  days AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY y, m, d) AS n FROM (SELECT DISTINCT o_custkey, y, m, d FROM a WHERE d IS NOT NULL)),
+  nd AS (SELECT o_custkey, count(*) AS nd FROM days GROUP BY o_custkey),
+  fm AS (SELECT x.o_custkey, x.y, x.m, count(days.n) AS fit, min(days.n) AS one FROM (SELECT DISTINCT o_custkey, y, m FROM a WHERE m IS NOT NULL AND d IS NULL) x LEFT JOIN days ON days.o_custkey = x.o_custkey AND days.y = x.y AND days.m = x.m GROUP BY ALL),
+  months AS (SELECT fm.*, CASE fit WHEN 1 THEN one WHEN 0 THEN coalesce(nd, 0) + sum(CASE WHEN fit = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY fm.o_custkey ORDER BY fm.y, fm.m) END AS n FROM fm LEFT JOIN nd ON nd.o_custkey = fm.o_custkey),
+  known AS (SELECT o_custkey, y, n FROM days UNION ALL SELECT o_custkey, y, n FROM months WHERE fit = 0), nk AS (SELECT o_custkey, count(*) AS nk FROM known GROUP BY o_custkey),
+  fy AS (SELECT x.o_custkey, x.y, count(known.n) AS fit, min(known.n) AS one FROM (SELECT DISTINCT o_custkey, y FROM a WHERE m IS NULL) x LEFT JOIN known ON known.o_custkey = x.o_custkey AND known.y = x.y GROUP BY ALL),
+  years AS (SELECT fy.*, CASE fit WHEN 1 THEN one WHEN 0 THEN coalesce(nk, 0) + sum(CASE WHEN fit = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY fy.o_custkey ORDER BY fy.y) END AS n FROM fy LEFT JOIN nk ON nk.o_custkey = fy.o_custkey)
+  SELECT a.o_custkey, a.o_orderkey, CAST(CASE WHEN a.d IS NOT NULL THEN days.n WHEN a.m IS NOT NULL THEN months.n ELSE years.n END AS BIGINT) AS cluster FROM a
+  LEFT JOIN days ON days.o_custkey = a.o_custkey AND days.y = a.y AND days.m = a.m AND days.d = a.d LEFT JOIN months ON months.o_custkey = a.o_custkey AND months.y = a.y AND months.m = a.m AND a.d IS NULL
+  LEFT JOIN years ON years.o_custkey = a.o_custkey AND years.y = a.y AND a.m IS NULL""")
 def partial_date_clusters(t: Tables) -> DataFrame:
     """Orders of a customer grouped by dates of differing precision; held where several groups fit."""
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
