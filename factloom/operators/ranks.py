@@ -49,10 +49,15 @@ def _bracketed(df: DataFrame, keys: list[str], value: str, shares: dict[str, flo
     Approximate quantiles, whose ranks are off by a known share, bracket each exact one. A second scan counts the values under each bracket and keeps those inside.
     """
     known = df.where(F.col(value).isNotNull()).select(*keys, value)
-    bound = 2 / ACCURACY
+    # the error of an approximate rank, the one rank that interpolation needs, and one to spare: in groups under ACCURACY values the bracket is the whole group
+    bound = 3 / ACCURACY
     asked = [x for s in shares.values() for x in (max(s - bound, 0.0), min(s + bound, 1.0))]
     about = known.groupBy(*keys).agg(F.percentile_approx(value, F.array(*[F.lit(x) for x in asked]), ACCURACY).alias("__q"), F.count(F.lit(1)).alias("__total"), F.min(value).alias("__least"), F.max(value).alias("__most"))
-    ends = [(F.least(F.get("__q", F.lit(2 * i)), F.get("__q", F.lit(2 * i + 1))) if s - bound > 0 else F.col("__least"), F.get("__q", F.lit(2 * i + 1)) if s + bound < 1 else F.col("__most")) for i, s in enumerate(shares.values())]
+    whole = F.col("__total") <= ACCURACY
+    ends = [
+        (F.when(whole | F.lit(s - bound <= 0), F.col("__least")).otherwise(F.get("__q", F.lit(2 * i))), F.when(whole | F.lit(s + bound >= 1), F.col("__most")).otherwise(F.get("__q", F.lit(2 * i + 1))))
+        for i, s in enumerate(shares.values())
+    ]
     about = written(about.select(*[F.col(k).alias(f"__{k}") for k in keys], "__total", F.array(*[F.struct(a.alias("a"), z.alias("z")) for a, z in ends]).alias("__ends")), "brackets")
     same = F.lit(True)
     for k in keys:

@@ -54,6 +54,20 @@ def test_backends_have_names():
         inference.backend("none")
 
 
+def test_quantiles_of_groups_of_all_sizes(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [("small", float(v)) for v in rng.integers(0, 50, 7)] + [("one", 3.0), ("none", None)] + [("large", float(v)) for v in rng.normal(0, 1, 30_000).round(3)] + [("ties", 1.0)] * 12_000 + [("ties", 2.0)] * 3_000 + [(None, 4.0)]
+    shares = {"low": 0.0, "q": 0.25, "m": 0.5, "t": 0.9, "high": 1.0}
+    got = {r["g"]: r for r in ranks.quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", shares).collect()}
+    assert set(got) == {"small", "one", "large", "ties", None}
+    for g, r in got.items():
+        values = np.array([v for k, v in rows if k == g and v is not None])
+        for name, s in shares.items():
+            assert abs(r[name] - np.quantile(values, s)) < 1e-4, (g, name)
+
+
 def test_quantiles_ranks_and_islands_of_one_large_group(spark):
     df = spark.range(0, 2000, 1, 8).select(F.lit(None).cast("string").alias("g"), (F.col("id") * 7919 % 1000).cast("double").alias("v"), "id")
     got = ranks.quantiles(df, ["g"], "v", {"q": 0.25, "m": 0.5}).first()
