@@ -163,22 +163,17 @@ def decisions(docs: DataFrame, key: str, body: str, subject: str) -> DataFrame:
 
 # --- owned dates ----------------------------------------------------------------------------------------------------------------
 
-# Words of procedures, whose dates no disease owns, and words that may stand between a disease and its date.
-PROCEDURES = r"(?i)\b(?:Gastroskopie|Biopsie|Operation|OP|Resektion|MRT|CT|Untersuchung|Kontrolle|Aufnahme|Entlassung|Therapie)\b"
-BETWEEN = r"(?i)\b(?:am|seit|vom|ED|Erstdiagnose|diagnostiziert|Beginn|aufgetreten|anamnestisch|links|rechts|beidseits)\b"
-
-
-def owned_date(clause: Column, disease: str) -> Column:
-    """struct(day, relation) of a disease in a clause: DIRECT where the clause's only full date follows the disease with nothing but words of onset or side between
-    them; PROCEDURE_DATE, PARTIAL_DATE, SEVERAL_DATES, BEFORE_DISEASE, NOT_ADJACENT, INVALID_DATE else; null without the disease, NONE without a date."""
+def owned_date(clause: Column, disease: str, procedures: str, between_words: str, onset_words: str) -> Column:
+    """struct(day, relation) of a disease in a clause: DIRECT where the clause's only full date follows the disease with nothing but between_words between them (a procedure
+    owns the dates of its clause, unless onset_words stand right before one); PROCEDURE_DATE, PARTIAL_DATE, SEVERAL_DATES, BEFORE_DISEASE, NOT_ADJACENT, INVALID_DATE else; null without the disease, NONE without a date."""
     dates = F.regexp_extract_all(clause, F.lit(DATE), F.lit(1))
     partial = F.regexp_replace(clause, DATE, " ").rlike(r"(?<![\d./-])(?:[01]?\d/)?(?:19|20)\d{2}(?![\d./-])")
     between = F.regexp_extract(clause, rf"(?s)(?:{disease})(.*?){DATE}", 1)
     follows = clause.rlike(rf"(?s)(?:{disease}).*?{DATE}")
-    onset = clause.rlike(rf"(?i)(?:diagnostiziert|Erstdiagnose|ED|Beginn|seit)\s*(?:am)?\s*\d{{1,2}}\.\d{{1,2}}\.\d{{4}}")
-    free = ~F.regexp_replace(between, BETWEEN, "").rlike(r"[\p{L}\p{N},;]")
+    onset = clause.rlike(rf"(?:{onset_words})\s*{DATE}")
+    free = ~F.regexp_replace(between, between_words, "").rlike(r"[\p{L}\p{N},;]")
     relation = (
-        F.when((F.size(dates) == 0) & ~partial, "NONE").when(F.size(dates) == 0, "PARTIAL_DATE").when(clause.rlike(PROCEDURES) & ~onset, "PROCEDURE_DATE").when(F.size(dates) > 1, "SEVERAL_DATES")
+        F.when((F.size(dates) == 0) & ~partial, "NONE").when(F.size(dates) == 0, "PARTIAL_DATE").when(clause.rlike(procedures) & ~onset, "PROCEDURE_DATE").when(F.size(dates) > 1, "SEVERAL_DATES")
         .when(~follows, "BEFORE_DISEASE").when(~free, "NOT_ADJACENT").when(_day(F.get(dates, F.lit(0))).isNull(), "INVALID_DATE").otherwise("DIRECT")
     )
     own = F.struct(F.when(relation == "DIRECT", _day(F.get(dates, F.lit(0)))).alias("day"), relation.alias("relation"))

@@ -174,7 +174,7 @@ def owned_disease_dates(t: Tables) -> DataFrame:
     high = F.when(s == "F", F.concat(F.lit("Epilepsie, MRT vom "), day)).when(s == "O", F.concat(F.lit("Epilepsie seit "), day, F.lit(" oder "), day)).otherwise(F.concat(F.lit("Epilepsie links (ED "), day, F.lit(")")))
     said = F.when(p == "1-URGENT", F.concat(F.lit("Bekannte Epilepsie seit "), day)).when(p == "2-HIGH", high).when(p == "3-MEDIUM", F.concat(F.lit("Epilepsie seit "), F.year("o_orderdate")))
     said = said.when(p == "4-NOT SPECIFIED", F.concat(F.lit("Am "), day, F.lit(" Sturz bei Epilepsie"))).when(s == "F", F.concat(F.lit("Epilepsie und Infarkt am "), day)).otherwise("Epilepsie")
-    return t.orders.select("o_orderkey", reports.owned_date(said, "(?i:epilepsie)").alias("r")).select("o_orderkey", "r.*")
+    return t.orders.select("o_orderkey", reports.owned_date(said, "(?i:epilepsie)", r"\b(?:MRT|Biopsie|Kontrolle)\b", r"\b(?:am|seit|vom|links|rechts|ED|Erstdiagnose)\b", r"(?:Erstdiagnose|seit)(?: am)?").alias("r")).select("o_orderkey", "r.*")
 
 
 @query("""WITH r AS (SELECT o_custkey, 'status' AS field, o_orderstatus AS value, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rank, o_orderkey AS source FROM orders UNION ALL SELECT o_custkey, 'year', CAST(year(o_orderdate) AS VARCHAR), CASE WHEN o_totalprice > 200000 THEN 1 ELSE 2 END, o_orderkey FROM orders),
