@@ -57,7 +57,7 @@ def ratio_from(least: tuple[int, int], q: int):
 
 
 def near_copies(rows: DataFrame, keys: list[str], text: str, *, least: tuple[int, int] = (85, 100), q: int = 2) -> DataFrame:
-    """keys, a, b, ratio: the pairs of different texts a < b of a key whose ratio is `least` (numerator, denominator) or more. Nulls and empty texts have no pair."""
+    """keys, a, b, ratio: the pairs of different texts a < b of a key whose ratio is `least` (numerator, denominator) or more. Null keys, null and empty texts have no pair."""
     texts = rows.where(F.length(text) > 0).select(*keys, F.col(text).alias("__t")).distinct().withColumn("__n", F.length("__t"))
     # numbered q-grams: (gram, how often it has stood in the text before)
     places = F.transform(F.sequence(F.lit(1), F.greatest(F.col("__n") - q + 1, F.lit(1))), lambda i: F.substr("__t", i, F.lit(q)))
@@ -84,7 +84,7 @@ def near_copies(rows: DataFrame, keys: list[str], text: str, *, least: tuple[int
 
 def copy_groups(rows: DataFrame, keys: list[str], row_id: str, text: str, *, least: tuple[int, int] = (85, 100), least_characters: int = 0, q: int = 2) -> DataFrame:
     """keys, row_id, leader, n_links: rows of a key whose texts are linked by near_copies, or equal, form a group led by its smallest id; n_links counts the
-    different texts a row's text is linked with. Texts under least_characters are only grouped when equal; rows with a null or empty text stand alone."""
+    different texts a row's text is linked with. Texts under least_characters are only grouped when equal; rows with a null key or a null or empty text stand alone."""
     found = near_copies(rows.where(F.length(text) >= least_characters), keys, text, least=least, q=q)
     firsts = rows.where(F.length(text) > 0).groupBy(*keys, text).agg(F.min(row_id).alias("__id"))
     first = lambda c, out: firsts.select(*keys, F.col(text).alias(c), F.col("__id").alias(out))

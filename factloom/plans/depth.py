@@ -226,8 +226,10 @@ def sales_cube(t: Tables) -> DataFrame:
     both = exact.join(about, (F.col("grouping_id") == F.col("g")) & F.col("status").eqNullSafe(F.col("s")) & F.col("priority").eqNullSafe(F.col("p")))
     # the share of values up to the estimated median, counted exactly for each row of the result
     level = both.select("grouping_id", "s", "p", "median", "clients", "n_distinct", "n", "sum_total")
-    cells = sales.select(F.col("status").alias("vs"), F.col("priority").alias("vp"), "total").where("total IS NOT NULL")
-    ranks = cells.join(F.broadcast(level.select("grouping_id", "s", "p", "median")), ((F.col("grouping_id").bitwiseAND(2) != 0) | F.col("s").eqNullSafe(F.col("vs"))) & ((F.col("grouping_id").bitwiseAND(1) != 0) | F.col("p").eqNullSafe(F.col("vp"))))
+    # each sale counts in its cell of every grouping set
+    member = lambda g, s, p: F.struct(F.lit(g).cast("bigint").alias("mg"), (F.col("status") if s else F.lit(None).cast("string")).alias("ms"), (F.col("priority") if p else F.lit(None).cast("int")).alias("mp"))
+    cells = sales.where("total IS NOT NULL").select("total", F.explode(F.array(*[member(g, "status" in k, "priority" in k) for g, k in ids.items()])).alias("m")).select("total", "m.*")
+    ranks = cells.join(level.select("grouping_id", "s", "p", "median"), (F.col("mg") == F.col("grouping_id")) & F.col("ms").eqNullSafe(F.col("s")) & F.col("mp").eqNullSafe(F.col("p")))
     ranks = ranks.groupBy("grouping_id", "s", "p").agg(F.avg((F.col("total") < F.col("median")).cast("int")).alias("under"), F.avg((F.col("total") <= F.col("median")).cast("int")).alias("upto"))
     ranks = ranks.select(F.col("grouping_id").alias("g2"), F.col("s").alias("s2"), F.col("p").alias("p2"), "under", "upto")
     out = level.join(ranks, (F.col("grouping_id") == F.col("g2")) & F.col("s").eqNullSafe(F.col("s2")) & F.col("p").eqNullSafe(F.col("p2")), "left")

@@ -270,7 +270,7 @@ def copy_clusters(t: Tables) -> DataFrame:
 def ten_table_star(t: Tables) -> DataFrame:
     key, n = "c_custkey", F.count(F.lit(1))
     on = lambda df, c: df.withColumn(key, F.col(c).cast("long"))
-    base = t.customer.select(key, "c_nationkey").join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"), "left").join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"), "left").select(key, "n_name", "r_name")
+    base = t.customer.select(key, "c_nationkey").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(key, "n_name", "r_name")
     items = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     return extract.wide(base, key, [
         (on(t.orders, "o_custkey"), [n.alias("n_orders"), F.max(F.to_date("o_orderdate")).alias("last_order")]),

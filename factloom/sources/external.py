@@ -149,7 +149,7 @@ def workbooks(df: DataFrame, group: str, columns: list[str], order: list[str], m
 
 
 def write_files(df: DataFrame, path: str, name: str, content: str) -> None:
-    """Each row's bytes as a file of its own, written by the executors through Hadoop's file system of the path (local paths directly)."""
+    """Each row's bytes as a file of its own, written by the executors to a folder that they all mount (file://). Other stores keep such files as rows of a table."""
     local = path.removeprefix("file://")
     if "://" in local:
         raise ContractError("single files are written to file:// paths; elsewhere keep them as rows of a table")
