@@ -110,9 +110,9 @@ def keep_keys(df: DataFrame, keys: DataFrame, on: str, n_keys: int) -> DataFrame
     return df.join(F.broadcast(keys) if n_keys <= BROADCAST_KEYS else keys.hint("shuffle_hash"), on, "left_semi")
 
 
-def sampled_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ids(doc_id, ...), a bounded sample, each with one text of that id: of rows that share an id, the one with the smallest hash."""
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+def sampled_texts(docs: DataFrame, ids: DataFrame, *on: str) -> DataFrame:
+    """The rows of ids(doc_id, ...), a bounded sample, each with one text of that id: of rows that share an id (and the columns `on`), the one with the smallest hash."""
+    rows = docs.select("doc_id", *on, "text").join(F.broadcast(ids), ["doc_id", *on])
     return rows.groupBy(*ids.columns).agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("t")).select(*ids.columns, "t.text")
 
 

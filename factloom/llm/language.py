@@ -164,14 +164,14 @@ def _stretches(most: int):
 
 def train(docs: DataFrame, *, sample: int = SAMPLE_DOCUMENTS, size: int = SAMPLE_BYTES, modulus: int = 4, remainder: int = 2) -> dict[str, bytes]:
     """Labelled text of each language: `size` bytes at most, in stretches from all over at most `sample` documents, in turns, so that a language with few
-    documents takes more of each. The ids are chosen first, without the text; of rows that share an id one is learned from."""
+    documents takes more of each. The ids are chosen first, without the text; of rows that share an id and a language one is learned from."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & ~held_out(modulus, remainder)).select("doc_id", "lang").distinct()
     rank = lambda *more: F.row_number().over(Window.partitionBy("lang", *more).orderBy(F.xxhash64("doc_id"), "doc_id"))
     # first within salts, so that a common language's ids aren't ranked by one task
     salted = known.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))).withColumn("rank", rank("salt")).where(F.col("rank") <= sample)
     ids = salted.withColumn("rank", rank()).where(F.col("rank") <= sample).select("doc_id", "lang")
     most = -(-2 * size // PIECE)
-    rows = sampled_texts(docs.where(F.col("text").isNotNull()), ids).select("lang", F.col("doc_id").cast("long"), "text").mapInArrow(_stretches(most), "lang string, nth int, h long, piece binary")
+    rows = sampled_texts(docs.where(F.col("text").isNotNull()), ids, "lang").select("lang", F.col("doc_id").cast("long"), "text").mapInArrow(_stretches(most), "lang string, nth int, h long, piece binary")
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("nth", "h", "piece"))
     out: dict[str, list[bytes]] = {}
     for r in rows.withColumn("turn", turn).where(F.col("turn") <= most).orderBy("lang", "turn").collect():  # twice `size` bytes a language at most

@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.llm import secrets, structure, turns
+from factloom.llm import language, secrets, structure, turns
 
 CONVERSATION = "conv_id long, turn long, role string, text string"
 
@@ -313,3 +313,14 @@ def test_encodings():
     cases = {"deadbeef01": "hex", "DEADBEEF01": "HEX", "ABCXYZ234567": "base32", "abcxyz019": "base36", "ABCXYZ019": "BASE36", "aB3": "base62", "aB3+/": "base64", "aB3-_": "base64url", "abc": None, "123": None, "ab-12": None}
     assert {k: secrets.encoding_of(k) for k in cases} == cases
     assert isinstance(pd.DataFrame(secrets.candidates("x " + "aB3x" * 8 + "= y")).iloc[0]["p"], float)
+
+
+# --- languages ------------------------------------------------------------------------------------------------------------------------
+
+
+def test_one_id_in_two_languages_teaches_each_its_own_text(spark):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, "the house and the garden of the town", "en") for i in ids] + [(i, "der Garten und das Haus der Stadt", "de") for i in ids]
+    learned = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(learned) == {"en", "de"}
+    assert b"house" in learned["en"] and b"garten" not in learned["en"] and b"garten" in learned["de"] and b"house" not in learned["de"]
