@@ -82,10 +82,18 @@ def against(value: Column, low: Column, high: Column) -> Column:
 
 # --- lines of a text --------------------------------------------------------------------------------------------------------------
 
+#: The space separators of Unicode (class Zs): what counts as blank at the ends of a line, tabs and carriage returns don't.
+SPACES = " \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
+
+
+def bare(line: Column) -> Column:
+    """A line without the space separators of any kind at its ends."""
+    return F.trim(line, F.lit(SPACES))
+
 
 def leading_line(body: Column) -> Column:
     """The first line that isn't blank; null without one."""
-    return F.get(F.filter(F.split(body, "\n"), lambda x: F.trim(x) != ""), F.lit(0))
+    return F.get(F.filter(F.split(body, "\n"), lambda x: bare(x) != ""), F.lit(0))
 
 
 def routed(heading: Column, body: Column, rules: list[Rule], longest: int = 160) -> Column:
@@ -127,7 +135,7 @@ def without_part(body: Column, opens: str, closes: str) -> Column:
 
 def all_lines(body: Column, pattern: str) -> Column:
     """Whether a text has lines that aren't blank and each of them has a match."""
-    rows = F.filter(F.transform(F.split(body, "\n"), F.trim), lambda x: x != "")
+    rows = F.filter(F.transform(F.split(body, "\n"), bare), lambda x: x != "")
     return F.coalesce((F.size(rows) > 0) & F.forall(rows, lambda x: x.rlike(pattern)), F.lit(False))
 
 
