@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.operators import extract, rules
 from factloom.plans.catalogue import Tables, query
 
 P = "o_orderpriority"
+URGENT, HIGH, MEDIUM, NONE, LOW = "1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"
+MEDICINE_TEXTS = {URGENT: "Enoxaparin 40 mg", HIGH: "ELIQUIS 5 mg", MEDIUM: "Keppra 500", NONE: "Thrombo ASS 100", LOW: "Vitamin D"}
+RECORDING_TEXTS = {URGENT: "EEG zeigte Spikes links", HIGH: "Ein EEG ist geplant", MEDIUM: "siehe EEG", NONE: "EEG vom 3.4.2000\nGrundrhythmus 9 Hz, nicht sicher beurteilbar bei Artefakten", LOW: "Infarkt"}
+
+
+def _said(column: str, texts: dict[str, str]) -> Column:
+    """The text that stands for a value of a column; null for others."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in texts.items() for x in pair]), F.col(column))
 
 #: Small words of the four languages of the texts.
 LANGUAGE_WORDS = [("EN", rules.words("the", "of", "and")), ("FR", rules.words("les", "des", "qui")), ("DE", rules.words("der", "die", "und")), ("ES", rules.words("los", "el", "por"))]
@@ -66,9 +74,38 @@ def stated_diagnoses(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", rules.decide({"text": F.col("text"), "again": F.col("text")}, table, "PLAIN").alias("status"))
 
 
+#: Classes of medicines (category, subclass, agent) by their names; the first that is in a name counts.
+MEDICINES = [
+    (("ANTITHROMBOTIC", "ANTICOAGULANT", "LMWH"), "Fragmin|Enoxaparin|Clexane|Lovenox|Dalteparin|Nadroparin|Tinzaparin"),
+    (("ANTITHROMBOTIC", "ANTICOAGULANT", "UFH"), "Heparin|Liquemin|Calciparin"),
+    (("ANTITHROMBOTIC", "ANTICOAGULANT", "VKA"), "Marcoumar|Phenprocoumon|Warfarin|Acenocoumarol|Sintrom"),
+    (("ANTITHROMBOTIC", "ANTICOAGULANT", "DOAC"), "Lixiana|Eliquis|Xarelto|Pradaxa|Edoxaban|Apixaban|Rivaroxaban|Dabigatran"),
+    (("ANTITHROMBOTIC", "ANTIPLATELET", "ASPIRIN"), r"ASS|Aspirin|Acetylsalicylsäure|Thrombo\s*ASS"),
+    (("ANTITHROMBOTIC", "ANTIPLATELET", "P2Y12_INHIBITOR"), "Plavix|Clopidogrel|Ticagrelor|Brilique|Prasugrel|Efient"),
+    (("ANTIHYPERTENSIVE", None, None), "Ramipril|Bisoprolol|Concor|Amlodipin|Lisinopril|Candesartan|Valsartan|Enalapril|Metoprolol|Nebivolol|Carvedilol|Losartan"),
+    (("LIPID_LOWERING", None, None), "Atorvastatin|Simvastatin|Rosuvastatin|Pravastatin|Ezetimib|Sortis"),
+    (("ANTISEIZURE", None, None), "Levetiracetam|Keppra|Perampanel|Lacosamid|Vimpat|Valproat|Lamotrigin|Carbamazepin|Phenytoin|Gabapentin|Pregabalin|Lyrica"),
+    (("ANTIDEMENTIA", None, None), "Donepezil|Memantin|Rivastigmin|Galantamin"),
+    (("ANTIDEPRESSANT", None, None), "Sertralin|Escitalopram|Citalopram|Trazodon|Mirtazapin|Duloxetin|Venlafaxin"),
+]
+#: What an anticoagulant is for, by the words of its source.
+ANTICOAGULANT_ROLES = [("VTE_PROPHYLAXIS", r"(?i)(?:Thrombose|VTE)[- ]?prophylax|prophylaktisch"), ("THERAPEUTIC_ANTICOAGULATION", r"(?i)therapeutisch|Vollheparinisierung")]
+
+
+@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '3-MEDIUM' THEN 'ANTISEIZURE' WHEN '5-LOW' THEN 'OTHER' ELSE 'ANTITHROMBOTIC' END AS category, CASE o_orderpriority WHEN '1-URGENT' THEN 'ANTICOAGULANT' WHEN '2-HIGH' THEN 'ANTICOAGULANT' WHEN '4-NOT SPECIFIED' THEN 'ANTIPLATELET' END AS subclass,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'LMWH' WHEN '2-HIGH' THEN 'DOAC' WHEN '4-NOT SPECIFIED' THEN 'ASPIRIN' END AS agent, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CASE WHEN o_orderstatus = 'F' THEN 'VTE_PROPHYLAXIS' ELSE 'UNKNOWN' END WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'ANTIPLATELET' ELSE 'UNKNOWN' END AS role FROM orders""")
+def medicine_classes(t: Tables) -> DataFrame:
+    """Category, subclass and agent of a medicine by its name, and its role; that of an anticoagulant comes from the words of its source."""
+    table = [(label, {"name": rf"(?i)\b(?:{names})\b"}, {}) for label, names in MEDICINES]
+    source = F.when(F.col("o_orderstatus") == "F", "zur Thromboseprophylaxe").otherwise("laut Plan")
+    found = rules.decide({"name": _said(P, MEDICINE_TEXTS)}, table, ("OTHER", None, None), ["category", "subclass", "agent"])
+    role = F.when(F.col("subclass") == "ANTICOAGULANT", rules.decide({"source": F.col("source")}, rules.on("source", ANTICOAGULANT_ROLES), "UNKNOWN")).when(F.col("subclass") == "ANTIPLATELET", "ANTIPLATELET").otherwise("UNKNOWN")
+    return t.orders.select("o_orderkey", source.alias("source"), found.alias("m")).select("o_orderkey", "source", "m.*").withColumn("role", role).drop("source")
+
+
 @query(r"""SELECT item_id, CASE WHEN name LIKE '%bolt%' OR name LIKE '%widget%' THEN 'PART' WHEN name LIKE '%plate%' THEN 'WARE' ELSE 'OTHER' END AS category,
   CASE WHEN name LIKE '%bolt%' THEN 'FIXING' WHEN name LIKE '%widget%' THEN 'DEVICE' END AS subclass FROM items""")
-def medicine_classes(t: Tables) -> DataFrame:
+def item_classes(t: Tables) -> DataFrame:
     table = [(("PART", "FIXING"), {"name": "bolt"}, {}), (("PART", "DEVICE"), {"name": "widget"}, {}), (("WARE", None), {"name": "plate"}, {})]
     return t.items.select("item_id", rules.decide({"name": F.col("name")}, table, ("OTHER", None), ["category", "subclass"]).alias("m")).select("item_id", "m.*")
 
@@ -129,8 +166,32 @@ def unmeasured_tables(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", rules.all_lines(F.col("text"), r"[.]\z").alias("closed"))
 
 
-@query(f"""SELECT doc_id, coalesce({_EN}, false) AS english, coalesce(regexp_matches(text, '[0-9]'), false) AS numbers, coalesce(regexp_matches(text, '(?i)copyright|license'), false) AS licence, coalesce(n_chars >= 2000, false) AS long FROM documents""")
+#: Features of a report of a recording of brain waves, by their words.
+FEATURES = {
+    "normal": r"(?i)Normalbefund|normales?\s+EEG|Grenzen\s+der\s+Norm", "focal_slowing": r"(?i)fokal\w*\s+Verlangsamung|Herdstörung", "generalized_slowing": r"(?i)(?:generalisiert|diffus)\w*\s+Verlangsamung|Allgemeinveränderung",
+    "epileptiform": r"(?i)Spikes?\b|Sharp[- ]Waves?|epilepsietypisch", "periodic": r"\b[LG]PDs?\b|\b[LG]RDA\b", "sleep": r"(?i)Schlafspindel|K[- ]Komplex|Vertex", "artifact": r"(?i)Artefakt|nicht\s+(?:beurteilbar|auswertbar)",
+    "seizure_context": r"(?i)Status\s+epilepticus|Anfall|Anfälle|Epilepsie", "stroke_context": r"(?i)Infarkt|Schlaganfall|ischämisch", "dementia_context": r"(?i)Demenz|Enzephalopathie",
+}
+_NAMED, _NOT_DONE = r"\bEEG\b|(?i)Elektroen[cz]ephalo", r"(?i)EEG[^.!?\n]{0,40}nicht\s+durchgeführt"
+_RESULT = r"(?i)(?:EEG|Elektroen[cz]ephalo\w*)[^.!?\n]{0,60}(?:zeigte|ergab|abgeleitet|unauffällig)"
+_HEADED = r"(?im)^[ \t]*EEG\b[^\n]{0,140}\d{1,2}\.\d{1,2}\.\d{4}[\s\S]{0,400}?(?:grundrhythm|grundaktivit|Hz|herdbefund)"
+_PLANNED = r"(?i)empfohlen|geplant|angefordert|vorgesehen|nicht\s+durchgeführt"
+#: Whether a report tells of a recording, plans one or only names one; and the wording that rules alone don't settle.
+RECORDINGS = [("PERFORMED", {"text": _RESULT}, {"text": _NOT_DONE}), ("PERFORMED", {"text": _HEADED}, {"text": _NOT_DONE}), ("PLANNED", {"text": _PLANNED, "again": _NAMED}, {}), ("REFERENCED", {"text": _NAMED}, {})]
+UNSETTLED = ("UNSETTLED", {"text": r"(?i)broad[- ]sharp|nicht\s+(?:sicher\s+)?beurteilbar|iktal|Korrelation|Phasenumkehr|triphasisch|bifronto"}, {})
+
+
+@query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'PERFORMED' WHEN '2-HIGH' THEN 'PLANNED' WHEN '3-MEDIUM' THEN 'REFERENCED' WHEN '4-NOT SPECIFIED' THEN 'PERFORMED' ELSE 'UNKNOWN' END AS class, o_orderpriority = '4-NOT SPECIFIED' AS needs_semantics, o_orderpriority = '1-URGENT' AS epileptiform,
+  o_orderpriority = '4-NOT SPECIFIED' AS artifact, o_orderpriority = '5-LOW' AS stroke_context, o_custkey >= 50 AS many FROM orders""")
 def recording_screen(t: Tables) -> DataFrame:
+    said = _said(P, RECORDING_TEXTS)
+    fields = {"text": said, "again": said}
+    got = t.orders.select("o_orderkey", rules.decide(fields, RECORDINGS, "UNKNOWN").alias("class"), rules.holds(fields, UNSETTLED).alias("needs_semantics"), *rules.features(said, FEATURES, {"many": (F.col("o_custkey"), 50)}))
+    return got.select("o_orderkey", "class", "needs_semantics", "epileptiform", "artifact", "stroke_context", "many")
+
+
+@query(f"""SELECT doc_id, coalesce({_EN}, false) AS english, coalesce(regexp_matches(text, '[0-9]'), false) AS numbers, coalesce(regexp_matches(text, '(?i)copyright|license'), false) AS licence, coalesce(n_chars >= 2000, false) AS long FROM documents""")
+def document_screen(t: Tables) -> DataFrame:
     table = {"english": LANGUAGE_WORDS[0][1], "numbers": "[0-9]", "licence": "(?i)copyright|license"}
     return t.documents.select("doc_id", *rules.features(F.col("text"), table, {"long": (F.col("n_chars"), 2000)}))
 
