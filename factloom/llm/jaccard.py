@@ -14,7 +14,8 @@ the first one they share is among the first fifth (and one) of both. A block is
 3. a block's tree is searched for its smallest member; found pairs are verified, and linked members become components. Blocks over LEAF members are searched in
    parts of their own, to each of which the smallest member goes;
 4. blocks whose members are still in several components are joined tree by tree, without the pairs of one component: a leaf is at most about LEAF members of similar
-   size, pairs of leaves that their bounds rule out go before any point is read, and each pair that is left is a task's work;
+   size, pairs of leaves that their bounds rule out go before any point is read, and each pair that is left is a task's work; texts that share a passage meet in a
+   block for each of its shingles, so members carry their first blocks and a pair is made in the first that both carry;
 5. components of all verified links give the result.
 
 Defined results: null, empty and word-less texts have no shingle, link with nothing and are components of their own; rows that repeat a doc_id are rows of one
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ GROUPS = 128
 LEAF, NODE = 1024, 32
 #: Shingles to a group of the finer points of long texts.
 FINE = 4
+#: Blocks that a member carries with it where blocks are joined tree by tree, and what stands for none.
+CARRIED, NO_BLOCK = 16, (1 << 63) - 1
 #: Classes that make a shingle frequent; the most frequent shingles that are sent to the tasks.
 HOT, MOST_HOT = 256, 500_000
 
@@ -258,7 +262,7 @@ def _paired(batches):
 
 def _leaves(batches):
     """key, slab, salt, least size and largest coordinates of each leaf, and its members. Rows: key, slab, salt, id, grp, n, point."""
-    names = ["key", "slab", "salt", "least", "high", "ids", "grps", "sizes", "points"]
+    names = ["key", "slab", "salt", "least", "high", "ids", "grps", "sizes", "points", "blocks"]
     for table, starts in _groups(batches, 3):
         counts, sizes = unpacked(table.column("point").to_pylist()), table.column("n").to_numpy()
         ids, grps = table.column("id").to_numpy(), table.column("grp").to_numpy()
@@ -268,7 +272,9 @@ def _leaves(batches):
         lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (ids, grps, sizes)]
         high = np.maximum.reduceat(counts, starts)
         blobs = [packed(counts[i:j]) for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(np.minimum.reduceat(sizes, starts)), pa.array([packed(x) for x in high], pa.binary()), *lists, pa.array(blobs, pa.binary())], names=names)
+        carried = pc.list_flatten(table.column("blocks").combine_chunks()).to_numpy().reshape(-1, CARRIED)
+        carried = pa.array([carried[i:j].tobytes() for i, j in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*map(pa.array, keys), pa.array(np.minimum.reduceat(sizes, starts)), pa.array([packed(x) for x in high], pa.binary()), *lists, pa.array(blobs, pa.binary()), carried], names=names)
 
 
 def _near_leaves(batches):
@@ -283,8 +289,18 @@ def _near_leaves(batches):
         yield pa.RecordBatch.from_arrays([get(c).filter(ok) for c in names], names=names)
 
 
+def met_here(key: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs of members with the first blocks x and y (rows, sorted) a block has to make: those whose first common one it is, or that carry none in common."""
+    out = np.ones(len(x), bool)
+    for k in range(0, len(x), 1 << 14):
+        i, j = x[k : k + (1 << 14)], y[k : k + (1 << 14)]
+        first = np.where((i[:, :, None] == j[:, None, :]).any(2), i, NO_BLOCK).min(1)
+        out[k : k + (1 << 14)] = (first == NO_BLOCK) | (first == key)
+    return out
+
+
 def _joined(batches):
-    """Pairs (a, b) of members of two leaves (or one) that the trees don't rule out and that are of different groups."""
+    """Pairs (a, b) of members of two leaves (or one) that the trees don't rule out and that are of different groups, in the block that has to make them."""
     for batch in batches:
         for row in batch.to_pylist():
             one, two = ([np.array(row[f"{c}{k}"], np.int64) for c in ("ids", "grps", "sizes")] for k in ("", "2"))
@@ -294,7 +310,11 @@ def _joined(batches):
             else:
                 pairs = tree_join(*[np.concatenate(z) for z in zip(one, two, strict=True)], np.concatenate([x, y]), np.repeat([0, 1], [len(x), len(y)]))
             a, b = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            ids, carried = np.concatenate([one[0], two[0]]), np.frombuffer(row["blocks"] + row["blocks2"], np.int64).reshape(-1, CARRIED)
+            order = np.argsort(ids, kind="stable")
+            at = lambda c: order[np.searchsorted(ids, c, sorter=order)]  # noqa: E731, B023
+            keep = met_here(row["key"], carried[at(a)], carried[at(b)])
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
 
 
 def _matrix(blob: bytes, n: int) -> np.ndarray:
@@ -402,13 +422,16 @@ def leaf_pairs(rows: DataFrame) -> DataFrame:
 
     Sizes of similar sets differ by a quarter at most, so a leaf (a slab of sizes, dealt by salts to about LEAF members) meets leaves of its own slab and the next.
     """
+    # the first blocks of every member: what two members carry in common, both are in
+    none = F.array_repeat(F.lit(NO_BLOCK).cast("long"), CARRIED)
+    carried = rows.groupBy("id").agg(F.slice(F.concat(F.array_sort(F.collect_set("key")), none), 1, CARRIED).alias("blocks"))
     rows = rows.withColumn("slab", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(DENOMINATOR / NUMERATOR)) + 1e-9).cast("int"))
     salts = rows.groupBy("key", "slab").agg(F.ceil(F.count("*") / LEAF).cast("int").alias("salts"))
     salts = written(salts.where("salts > 1"), "salts")  # large slabs are few; without a shuffle by slab none of them is one task's
     salts = F.broadcast(salts) if salts.count() <= BROADCAST_KEYS // 8 else salts
     rows = rows.join(salts, ["key", "slab"], "left").withColumn("salts", F.coalesce("salts", F.lit(1))).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
-    rows = rows.select("key", "slab", "salt", "id", "grp", "n", "point").repartition("key", "slab", "salt").sortWithinPartitions("key", "slab", "salt")
-    form = "key long, slab int, salt int, least long, high binary, ids array<long>, grps array<long>, sizes array<long>, points binary"
+    rows = rows.join(carried, "id").select("key", "slab", "salt", "id", "grp", "n", "point", "blocks").repartition("key", "slab", "salt").sortWithinPartitions("key", "slab", "salt")
+    form = "key long, slab int, salt int, least long, high binary, ids array<long>, grps array<long>, sizes array<long>, points binary, blocks binary"
     leaves = written(rows.mapInArrow(trimmed(_leaves), form), "leaves")
     one, names = leaves.select("key", "slab", "salt", "least", "high"), ["key", "slab", "salt", "least", "high"]
     two = one.toDF(*[c if c == "key" else f"{c}2" for c in names])
