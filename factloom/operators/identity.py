@@ -5,6 +5,8 @@ Links are equi-joins on a block key (a date, a number, a place) with a residual
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,12 +163,40 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def match_any(left: DataFrame, right: DataFrame, left_id: str, right_id: str, key_sets: list[list[str]]) -> DataFrame:
-    """Distinct pairs that agree on all columns of any key set: one equi-join for each set, instead of a join on OR. Null keys match nothing."""
-    found = None
-    for keys in key_sets:
-        part = left.select(left_id, *keys).join(right.select(right_id, *keys), keys).select(left_id, right_id)
-        found = part if found is None else found.unionByName(part)
-    return found.distinct()
+    """Distinct pairs that agree on all columns of any key set: one equi-join for each set, instead of a join on OR. Null keys match nothing.
+
+    The pairs may be far more than the rows, so they aren't made distinct where they can't repeat: a pair of ids with one form of keys each comes from the first set
+    on which it agrees. Only pairs with an id of several forms are gathered. The rows are dealt to all shuffle partitions, whose size tells little of their pairs.
+    """
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = list(dict.fromkeys(k for keys in key_sets for k in keys))
+
+    def side(df: DataFrame, own_id: str, mark: str) -> DataFrame:
+        rows = df.select(own_id, *names).distinct()
+        several = rows.groupBy(F.col(own_id).alias("__id")).agg(F.count(F.lit(1)).alias("__k")).where("__k > 1").select("__id", F.lit(True).alias("__m"))
+        marked = rows.join(several, F.col(own_id).eqNullSafe(F.col("__id")), "left")
+        return marked.select(F.col(own_id).alias(f"{mark}id"), *[F.col(n).alias(f"{mark}{n}") for n in names], F.coalesce("__m", F.lit(False)).alias(f"{mark}m"))
+
+    from factloom.sources.work import written
+
+    a, b = written(side(left, left_id, "__a_"), "left"), written(side(right, right_id, "__b_"), "right")
+    same = lambda keys: reduce(lambda x, y: x & y, [F.col(f"__a_{k}") == F.col(f"__b_{k}") for k in keys])
+
+    def pairs(a: DataFrame, b: DataFrame, once: bool) -> DataFrame:
+        found = None
+        for i, keys in enumerate(key_sets):
+            whole = lambda df, mark: df.where(reduce(lambda x, y: x & y, [F.col(f"{mark}{k}").isNotNull() for k in keys])).repartition(parts, *[F.col(f"{mark}{k}") for k in keys])  # noqa: E731, B023
+            rows = whole(a, "__a_").join(whole(b, "__b_"), same(keys))
+            for earlier in key_sets[:i] if once else []:
+                rows = rows.where(~F.coalesce(same(earlier), F.lit(False)))
+            rows = rows.select(F.col("__a_id").alias(left_id), F.col("__b_id").alias(right_id))
+            found = rows if found is None else found.unionByName(rows)
+        return found
+
+    plain = pairs(a.where("NOT __a_m"), b.where("NOT __b_m"), True)
+    some = [m for m, df in (("a", a.where("__a_m")), ("b", b.where("__b_m"))) if df.limit(1).count()]
+    others = [pairs(a.where("__a_m"), b, False)] * ("a" in some) + [pairs(a.where("NOT __a_m"), b.where("__b_m"), False)] * ("b" in some)
+    return reduce(lambda x, y: x.unionByName(y), [plain, *[o.distinct() for o in others]])
 
 
 def pair_once(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str) -> DataFrame:
