@@ -10,6 +10,7 @@ import json
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,11 +126,20 @@ def batched(rows: DataFrame, group: str, key: str, request: str, size: int, summ
 
     kind = dict(rows.dtypes)[key]
 
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        sent = sorted(zip(batch[key].tolist(), batch[request].tolist(), strict=True))
-        got = summarize(sent)
-        complete = set(got) == {k for k, _ in sent}
-        return pd.DataFrame({key: [k for k, _ in sent], "summary": [got.get(k) if complete else None for k, _ in sent], "complete": [complete] * len(sent)})
+    def run(tables):
+        for table in tables:
+            keys, summaries, whole = [], [], []
+            for batch in table.column(0).to_pylist():
+                sent = sorted((r["k"], r["r"]) for r in batch)
+                got = summarize(sent)
+                complete = set(got) == {k for k, _ in sent}
+                keys += [k for k, _ in sent]
+                summaries += [got.get(k) if complete else None for k, _ in sent]
+                whole += [complete] * len(sent)
+            form = table.column(0).type.value_type.field("k").type
+            yield pa.RecordBatch.from_arrays([pa.array(keys, form), pa.array(summaries, pa.string()), pa.array(whole, pa.bool_())], names=[key, "summary", "complete"])
 
     numbered = ranks.row_numbers(rows.select(group, key, request), [group], [F.col(key)], "__n").withColumn("__batch", F.floor((F.col("__n") - 1) / size))
-    return numbered.groupBy(group, "__batch").applyInPandas(run, f"{key} {kind}, summary string, complete boolean")
+    # a batch is a row, so that many of them go to a call of the worker
+    batches = numbered.groupBy(group, "__batch").agg(F.collect_list(F.struct(F.col(key).alias("k"), F.col(request).alias("r"))).alias("__sent"))
+    return batches.select("__sent").mapInArrow(run, f"`{key}` {kind}, summary string, complete boolean")
