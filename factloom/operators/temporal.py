@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factloom.operators import ranks
+from factloom.sources.work import written
 
 
 def as_of(index: DataFrame, facts: DataFrame, keys: list[str], index_id: str, index_time: str, fact_time: str, value: str, lookback_days: int, same_day_first: bool = True) -> DataFrame:
@@ -38,14 +39,14 @@ def facts_at(facts: DataFrame, index: DataFrame, entity: str, kind: str, value:
 
 
 #: Seconds of the narrowest bucket, how much wider each level's are, levels, most buckets that an interval is put into.
-_BUCKET, _WIDER, _LEVELS, _MOST = 86_400, 64, 4, 64
+_BUCKET, _WIDER, _LEVELS, _MOST = 86_400, 4, 10, 4
 
 
 def link_in_interval(points: DataFrame, intervals: DataFrame, keys: list[str], point_id: str, point_time: str, interval_id: str, start: str, end: str) -> DataFrame:
     """points with the id of the only interval that holds their time (inclusive), else null, and the number of intervals.
 
     The range join is an equi-join on the keys and on buckets of time: an interval is put into the buckets it touches, on the first level where these are few,
-    a point into its bucket on every level. So a point meets intervals near its time only, however long a key's history is.
+    a point into its bucket on every level that an interval is on. So a point meets intervals near its time only, however long a key's history is.
     """
     seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
     width = lambda k: _BUCKET * _WIDER**k
@@ -56,8 +57,10 @@ def link_in_interval(points: DataFrame, intervals: DataFrame, keys: list[str], p
     touched = F.when(F.col("__level") == 0, F.sequence(first(0), last(0)))
     for k in range(1, _LEVELS):
         touched = touched.when(F.col("__level") == k, F.sequence(first(k), last(k)))
-    right = intervals.where(F.col(start) <= F.col(end)).select(*keys, interval_id, start, end).withColumn("__level", level).withColumn("__bucket", F.explode(touched))
-    own = F.array(*[F.struct(F.lit(k).alias("__level"), F.floor(seconds(point_time) / width(k)).alias("__bucket")) for k in range(_LEVELS)])
+    levelled = written(intervals.where(F.col(start) <= F.col(end)).select(*keys, interval_id, start, end).withColumn("__level", level), "levelled")
+    used = sorted(r[0] for r in levelled.select("__level").distinct().collect()) or [0]  # at most _LEVELS numbers
+    right = levelled.withColumn("__bucket", F.explode(touched))
+    own = F.array(*[F.struct(F.lit(k).alias("__level"), F.floor(seconds(point_time) / width(k)).alias("__bucket")) for k in used])
     left = points.select(*keys, point_id, point_time, F.explode(own).alias("__b")).select(*keys, point_id, point_time, "__b.*")
     rows = left.join(right, [*keys, "__level", "__bucket"]).where((F.col(point_time) >= F.col(start)) & (F.col(point_time) <= F.col(end)))
     found = rows.groupBy(point_id).agg(F.count(F.lit(1)).alias("n_intervals"), F.min(interval_id).alias("__i"))
