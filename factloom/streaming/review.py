@@ -34,32 +34,49 @@ class Projection(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         found = self.count.get()
         n = found[0] if found else 0
+        # what this micro-batch touches is read from the state once and written back once; a new artifact has no state to read
+        self.new, self.now, self.stored, self.changed = found is None, {}, set(), set()
         # one micro-batch of one artifact
         for e in sorted(rows, key=lambda r: (r.action != "ITEM", r.at if r.at is not None else -1, r.action, r.key, r.value or "")):
             for k, value, state in self._applied(e):
                 n += 1
                 yield Row(artifact=key[0], seq=n, key=k, value=value, state=state)
+        for k in self.changed:
+            if self.now[k] is not None:
+                self.items.updateValue((k,), self.now[k])
+            elif k in self.stored:
+                self.items.removeKey((k,))
         self.count.update((n,))
 
+    def _get(self, key: str) -> tuple | None:
+        if key not in self.now:
+            self.now[key] = None if self.new else self.items.getValue((key,))
+            if self.now[key] is not None:
+                self.stored.add(key)
+        return self.now[key]
+
     def _applied(self, e: Row) -> Iterator[tuple[str, str | None, str]]:
         if e.action == "ITEM":
             yield self._put(e.key, e.value, "OPEN")
             return
-        now = self.items.getValue((e.key,))
+        now = self._get(e.key)
         if now is None:
             return
         if e.action in STATES:
             yield self._put(e.key, now[0], STATES[e.action])
         elif e.action == "EDIT":
             yield self._put(e.key, e.value, "EDITED")
-        elif e.action == "SPLIT" and e.new_key is not None and not self.items.containsKey((e.new_key,)):
+        elif e.action == "SPLIT" and e.new_key is not None and self._get(e.new_key) is None:
             yield self._put(e.new_key, now[0] if e.value is None else e.value, "OPEN")
-        elif e.action == "MERGE" and e.new_key is not None and e.new_key != e.key and self.items.containsKey((e.new_key,)):
-            self.items.removeKey((e.key,))
+        elif e.action == "MERGE" and e.new_key is not None and e.new_key != e.key and self._get(e.new_key) is not None:
+            self.now[e.key] = None
+            self.changed.add(e.key)
             yield e.key, None, "GONE"
 
     def _put(self, key: str, value: str | None, state: str) -> tuple[str, str | None, str]:
-        self.items.updateValue((key,), (value, state))
+        self._get(key)
+        self.now[key] = (value, state)
+        self.changed.add(key)
         return key, value, state
 
 
