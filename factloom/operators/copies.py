@@ -2,8 +2,9 @@
 
 A pair of ratio t or more matches m >= t (|a| + |b|) / 2 characters in at most |a| + |b| - 2 m + 1 blocks, and a block of k characters has k - q + 1 of its q-grams on both
 sides. So such a pair shares a known number of numbered q-grams (the first `th`, the second `th`, ...), and of any order of all q-grams one of the first few of each
-text. Rare ones come first in that order. Pairs that meet there are counted in full against the same bound, then the exact ratio decides. Texts so short that there is no bound
-(a few characters) meet the different texts of their key and length.
+text. Rare ones come first in that order. Matched blocks stand in one order on both sides, so the other characters, |a| + |b| - 2 m, are at least the edit distance: pairs that
+meet are held against it where they meet, before they are gathered. What is left is counted in full against the same bound, then the exact ratio decides. Texts so short that
+there is no bound (a few characters) meet the different texts of their key and length.
 """
 
 from __future__ import annotations
@@ -72,11 +73,15 @@ def near_copies(rows: DataFrame, keys: list[str], text: str, *, least: tuple[int
     needed = F.ceil(_shared(F.col("__n"), shortest, least, q) / F.lit(2 * least[1]))
     prefix = ranked.where((needed > 0) & (F.col("__r") <= F.col("__n") - q + 1 - needed + 1)).select(*keys, "__t", "__n", "__g", "__k")
     other = prefix.select(*keys, F.col("__t").alias("__u"), F.col("__n").alias("__m"), "__g", "__k")
-    fits = (2 * F.least("__n", "__m") >= t * (F.col("__n") + F.col("__m"))) & (F.col("__t") < F.col("__u"))
-    met = prefix.join(other, [*keys, "__g", "__k"]).where(fits).select(*keys, "__t", "__n", "__u", "__m").distinct()
+    most = F.floor((F.col("__n") + F.col("__m")) * F.lit(least[1] - least[0]) / F.lit(least[1])).cast("int")
+    close = (2 * F.least("__n", "__m") >= t * (F.col("__n") + F.col("__m"))) & (F.call_function("levenshtein", F.col("__t"), F.col("__u"), most) >= 0)
+    # few rows may make many pairs: the rows are dealt to all partitions, whatever their size
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lambda df: df.repartition(parts, *keys, "__g", "__k")
+    met = dealt(prefix).join(dealt(other), [*keys, "__g", "__k"]).where((F.col("__t") < F.col("__u")) & close).select(*keys, "__t", "__n", "__u", "__m").distinct()
     # a text without a bound meets all of its key that are about as short
     short = texts.where((needed <= 0) | (F.col("__n") < q))
-    unbound = short.select(*keys, "__t", "__n").join(texts.select(*keys, F.col("__t").alias("__u"), F.col("__n").alias("__m")), keys).where((2 * F.least("__n", "__m") >= t * (F.col("__n") + F.col("__m"))) & (F.col("__t") != F.col("__u")))
+    unbound = short.select(*keys, "__t", "__n").join(texts.select(*keys, F.col("__t").alias("__u"), F.col("__n").alias("__m")), keys).where((F.col("__t") != F.col("__u")) & close)
     unbound = unbound.select(*keys, F.least("__t", "__u").alias("__t"), F.greatest("__t", "__u").alias("__u"))
     pairs = met.select(*keys, "__t", "__u").unionByName(unbound).distinct()
     return pairs.withColumn("ratio", ratio_from(least, q)("__t", "__u")).where("ratio IS NOT NULL").select(*keys, F.col("__t").alias("a"), F.col("__u").alias("b"), "ratio")
